@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from salesmart.sources.raw_sample import RAW_SQL
+
 # The sales star over the order tables.
 STAR = """
 places AS (
@@ -61,7 +63,7 @@ t AS (SELECT *, lag(s) OVER (ORDER BY anio, num_mes) AS p FROM m)
 SELECT anio, num_mes, {MONTHS}[num_mes] AS mes, n AS total_transacciones, CAST(s AS DOUBLE) AS monto_total,
        round(CAST(s AS DOUBLE) / n, 0) AS ticket_promedio, clientes_unicos,
        CAST(coalesce(p, 0) AS DOUBLE) AS monto_mes_anterior,
-       coalesce(round(CAST(s - p AS DOUBLE) / nullif(CAST(p AS DOUBLE), 0) * 100, 1), 0.0) AS variacion_pct
+       coalesce(round(CAST(s - p AS DOUBLE) / nullif(CAST(p AS DOUBLE), 0) * 100, 1), 0.0) + 0.0 AS variacion_pct
 FROM t
 """
 
@@ -134,7 +136,7 @@ SELECT p_partkey AS id_producto, p_name AS nombre_producto, p_type AS categoria,
        n AS total_transacciones, CAST(u AS BIGINT) AS total_unidades, CAST(m AS DOUBLE) AS monto_total,
        round(CAST(pr AS DOUBLE) / n, 0) AS precio_promedio, CAST(coalesce(o, 0) AS DOUBLE) AS monto_anio_anterior,
        CAST(ou AS BIGINT) AS unidades_anio_anterior,
-       CASE WHEN o IS NULL OR o = 0 THEN NULL ELSE round(CAST(m - o AS DOUBLE) / CAST(o AS DOUBLE) * 100, 1) END AS yoy_growth_pct,
+       CASE WHEN o IS NULL OR o = 0 THEN NULL ELSE round(CAST(m - o AS DOUBLE) / CAST(o AS DOUBLE) * 100, 1) + 0.0 END AS yoy_growth_pct,
        CASE WHEN o IS NULL THEN 'Primer año'
             WHEN m > o * 1.10 THEN 'Crecimiento fuerte (>10%)'
             WHEN m > o THEN 'Crecimiento moderado'
@@ -177,3 +179,242 @@ FROM fact f JOIN cliente c USING (cliente_key) JOIN part ON f.producto_key = p_p
 JOIN vendedor v USING (vendedor_key) JOIN canal USING (canal_key) JOIN places ON f.ciudad_key = n_nationkey
 JOIN (SELECT d, {HOLIDAY} AS hol FROM (SELECT DISTINCT fecha AS d FROM fact)) h ON h.d = f.fecha
 """
+
+# ---- raw rows ----------------------------------------------------------------
+
+RAW = f"raw AS (\n{RAW_SQL})"
+
+
+def _date(c):
+    formats = ("%Y-%m-%d", "%Y/%m/%d", "%d-%m-%Y", "%d/%m/%Y")
+    return "CAST(coalesce(" + ", ".join(f"try_strptime(trim({c}), '{f}')" for f in formats) + ") AS DATE)"
+
+
+def _num(c):
+    return f"TRY_CAST(trim({c}) AS DECIMAL(28,6))"
+
+
+def _int(c):
+    return f"CASE WHEN {_num(c)} = floor({_num(c)}) THEN CAST({_num(c)} AS BIGINT) END"
+
+
+def _blank(c):
+    return f"coalesce(trim({c}) = '', true)"
+
+
+_CANAL = ("CASE WHEN lower(trim(canal)) = 'online' THEN 'Online' WHEN lower(trim(canal)) = 'tienda' THEN 'Tienda' "
+          "WHEN lower(trim(canal)) = 'marketplace' THEN 'Marketplace' WHEN trim(canal) = '' THEN NULL ELSE trim(canal) END")
+_KNOWN = "coalesce(lower(trim(canal)) IN ('online', 'tienda', 'marketplace'), false)"
+_MISCASED = f"({_KNOWN} AND trim(canal) NOT IN ('Online', 'Tienda', 'Marketplace'))"
+_EMAIL_OK = r"coalesce(regexp_full_match(trim(email_cliente), '[\p{L}\p{N}_.-]+@[\p{L}\p{N}_.-]+\.[\p{L}\p{N}_]{2,}'), false)"
+_PHONE_OK = "coalesce(regexp_full_match(trim(telefono_cliente), '[0-9]{10}'), false)"
+_PRICE = "TRY_CAST(trim(precio_unitario) AS DECIMAL(12,2))"
+
+TYPED = f"""
+typed AS (
+  SELECT id_venta AS raw_id, {_int('id_venta')} AS id_venta, {_date('fecha')} AS fecha,
+         {_int('id_cliente')} AS id_cliente, {_int('id_producto')} AS id_producto, {_int('cantidad')} AS cantidad,
+         {_PRICE} AS precio_unitario, {_CANAL} AS canal, trim(ciudad) AS ciudad,
+         CASE WHEN {_blank('vendedor')} THEN 'SIN_ASIGNAR' ELSE trim(vendedor) END AS vendedor,
+         trim(email_cliente) AS email_cliente, trim(telefono_cliente) AS telefono_cliente,
+         CAST({_int('cantidad')} * {_PRICE} AS DECIMAL(15,2)) AS monto_total,
+         fecha_carga, row_seq, archivo_origen, id_batch
+  FROM raw),
+judged AS (
+  SELECT *, CASE WHEN fecha IS NULL THEN 'FECHA_INVALIDA' WHEN canal IS NULL THEN 'CANAL_INVALIDO'
+                 WHEN precio_unitario IS NULL OR precio_unitario <= 0 THEN 'PRECIO_INVALIDO'
+                 WHEN cantidad IS NULL OR cantidad < 1 THEN 'CANTIDAD_INVALIDA'
+                 WHEN coalesce(id_venta, 0) < 1 OR coalesce(id_cliente, 0) < 1 OR coalesce(id_producto, 0) < 1 THEN 'ID_INVALIDO'
+            END AS motivo FROM typed),
+loaded AS (SELECT DISTINCT {_int('id_venta')} AS id_venta FROM raw WHERE archivo_origen = 'ventas_raw.csv' AND {_int('id_venta')} IS NOT NULL),
+good AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id_venta ORDER BY fecha_carga, row_seq) AS rn
+                 FROM judged WHERE motivo IS NULL) WHERE rn = 1)
+"""
+RAW_WITH = f"{RAW},\n{TYPED}"
+
+ORACLE["normalized_dates"] = f"""
+WITH {RAW}, t AS (SELECT fecha AS texto, count(*) AS filas FROM raw GROUP BY 1),
+p AS (SELECT *, {_date('texto')} AS d FROM t)
+SELECT texto, filas, CAST(d AS VARCHAR) AS fecha, CAST(strftime(d, '%Y%m%d') AS BIGINT) AS fecha_key,
+       isodow(d) AS dia_semana,
+       CAST(CASE WHEN isodow(d) = 1 THEN d ELSE d + CAST(8 - isodow(d) AS INTEGER) END AS VARCHAR) AS lunes,
+       {MONTHS}[month(d)] AS nombre_mes
+FROM p
+"""
+
+ORACLE["normalized_channel"] = f"""
+WITH {RAW}, t AS (SELECT canal, count(*) AS filas FROM raw GROUP BY 1)
+SELECT canal AS texto, filas, {_CANAL} AS canal, CAST({_KNOWN} AS BIGINT) AS conocido,
+       CAST({_MISCASED} AS BIGINT) AS mal_escrito,
+       CASE WHEN lower(trim(canal)) = 'tienda' THEN 'Físico' ELSE 'Digital' END AS tipo_canal
+FROM t
+"""
+
+ORACLE["typed_numbers"] = f"""
+WITH {RAW_WITH}
+SELECT raw_id AS texto_id, id_venta, id_cliente, id_producto, cantidad, CAST(precio_unitario AS DOUBLE) AS precio_unitario,
+       CAST(monto_total AS DOUBLE) AS monto_total, vendedor,
+       'Producto ' || CAST(id_producto AS VARCHAR) AS nombre_producto FROM typed
+"""
+
+ORACLE["email_phone_checks"] = f"""
+WITH {RAW}
+SELECT email_cliente, telefono_cliente, count(*) AS filas, CAST({_EMAIL_OK} AS BIGINT) AS email_ok,
+       CAST({_PHONE_OK} AS BIGINT) AS telefono_ok
+FROM raw GROUP BY email_cliente, telefono_cliente
+"""
+
+_REQUIRED = ("id_venta", "fecha", "id_cliente", "id_producto", "cantidad", "precio_unitario",
+             "canal", "ciudad", "email_cliente", "telefono_cliente")
+_LOAD_CHECKS = [(f"COMPLETENESS:{f}", _blank(f)) for f in _REQUIRED] + [
+    ("VALIDITY:fecha", f"{_date('fecha')} IS NULL"),
+    ("VALIDITY:cantidad", f"coalesce({_num('cantidad')} < 1, true)"),
+    ("VALIDITY:precio_unitario", f"coalesce({_num('precio_unitario')} <= 0, true)"),
+    ("VALIDITY:canal", f"NOT {_KNOWN}")]
+_MIN = {"id_venta": "1", "id_cliente": "1", "id_producto": "1", "cantidad": "1", "precio_unitario": "0.01"}
+_PROFILE_CHECKS = [(f"NULLS:{f}", f, _blank(f), "NULO_EN_CAMPO_REQUERIDO") for f in _REQUIRED] + [
+    ("DATE_FORMAT:fecha", "fecha", f"{_date('fecha')} IS NULL", "FECHA_INVALIDA"),
+    ("DATE_FORMAT:fecha", "fecha",
+     f"coalesce({_date('fecha')} NOT BETWEEN DATE '2020-01-01' AND DATE '2030-12-31', false)", "FECHA_FUERA_RANGO")]
+for _f, _m in _MIN.items():
+    _PROFILE_CHECKS += [
+        (f"NUMERIC_RANGE:{_f}", _f, f"(NOT {_blank(_f)} AND {_num(_f)} IS NULL)", "TIPO_DATO_INVALIDO"),
+        (f"NUMERIC_RANGE:{_f}", _f, f"coalesce({_num(_f)} < {_m}, false)", "VALOR_FUERA_RANGO")]
+_PROFILE_CHECKS += [
+    ("CANAL_VALUES:canal", "canal", f"(NOT {_KNOWN} AND NOT {_blank('canal')})", "CANAL_VALOR_INVALIDO"),
+    ("EMAIL_FORMAT:email_cliente", "email_cliente", f"NOT {_EMAIL_OK}", "EMAIL_INVALIDO")]
+_ALERT_CHECKS = [
+    ("CANAL_CASE:canal", "canal", _MISCASED, "CANAL_CAPITALIZACIÓN_INCORRECTA"),
+    ("PHONE_FORMAT:telefono_cliente", "telefono_cliente", f"NOT {_PHONE_OK}", "TELEFONO_INVALIDO")]
+
+_LOAD_LOG = "\nUNION ALL ".join(
+    f"SELECT '{name}' AS r, count(*) AS n, count(*) FILTER ({bad}) AS bad FROM raw" for name, bad in _LOAD_CHECKS)
+_DUPS = ("SELECT '{name}' AS r, sum(c) AS n, coalesce(sum(c) FILTER (c > 1), 0) AS bad "
+         "FROM (SELECT count(*) AS c FROM raw GROUP BY id_venta)")
+_PROFILE_NAMES = list(dict.fromkeys(c[0] for c in _PROFILE_CHECKS))
+_PROFILE_LOG = "\nUNION ALL ".join(
+    "SELECT '{0}' AS r, count(*) AS n, {1} AS bad FROM raw".format(
+        name, " + ".join(f"count(*) FILTER ({c[2]})" for c in _PROFILE_CHECKS if c[0] == name))
+    for name in _PROFILE_NAMES)
+_LOG_SELECT = """
+SELECT r AS regla_calidad, CAST(n AS BIGINT) AS registros_evaluados, CAST(n - bad AS BIGINT) AS registros_validos,
+       CAST(bad AS BIGINT) AS registros_invalidos, round(CAST(n - bad AS DOUBLE) * 100.0 / CAST(n AS DOUBLE), 2) AS porcentaje_calidad,
+       CASE WHEN bad = 0 THEN 'OK' ELSE CAST(CAST(bad AS BIGINT) AS VARCHAR) || ' filas, ver violaciones' END AS detalles
+FROM log
+"""
+ORACLE["quality_log"] = f"""
+WITH {RAW_WITH}, log AS (
+{_LOAD_LOG}
+UNION ALL {_DUPS.format(name='UNIQUENESS:id_venta')}
+UNION ALL SELECT 'UNIQUENESS:cross_file', (SELECT count(*) FROM raw),
+  (SELECT count(*) FROM (SELECT DISTINCT {_int('id_venta')} AS i FROM raw) WHERE i IN (SELECT id_venta FROM loaded))
+UNION ALL SELECT 'CONSISTENCY:monto_total', count(*), count(*) FILTER (abs(monto_total - cantidad * precio_unitario) > 0.01) FROM good)
+{_LOG_SELECT}
+"""
+ORACLE["profile_quality_log"] = f"""
+WITH {RAW}, log AS (
+{_PROFILE_LOG}
+UNION ALL {_DUPS.format(name='DUPLICATES:id_venta')})
+{_LOG_SELECT}
+"""
+ORACLE["quality_scores"] = f"""
+WITH {RAW}, la AS (
+{_LOAD_LOG}
+UNION ALL {_DUPS.format(name='UNIQUENESS:id_venta')}),
+lb AS (
+{_PROFILE_LOG}
+UNION ALL {_DUPS.format(name='DUPLICATES:id_venta')}),
+s AS (
+  SELECT 'A' AS formula, round(avg((n - bad) / n), 4) AS score FROM la
+  UNION ALL SELECT 'B', round(sum(n - bad) / sum(n), 4) FROM lb
+  UNION ALL SELECT 'C', round(avg(p), 3) / 100 FROM (SELECT split_part(r, ':', 1) AS d, avg((n - bad) * 100.0 / n) AS p FROM la GROUP BY 1))
+SELECT formula, round(score, 4) AS score,
+       CASE WHEN score < 0.75 THEN 'Inaceptable' WHEN score < 0.95 THEN 'Aceptable' ELSE 'Excelente' END AS estado FROM s
+"""
+ORACLE["violations"] = f"WITH {RAW}\n" + "\nUNION ALL ".join(
+    f"SELECT '{name}' AS regla, '{field}' AS campo, id_venta, {field} AS valor, '{issue}' AS tipo FROM raw WHERE {bad}"
+    for name, field, bad, issue in _PROFILE_CHECKS + _ALERT_CHECKS)
+ORACLE["key_violations"] = f"""
+WITH {RAW_WITH}
+SELECT id_venta, count(*) AS copias, 'DUPLICADO_ID_VENTA' AS tipo FROM raw WHERE archivo_origen = 'ventas_nuevas.csv'
+GROUP BY id_venta HAVING count(*) > 1
+UNION ALL SELECT CAST(i AS VARCHAR), 1, 'DUPLICADO_ENTRE_ARCHIVOS'
+FROM (SELECT DISTINCT {_int('id_venta')} AS i FROM raw WHERE archivo_origen = 'ventas_nuevas.csv') WHERE i IN (SELECT id_venta FROM loaded)
+"""
+
+_BUSINESS = _REQUIRED[:8] + ("vendedor",) + _REQUIRED[8:]
+ORACLE["table_stats"] = f"""
+WITH {RAW}
+SELECT (SELECT count(*) FROM raw) AS total_registros, 11 AS total_columnas,
+       (SELECT CAST(sum(c - 1) AS BIGINT) FROM (SELECT count(*) AS c FROM raw GROUP BY id_venta)) AS duplicados_id_venta,
+       (SELECT CAST(sum(c - 1) AS BIGINT) FROM (SELECT count(*) AS c FROM raw GROUP BY {', '.join(_BUSINESS)})) AS filas_completamente_duplicadas
+"""
+_CELLS = "cells AS (" + "\nUNION ALL ".join(f"SELECT '{c}' AS columna, {c} AS valor FROM raw" for c in _BUSINESS) + ")"
+ORACLE["column_profile"] = f"""
+WITH {RAW}, {_CELLS}, c AS (SELECT columna, valor, count(*) AS n FROM cells GROUP BY 1, 2),
+best AS (SELECT columna, valor FROM (SELECT *, row_number() OVER (PARTITION BY columna ORDER BY n DESC, valor) AS rn FROM c WHERE valor IS NOT NULL) WHERE rn = 1)
+SELECT c.columna, CAST(coalesce(sum(n) FILTER (c.valor IS NULL OR c.valor = ''), 0) AS BIGINT) AS nulos,
+       round(CAST(coalesce(sum(n) FILTER (c.valor IS NULL OR c.valor = ''), 0) AS DOUBLE) * 100.0 / CAST(sum(n) AS DOUBLE), 2) AS pct_nulos,
+       count(c.valor) AS distintos, min(best.valor) AS valor_mas_comun
+FROM c JOIN best ON c.columna = best.columna GROUP BY c.columna
+"""
+_NUMBERS = "nums AS (" + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS columna, id_venta, TRY_CAST(trim({c}) AS DECIMAL(18,2)) AS v FROM raw" for c in _MIN) + ")"
+ORACLE["numeric_profile"] = f"""
+WITH {RAW}, {_NUMBERS}
+SELECT columna, CAST(min(v) AS DOUBLE) AS min, CAST(max(v) AS DOUBLE) AS max,
+       round(CAST(sum(v) AS DOUBLE) / count(v), 2) AS media, quantile_cont(CAST(v AS DOUBLE), 0.5) AS mediana
+FROM nums WHERE v IS NOT NULL GROUP BY columna
+"""
+ORACLE["iqr_outliers"] = f"""
+WITH {RAW}, {_NUMBERS}, q AS (
+  SELECT columna, quantile_cont(CAST(v AS DOUBLE), 0.25) AS q1, quantile_cont(CAST(v AS DOUBLE), 0.75) AS q3
+  FROM nums WHERE v IS NOT NULL AND columna IN ('cantidad', 'precio_unitario') GROUP BY 1)
+SELECT n.id_venta, n.columna, CAST(n.v AS DOUBLE) AS valor, 'OUTLIER_DETECTADO' AS tipo
+FROM nums n JOIN q ON n.columna = q.columna
+WHERE CAST(v AS DOUBLE) < q1 - (q3 - q1) * 1.5 OR CAST(v AS DOUBLE) > q3 + (q3 - q1) * 1.5
+"""
+ORACLE["value_frequencies"] = f"""
+WITH {RAW}, {_CELLS}
+SELECT columna, valor, count(*) AS frecuencia FROM cells WHERE columna IN ('canal', 'ciudad', 'vendedor') GROUP BY 1, 2
+"""
+_CLEAN_OUT = """id_venta, CAST(fecha AS VARCHAR) AS fecha, id_cliente, id_producto, cantidad,
+  CAST(precio_unitario AS DOUBLE) AS precio_unitario, canal, ciudad, vendedor, email_cliente, telefono_cliente,
+  CAST(monto_total AS DOUBLE) AS monto_total"""
+ORACLE["clean_rows"] = f"WITH {RAW_WITH} SELECT {_CLEAN_OUT}, id_batch FROM good"
+_SECOND = """second AS (
+  SELECT *, row_number() OVER (PARTITION BY id_venta ORDER BY fecha_carga, row_seq) AS rn
+  FROM judged WHERE motivo IS NULL AND archivo_origen = 'ventas_nuevas.csv')"""
+ORACLE["rejected_rows"] = f"""
+WITH {RAW_WITH}, {_SECOND}
+SELECT raw_id AS id_venta, motivo, id_batch FROM judged WHERE motivo IS NOT NULL AND archivo_origen = 'ventas_nuevas.csv'
+UNION ALL SELECT raw_id, 'DUPLICADO_EN_DWH', id_batch FROM second WHERE rn = 1 AND id_venta IN (SELECT id_venta FROM loaded)
+"""
+ORACLE["exclude_loaded"] = f"""
+WITH {RAW_WITH}, {_SECOND}
+SELECT id_venta, CAST(fecha AS VARCHAR) AS fecha, CAST(monto_total AS DOUBLE) AS monto_total
+FROM second WHERE rn = 1 AND id_venta NOT IN (SELECT id_venta FROM loaded)
+"""
+ORACLE["clean_rows_strict"] = f"""
+WITH {RAW_WITH}, s AS (
+  SELECT *, CASE WHEN motivo = 'FECHA_INVALIDA' THEN motivo
+                 WHEN fecha NOT BETWEEN DATE '2020-01-01' AND DATE '2030-12-31' THEN 'FECHA_FUERA_RANGO'
+                 WHEN canal IS NULL OR canal NOT IN ('Online', 'Tienda', 'Marketplace') THEN 'CANAL_INVALIDO'
+                 WHEN ciudad = '' THEN 'CIUDAD_VACIA' ELSE motivo END AS m FROM judged)
+SELECT coalesce(m, 'LIMPIA') AS motivo, CASE WHEN m IS NULL THEN count(DISTINCT id_venta) ELSE count(*) END AS filas
+FROM s GROUP BY m
+"""
+ORACLE["profile_clean_rows"] = f"""
+WITH {RAW_WITH}, s AS (
+  SELECT *, CASE WHEN fecha IS NULL THEN 'FECHA_INVALIDA' WHEN precio_unitario IS NULL THEN 'PRECIO_NULO'
+                 WHEN cantidad <= 0 THEN 'CANTIDAD_INVALIDA'
+                 WHEN id_venta IS NULL OR id_cliente IS NULL OR id_producto IS NULL OR cantidad IS NULL THEN 'ID_INVALIDO' END AS m FROM typed)
+SELECT coalesce(m, 'LIMPIA') AS motivo, CASE WHEN m IS NULL THEN count(DISTINCT id_venta) ELSE count(*) END AS filas
+FROM s GROUP BY m
+"""
+ORACLE["dedupe_first"] = f"""
+WITH {RAW}
+SELECT id_venta, strftime(fecha_carga, '%Y-%m-%d %H:%M:%S') AS fecha_carga, row_seq, cantidad
+FROM (SELECT *, row_number() OVER (PARTITION BY id_venta ORDER BY fecha_carga, row_seq) AS rn FROM raw) WHERE rn = 1
+"""

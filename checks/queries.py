@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from salesmart.functions import dates, normalize as N
+from salesmart.operators import cleaning, profiling, quality
 from salesmart.plans import analytics
 from salesmart.session import configure
+from salesmart.sources.raw_sample import raw_sales
 from salesmart.sources.star import order_star
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +57,159 @@ for _plan in (analytics.top_customers, analytics.monthly_trend, analytics.city_a
 @register
 def top_customers_all_versions(spark, sf_dir):
     return analytics.top_customers(order_star(spark, sf_dir), by_id=True)
+
+
+# ---- raw rows: parsing, quality, profiles, cleaning -------------------------
+
+def _raw(spark, sf_dir):
+    return raw_sales(spark, sf_dir)
+
+
+def _first_load(raw):
+    """Raw rows of the first file."""
+    return raw.where(F.col("archivo_origen") == "ventas_raw.csv")
+
+
+def _second_load(raw):
+    return raw.where(F.col("archivo_origen") == "ventas_nuevas.csv")
+
+
+def _loaded_ids(raw):
+    return (_first_load(raw).select(N.to_integer(F.col("id_venta")).alias("id_venta"))
+            .where("id_venta is not null").distinct())
+
+
+@register
+def normalized_dates(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    return (raw.groupBy(F.col("fecha").alias("texto")).agg(F.count(F.lit(1)).alias("filas"))
+            .withColumn("fecha", N.normalize_date(F.col("texto")))
+            .select("texto", "filas", "fecha", dates.date_key(F.col("fecha")).alias("fecha_key"),
+                    dates.iso_weekday(F.col("fecha")).alias("dia_semana"),
+                    dates.next_monday(F.col("fecha")).alias("lunes"),
+                    dates.month_name(F.month("fecha")).alias("nombre_mes")))
+
+
+@register
+def normalized_channel(spark, sf_dir):
+    canal = F.col("texto")
+    return (_raw(spark, sf_dir).groupBy(F.col("canal").alias("texto"))
+            .agg(F.count(F.lit(1)).alias("filas"))
+            .select("texto", "filas", N.normalize_channel(canal).alias("canal"),
+                    N.is_known_channel(canal).alias("conocido"),
+                    N.is_miscased_channel(canal).alias("mal_escrito"),
+                    N.channel_kind(N.normalize_channel(canal)).alias("tipo_canal")))
+
+
+@register
+def typed_numbers(spark, sf_dir):
+    rows = cleaning.typed(_raw(spark, sf_dir))
+    return rows.select(F.col("_raw_id").alias("texto_id"), "id_venta", "id_cliente", "id_producto",
+                       "cantidad", "precio_unitario", "monto_total", "vendedor",
+                       N.product_label(F.col("id_producto")).alias("nombre_producto"))
+
+
+@register
+def email_phone_checks(spark, sf_dir):
+    e, p = F.col("email_cliente"), F.col("telefono_cliente")
+    return (_raw(spark, sf_dir).groupBy(e, p).agg(F.count(F.lit(1)).alias("filas"))
+            .select("email_cliente", "telefono_cliente", "filas",
+                    N.is_valid_email(e).alias("email_ok"), N.is_valid_phone(p).alias("telefono_ok")))
+
+
+@register
+def quality_log(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    good, _ = cleaning.clean(raw)
+    return quality.quality_log(raw, _loaded_ids(raw), good)
+
+
+@register
+def profile_quality_log(spark, sf_dir):
+    return quality.profile_log(_raw(spark, sf_dir))
+
+
+@register
+def quality_scores(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    log = quality.quality_log(raw)
+    a = quality.score_mean_of_rules(log).select(F.lit("A").alias("formula"), "score")
+    b = quality.score_pooled(quality.profile_log(raw)).select(F.lit("B").alias("formula"), "score")
+    c = quality.score_dimensions(log).select(F.lit("C").alias("formula"),
+                                             (F.col("score") / 100).alias("score"))
+    return (a.unionByName(b).unionByName(c)
+            .withColumn("estado", quality.gate_level(F.col("score")))
+            .withColumn("score", F.round("score", 4)))
+
+
+@register
+def violations(spark, sf_dir):
+    return quality.violations(_raw(spark, sf_dir))
+
+
+@register
+def key_violations(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    return quality.key_violations(_second_load(raw), _loaded_ids(raw))
+
+
+@register
+def table_stats(spark, sf_dir):
+    return profiling.table_stats(_raw(spark, sf_dir))
+
+
+@register
+def column_profile(spark, sf_dir):
+    return profiling.column_profile(_raw(spark, sf_dir))
+
+
+@register
+def numeric_profile(spark, sf_dir):
+    return profiling.numeric_profile(_raw(spark, sf_dir))
+
+
+@register
+def iqr_outliers(spark, sf_dir):
+    return profiling.iqr_outliers(_raw(spark, sf_dir))
+
+
+@register
+def value_frequencies(spark, sf_dir):
+    return profiling.value_frequencies(_raw(spark, sf_dir))
+
+
+@register
+def clean_rows(spark, sf_dir):
+    return cleaning.clean(_raw(spark, sf_dir))[0]
+
+
+@register
+def rejected_rows(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    return cleaning.clean(_second_load(raw), _loaded_ids(raw))[1]
+
+
+@register
+def clean_rows_strict(spark, sf_dir):
+    good, bad = cleaning.clean(_raw(spark, sf_dir), strict=True)
+    return (good.groupBy(F.lit("LIMPIA").alias("motivo")).agg(F.count(F.lit(1)).alias("filas"))
+            .unionByName(bad.groupBy("motivo").agg(F.count(F.lit(1)).alias("filas"))))
+
+
+@register
+def profile_clean_rows(spark, sf_dir):
+    good, bad = cleaning.profile_clean(_raw(spark, sf_dir))
+    return (good.groupBy(F.lit("LIMPIA").alias("motivo")).agg(F.count(F.lit(1)).alias("filas"))
+            .unionByName(bad.groupBy("motivo").agg(F.count(F.lit(1)).alias("filas"))))
+
+
+@register
+def dedupe_first(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    return cleaning.dedupe_first(raw).select("id_venta", "fecha_carga", "row_seq", "cantidad")
+
+
+@register
+def exclude_loaded(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    return cleaning.clean(_second_load(raw), _loaded_ids(raw))[0].select("id_venta", "fecha", "monto_total")

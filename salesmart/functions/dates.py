@@ -11,7 +11,9 @@ DAY_NAMES = ("Lunes", "Martes", "Miércoles", "Jueves", "Viernes", "Sábado", "D
 
 
 def _pick(names: tuple[str, ...], position: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in names]), position.cast("int"))
+    # a null position must be guarded: element_at of literals claims to be never null
+    names = F.array(*[F.lit(n) for n in names])
+    return F.when(position.isNotNull(), F.element_at(names, position.cast("int")))
 
 
 def date_key(col: Column) -> Column:

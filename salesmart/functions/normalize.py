@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Accepted date layouts, in the order they are tried.
-DATE_FORMATS = ("yyyy-M-d", "yyyy/M/d", "d-M-yyyy", "d/M/yyyy")
+# Accepted date layouts, year first or year last, one separator.
+YEAR_LAST = r"^(\d{1,2})([-/])(\d{1,2})\2(\d{4})$"
+YEAR_FIRST_SLASH = r"^(\d{4})/(\d{1,2})/(\d{1,2})$"
+YEAR_FIRST = r"^\d{4}-\d{1,2}-\d{1,2}$"
+WHOLE_NUMBER = r"^(-?\d+)(\.0+|E-10)?$"
 
 # The sales channels by lower-case spelling.
 CHANNELS = {"online": "Online", "tienda": "Tienda", "marketplace": "Marketplace"}
@@ -35,21 +38,29 @@ def clean_text(col: Column) -> Column:
 
 
 def blank_to_null(col: Column) -> Column:
-    return F.when(~is_blank(col), F.trim(col))
+    return F.nullif(F.trim(col), F.lit(""))
 
 
+# The expressions below mention their input once, as a chain. An input that
+# is itself an expression is then evaluated once however deep the plan is.
+
 def normalize_date(col: Column) -> Column:
-    text = F.trim(col)
-    return F.coalesce(*[F.try_to_date(text, fmt) for fmt in DATE_FORMATS])
+    """Date of a text in one of the layouts, null for anything else.
+
+    The text is put in ISO order and cast; that is far cheaper than trying
+    one parser after the other, each of which fails with an exception.
+    """
+    iso = F.regexp_replace(F.trim(col), YEAR_LAST, "$4-$3-$1")
+    iso = F.regexp_replace(iso, YEAR_FIRST_SLASH, "$1-$2-$3")
+    return F.regexp_extract(iso, YEAR_FIRST, 0).try_cast("date")
 
 
 def normalize_channel(col: Column) -> Column:
     """Known spellings become canonical, unknown ones pass trimmed, blank is null."""
-    text = blank_to_null(col)
-    out = text
+    text = F.trim(col)
     for spelling, name in CHANNELS.items():
-        out = F.when(F.lower(text) == spelling, F.lit(name)).otherwise(out)
-    return out
+        text = F.regexp_replace(text, f"(?i)^{spelling}$", name)
+    return F.nullif(text, F.lit(""))
 
 
 def is_known_channel(col: Column) -> Column:
@@ -71,8 +82,7 @@ def to_number(col: Column) -> Column:
 
 def to_integer(col: Column, dtype: str = "bigint") -> Column:
     """Whole numbers only: ``2`` and ``2.0`` pass, ``1.5`` and text are null."""
-    number = to_number(col)
-    return F.when(number == F.floor(number), number).try_cast(dtype)
+    return F.regexp_extract(to_number(col).cast("string"), WHOLE_NUMBER, 1).try_cast(dtype)
 
 
 def seller_or_default(col: Column) -> Column:
