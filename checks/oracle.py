@@ -228,7 +228,7 @@ judged AS (
             END AS motivo FROM typed),
 loaded AS (SELECT DISTINCT {_int('id_venta')} AS id_venta FROM raw WHERE archivo_origen = 'ventas_raw.csv' AND {_int('id_venta')} IS NOT NULL),
 good AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id_venta ORDER BY fecha_carga, row_seq) AS rn
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id_venta ORDER BY fecha_carga, archivo_origen, row_seq) AS rn
                  FROM judged WHERE motivo IS NULL) WHERE rn = 1)
 """
 RAW_WITH = f"{RAW},\n{TYPED}"
@@ -384,7 +384,7 @@ _CLEAN_OUT = """id_venta, CAST(fecha AS VARCHAR) AS fecha, id_cliente, id_produc
   CAST(monto_total AS DOUBLE) AS monto_total"""
 ORACLE["clean_rows"] = f"WITH {RAW_WITH} SELECT {_CLEAN_OUT}, id_batch FROM good"
 _SECOND = """second AS (
-  SELECT *, row_number() OVER (PARTITION BY id_venta ORDER BY fecha_carga, row_seq) AS rn
+  SELECT *, row_number() OVER (PARTITION BY id_venta ORDER BY fecha_carga, archivo_origen, row_seq) AS rn
   FROM judged WHERE motivo IS NULL AND archivo_origen = 'ventas_nuevas.csv')"""
 ORACLE["rejected_rows"] = f"""
 WITH {RAW_WITH}, {_SECOND}
@@ -416,5 +416,379 @@ FROM s GROUP BY m
 ORACLE["dedupe_first"] = f"""
 WITH {RAW}
 SELECT id_venta, strftime(fecha_carga, '%Y-%m-%d %H:%M:%S') AS fecha_carga, row_seq, cantidad
-FROM (SELECT *, row_number() OVER (PARTITION BY id_venta ORDER BY fecha_carga, row_seq) AS rn FROM raw) WHERE rn = 1
+FROM (SELECT *, row_number() OVER (PARTITION BY id_venta ORDER BY fecha_carga, archivo_origen, row_seq) AS rn FROM raw) WHERE rn = 1
+"""
+
+# ---- dimensions, history, facts -------------------------------------------------
+
+ORACLE["calendar_dim"] = f"""
+WITH o AS (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n FROM orders GROUP BY 1),
+days AS (
+  SELECT CAST(unnest(generate_series(CAST(make_date(min(year(d)), 1, 1) AS TIMESTAMP), CAST(make_date(max(year(d)), 12, 31) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d
+  FROM o),
+h AS (SELECT d, {HOLIDAY} AS hol FROM days)
+SELECT CAST(strftime(h.d, '%Y%m%d') AS BIGINT) AS fecha_key, CAST(h.d AS VARCHAR) AS fecha, year(h.d) AS anio, month(h.d) AS mes,
+       day(h.d) AS dia, {MONTHS}[month(h.d)] AS nombre_mes, quarter(h.d) AS trimestre, weekofyear(h.d) AS semana_anio,
+       isodow(h.d) AS dia_semana, ['Lunes','Martes','Miércoles','Jueves','Viernes','Sábado','Domingo'][isodow(h.d)] AS nombre_dia_semana,
+       CAST(isodow(h.d) >= 6 AS BIGINT) AS es_fin_semana, CAST(hol IS NOT NULL AS BIGINT) AS es_festivo, hol AS nombre_festivo,
+       strftime(h.d, '%Y-%m') AS anio_mes, coalesce(o.n, 0) AS pedidos
+FROM h LEFT JOIN o ON o.d = h.d
+"""
+ORACLE["holidays"] = f"""
+WITH {STAR}, h AS (SELECT d, {HOLIDAY} AS hol FROM (SELECT DISTINCT fecha AS d FROM fact))
+SELECT CAST(d AS VARCHAR) AS fecha, hol AS nombre_festivo, isodow(d) AS dia_semana, count(*) AS ventas, CAST(sum(monto_total) AS DOUBLE) AS monto_total
+FROM h JOIN fact ON fecha = d WHERE hol IS NOT NULL GROUP BY d, hol
+"""
+ORACLE["assigned_keys"] = """
+SELECT c_name, c_custkey, (SELECT max(s_suppkey) FROM supplier) + row_number() OVER (ORDER BY c_name) AS cliente_key FROM customer
+"""
+ORACLE["global_ranks"] = f"""
+WITH {STAR}, s AS (SELECT producto_key, sum(monto_total) AS m, sum(cantidad) AS u FROM fact GROUP BY 1)
+SELECT producto_key, CAST(m AS DOUBLE) AS monto_total, CAST(u AS BIGINT) AS unidades, rank() OVER (ORDER BY m DESC) AS rango,
+       dense_rank() OVER (ORDER BY u DESC) AS rango_denso, row_number() OVER (ORDER BY u DESC, producto_key) AS posicion,
+       ntile(7) OVER (ORDER BY u DESC, producto_key) AS tramo
+FROM s
+"""
+_FIRST_GOOD = """
+g1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id_venta ORDER BY fecha_carga, archivo_origen, row_seq) AS rn
+                      FROM judged WHERE motivo IS NULL AND archivo_origen = 'ventas_raw.csv') WHERE rn = 1),
+g2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id_venta ORDER BY fecha_carga, archivo_origen, row_seq) AS rn
+                      FROM judged WHERE motivo IS NULL AND archivo_origen = 'ventas_nuevas.csv') WHERE rn = 1)
+"""
+ORACLE["new_dim_members"] = f"WITH {RAW_WITH}, {_FIRST_GOOD}\n" + "\nUNION ALL ".join(
+    f"SELECT '{kind}' AS dimension, (SELECT count(DISTINCT {c}) FROM g1) + row_number() OVER (ORDER BY {c}) AS clave, CAST({c} AS VARCHAR) AS miembro "
+    f"FROM (SELECT DISTINCT {c} FROM g2 WHERE {c} NOT IN (SELECT {c} FROM g1))"
+    for kind, c in (("canal", "canal"), ("ciudad", "ciudad"), ("vendedor", "vendedor"), ("producto", "id_producto")))
+ORACLE["scd1_overwrite"] = """
+SELECT CASE WHEN p_size <= 25 THEN p_partkey * 2 + 1
+            ELSE (SELECT max(p_partkey) * 2 + 1 FROM part WHERE p_size <= 25)
+                 + row_number() OVER (PARTITION BY p_size <= 25 ORDER BY p_partkey) END AS producto_key,
+       p_partkey AS id_producto, p_name AS nombre_producto,
+       CASE WHEN p_size < 10 THEN p_retailprice WHEN p_size % 2 = 0 THEN CAST(CAST(p_retailprice AS DECIMAL(12,2)) + 1 AS DOUBLE)
+            WHEN p_size <= 25 THEN p_retailprice END AS precio_referencia
+FROM part
+"""
+HISTORY = """
+cust AS (SELECT c_custkey, c_acctbal, c_mktsegment, n_name, 'c' || CAST(c_custkey AS VARCHAR) || '@mail.com' AS email,
+                lpad(CAST(c_custkey AS VARCHAR), 10, '3') AS phone
+         FROM customer JOIN nation ON c_nationkey = n_nationkey),
+known AS (SELECT * FROM cust WHERE c_mktsegment <> 'MACHINERY'),
+stored AS (
+  SELECT c_custkey * 2 AS cliente_key, c_custkey AS id_cliente, email AS email_cliente, phone AS telefono_cliente, 'Origen' AS ciudad,
+         DATE '1995-06-01' AS desde, DATE '1997-12-31' AS hasta, false AS actual, 'b0' AS opened, 'b1' AS closed
+  FROM known WHERE c_acctbal > 5000
+  UNION ALL
+  SELECT c_custkey * 2 + 1, c_custkey, email, phone, n_name,
+         CASE WHEN c_mktsegment = 'BUILDING' THEN DATE '2002-01-01' WHEN c_acctbal > 5000 THEN DATE '1998-01-01' ELSE DATE '1995-06-01' END,
+         NULL, true, CASE WHEN c_acctbal > 5000 THEN 'b1' ELSE 'b0' END, NULL
+  FROM known),
+incoming AS (
+  SELECT c_custkey AS id_cliente, email, CASE WHEN c_acctbal > 9500 THEN NULL ELSE phone END AS phone,
+         CASE WHEN c_acctbal < 0 THEN 'Nueva ' || n_name ELSE n_name END AS ciudad, c_mktsegment FROM cust),
+moved AS (
+  SELECT i.*, s.cliente_key AS old_key, s.desde = DATE '2002-01-01' AS same_day,
+         s.cliente_key IS NOT NULL AND (s.email_cliente IS DISTINCT FROM i.email OR s.telefono_cliente IS DISTINCT FROM i.phone OR s.ciudad IS DISTINCT FROM i.ciudad) AS changed
+  FROM incoming i LEFT JOIN stored s ON s.id_cliente = i.id_cliente AND s.actual),
+merged AS (
+  SELECT s.cliente_key, s.id_cliente,
+         CASE WHEN m.changed AND m.same_day AND s.actual THEN m.email ELSE s.email_cliente END AS email_cliente,
+         CASE WHEN m.changed AND m.same_day AND s.actual THEN m.phone ELSE s.telefono_cliente END AS telefono_cliente,
+         CASE WHEN m.changed AND m.same_day AND s.actual THEN m.ciudad ELSE s.ciudad END AS ciudad,
+         s.desde, CASE WHEN s.actual AND m.changed AND NOT m.same_day THEN DATE '2001-12-31' ELSE s.hasta END AS hasta,
+         s.actual AND NOT (m.changed AND NOT m.same_day) AS actual,
+         '1995-01-01 00:00:00' AS creada, CASE WHEN s.actual AND m.changed THEN '2002-01-01 00:00:00' END AS tocada,
+         s.opened, CASE WHEN s.actual AND m.changed AND NOT m.same_day THEN 'b2' ELSE s.closed END AS closed
+  FROM stored s JOIN moved m ON m.id_cliente = s.id_cliente
+  UNION ALL
+  SELECT (SELECT max(cliente_key) FROM stored) + row_number() OVER (ORDER BY id_cliente), id_cliente, email, phone, ciudad,
+         DATE '2002-01-01', NULL, true, '2002-01-01 00:00:00', NULL, 'b2', NULL
+  FROM moved WHERE old_key IS NULL OR (changed AND NOT same_day))
+"""
+ORACLE["scd2_history"] = f"""
+WITH {HISTORY}
+SELECT cliente_key, id_cliente, email_cliente, telefono_cliente, ciudad, CAST(desde AS VARCHAR) AS fecha_vigencia_desde,
+       CAST(hasta AS VARCHAR) AS fecha_vigencia_hasta, CAST(actual AS BIGINT) AS es_registro_actual, creada AS fecha_creacion,
+       tocada AS fecha_actualizacion, opened AS id_batch_open, closed AS id_batch_close
+FROM merged
+"""
+ORACLE["scd2_undo"] = f"""
+WITH {HISTORY}
+SELECT cliente_key, id_cliente, CAST(desde AS VARCHAR) AS fecha_vigencia_desde, CAST(hasta AS VARCHAR) AS fecha_vigencia_hasta,
+       CAST(actual AS BIGINT) AS es_registro_actual, opened AS id_batch_open, closed AS id_batch_close FROM stored
+"""
+_BROKEN = """
+SELECT id_cliente, count(*) AS total_versiones, count(*) FILTER ({flag}) AS versiones_activas, count(*) FILTER (gap) AS cortes, '{case}' AS caso
+FROM (SELECT *, coalesce(lead(desde) OVER w <> hasta + 1, false) OR (lead(desde) OVER w IS NOT NULL AND hasta IS NULL) AS gap
+      FROM merged WINDOW w AS (PARTITION BY id_cliente ORDER BY desde))
+GROUP BY id_cliente HAVING count(*) FILTER ({flag}) <> 1 OR count(*) FILTER (gap) > 0
+"""
+ORACLE["scd2_invariant"] = (f"WITH {HISTORY}" + _BROKEN.format(flag="actual", case="merge")
+                            + " UNION ALL " + _BROKEN.format(flag="true", case="roto"))
+ORACLE["asof_customer"] = f"""
+WITH {HISTORY}, spans AS (
+  SELECT cliente_key, id_cliente, hasta,
+         CASE WHEN row_number() OVER (PARTITION BY id_cliente ORDER BY desde) = 1 THEN DATE '0001-01-01' ELSE desde END AS desde FROM merged)
+SELECT o_orderkey, o_custkey AS id_cliente, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS fecha, s.cliente_key
+FROM orders LEFT JOIN spans s ON s.id_cliente = o_custkey AND CAST(o_orderdate AS DATE) >= s.desde
+     AND (s.hasta IS NULL OR CAST(o_orderdate AS DATE) <= s.hasta)
+"""
+ORACLE["latest_customer_attributes"] = f"""
+WITH {RAW_WITH}
+SELECT id_cliente, email_cliente, telefono_cliente, ciudad
+FROM (SELECT *, row_number() OVER (PARTITION BY id_cliente ORDER BY fecha DESC, id_venta DESC) AS k FROM good) WHERE k = 1
+"""
+KEYED = f"""
+seller AS (SELECT DISTINCT 'Vendedor ' || CAST(s_suppkey % 50 AS VARCHAR) AS nombre, s_suppkey % 50 AS vendedor_key FROM supplier WHERE s_nationkey < 20),
+keyed AS (
+  SELECT g.*, CASE WHEN g.fecha BETWEEN DATE '2020-01-01' AND DATE '2030-12-31' THEN CAST(strftime(g.fecha, '%Y%m%d') AS BIGINT) END AS fecha_key,
+         s_suppkey AS cliente_key, p_partkey AS producto_key, seller.vendedor_key,
+         CASE g.canal WHEN 'Online' THEN 1 WHEN 'Tienda' THEN 2 WHEN 'Marketplace' THEN 3 END AS canal_key,
+         CASE g.ciudad WHEN 'Bogotá' THEN 1 WHEN 'Medellín' THEN 2 WHEN 'Cali' THEN 3 END AS ciudad_key
+  FROM good g LEFT JOIN supplier ON s_suppkey + 1 = g.id_cliente AND s_acctbal > 0
+  LEFT JOIN part ON p_partkey + 1 = g.id_producto AND p_type <> 'PROMO'
+  LEFT JOIN seller ON seller.nombre = g.vendedor),
+lookup AS (
+  SELECT *, CASE WHEN fecha_key IS NULL THEN 'fecha_key no encontrado para ' || CAST(fecha AS VARCHAR)
+                 WHEN cliente_key IS NULL THEN 'cliente_key no encontrado para ' || CAST(id_cliente AS VARCHAR)
+                 WHEN producto_key IS NULL THEN 'producto_key no encontrado para ' || CAST(id_producto AS VARCHAR)
+                 WHEN vendedor_key IS NULL THEN 'vendedor_key no encontrado para ' || vendedor
+                 WHEN canal_key IS NULL THEN 'canal_key no encontrado para ' || canal
+                 WHEN ciudad_key IS NULL THEN 'ciudad_key no encontrado para ' || ciudad END AS falta FROM keyed)
+"""
+_SIX = "fecha_key, cliente_key, producto_key, vendedor_key, canal_key, ciudad_key"
+ORACLE["fact_resolved"] = f"""
+WITH {RAW_WITH}, {KEYED}
+SELECT id_venta, {_SIX}, cantidad, CAST(precio_unitario AS DOUBLE) AS precio_unitario, CAST(monto_total AS DOUBLE) AS monto_total
+FROM lookup WHERE falta IS NULL
+"""
+ORACLE["fact_star_join"] = f"WITH {RAW_WITH}, {KEYED} SELECT id_venta, {_SIX}, CAST(monto_total AS DOUBLE) AS monto_total FROM lookup WHERE falta IS NULL"
+ORACLE["fact_unresolved"] = f"WITH {RAW_WITH}, {KEYED} SELECT id_venta, falta AS motivo FROM lookup WHERE falta IS NOT NULL"
+ORACLE["fact_insert_new"] = f"""
+WITH {RAW_WITH}, {KEYED}
+SELECT id_venta, fecha_key, CAST(monto_total AS DOUBLE) AS monto_total, 0.0 AS descuento, 0.0 AS impuestos, CAST(monto_total AS DOUBLE) AS monto_neto, 'b9' AS id_batch
+FROM lookup WHERE falta IS NULL AND id_venta NOT IN (SELECT id_venta FROM loaded)
+UNION ALL SELECT id_venta, NULL, CAST(monto_total AS DOUBLE), 0.0, 0.0, 0.0, 'omitida'
+FROM lookup WHERE falta IS NULL AND id_venta IN (SELECT id_venta FROM loaded)
+"""
+
+# ---- reconciliation ---------------------------------------------------------------
+
+ORACLE["batch_summary"] = f"""
+WITH {STAR}
+SELECT id_batch, count(*) AS total_ventas, CAST(sum(monto_total) AS DOUBLE) AS monto_total_cargado,
+       CAST(min(fecha) AS VARCHAR) AS fecha_min, CAST(max(fecha) AS VARCHAR) AS fecha_max FROM fact GROUP BY id_batch
+"""
+ORACLE["stage_vs_fact"] = f"""
+WITH {RAW_WITH}, {KEYED}
+SELECT 'staging_clean' AS origen, id_batch, count(*) AS total_registros, CAST(sum(monto_total) AS DOUBLE) AS monto_total FROM good GROUP BY id_batch
+UNION ALL SELECT 'fact_ventas', id_batch, count(*), CAST(sum(monto_total) AS DOUBLE) FROM lookup WHERE falta IS NULL GROUP BY id_batch
+"""
+ORACLE["list_batches"] = f"""
+WITH {RAW_WITH}, {KEYED}
+SELECT id_batch, strftime(min(fecha), '%Y-%m-%d %H:%M:%S') AS fecha_carga FROM lookup WHERE falta IS NULL GROUP BY id_batch
+"""
+ORACLE["orphans"] = f"""
+WITH {STAR}
+SELECT 'fact sin dim_fecha' AS problema, count(*) AS filas FROM fact WHERE fecha >= DATE '2001-01-01'
+UNION ALL SELECT 'fact sin dim_cliente', count(*) FROM fact LEFT JOIN (SELECT * FROM cliente WHERE actual) c USING (cliente_key) WHERE c.id_cliente IS NULL
+UNION ALL SELECT 'fact sin dim_producto', count(*) FROM fact LEFT JOIN (SELECT * FROM part WHERE p_type <> 'PROMO') p ON p_partkey = producto_key WHERE p_partkey IS NULL
+UNION ALL SELECT 'fact sin dim_vendedor', count(*) FROM fact LEFT JOIN (SELECT vendedor_key AS k FROM vendedor WHERE nombre_vendedor <> 'SIN_ASIGNAR') v ON k = vendedor_key WHERE k IS NULL
+UNION ALL SELECT 'fact sin dim_canal', count(*) FROM fact LEFT JOIN (SELECT canal_key AS k FROM canal) v ON k = canal_key WHERE k IS NULL
+UNION ALL SELECT 'fact sin dim_ciudad', count(*) FROM fact LEFT JOIN (SELECT n_nationkey AS k FROM places WHERE r_name <> 'ASIA') v ON k = ciudad_key WHERE k IS NULL
+"""
+ORACLE["duplicates_raw"] = f"WITH {RAW} SELECT id_venta, count(*) AS ocurrencias FROM raw GROUP BY id_venta HAVING count(*) > 1"
+ORACLE["duplicates_incremental"] = f"""
+WITH {RAW_WITH}, {_FIRST_GOOD}
+SELECT g2.id_venta, CAST(g2.fecha AS VARCHAR) AS fecha, strftime(g1.fecha, '%Y-%m-%d %H:%M:%S') AS fecha_carga_original, 'DUPLICADO_INCREMENTAL' AS tipo_problema
+FROM g2 JOIN g1 USING (id_venta)
+"""
+ORACLE["amount_mismatch"] = f"""
+WITH {STAR}
+SELECT id_venta, cantidad, CAST(precio_unitario AS DOUBLE) AS precio_unitario, CAST(monto_total AS DOUBLE) AS monto_total,
+       CAST(cantidad * precio_unitario AS DOUBLE) AS monto_calculado, CAST(abs(monto_total - cantidad * precio_unitario) AS DOUBLE) AS diferencia
+FROM fact WHERE abs(monto_total - cantidad * precio_unitario) > 0.01
+"""
+ORACLE["staging_footprint"] = f"""
+WITH {RAW_WITH}
+SELECT 'ventas_raw' AS tabla, count(*) AS registros, strftime(min(fecha_carga), '%Y-%m-%d %H:%M:%S') AS mas_antiguo, strftime(max(fecha_carga), '%Y-%m-%d %H:%M:%S') AS mas_reciente FROM raw
+UNION ALL SELECT 'ventas_clean', count(*), strftime(min(fecha), '%Y-%m-%d %H:%M:%S'), strftime(max(fecha), '%Y-%m-%d %H:%M:%S') FROM good
+"""
+ORACLE["latest_quality"] = f"""
+WITH {RAW}, la AS (
+{_LOAD_LOG}
+UNION ALL {_DUPS.format(name='UNIQUENESS:id_venta')}),
+lb AS (
+{_PROFILE_LOG}
+UNION ALL {_DUPS.format(name='DUPLICATES:id_venta')}),
+log AS (SELECT *, '2024-02-02 00:00:00' AS t FROM la UNION ALL SELECT *, '2024-02-01 00:00:00' FROM lb)
+{_LOG_SELECT.replace('FROM log', ', t AS fecha_validacion FROM log ORDER BY t DESC, r LIMIT 20')}
+"""
+ORACLE["expired_rows"] = f"""
+WITH {RAW}
+SELECT id_batch, count(*) AS vencidas, strftime(max(fecha_carga), '%Y-%m-%d %H:%M:%S') AS ultima
+FROM raw WHERE fecha_carga < TIMESTAMP '2026-06-01' - INTERVAL 365 DAY GROUP BY id_batch
+"""
+
+# ---- measures ---------------------------------------------------------------------
+
+PLACE = "sales AS (SELECT f.*, n_name AS ciudad_venta, r_name AS region_ciudad FROM fact f JOIN places ON ciudad_key = n_nationkey)"
+MONTHLY = ("months AS (SELECT ciudad_venta, CAST(date_trunc('month', fecha) AS DATE) AS mes, sum(monto_total) AS s, min(fecha) AS first_day "
+           "FROM sales GROUP BY 1, 2)")
+ORACLE["base_measures"] = f"""
+WITH {STAR}, {PLACE}
+SELECT region_ciudad, year(fecha) AS anio, CAST(sum(monto_total) AS DOUBLE) AS ventas_totales, count(*) AS total_transacciones,
+       CAST(sum(monto_total) AS DOUBLE) / count(*) AS ticket_promedio, CAST(sum(cantidad) AS BIGINT) AS total_unidades,
+       CAST(sum(monto_neto) AS DOUBLE) AS monto_neto_total, count(DISTINCT cliente_key) AS clientes_unicos,
+       count(DISTINCT fecha) AS dias_con_ventas, CAST(sum(monto_total) AS DOUBLE) / count(DISTINCT fecha) AS ventas_promedio_diario
+FROM sales GROUP BY 1, 2
+"""
+_LABEL = "strftime({0}, '%b %Y')"
+ORACLE["mom"] = f"""
+WITH {STAR}, {PLACE}, {MONTHLY}, j AS (
+  SELECT a.*, b.s AS p, coalesce(CAST(a.s - coalesce(b.s, 0) AS DOUBLE) / nullif(CAST(b.s AS DOUBLE), 0), 0.0) AS g
+  FROM months a LEFT JOIN months b ON a.ciudad_venta = b.ciudad_venta AND b.mes = a.mes - INTERVAL 1 MONTH)
+SELECT ciudad_venta, CAST(mes AS VARCHAR) AS mes, {_LABEL.format('first_day')} AS etiqueta_mes, CAST(s AS DOUBLE) AS ventas,
+       CAST(p AS DOUBLE) AS ventas_mes_anterior, CAST(s - coalesce(p, 0) AS DOUBLE) AS crecimiento_mom, g AS crecimiento_mom_pct,
+       CASE WHEN g >= 0 THEN '▲ ' ELSE '▼ ' END || printf('%.1f%%', round(abs(g) * 100, 1)) AS variacion_mom_texto
+FROM j
+"""
+ORACLE["yoy"] = f"""
+WITH {STAR}, {PLACE}, {MONTHLY}
+SELECT a.ciudad_venta, CAST(a.mes AS VARCHAR) AS mes, CAST(a.s AS DOUBLE) AS ventas, CAST(b.s AS DOUBLE) AS ventas_anio_anterior,
+       coalesce(CAST(a.s - coalesce(b.s, 0) AS DOUBLE) / nullif(CAST(b.s AS DOUBLE), 0), 0.0) AS crecimiento_yoy_pct
+FROM months a LEFT JOIN months b ON a.ciudad_venta = b.ciudad_venta AND b.mes = a.mes - INTERVAL 12 MONTH
+"""
+ORACLE["ytd"] = f"""
+WITH {STAR}, {PLACE}, {MONTHLY}
+SELECT a.ciudad_venta, CAST(a.mes AS VARCHAR) AS mes, CAST(a.s AS DOUBLE) AS ventas,
+       (SELECT CAST(sum(b.s) AS DOUBLE) FROM months b WHERE b.ciudad_venta = a.ciudad_venta AND year(b.mes) = year(a.mes) AND b.mes <= a.mes) AS ventas_ytd,
+       (SELECT CAST(sum(b.s) AS DOUBLE) FROM months b WHERE b.ciudad_venta = a.ciudad_venta AND year(b.mes) = year(a.mes) - 1 AND month(b.mes) <= month(a.mes)) AS ventas_ytd_anio_anterior
+FROM months a
+"""
+ORACLE["shares"] = f"""
+WITH {STAR}, {PLACE}, v AS (SELECT ciudad_venta, sum(monto_total) AS s FROM sales WHERE region_ciudad IN ('ASIA', 'EUROPE') GROUP BY 1)
+SELECT ciudad_venta, CAST(s AS DOUBLE) AS ventas_totales, CAST(s AS DOUBLE) / (SELECT CAST(sum(monto_total) AS DOUBLE) FROM fact) AS participacion,
+       CAST(s AS DOUBLE) / (SELECT CAST(sum(s) AS DOUBLE) FROM v) AS participacion_filtrada
+FROM v
+"""
+ORACLE["dense_ranks"] = f"""
+WITH {STAR}, r AS (
+  SELECT 'ciudad' AS medida, n_name AS miembro, sum(monto_total) AS valor FROM fact JOIN places ON ciudad_key = n_nationkey GROUP BY 2
+  UNION ALL SELECT 'vendedor', nombre_vendedor, sum(monto_total) FROM fact JOIN vendedor USING (vendedor_key) GROUP BY 2
+  UNION ALL SELECT 'producto_monto', p_name, sum(monto_total) FROM fact JOIN part ON producto_key = p_partkey GROUP BY 2
+  UNION ALL SELECT 'producto_unidades', p_name, sum(cantidad) FROM fact JOIN part ON producto_key = p_partkey GROUP BY 2)
+SELECT medida, miembro, CAST(valor AS DOUBLE) AS valor, dense_rank() OVER (PARTITION BY medida ORDER BY valor DESC) AS ranking FROM r
+"""
+ORACLE["kpi_light"] = f"""
+WITH {STAR}, m AS (SELECT CAST(date_trunc('month', fecha) AS DATE) AS mes, sum(monto_total) AS s FROM fact GROUP BY 1),
+t AS (SELECT 'calendar' AS base, CAST(sum(s) AS DOUBLE) / 84 * 1.05 AS meta FROM m
+      UNION ALL SELECT 'active', CAST(sum(s) AS DOUBLE) / count(*) * 1.05 FROM m)
+SELECT base, CAST(mes AS VARCHAR) AS mes, CAST(s AS DOUBLE) AS ventas, meta,
+       CASE WHEN CAST(s AS DOUBLE) >= meta THEN 'Verde' WHEN CAST(s AS DOUBLE) >= meta * 0.90 THEN 'Amarillo' ELSE 'Rojo' END AS color_kpi
+FROM m, t
+"""
+ORACLE["daily_average"] = f"""
+WITH {STAR}, {PLACE}
+SELECT region_ciudad, count(DISTINCT fecha) AS dias_con_ventas, CAST(sum(monto_total) AS DOUBLE) / count(DISTINCT fecha) AS ventas_por_dia
+FROM sales GROUP BY 1
+"""
+ORACLE["max_month"] = f"""
+WITH {STAR}, {PLACE}, {MONTHLY}
+SELECT ciudad_venta, CAST(max(s) AS DOUBLE) AS max_ventas_periodo, {_LABEL.format('min(first_day)')} AS etiqueta_mes FROM months GROUP BY 1
+"""
+ORACLE["seller_own_sales"] = f"""
+WITH {STAR}
+SELECT CAST(sum(monto_total) AS DOUBLE) AS mis_ventas, count(*) AS ventas FROM fact
+WHERE vendedor_key IN (SELECT vendedor_key FROM vendedor WHERE email_vendedor = 'v7@ventas.test')
+"""
+
+# ---- privacy and access -------------------------------------------------------------
+
+_PHONE = "'300' || lpad(CAST(c_custkey AS VARCHAR), 7, '0')"
+_MAIL = "'cliente' || CAST(c_custkey AS VARCHAR) || '@mail.com'"
+ORACLE["masked_customers"] = f"""
+SELECT c_custkey AS cliente_key, '***@mail.com' AS email_mask, substr(n_name, 1, 1) || '. Anónimo' AS nombre_mask,
+       'cliente_' || CAST(c_custkey AS VARCHAR) || '@anonimo.test' AS email_dev, '******' || right({_PHONE}, 4) AS telefono_dev,
+       '***@mail.com' AS email_rep, '******' || right({_PHONE}, 4) AS telefono_rep
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+"""
+ORACLE["pseudonyms"] = f"SELECT c_custkey AS id_cliente, sha256({_MAIL} || 'sal-de-prueba') AS email_cliente FROM customer"
+_STAR_PHONE = "CASE WHEN telefono_cliente IS NULL OR length(telefono_cliente) < 4 THEN '**********' ELSE repeat('*', length(telefono_cliente) - 4) || right(telefono_cliente, 4) END"
+ORACLE["anonymised_sales"] = f"""
+WITH {RAW_WITH}
+SELECT id_venta, id_cliente, vendedor, 'cliente_' || CAST(id_cliente AS VARCHAR) || '@anonimo.test' AS email_cliente,
+       {_STAR_PHONE} AS telefono_cliente, CAST(monto_total AS DOUBLE) AS monto_total FROM good
+"""
+ORACLE["anonymised_raw"] = f"""
+WITH {RAW}
+SELECT id_cliente, 'cliente_' || CAST(TRY_CAST(id_cliente AS BIGINT) AS VARCHAR) || '@anonimo.test' AS email_cliente,
+       {_STAR_PHONE} AS telefono_cliente, count(*) AS filas FROM raw GROUP BY 1, 2, 3
+"""
+ORACLE["report_sales"] = f"""
+WITH {RAW_WITH}
+SELECT regexp_replace(email_cliente, '^[^@]+', '***') AS email_cliente, concat('******', right(telefono_cliente, 4)) AS telefono_cliente,
+       count(*) AS filas, CAST(sum(monto_total) AS DOUBLE) AS monto_total
+FROM good GROUP BY 1, 2
+"""
+ORACLE["erased_customers"] = f"""
+WITH {HISTORY}, req AS (SELECT c_custkey AS k FROM customer WHERE c_acctbal < -900)
+SELECT cliente_key, id_cliente, CASE WHEN k IS NULL THEN email_cliente ELSE 'cliente_' || CAST(id_cliente AS VARCHAR) || '@anonimo.test' END AS email_cliente,
+       CASE WHEN k IS NULL THEN telefono_cliente ELSE '**********' END AS telefono_cliente, ciudad
+FROM merged LEFT JOIN req ON k = id_cliente
+"""
+ORACLE["portability_report"] = f"""
+WITH {STAR}, req AS (SELECT c.*, c_custkey AS k, {_MAIL} AS mail, {_PHONE} AS phone FROM cliente c JOIN customer ON c_custkey = id_cliente WHERE c_acctbal < -900)
+SELECT k AS id_cliente, 'id_cliente' AS campo, CAST(k AS VARCHAR) AS valor, 'dwh.dim_cliente' AS tabla_origen FROM req
+UNION ALL SELECT k, 'email_cliente', mail, 'dwh.dim_cliente' FROM req WHERE actual
+UNION ALL SELECT k, 'telefono_cliente', phone, 'dwh.dim_cliente' FROM req WHERE actual
+UNION ALL SELECT k, 'ciudad', ciudad, 'dwh.dim_cliente' FROM req WHERE actual
+UNION ALL SELECT k, 'venta_id_' || CAST(id_venta AS VARCHAR),
+  'fecha=' || CAST(fecha AS VARCHAR) || ', monto=' || CAST(monto_total AS VARCHAR) || ', canal=' || nombre_canal || ', ciudad=' || n_name, 'dwh.fact_ventas'
+FROM req JOIN fact USING (cliente_key) JOIN canal USING (canal_key) JOIN places ON ciudad_key = n_nationkey
+"""
+ORACLE["seller_rows"] = f"WITH {STAR} SELECT id_venta, vendedor_key, CAST(monto_total AS DOUBLE) AS monto_total FROM fact WHERE vendedor_key = 3"
+ORACLE["region_rows"] = f"""
+WITH {STAR}
+SELECT vendedor_key, count(*) AS ventas, CAST(sum(monto_total) AS DOUBLE) AS monto_total FROM fact
+WHERE vendedor_key IN (SELECT vendedor_key FROM vendedor WHERE region = (SELECT region FROM vendedor WHERE email_vendedor = 'v1@ventas.test'))
+GROUP BY 1
+"""
+ORACLE["role_columns"] = f"""
+SELECT c_custkey AS id_cliente, '***@mail.com' AS email_cliente, '******' || right({_PHONE}, 4) AS telefono_cliente, {_MAIL} AS email_etl FROM customer
+"""
+ORACLE["access_log"] = f"""
+WITH {HISTORY}
+SELECT 'etl' AS usuario_db, 'DERECHO_AL_OLVIDO_COMPLETADO:id_cliente=' || CAST(id_cliente AS VARCHAR) AS tabla_accedida, 'DELETE' AS operacion, count(*) AS filas_afectadas
+FROM merged WHERE id_cliente IN (SELECT c_custkey FROM customer WHERE c_acctbal < -900) GROUP BY id_cliente
+"""
+
+# ---- increments, streams, whole jobs ---------------------------------------------
+
+ORACLE["watermark_increment"] = "SELECT event_id, user_id, event_type, value FROM events WHERE ts >= TIMESTAMP '2024-01-20'"
+ORACLE["stream_ingest"] = "SELECT event_id, user_id, event_type, value FROM events"
+ORACLE["stream_daily"] = """
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS dia, event_type, count(*) AS filas, round(sum(value), 4) AS total FROM events
+WHERE CAST(ts AS DATE) + 1 <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY GROUP BY 1, 2
+"""
+_BATCHES = f"""
+seeds AS (SELECT 1),
+fresh AS (SELECT * FROM g2 WHERE id_venta NOT IN (SELECT id_venta FROM f1)),
+f1 AS (SELECT * FROM g1 WHERE fecha BETWEEN DATE '2020-01-01' AND DATE '2030-12-31'),
+f2 AS (SELECT * FROM fresh WHERE fecha BETWEEN DATE '2020-01-01' AND DATE '2030-12-31'),
+state AS (
+  SELECT 'raw' AS tabla, CASE archivo_origen WHEN 'ventas_raw.csv' THEN 'b1' ELSE 'b2' END AS id_batch, count(*) AS filas, 0.0 AS monto FROM raw GROUP BY 2
+  UNION ALL SELECT 'clean', 'b1', count(*), CAST(sum(monto_total) AS DOUBLE) FROM g1
+  UNION ALL SELECT 'clean', 'b2', count(*), CAST(sum(monto_total) AS DOUBLE) FROM fresh
+  UNION ALL SELECT 'fact', 'b1', count(*), CAST(sum(monto_total) AS DOUBLE) FROM f1
+  UNION ALL SELECT 'fact', 'b2', count(*), CAST(sum(monto_total) AS DOUBLE) FROM f2)
+"""
+ORACLE["batch_rerun"] = f"""
+WITH {RAW_WITH}, {_FIRST_GOOD}, {_BATCHES}
+SELECT *, 1 AS corrida FROM state UNION ALL SELECT *, 2 FROM state
+"""
+ORACLE["rollback_state"] = f"""
+WITH {RAW_WITH}, {_FIRST_GOOD}, {_BATCHES}
+SELECT * FROM state WHERE id_batch = 'b1'
+UNION ALL SELECT 'cliente', 'b1', count(DISTINCT id_cliente), 0.0 FROM g1
+UNION ALL SELECT 'historia_rota', 'b1', 0, 0.0
 """

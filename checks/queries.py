@@ -3,15 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from salesmart.functions import dates, normalize as N
-from salesmart.operators import cleaning, profiling, quality
-from salesmart.plans import analytics
-from salesmart.session import configure
+from salesmart.functions import dates, masking, normalize as N
+from salesmart.operators import (access, cleaning, dimensions, facts, privacy, profiling, quality,
+                                 reconcile, scd2)
+from salesmart.operators.calendar import build_calendar, calendar_of, days_between
+from salesmart.operators.ranking import assign_keys, with_ntile, with_rank, with_row_number
+from salesmart.plans import analytics, measures
+from salesmart.plans.batch_load import Warehouse
+from salesmart.schemas import BUSINESS_COLUMNS
+from salesmart.session import configure, materialise, scratch_path
+from salesmart.sources.csv_files import read_after
 from salesmart.sources.raw_sample import raw_sales
-from salesmart.sources.star import order_star
+from salesmart.sources.seeds import seed_dimensions
+from salesmart.sources.star import order_star, read
+from salesmart.sources.tables import Store
+from salesmart.streaming.ingest import (daily_totals, dedupe_late, file_stream, ingest, new_only,
+                                        write_appended)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -213,3 +224,529 @@ def dedupe_first(spark, sf_dir):
 def exclude_loaded(spark, sf_dir):
     raw = _raw(spark, sf_dir)
     return cleaning.clean(_second_load(raw), _loaded_ids(raw))[0].select("id_venta", "fecha", "monto_total")
+
+
+# ---- dimensions, history, facts ---------------------------------------------
+
+EFFECTIVE = date(2002, 1, 1)
+
+
+def _table(spark, sf_dir, name):
+    return read(spark, sf_dir, name)
+
+
+@register
+def calendar_dim(spark, sf_dir):
+    """The calendar of all years that have orders, with the orders of each day."""
+    day = F.col("o_orderdate").cast("date")
+    orders = _table(spark, sf_dir, "orders").groupBy(day.alias("fecha")).agg(F.count(F.lit(1)).alias("pedidos"))
+    years = orders.agg(F.trunc(F.min("fecha"), "year").alias("a"),
+                       F.last_day(F.add_months(F.trunc(F.max("fecha"), "year"), 11)).alias("b"))
+    return calendar_of(days_between(years, "a", "b")).join(orders, "fecha", "left").fillna({"pedidos": 0})
+
+
+@register
+def holidays(spark, sf_dir):
+    """Sales of each holiday of the years that have orders."""
+    orders = order_star(spark, sf_dir).totals().groupBy(F.col("fecha_venta").alias("fecha")).agg(
+        F.sum("n_ventas").alias("ventas"), F.sum("monto_total").alias("monto_total"))
+    return (calendar_of(orders.select("fecha")).where("es_festivo")
+            .join(orders, "fecha").select("fecha", "nombre_festivo", "dia_semana", "ventas", "monto_total"))
+
+
+@register
+def assigned_keys(spark, sf_dir):
+    customers = _table(spark, sf_dir, "customer").select("c_name", "c_custkey")
+    start = _table(spark, sf_dir, "supplier").agg(F.max("s_suppkey")).scalar()
+    return assign_keys(customers, ["c_name"], "cliente_key", start)
+
+
+@register
+def global_ranks(spark, sf_dir):
+    """Ranks, positions and tiles of all parts by sales without any one-task window."""
+    sums = order_star(spark, sf_dir).fact.groupBy("producto_key").agg(
+        F.sum("monto_total").alias("monto_total"), F.sum("cantidad").alias("unidades"))
+    ranked = with_rank(sums, "monto_total", "rango")
+    ranked = with_rank(ranked, "unidades", "rango_denso", method="dense")
+    ranked = with_row_number(ranked, "unidades", "producto_key", "posicion")
+    return with_ntile(ranked, 7, "unidades", "producto_key", "tramo")
+
+
+@register
+def new_dim_members(spark, sf_dir):
+    """Members of the second file that the first file did not bring."""
+    raw = _raw(spark, sf_dir)
+    old, new = (cleaning.clean(part(raw))[0] for part in (_first_load, _second_load))
+    out = None
+    for kind, natural, column in (("canal", "nombre_canal", "canal"), ("ciudad", "nombre_ciudad", "ciudad"),
+                                  ("vendedor", "nombre_vendedor", "vendedor"),
+                                  ("producto", "id_producto", "id_producto")):
+        stored = old.select(F.col(column).alias(natural)).distinct()
+        stored = assign_keys(stored, [natural], f"{kind}_key", bound=_table(spark, sf_dir, "part"))
+        maker = {"canal": dimensions.new_channels, "ciudad": dimensions.new_cities,
+                 "vendedor": dimensions.new_sellers, "producto": dimensions.new_products}[kind]
+        rows = maker(stored, new).select(F.lit(kind).alias("dimension"), F.col(f"{kind}_key").alias("clave"),
+                                         F.col(natural).cast("string").alias("miembro"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@register
+def scd1_overwrite(spark, sf_dir):
+    part = _table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("id_producto"), F.col("p_name").alias("nombre_producto"), "p_size",
+        F.col("p_retailprice").cast("decimal(12,2)").alias("precio_referencia"))
+    stored = part.where("p_size <= 25").select((F.col("id_producto") * 2 + 1).alias("producto_key"),
+                                               "id_producto", "nombre_producto", "precio_referencia")
+    incoming = part.where("p_size >= 10").select("id_producto", "nombre_producto", F.when(
+        F.col("p_size") % 2 == 0, F.col("precio_referencia") + 1).cast("decimal(12,2)").alias("precio_referencia"))
+    return dimensions.overwrite_changed(stored, incoming, "id_producto", "producto_key", bound=part)
+
+
+def _customer_history(spark, sf_dir):
+    """Stored versions: two for wealthy customers, none for one market segment."""
+    c = (_table(spark, sf_dir, "customer").where("c_mktsegment <> 'MACHINERY'")
+         .join(_table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")))
+    two = F.col("c_acctbal") > 5000
+    email = F.concat(F.lit("c"), "c_custkey", F.lit("@mail.com"))
+    phone = F.lpad(F.col("c_custkey").cast("string"), 10, "3")
+    def version(key, city, since, until, active, opened, closed):
+        return F.struct(
+            key.cast("bigint").alias("cliente_key"), F.col("c_custkey").alias("id_cliente"),
+            email.alias("email_cliente"), phone.alias("telefono_cliente"), city.alias("ciudad"),
+            since.cast("date").alias("fecha_vigencia_desde"), until.cast("date").alias("fecha_vigencia_hasta"),
+            active.alias("es_registro_actual"), F.lit("1995-01-01 00:00:00").cast("timestamp").alias("fecha_creacion"),
+            F.lit(None).cast("timestamp").alias("fecha_actualizacion"),
+            opened.alias("id_batch_open"), closed.cast("string").alias("id_batch_close"))
+    old = F.when(two, version(F.col("c_custkey") * 2, F.lit("Origen"), F.lit("1995-06-01"), F.lit("1997-12-31"),
+                              F.lit(False), F.lit("b0"), F.lit("b1")))
+    since = (F.when(F.col("c_mktsegment") == "BUILDING", F.lit("2002-01-01"))
+             .when(two, F.lit("1998-01-01")).otherwise(F.lit("1995-06-01")))
+    now = version(F.col("c_custkey") * 2 + 1, F.col("n_name"), since, F.lit(None), F.lit(True),
+                  F.when(two, "b1").otherwise("b0"), F.lit(None))
+    return c.select(F.explode(F.filter(F.array(old, now), lambda v: v.isNotNull())).alias("v")).select("v.*")
+
+
+def _customer_snapshot(spark, sf_dir):
+    """Incoming attributes of all customers: indebted ones moved, some lost their phone."""
+    c = _table(spark, sf_dir, "customer").join(
+        _table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return c.select(
+        F.col("c_custkey").alias("id_cliente"), F.concat(F.lit("c"), "c_custkey", F.lit("@mail.com")).alias("email_cliente"),
+        F.when(F.col("c_acctbal") > 9500, " ").otherwise(
+            F.lpad(F.col("c_custkey").cast("string"), 10, "3")).alias("telefono_cliente"),
+        F.when(F.col("c_acctbal") < 0, F.concat(F.lit("Nueva "), "n_name")).otherwise(F.col("n_name")).alias("ciudad"))
+
+
+def _merged_history(spark, sf_dir):
+    return scd2.scd2_merge(_customer_history(spark, sf_dir), _customer_snapshot(spark, sf_dir), EFFECTIVE, "b2")
+
+
+@register
+def scd2_history(spark, sf_dir):
+    return _merged_history(spark, sf_dir)
+
+
+@register
+def scd2_undo(spark, sf_dir):
+    """The merge undone: the stored history again, but for touch times and same-day edits."""
+    undone = scd2.undo_batch(_merged_history(spark, sf_dir), "b2", F.lit("2002-01-02").cast("timestamp"))
+    return undone.select("cliente_key", "id_cliente", "fecha_vigencia_desde", "fecha_vigencia_hasta",
+                         "es_registro_actual", "id_batch_open", "id_batch_close")
+
+
+@register
+def scd2_invariant(spark, sf_dir):
+    """Broken customers of the merge, and of a history whose flags were all set."""
+    merged = _merged_history(spark, sf_dir)
+    good = scd2.broken_history(merged).withColumn("caso", F.lit("merge"))
+    bad = scd2.broken_history(merged.withColumn("es_registro_actual", F.lit(True))).withColumn("caso", F.lit("roto"))
+    return good.unionByName(bad)
+
+
+@register
+def asof_customer(spark, sf_dir):
+    orders = _table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_custkey").alias("id_cliente"), F.col("o_orderdate").cast("date").alias("fecha"))
+    return scd2.as_of(orders, _merged_history(spark, sf_dir).drop("fecha_creacion"))
+
+
+@register
+def latest_customer_attributes(spark, sf_dir):
+    return scd2.latest_attributes(cleaning.clean(_raw(spark, sf_dir))[0])
+
+
+def _test_dims(spark, sf_dir):
+    """Dimensions that lack some members of the clean sales."""
+    supplier, part = _table(spark, sf_dir, "supplier"), _table(spark, sf_dir, "part")
+    seeds = seed_dimensions(spark)
+    sellers = supplier.where("s_nationkey < 20").select(
+        F.concat(F.lit("Vendedor "), (F.col("s_suppkey") % 50).cast("string")).alias("nombre_vendedor")).distinct()
+    return {
+        "dim_fecha": build_calendar(spark),
+        "dim_cliente": supplier.select((F.col("s_suppkey") + 1).alias("id_cliente"), F.col("s_suppkey").alias("cliente_key"),
+                                       (F.col("s_acctbal") > 0).alias("es_registro_actual")),
+        "dim_producto": part.where("p_type <> 'PROMO'").select(
+            (F.col("p_partkey") + 1).alias("id_producto"), F.col("p_partkey").alias("producto_key")),
+        "dim_vendedor": sellers.select("nombre_vendedor", F.split_part(
+            "nombre_vendedor", F.lit(" "), F.lit(2)).cast("bigint").alias("vendedor_key")),
+        "dim_canal": seeds["dim_canal"], "dim_ciudad": seeds["dim_ciudad"]}
+
+
+def _keyed(spark, sf_dir):
+    return facts.resolve_keys(cleaning.clean(_raw(spark, sf_dir))[0], _test_dims(spark, sf_dir))
+
+
+_KEYS = ("fecha_key", "cliente_key", "producto_key", "vendedor_key", "canal_key", "ciudad_key")
+
+
+@register
+def fact_resolved(spark, sf_dir):
+    return facts.resolved(_keyed(spark, sf_dir)).select("id_venta", *_KEYS, "cantidad", "precio_unitario", "monto_total")
+
+
+@register
+def fact_star_join(spark, sf_dir):
+    return facts.star_rows(cleaning.clean(_raw(spark, sf_dir))[0], _test_dims(spark, sf_dir)).select(
+        "id_venta", *_KEYS, "monto_total")
+
+
+@register
+def fact_unresolved(spark, sf_dir):
+    return facts.unresolved(_keyed(spark, sf_dir))
+
+
+@register
+def fact_insert_new(spark, sf_dir):
+    """Rows to add and rows skipped when the first file is already in the fact."""
+    new, known = facts.insert_new(_loaded_ids(_raw(spark, sf_dir)), facts.resolved(_keyed(spark, sf_dir)))
+    rows = facts.fact_rows(new, "b9", F.lit("2024-01-01").cast("timestamp")).select(
+        "id_venta", "fecha_key", "monto_total", "descuento", "impuestos", "monto_neto", "id_batch")
+    skipped = known.select("id_venta", F.lit(None).cast("int").alias("fecha_key"), "monto_total",
+                           F.lit(0).alias("descuento"), F.lit(0).alias("impuestos"),
+                           F.lit(0).alias("monto_neto"), F.lit("omitida").alias("id_batch"))
+    return rows.unionByName(skipped)
+
+
+# ---- reconciliation -----------------------------------------------------------
+
+@register
+def batch_summary(spark, sf_dir):
+    return reconcile.batch_summary(order_star(spark, sf_dir).totals())
+
+
+def _loaded_fact(spark, sf_dir):
+    keyed = facts.resolved(_keyed(spark, sf_dir))
+    return keyed.select("id_venta", "monto_total", F.col("fecha").alias("fecha_venta"), "id_batch",
+                        F.col("fecha").cast("timestamp").alias("fecha_carga"))
+
+
+@register
+def stage_vs_fact(spark, sf_dir):
+    return reconcile.stage_vs_fact(cleaning.clean(_raw(spark, sf_dir))[0], _loaded_fact(spark, sf_dir))
+
+
+@register
+def list_batches(spark, sf_dir):
+    return reconcile.list_batches(_loaded_fact(spark, sf_dir))
+
+
+@register
+def orphans(spark, sf_dir):
+    star = order_star(spark, sf_dir)
+    return reconcile.orphans(star.fact, {
+        "dim_fecha": star.fecha.where(F.col("fecha") < date(2001, 1, 1)),
+        "dim_cliente": star.cliente.where("es_registro_actual"),
+        "dim_producto": star.producto.where("categoria <> 'PROMO'"),
+        "dim_vendedor": star.vendedor.where("nombre_vendedor <> 'SIN_ASIGNAR'"),
+        "dim_canal": star.canal, "dim_ciudad": star.ciudad.where("region <> 'ASIA'")})
+
+
+@register
+def duplicates_raw(spark, sf_dir):
+    return reconcile.duplicates_raw(_raw(spark, sf_dir))
+
+
+@register
+def duplicates_incremental(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    first = cleaning.clean(_first_load(raw))[0].withColumn("fecha_carga", F.col("fecha").cast("timestamp"))
+    return reconcile.duplicates_incremental(cleaning.clean(_second_load(raw))[0], first)
+
+
+@register
+def amount_mismatch(spark, sf_dir):
+    return reconcile.amount_mismatch(order_star(spark, sf_dir).fact)
+
+
+@register
+def staging_footprint(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    clean = cleaning.clean(raw)[0].withColumn("fecha_procesamiento", F.col("fecha").cast("timestamp"))
+    return reconcile.staging_footprint(raw, clean)
+
+
+@register
+def latest_quality(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    stamp = lambda log, text: log.withColumn("fecha_validacion", F.lit(text).cast("timestamp"))
+    return reconcile.latest_quality(
+        stamp(quality.quality_log(raw), "2024-02-02").unionByName(stamp(quality.profile_log(raw), "2024-02-01")))
+
+
+@register
+def expired_rows(spark, sf_dir):
+    return reconcile.expired(_raw(spark, sf_dir), "fecha_carga", 365, datetime(2026, 6, 1)).groupBy("id_batch").agg(
+        F.count(F.lit(1)).alias("vencidas"), F.max("fecha_carga").alias("ultima"))
+
+
+# ---- measures --------------------------------------------------------------------
+
+def _sales_by_place(spark, sf_dir):
+    star = order_star(spark, sf_dir)
+    cities = star.lookup("ciudad").select("ciudad_key", F.col("nombre_ciudad").alias("ciudad_venta"),
+                                          F.col("region").alias("region_ciudad"))
+    return star.totals().join(cities, "ciudad_key")
+
+
+@register
+def base_measures(spark, sf_dir):
+    sales = _sales_by_place(spark, sf_dir).withColumn("anio", F.year("fecha_venta"))
+    return measures.base_measures(sales, ["region_ciudad", "anio"])
+
+
+@register
+def mom(spark, sf_dir):
+    return measures.month_over_month(_sales_by_place(spark, sf_dir), ["ciudad_venta"])
+
+
+@register
+def yoy(spark, sf_dir):
+    return measures.year_over_year(_sales_by_place(spark, sf_dir), ["ciudad_venta"])
+
+
+@register
+def ytd(spark, sf_dir):
+    return measures.year_to_date(_sales_by_place(spark, sf_dir), ["ciudad_venta"])
+
+
+@register
+def shares(spark, sf_dir):
+    sales = _sales_by_place(spark, sf_dir)
+    return measures.shares(sales, sales.where("region_ciudad in ('ASIA', 'EUROPE')"), ["ciudad_venta"])
+
+
+@register
+def dense_ranks(spark, sf_dir):
+    star = order_star(spark, sf_dir)
+    def ranked(fact, dim, name, value, label):
+        key = f"{dim}_key"
+        sums = fact.groupBy(key).agg(F.sum(value).alias("valor")).join(
+            star.lookup(dim).select(key, name), key).groupBy(name).agg(F.sum("valor").alias("valor"))
+        out = measures.dense_ranks(sums, "valor", "ranking", star.bound(dim))
+        return out.select(F.lit(label).alias("medida"), F.col(name).alias("miembro"),
+                          F.col("valor").cast("double").alias("valor"), "ranking")
+    return (ranked(star.totals(), "ciudad", "nombre_ciudad", "monto_total", "ciudad")
+            .unionByName(ranked(star.fact, "vendedor", "nombre_vendedor", "monto_total", "vendedor"))
+            .unionByName(ranked(star.fact, "producto", "nombre_producto", "monto_total", "producto_monto"))
+            .unionByName(ranked(star.fact, "producto", "nombre_producto", "cantidad", "producto_unidades")))
+
+
+@register
+def kpi_light(spark, sf_dir):
+    star = order_star(spark, sf_dir)
+    years = star.fecha.where(F.year("fecha").between(1995, 2001))
+    by_calendar = measures.kpi_light(star.totals(), years).withColumn("base", F.lit("calendar"))
+    active = measures.kpi_light(star.totals(), years, months="active").withColumn("base", F.lit("active"))
+    return by_calendar.unionByName(active)
+
+
+@register
+def daily_average(spark, sf_dir):
+    return measures.daily_average(_sales_by_place(spark, sf_dir), ["region_ciudad"])
+
+
+@register
+def max_month(spark, sf_dir):
+    return measures.max_month(_sales_by_place(spark, sf_dir), ["ciudad_venta"])
+
+
+@register
+def seller_own_sales(spark, sf_dir):
+    star = order_star(spark, sf_dir)
+    return measures.seller_sales(access.seller_rows(star.fact, star.vendedor, "v7@ventas.test", star.bound("vendedor")))
+
+
+# ---- privacy and access --------------------------------------------------------
+
+@register
+def masked_customers(spark, sf_dir):
+    c = order_star(spark, sf_dir).cliente
+    dev = privacy.customers_for_development(c).select("cliente_key", F.col("email_cliente").alias("email_dev"),
+                                                      F.col("telefono_cliente").alias("telefono_dev"))
+    rep = privacy.customers_for_reports(c).select("cliente_key", F.col("email_cliente").alias("email_rep"),
+                                                  F.col("telefono_cliente").alias("telefono_rep"))
+    names = c.select("cliente_key", masking.mask_email(F.col("email_cliente")).alias("email_mask"),
+                     masking.mask_name(F.col("ciudad")).alias("nombre_mask"))
+    return names.join(dev, "cliente_key").join(rep, "cliente_key")
+
+
+@register
+def pseudonyms(spark, sf_dir):
+    return privacy.pseudonymise(order_star(spark, sf_dir).cliente, ["email_cliente"], "sal-de-prueba").select(
+        "id_cliente", "email_cliente")
+
+
+@register
+def anonymised_sales(spark, sf_dir):
+    return privacy.anonymise_sales(cleaning.clean(_raw(spark, sf_dir))[0]).select(
+        "id_venta", "id_cliente", "vendedor", "email_cliente", "telefono_cliente", "monto_total")
+
+
+@register
+def anonymised_raw(spark, sf_dir):
+    raw = privacy.anonymise_sales(_raw(spark, sf_dir))
+    return raw.groupBy("id_cliente", "email_cliente", "telefono_cliente").agg(F.count(F.lit(1)).alias("filas"))
+
+
+@register
+def report_sales(spark, sf_dir):
+    rows = privacy.clean_for_reports(cleaning.clean(_raw(spark, sf_dir))[0])
+    return rows.groupBy("email_cliente", "telefono_cliente").agg(
+        F.count(F.lit(1)).alias("filas"), F.sum("monto_total").alias("monto_total"))
+
+
+def _requests(spark, sf_dir):
+    return _table(spark, sf_dir, "customer").where("c_acctbal < -900").select(F.col("c_custkey").alias("id_cliente"))
+
+
+@register
+def erased_customers(spark, sf_dir):
+    return privacy.erase(_merged_history(spark, sf_dir), _requests(spark, sf_dir)).select(
+        "cliente_key", "id_cliente", "email_cliente", "telefono_cliente", "ciudad")
+
+
+@register
+def portability_report(spark, sf_dir):
+    star = order_star(spark, sf_dir)
+    return privacy.portability(_requests(spark, sf_dir), star.cliente, star.fact, star.canal, star.ciudad).select(
+        "id_cliente", "campo", "valor", "tabla_origen")
+
+
+@register
+def seller_rows(spark, sf_dir):
+    star = order_star(spark, sf_dir)
+    return access.rows_for("seller", star.fact, star.vendedor, "v3@ventas.test", star.bound("vendedor")).select(
+        "id_venta", "vendedor_key", "monto_total")
+
+
+@register
+def region_rows(spark, sf_dir):
+    star = order_star(spark, sf_dir)
+    mine = access.rows_for("report", star.fact, star.vendedor, "v1@ventas.test", star.bound("vendedor"))
+    nobody = access.rows_for("report", star.fact, star.vendedor, "nadie@ventas.test", star.bound("vendedor"))
+    return mine.unionByName(nobody).groupBy("vendedor_key").agg(
+        F.count(F.lit(1)).alias("ventas"), F.sum("monto_total").alias("monto_total"))
+
+
+@register
+def role_columns(spark, sf_dir):
+    c = order_star(spark, sf_dir).cliente.select("id_cliente", "email_cliente", "telefono_cliente")
+    seller = access.columns_for("seller", c).select("id_cliente")
+    report = access.columns_for("report", c)
+    etl = access.columns_for("etl", c).select("id_cliente", F.col("email_cliente").alias("email_etl"))
+    return seller.join(report, "id_cliente").join(etl, "id_cliente")
+
+
+@register
+def access_log(spark, sf_dir):
+    """One audit row per erased customer with the versions that were changed."""
+    merged = _merged_history(spark, sf_dir)
+    hit = merged.join(_requests(spark, sf_dir), "id_cliente", "left_semi")
+    return hit.groupBy("id_cliente").agg(F.count(F.lit(1)).alias("filas_afectadas")).select(
+        F.lit("etl").alias("usuario_db"), F.concat(F.lit("DERECHO_AL_OLVIDO_COMPLETADO:id_cliente="),
+                                                   F.col("id_cliente").cast("string")).alias("tabla_accedida"),
+        F.lit("DELETE").alias("operacion"), "filas_afectadas")
+
+
+# ---- increments, streams, whole jobs ------------------------------------------
+
+@register
+def watermark_increment(spark, sf_dir):
+    events = _table(spark, sf_dir, "events")
+    loaded = events.where(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz"))
+    return read_after(events, "ts", loaded).select("event_id", "user_id", "event_type", "value")
+
+
+def _event_stream(spark, sf_dir):
+    schema = _table(spark, sf_dir, "events").schema
+    return file_stream(spark, sf_dir, schema, pattern="events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@register
+def stream_ingest(spark, sf_dir):
+    """All events through a stream into a batch table, drained twice without duplicates."""
+    root = scratch_path(spark, "stream-ingest")
+    store = Store(spark, root)
+    schema = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, id_batch string"
+    def stored():
+        return store.read("events", schema)
+    for _ in range(2):
+        stream = dedupe_late(_event_stream(spark, sf_dir), "event_id", "ts", "1 hour").select(
+            "event_id", "ts", "user_id", "event_type", "value")
+        ingest(stream, store, "events", f"{root}/checkpoint", new_only(stored, "event_id"))
+    return stored().select("event_id", "user_id", "event_type", "value")
+
+
+@register
+def stream_daily(spark, sf_dir):
+    root = scratch_path(spark, "stream-daily")
+    write_appended(daily_totals(_event_stream(spark, sf_dir), "ts", ["event_type"], "value", "1 day"),
+                   f"{root}/out", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/out").select("dia", "event_type", "filas", F.round("total", 4).alias("total"))
+
+
+def _load_twice(spark, sf_dir):
+    """Both files as batches, then the second one again."""
+    house = Warehouse(spark, scratch_path(spark, "batch"), last=date(2030, 12, 31))
+    house.seed()
+    raw = _raw(spark, sf_dir)
+    rows = lambda part: part.select(*BUSINESS_COLUMNS, "archivo_origen", "row_seq")
+    options = {"threshold": 0.5, "retention": {}}
+    house.run(rows(_first_load(raw)), "initial", "b1", datetime(2026, 3, 1), **options)
+    house.run(rows(_second_load(raw)), "incremental", "b2", datetime(2026, 3, 2), **options)
+    before = _state(house)
+    house.run(rows(_second_load(raw)), "incremental", "b2", datetime(2026, 3, 2), **options)
+    return house, before
+
+
+def _state(house):
+    """Rows and amount per table and batch, written down before the next run changes them."""
+    tables = (house.raw().select(F.lit("raw").alias("tabla"), "id_batch", F.lit(0).cast("decimal(15,2)").alias("m")),
+              house.clean().select(F.lit("clean").alias("tabla"), "id_batch", F.col("monto_total").alias("m")),
+              house.fact().select(F.lit("fact").alias("tabla"), "id_batch", F.col("monto_total").alias("m")),
+              house.customers().select(F.lit("cliente").alias("tabla"), F.col("id_batch_open").alias("id_batch"),
+                                       F.lit(0).cast("decimal(15,2)").alias("m")))
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t)
+    return materialise(out.groupBy("tabla", "id_batch").agg(F.count(F.lit(1)).alias("filas"), F.sum("m").alias("monto")))
+
+
+@register
+def batch_rerun(spark, sf_dir):
+    """State after two batches and after running the second one again."""
+    house, before = _load_twice(spark, sf_dir)
+    return (before.withColumn("corrida", F.lit(1)).unionByName(_state(house).withColumn("corrida", F.lit(2)))
+            .where("tabla <> 'cliente'"))
+
+
+@register
+def rollback_state(spark, sf_dir):
+    """State after the second batch was rolled back."""
+    house, _ = _load_twice(spark, sf_dir)
+    house.rollback("b2", datetime(2026, 3, 3))
+    broken = scd2.broken_history(house.customers()).agg(F.count(F.lit(1)).alias("filas")).select(
+        F.lit("historia_rota").alias("tabla"), F.lit("b1").alias("id_batch"), "filas",
+        F.lit(0).cast("decimal(25,2)").alias("monto"))
+    return _state(house).unionByName(broken)

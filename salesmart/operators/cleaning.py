@@ -8,7 +8,7 @@ from salesmart.functions import normalize as N
 from salesmart.functions.numbers import line_amount
 from salesmart.operators.quality import FIRST_DATE, LAST_DATE
 
-ARRIVAL = ("fecha_carga", "row_seq")
+ARRIVAL = ("fecha_carga", "archivo_origen", "row_seq")
 CLEAN_COLUMNS = ("id_venta", "fecha", "id_cliente", "id_producto", "cantidad", "precio_unitario",
                  "canal", "ciudad", "vendedor", "email_cliente", "telefono_cliente", "monto_total")
 
@@ -27,7 +27,9 @@ def typed(raw: DataFrame) -> DataFrame:
         N.to_integer(F.col("id_cliente")).alias("id_cliente"),
         N.to_integer(F.col("id_producto")).alias("id_producto"),
         quantity.alias("cantidad"), price.alias("precio_unitario"),
-        N.normalize_channel(F.col("canal")).alias("canal"), N.clean_text(F.col("ciudad")).alias("ciudad"),
+        N.normalize_channel(F.col("canal")).alias("canal"),
+        # a blank city stays a city of its own unless the strict rules reject it
+        F.coalesce(N.clean_text(F.col("ciudad")), F.lit("")).alias("ciudad"),
         N.seller_or_default(F.col("vendedor")).alias("vendedor"),
         N.clean_text(F.col("email_cliente")).alias("email_cliente"),
         N.clean_text(F.col("telefono_cliente")).alias("telefono_cliente"),

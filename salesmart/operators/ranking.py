@@ -75,7 +75,8 @@ def with_rank(df: DataFrame, value: str, out: str, *, by: list[str] | None = Non
         order = F.col(value).desc() if descending else F.col(value).asc()
         function = F.rank() if method == "rank" else F.dense_rank()
         return df.withColumn(out, function.over(Window.partitionBy(*by).orderBy(order)).cast("bigint"))
-    keyed = df.withColumn("_v", _as_long(df, value))
+    # read several times below: written once, so the plan above runs once
+    keyed = materialise(df.withColumn("_v", _as_long(df, value)))
     weight = F.count(F.lit(1)) if method == "rank" else F.lit(1).cast("bigint")
     if method == "rank":
         counts = keyed.groupBy(*by, "_v").agg(weight.alias("_n"))
@@ -94,8 +95,8 @@ def with_row_number(df: DataFrame, value: str, key: str, out: str, *,
         order = F.col(value).desc() if descending else F.col(value).asc()
         return df.withColumn(out, F.row_number().over(
             Window.orderBy(order, F.col(key).asc())).cast("bigint"))
-    ranked = (with_rank(df, value, "_rank", descending=descending)
-              .withColumn("_v", _as_long(df, value)))
+    ranked = with_rank(df, value, "_rank", descending=descending)
+    ranked = materialise(ranked.withColumn("_v", _as_long(df, value)))
     keys = (ranked.select("_v", F.col(key).cast("bigint").alias("_k"))
             .withColumn("_n", F.lit(1).cast("bigint")))
     inside = (running_before(keys, "_k", "_n", "_inside", ["_v"], descending=False)
@@ -111,15 +112,15 @@ def with_ntile(df: DataFrame, tiles: int, value: str, key: str, out: str, *,
     if bound is not None and is_small(bound):
         return df.withColumn(out, F.ntile(tiles).over(
             Window.orderBy(F.col(value).desc(), F.col(key).asc())).cast("bigint"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    placed = materialise(with_row_number(df, value, key, "_pos"))
+    total = placed.agg(F.count(F.lit(1))).scalar()
     size = F.floor(total / tiles)
     longer = total % tiles
     head = longer * (size + 1)
     position = F.col("_pos") - 1
     tile = F.when(position < head, F.floor(F.try_divide(position, size + 1))).otherwise(
         longer + F.floor(F.try_divide(position - head, size)))
-    return (with_row_number(df, value, key, "_pos")
-            .withColumn(out, (tile + 1).cast("bigint")).drop("_pos"))
+    return placed.withColumn(out, (tile + 1).cast("bigint")).drop("_pos")
 
 
 def exact_percentiles(values: DataFrame, group: str, value: str,
@@ -130,9 +131,10 @@ def exact_percentiles(values: DataFrame, group: str, value: str,
     Works from value counts, so no task ever holds a whole column.
     """
     scale = int(dict(values.dtypes)[value].rstrip(")").split(",")[1])
-    counts = (values.where(F.col(value).isNotNull())
-              .withColumn("_v", _as_long(values, value))
-              .groupBy(group, "_v").agg(F.count(F.lit(1)).alias("_n")))
+    # read several times below: written once, so the data is scanned once
+    counts = materialise(values.where(F.col(value).isNotNull())
+                         .withColumn("_v", _as_long(values, value))
+                         .groupBy(group, "_v").agg(F.count(F.lit(1)).alias("_n")))
     placed = running_before(counts, "_v", "_n", "_before", [group], descending=False)
     totals = counts.groupBy(group).agg(F.sum("_n").alias("n"))
     placed = placed.join(totals, group)

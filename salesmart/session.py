@@ -14,6 +14,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # methods above this many bytecodes are never JIT-compiled by the JVM; wide
+    # cleaning projections then run faster without whole-stage code
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 # A table below this size on disk may be broadcast or windowed in one task.
