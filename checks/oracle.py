@@ -455,10 +455,6 @@ g1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id_venta ORDER B
 g2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id_venta ORDER BY fecha_carga, archivo_origen, row_seq) AS rn
                       FROM judged WHERE motivo IS NULL AND archivo_origen = 'ventas_nuevas.csv') WHERE rn = 1)
 """
-ORACLE["new_dim_members"] = f"WITH {RAW_WITH}, {_FIRST_GOOD}\n" + "\nUNION ALL ".join(
-    f"SELECT '{kind}' AS dimension, (SELECT count(DISTINCT {c}) FROM g1) + row_number() OVER (ORDER BY {c}) AS clave, CAST({c} AS VARCHAR) AS miembro "
-    f"FROM (SELECT DISTINCT {c} FROM g2 WHERE {c} NOT IN (SELECT {c} FROM g1))"
-    for kind, c in (("canal", "canal"), ("ciudad", "ciudad"), ("vendedor", "vendedor"), ("producto", "id_producto")))
 ORACLE["scd1_overwrite"] = """
 SELECT CASE WHEN p_size <= 25 THEN p_partkey * 2 + 1
             ELSE (SELECT max(p_partkey) * 2 + 1 FROM part WHERE p_size <= 25)
@@ -555,6 +551,15 @@ lookup AS (
                  WHEN canal_key IS NULL THEN 'canal_key no encontrado para ' || canal
                  WHEN ciudad_key IS NULL THEN 'ciudad_key no encontrado para ' || ciudad END AS falta FROM keyed)
 """
+_STORED = {"canal": ("canal", "SELECT unnest(['Online', 'Tienda', 'Marketplace'])", "3"),
+           "ciudad": ("ciudad", "SELECT unnest(['Bogotá', 'Medellín', 'Cali', 'Barranquilla', 'Cartagena', 'Bucaramanga', 'Pereira', 'Manizales'])", "8"),
+           "vendedor": ("vendedor", "SELECT nombre FROM seller", "(SELECT max(vendedor_key) FROM seller)"),
+           "producto": ("id_producto", "SELECT p_partkey + 1 FROM part WHERE p_type <> 'PROMO'",
+                        "(SELECT max(p_partkey) FROM part WHERE p_type <> 'PROMO')")}
+ORACLE["new_dim_members"] = f"WITH {RAW_WITH}, {KEYED}\n" + "\nUNION ALL ".join(
+    f"SELECT '{kind}' AS dimension, {start} + row_number() OVER (ORDER BY {c}) AS clave, CAST({c} AS VARCHAR) AS miembro "
+    f"FROM (SELECT DISTINCT {c} FROM good WHERE {c} NOT IN ({stored}))"
+    for kind, (c, stored, start) in _STORED.items())
 _SIX = "fecha_key, cliente_key, producto_key, vendedor_key, canal_key, ciudad_key"
 ORACLE["fact_resolved"] = f"""
 WITH {RAW_WITH}, {KEYED}
@@ -565,9 +570,9 @@ ORACLE["fact_star_join"] = f"WITH {RAW_WITH}, {KEYED} SELECT id_venta, {_SIX}, C
 ORACLE["fact_unresolved"] = f"WITH {RAW_WITH}, {KEYED} SELECT id_venta, falta AS motivo FROM lookup WHERE falta IS NOT NULL"
 ORACLE["fact_insert_new"] = f"""
 WITH {RAW_WITH}, {KEYED}
-SELECT id_venta, fecha_key, CAST(monto_total AS DOUBLE) AS monto_total, 0.0 AS descuento, 0.0 AS impuestos, CAST(monto_total AS DOUBLE) AS monto_neto, 'b9' AS id_batch
+SELECT id_venta, fecha_key, CAST(monto_total AS DOUBLE) AS monto_total, CAST(0 AS DOUBLE) AS descuento, CAST(0 AS DOUBLE) AS impuestos, CAST(monto_total AS DOUBLE) AS monto_neto, 'b9' AS id_batch
 FROM lookup WHERE falta IS NULL AND id_venta NOT IN (SELECT id_venta FROM loaded)
-UNION ALL SELECT id_venta, NULL, CAST(monto_total AS DOUBLE), 0.0, 0.0, 0.0, 'omitida'
+UNION ALL SELECT id_venta, NULL, CAST(monto_total AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE), 'omitida'
 FROM lookup WHERE falta IS NULL AND id_venta IN (SELECT id_venta FROM loaded)
 """
 
@@ -771,24 +776,25 @@ SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS dia, event_type, count(*) AS filas,
 WHERE CAST(ts AS DATE) + 1 <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY GROUP BY 1, 2
 """
 _BATCHES = f"""
-seeds AS (SELECT 1),
-fresh AS (SELECT * FROM g2 WHERE id_venta NOT IN (SELECT id_venta FROM f1)),
 f1 AS (SELECT * FROM g1 WHERE fecha BETWEEN DATE '2020-01-01' AND DATE '2030-12-31'),
+fresh AS (SELECT * FROM g2 WHERE id_venta NOT IN (SELECT id_venta FROM f1)),
 f2 AS (SELECT * FROM fresh WHERE fecha BETWEEN DATE '2020-01-01' AND DATE '2030-12-31'),
 state AS (
-  SELECT 'raw' AS tabla, CASE archivo_origen WHEN 'ventas_raw.csv' THEN 'b1' ELSE 'b2' END AS id_batch, count(*) AS filas, 0.0 AS monto FROM raw GROUP BY 2
+  SELECT 'raw' AS tabla, CASE archivo_origen WHEN 'ventas_raw.csv' THEN 'b1' ELSE 'b2' END AS id_batch, count(*) AS filas, CAST(0 AS DOUBLE) AS monto FROM raw GROUP BY 2
   UNION ALL SELECT 'clean', 'b1', count(*), CAST(sum(monto_total) AS DOUBLE) FROM g1
   UNION ALL SELECT 'clean', 'b2', count(*), CAST(sum(monto_total) AS DOUBLE) FROM fresh
   UNION ALL SELECT 'fact', 'b1', count(*), CAST(sum(monto_total) AS DOUBLE) FROM f1
   UNION ALL SELECT 'fact', 'b2', count(*), CAST(sum(monto_total) AS DOUBLE) FROM f2)
 """
+# one load stamps all its rows alike, so arrival is the file order
+_FILE_GOOD = _FIRST_GOOD.replace("fecha_carga, ", "")
 ORACLE["batch_rerun"] = f"""
-WITH {RAW_WITH}, {_FIRST_GOOD}, {_BATCHES}
+WITH {RAW_WITH}, {_FILE_GOOD}, {_BATCHES}
 SELECT *, 1 AS corrida FROM state UNION ALL SELECT *, 2 FROM state
 """
 ORACLE["rollback_state"] = f"""
-WITH {RAW_WITH}, {_FIRST_GOOD}, {_BATCHES}
+WITH {RAW_WITH}, {_FILE_GOOD}, {_BATCHES}
 SELECT * FROM state WHERE id_batch = 'b1'
-UNION ALL SELECT 'cliente', 'b1', count(DISTINCT id_cliente), 0.0 FROM g1
-UNION ALL SELECT 'historia_rota', 'b1', 0, 0.0
+UNION ALL SELECT 'cliente', 'b1', count(DISTINCT id_cliente), CAST(0 AS DOUBLE) FROM g1
+UNION ALL SELECT 'historia_rota', 'b1', 0, CAST(0 AS DOUBLE)
 """

@@ -274,19 +274,16 @@ def global_ranks(spark, sf_dir):
 
 @register
 def new_dim_members(spark, sf_dir):
-    """Members of the second file that the first file did not bring."""
-    raw = _raw(spark, sf_dir)
-    old, new = (cleaning.clean(part(raw))[0] for part in (_first_load, _second_load))
+    """Members of the clean sales that the stored dimensions lack."""
+    clean, stored = cleaning.clean(_raw(spark, sf_dir))[0], _test_dims(spark, sf_dir)
     out = None
-    for kind, natural, column in (("canal", "nombre_canal", "canal"), ("ciudad", "nombre_ciudad", "ciudad"),
-                                  ("vendedor", "nombre_vendedor", "vendedor"),
-                                  ("producto", "id_producto", "id_producto")):
-        stored = old.select(F.col(column).alias(natural)).distinct()
-        stored = assign_keys(stored, [natural], f"{kind}_key", bound=_table(spark, sf_dir, "part"))
-        maker = {"canal": dimensions.new_channels, "ciudad": dimensions.new_cities,
-                 "vendedor": dimensions.new_sellers, "producto": dimensions.new_products}[kind]
-        rows = maker(stored, new).select(F.lit(kind).alias("dimension"), F.col(f"{kind}_key").alias("clave"),
-                                         F.col(natural).cast("string").alias("miembro"))
+    for kind, natural, maker in (("canal", "nombre_canal", dimensions.new_channels),
+                                 ("ciudad", "nombre_ciudad", dimensions.new_cities),
+                                 ("vendedor", "nombre_vendedor", dimensions.new_sellers),
+                                 ("producto", "id_producto", dimensions.new_products)):
+        rows = maker(stored[f"dim_{kind}"], clean).select(
+            F.lit(kind).alias("dimension"), F.col(f"{kind}_key").alias("clave"),
+            F.col(natural).cast("string").alias("miembro"))
         out = rows if out is None else out.unionByName(rows)
     return out
 
