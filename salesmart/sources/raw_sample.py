@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.sources.star import read
+from salesmart.sources.star import read, spread
 
 _K = "(l_orderkey * 10 + l_linenumber)"
 _DAY = "CAST(CAST(CAST(l_shipdate AS DATE) + INTERVAL '25' YEAR AS DATE) AS STRING)"
@@ -50,5 +50,5 @@ RAW_SQL = "SELECT " + ",\n  ".join(f"{sql} AS {name}" for name, sql in RAW_EXPRE
 
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line item as a raw sale."""
-    return read(spark, sf_dir, "lineitem").selectExpr(
+    return spread(read(spark, sf_dir, "lineitem")).selectExpr(
         *[f"{sql} AS {name}" for name, sql in RAW_EXPRESSIONS.items()])

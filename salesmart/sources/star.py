@@ -2,31 +2,44 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from salesmart.functions.dates import date_key
 from salesmart.operators.calendar import build_calendar
-from salesmart.session import broadcast_if_small
+from salesmart.session import broadcast_if_small, is_small
+
+# Column types of the order tables; naming them saves a footer read per table.
+TABLE_SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+# a table below the size of one scan split arrives as a single task
+ONE_SPLIT_BYTES = 128 * 1024 * 1024
 
-DIMENSIONS = ("fecha", "cliente", "producto", "vendedor", "canal", "ciudad")
 
-
-@dataclass(frozen=True)
 class Star:
-    """Fact, six dimensions, and the base table that bounds each dimension."""
-
-    fact: DataFrame
-    fecha: DataFrame
-    cliente: DataFrame
-    producto: DataFrame
-    vendedor: DataFrame
-    canal: DataFrame
-    ciudad: DataFrame
-    bounds: dict[str, DataFrame]
-    order_fact: DataFrame | None = None
+    """Fact, six dimensions, and the table that bounds the size of each dimension.
+
+    Subclasses or instances provide ``fact`` and the dimensions by name.
+    """
+
+    bounds: dict[str, DataFrame] = {}
+
+    def __init__(self, **tables: DataFrame):
+        self.__dict__.update(tables)
 
     def bound(self, dim: str) -> DataFrame:
         """A table the dimension cannot outgrow."""
@@ -38,11 +51,21 @@ class Star:
 
     def totals(self) -> DataFrame:
         """Fact at the coarsest grain that still has date, customer, channel, city."""
-        return self.fact if self.order_fact is None else self.order_fact
+        return self.fact
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a table that fits one scan task over the cores; larger ones stay as they are."""
+    if not is_small(df, ONE_SPLIT_BYTES):
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
 
 
 def _line_measures(line: DataFrame) -> DataFrame:
@@ -58,67 +81,111 @@ def _line_measures(line: DataFrame) -> DataFrame:
         (money - discount + taxes).cast("decimal(15,2)").alias("monto_neto"))
 
 
-def order_star(spark: SparkSession, sf_dir: str) -> Star:
-    """Read the order tables of ``sf_dir`` as a sales star.
+class OrderStar(Star):
+    """The order tables of ``sf_dir`` read as a sales star; parts are built when used."""
 
-    ``order_fact`` holds line items summed per order *before* the join with
-    orders: the sum runs map-side, the join reuses its partitioning, and a
-    giant order is one row by then. Queries that need product or seller use
-    the line-level ``fact``.
-    """
-    line = _line_measures(read(spark, sf_dir, "lineitem"))
-    customer = read(spark, sf_dir, "customer")
-    day = F.col("o_orderdate").cast("date")
-    orders = (read(spark, sf_dir, "orders")
-              .join(customer.select(F.col("c_custkey").alias("o_custkey"),
-                                    F.col("c_nationkey").alias("ciudad_key")), "o_custkey")
-              .select("o_orderkey", F.col("o_custkey").alias("cliente_key"), "ciudad_key",
-                      F.substring("o_orderpriority", 1, 1).cast("bigint").alias("canal_key"),
-                      date_key(day).alias("fecha_key"), day.alias("fecha_venta"),
-                      F.concat(F.lit("b"), F.year(day)).alias("id_batch")))
-    fact = line.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).drop("l_orderkey", "o_orderkey")
-    per_order = line.groupBy("l_orderkey").agg(
-        F.count(F.lit(1)).alias("n_ventas"), F.sum("cantidad").alias("cantidad"),
-        F.sum("monto_total").alias("monto_total"), F.sum("monto_neto").alias("monto_neto"))
-    order_fact = (per_order.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-                  .drop("l_orderkey", "o_orderkey"))
-
-    nation, region = read(spark, sf_dir, "nation"), read(spark, sf_dir, "region")
-    part, supplier = read(spark, sf_dir, "part"), read(spark, sf_dir, "supplier")
-    places = (nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-              .select("n_nationkey", "n_name", "r_name"))
-    near = broadcast_if_small(places, nation)
-    ciudad = places.select(
-        F.col("n_nationkey").alias("ciudad_key"), F.col("n_name").alias("nombre_ciudad"),
-        F.concat(F.lit("Departamento "), "n_name").alias("departamento"),
-        F.col("r_name").alias("region"))
-    cliente = customer.join(near, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        F.col("c_custkey").alias("cliente_key"), F.col("c_custkey").alias("id_cliente"),
-        F.concat(F.lit("cliente"), "c_custkey", F.lit("@mail.com")).alias("email_cliente"),
-        F.concat(F.lit("300"), F.lpad(F.col("c_custkey").cast("string"), 7, "0")).alias("telefono_cliente"),
-        F.col("n_name").alias("ciudad"), F.lit(date(1990, 1, 1)).alias("fecha_vigencia_desde"),
-        F.lit(None).cast("date").alias("fecha_vigencia_hasta"),
-        (F.col("c_mktsegment") != "HOUSEHOLD").alias("es_registro_actual"))
-    producto = part.select(
-        F.col("p_partkey").alias("producto_key"), F.col("p_partkey").alias("id_producto"),
-        F.col("p_name").alias("nombre_producto"), F.col("p_type").alias("categoria"),
-        F.col("p_brand").alias("subcategoria"),
-        F.col("p_retailprice").cast("decimal(12,2)").alias("precio_referencia"))
-    vendedor = supplier.join(near, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        F.col("s_suppkey").alias("vendedor_key"),
-        F.when(F.col("s_acctbal") < 0, "SIN_ASIGNAR").otherwise(F.col("s_name")).alias("nombre_vendedor"),
-        F.col("n_name").alias("ciudad_base"), F.col("r_name").alias("region"),
-        F.concat(F.lit("v"), "s_suppkey", F.lit("@ventas.test")).alias("email_vendedor"))
-    # one decimal digit is the key, so there are at most ten channels
-    priority = F.col("o_orderpriority")
-    digit = F.substring(priority, 1, 1).cast("bigint")
-    canal = (read(spark, sf_dir, "orders").groupBy(digit.alias("canal_key"))
-             .agg(F.min(priority).alias("nombre_canal"))
-             .select("canal_key", "nombre_canal",
-                     F.when(F.col("canal_key") == 5, "Físico").otherwise("Digital").alias("tipo_canal"),
-                     (F.col("canal_key") - 1).cast("decimal(5,2)").alias("comision_pct")))
-    calendar = build_calendar(spark, date(1990, 1, 1), date(2030, 12, 31))
-    return Star(fact, calendar, cliente, producto, vendedor, canal, ciudad,
-                bounds={"cliente": customer, "producto": part, "vendedor": supplier,
-                        "ciudad": nation, "canal": spark.range(10), "fecha": calendar},
-                order_fact=order_fact)
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def table(self, name: str) -> DataFrame:
+        return read(self.spark, self.sf_dir, name)
+
+    @cached_property
+    def bounds(self) -> dict[str, DataFrame]:
+        # one decimal digit is the channel key, so there are at most ten channels
+        return {"cliente": self.table("customer"), "producto": self.table("part"),
+                "vendedor": self.table("supplier"), "ciudad": self.table("nation"),
+                "canal": self.spark.range(10)}
+
+    @cached_property
+    def _lines(self) -> DataFrame:
+        return _line_measures(spread(self.table("lineitem"), "l_orderkey"))
+
+    @cached_property
+    def _orders(self) -> DataFrame:
+        day = F.col("o_orderdate").cast("date")
+        customer = self.table("customer").select(F.col("c_custkey").alias("o_custkey"),
+                                                 F.col("c_nationkey").alias("ciudad_key"))
+        return self.table("orders").join(customer, "o_custkey").select(
+            "o_orderkey", F.col("o_custkey").alias("cliente_key"), "ciudad_key",
+            F.substring("o_orderpriority", 1, 1).cast("bigint").alias("canal_key"),
+            date_key(day).alias("fecha_key"), day.alias("fecha_venta"),
+            F.concat(F.lit("b"), F.year(day)).alias("id_batch"))
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return (self._lines.join(self._orders, F.col("l_orderkey") == F.col("o_orderkey"))
+                .drop("l_orderkey", "o_orderkey"))
+
+    def totals(self) -> DataFrame:
+        """Line items summed per order *before* the join with orders.
+
+        The sum runs map-side, the join reuses its partitioning, and a giant
+        order is one row by then.
+        """
+        per_order = self._lines.groupBy("l_orderkey").agg(
+            F.count(F.lit(1)).alias("n_ventas"), F.sum("cantidad").alias("cantidad"),
+            F.sum("monto_total").cast("decimal(18,2)").alias("monto_total"),
+            F.sum("monto_neto").cast("decimal(18,2)").alias("monto_neto"))
+        return (per_order.join(self._orders, F.col("l_orderkey") == F.col("o_orderkey"))
+                .drop("l_orderkey", "o_orderkey"))
+
+    @cached_property
+    def _places(self) -> DataFrame:
+        return (self.table("nation").join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+                .select("n_nationkey", "n_name", "r_name"))
+
+    def _near(self) -> DataFrame:
+        return broadcast_if_small(self._places, self.table("nation"))
+
+    @cached_property
+    def fecha(self) -> DataFrame:
+        return build_calendar(self.spark, date(1990, 1, 1), date(2030, 12, 31))
+
+    @cached_property
+    def ciudad(self) -> DataFrame:
+        return self._places.select(
+            F.col("n_nationkey").alias("ciudad_key"), F.col("n_name").alias("nombre_ciudad"),
+            F.concat(F.lit("Departamento "), "n_name").alias("departamento"),
+            F.col("r_name").alias("region"))
+
+    @cached_property
+    def cliente(self) -> DataFrame:
+        return self.table("customer").join(self._near(), F.col("c_nationkey") == F.col("n_nationkey")).select(
+            F.col("c_custkey").alias("cliente_key"), F.col("c_custkey").alias("id_cliente"),
+            F.concat(F.lit("cliente"), "c_custkey", F.lit("@mail.com")).alias("email_cliente"),
+            F.concat(F.lit("300"), F.lpad(F.col("c_custkey").cast("string"), 7, "0")).alias("telefono_cliente"),
+            F.col("n_name").alias("ciudad"), F.lit(date(1990, 1, 1)).alias("fecha_vigencia_desde"),
+            F.lit(None).cast("date").alias("fecha_vigencia_hasta"),
+            (F.col("c_mktsegment") != "HOUSEHOLD").alias("es_registro_actual"))
+
+    @cached_property
+    def producto(self) -> DataFrame:
+        return self.table("part").select(
+            F.col("p_partkey").alias("producto_key"), F.col("p_partkey").alias("id_producto"),
+            F.col("p_name").alias("nombre_producto"), F.col("p_type").alias("categoria"),
+            F.col("p_brand").alias("subcategoria"),
+            F.col("p_retailprice").cast("decimal(12,2)").alias("precio_referencia"))
+
+    @cached_property
+    def vendedor(self) -> DataFrame:
+        return self.table("supplier").join(self._near(), F.col("s_nationkey") == F.col("n_nationkey")).select(
+            F.col("s_suppkey").alias("vendedor_key"),
+            F.when(F.col("s_acctbal") < 0, "SIN_ASIGNAR").otherwise(F.col("s_name")).alias("nombre_vendedor"),
+            F.col("n_name").alias("ciudad_base"), F.col("r_name").alias("region"),
+            F.concat(F.lit("v"), "s_suppkey", F.lit("@ventas.test")).alias("email_vendedor"))
+
+    @cached_property
+    def canal(self) -> DataFrame:
+        priority = F.col("o_orderpriority")
+        digit = F.substring(priority, 1, 1).cast("bigint")
+        return (self.table("orders").groupBy(digit.alias("canal_key"))
+                .agg(F.min(priority).alias("nombre_canal"))
+                .select("canal_key", "nombre_canal",
+                        F.when(F.col("canal_key") == 5, "Físico").otherwise("Digital").alias("tipo_canal"),
+                        (F.col("canal_key") - 1).cast("decimal(5,2)").alias("comision_pct")))
+
+
+def order_star(spark: SparkSession, sf_dir: str) -> OrderStar:
+    return OrderStar(spark, sf_dir)
