@@ -61,7 +61,16 @@ def reject_reason(strict: bool = False) -> Column:
 
 def judge(raw: DataFrame, strict: bool = False) -> DataFrame:
     """Typed rows with ``motivo``: one narrow stage over the raw table."""
-    return typed(raw).withColumn("motivo", reject_reason(strict))
+    return with_reason(typed(raw), reject_reason(strict))
+
+
+def with_reason(rows: DataFrame, reason: Column) -> DataFrame:
+    """Add ``motivo`` as the output of a generator of one row.
+
+    A filter on a plain column would be pushed below the parsing and repeat
+    it all inside the filter; a generated column is computed once.
+    """
+    return rows.select("*", F.explode(F.array(reason)).alias("motivo"))
 
 
 def rejected_rows(judged: DataFrame) -> DataFrame:
@@ -110,6 +119,6 @@ def profile_clean(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
               .when(F.coalesce(F.col("cantidad") <= 0, F.lit(False)), "CANTIDAD_INVALIDA")
               .when(F.col("id_venta").isNull() | F.col("id_cliente").isNull()
                     | F.col("id_producto").isNull() | F.col("cantidad").isNull(), "ID_INVALIDO"))
-    judged = rows.withColumn("motivo", reason)
+    judged = with_reason(rows, reason)
     return (dedupe_first(judged.where("motivo is null")).select(*CLEAN_COLUMNS),
             rejected_rows(judged))
