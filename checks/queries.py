@@ -264,7 +264,7 @@ def assigned_keys(spark, sf_dir):
 @register
 def global_ranks(spark, sf_dir):
     """Ranks, positions and tiles of all parts by sales without any one-task window."""
-    sums = order_star(spark, sf_dir).fact.groupBy("producto_key").agg(
+    sums = order_star(spark, sf_dir).sales().groupBy("producto_key").agg(
         F.sum("monto_total").alias("monto_total"), F.sum("cantidad").alias("unidades"))
     ranked = with_rank(sums, "monto_total", "rango")
     ranked = with_rank(ranked, "unidades", "rango_denso", method="dense")
@@ -473,7 +473,7 @@ def duplicates_incremental(spark, sf_dir):
 
 @register
 def amount_mismatch(spark, sf_dir):
-    return reconcile.amount_mismatch(order_star(spark, sf_dir).fact)
+    return reconcile.amount_mismatch(order_star(spark, sf_dir).sales())
 
 
 @register
@@ -503,7 +503,7 @@ def _sales_by_place(spark, sf_dir):
     star = order_star(spark, sf_dir)
     cities = star.lookup("ciudad").select("ciudad_key", F.col("nombre_ciudad").alias("ciudad_venta"),
                                           F.col("region").alias("region_ciudad"))
-    return star.totals().join(cities, "ciudad_key")
+    return star.totals("ciudad").join(cities, "ciudad_key")
 
 
 @register
@@ -543,10 +543,10 @@ def dense_ranks(spark, sf_dir):
         out = measures.dense_ranks(sums, "valor", "ranking", star.bound(dim))
         return out.select(F.lit(label).alias("medida"), F.col(name).alias("miembro"),
                           F.col("valor").cast("double").alias("valor"), "ranking")
-    return (ranked(star.totals(), "ciudad", "nombre_ciudad", "monto_total", "ciudad")
-            .unionByName(ranked(star.fact, "vendedor", "nombre_vendedor", "monto_total", "vendedor"))
-            .unionByName(ranked(star.fact, "producto", "nombre_producto", "monto_total", "producto_monto"))
-            .unionByName(ranked(star.fact, "producto", "nombre_producto", "cantidad", "producto_unidades")))
+    return (ranked(star.totals("ciudad"), "ciudad", "nombre_ciudad", "monto_total", "ciudad")
+            .unionByName(ranked(star.sales(), "vendedor", "nombre_vendedor", "monto_total", "vendedor"))
+            .unionByName(ranked(star.sales(), "producto", "nombre_producto", "monto_total", "producto_monto"))
+            .unionByName(ranked(star.sales(), "producto", "nombre_producto", "cantidad", "producto_unidades")))
 
 
 @register
@@ -571,7 +571,7 @@ def max_month(spark, sf_dir):
 @register
 def seller_own_sales(spark, sf_dir):
     star = order_star(spark, sf_dir)
-    return measures.seller_sales(access.seller_rows(star.fact, star.vendedor, "v7@ventas.test", star.bound("vendedor")))
+    return measures.seller_sales(access.seller_rows(star.sales(), star.vendedor, "v7@ventas.test", star.bound("vendedor")))
 
 
 # ---- privacy and access --------------------------------------------------------
@@ -633,15 +633,15 @@ def portability_report(spark, sf_dir):
 @register
 def seller_rows(spark, sf_dir):
     star = order_star(spark, sf_dir)
-    return access.rows_for("seller", star.fact, star.vendedor, "v3@ventas.test", star.bound("vendedor")).select(
+    return access.rows_for("seller", star.sales(), star.vendedor, "v3@ventas.test", star.bound("vendedor")).select(
         "id_venta", "vendedor_key", "monto_total")
 
 
 @register
 def region_rows(spark, sf_dir):
     star = order_star(spark, sf_dir)
-    mine = access.rows_for("report", star.fact, star.vendedor, "v1@ventas.test", star.bound("vendedor"))
-    nobody = access.rows_for("report", star.fact, star.vendedor, "nadie@ventas.test", star.bound("vendedor"))
+    mine = access.rows_for("report", star.sales(), star.vendedor, "v1@ventas.test", star.bound("vendedor"))
+    nobody = access.rows_for("report", star.sales(), star.vendedor, "nadie@ventas.test", star.bound("vendedor"))
     return mine.unionByName(nobody).groupBy("vendedor_key").agg(
         F.count(F.lit(1)).alias("ventas"), F.sum("monto_total").alias("monto_total"))
 

@@ -84,7 +84,7 @@ def monthly_trend(star: Star) -> DataFrame:
 
 
 def city_analysis(star: Star) -> DataFrame:
-    fact = star.totals()
+    fact = star.totals("ciudad")
     sums = fact.groupBy("ciudad_key").agg(
         sale_count(fact).alias("total_transacciones"), F.sum("monto_total").alias("monto_total"),
         F.count_distinct("cliente_key").alias("clientes_unicos"),
@@ -112,7 +112,7 @@ def with_total(df: DataFrame, value: str, out: str, bound: DataFrame) -> DataFra
 
 def seller_ranking(star: Star) -> DataFrame:
     """Sellers by amount with a tercile label; sales without a seller stay out."""
-    fact = star.fact
+    fact = star.sales()
     sums = fact.groupBy("vendedor_key").agg(
         sale_count(fact).alias("total_transacciones"), F.sum("monto_total").alias("monto_total"),
         F.sum("cantidad").alias("unidades_vendidas"),
@@ -131,7 +131,7 @@ def seller_ranking(star: Star) -> DataFrame:
 
 
 def product_analysis(star: Star) -> DataFrame:
-    fact = star.fact
+    fact = star.sales()
     sums = fact.groupBy("producto_key").agg(
         sale_count(fact).alias("total_transacciones"), F.sum("cantidad").alias("total_unidades"),
         F.sum("monto_total").alias("monto_total"), F.sum("precio_unitario").alias("_precios"),
@@ -160,7 +160,7 @@ def channel_analysis(star: Star) -> DataFrame:
         sale_count(fact).alias("total_transacciones"), F.sum("monto_total").alias("monto_total"),
         F.sum("cantidad").alias("total_unidades"),
         F.count_distinct("cliente_key").alias("clientes_unicos"))
-    products = star.fact.groupBy("canal_key").agg(
+    products = star.sales().groupBy("canal_key").agg(
         F.count_distinct("producto_key").alias("productos_distintos"))
     channels = sums.join(products, "canal_key").join(star.lookup("canal"), "canal_key")
     bound = star.bound("canal")
@@ -181,7 +181,7 @@ def channel_analysis(star: Star) -> DataFrame:
 
 def product_yoy(star: Star) -> DataFrame:
     """Year over year by product, against the previous year with sales."""
-    fact = star.fact
+    fact = star.sales()
     years = fact.groupBy("producto_key", F.floor(F.col("fecha_key") / 10000).cast("int").alias("anio")).agg(
         sale_count(fact).alias("total_transacciones"), F.sum("cantidad").alias("total_unidades"),
         F.sum("monto_total").alias("monto_total"), F.sum("precio_unitario").alias("_precios"))

@@ -49,8 +49,12 @@ class Star:
         """The dimension, broadcast when its bound is checked and small."""
         return broadcast_if_small(getattr(self, dim), self.bound(dim))
 
-    def totals(self) -> DataFrame:
-        """Fact at the coarsest grain that still has date, customer, channel, city."""
+    def sales(self, *dims: str) -> DataFrame:
+        """Fact rows with date, customer, product, seller, channel, and the named dimensions."""
+        return self.fact
+
+    def totals(self, *dims: str) -> DataFrame:
+        """Fact at the coarsest grain that has date, customer, channel, and the named dimensions."""
         return self.fact
 
 
@@ -102,23 +106,28 @@ class OrderStar(Star):
     def _lines(self) -> DataFrame:
         return _line_measures(spread(self.table("lineitem"), "l_orderkey"))
 
-    @cached_property
-    def _orders(self) -> DataFrame:
+    def _orders(self, dims: tuple[str, ...]) -> DataFrame:
+        """Orders; the city hangs on the customer, so that join is only made when asked for."""
         day = F.col("o_orderdate").cast("date")
-        customer = self.table("customer").select(F.col("c_custkey").alias("o_custkey"),
-                                                 F.col("c_nationkey").alias("ciudad_key"))
-        return self.table("orders").join(customer, "o_custkey").select(
-            "o_orderkey", F.col("o_custkey").alias("cliente_key"), "ciudad_key",
+        orders, city = self.table("orders"), []
+        if "ciudad" in dims:
+            city = [F.col("c_nationkey").alias("ciudad_key")]
+            orders = orders.join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
+        return orders.select(
+            "o_orderkey", F.col("o_custkey").alias("cliente_key"), *city,
             F.substring("o_orderpriority", 1, 1).cast("bigint").alias("canal_key"),
             date_key(day).alias("fecha_key"), day.alias("fecha_venta"),
             F.concat(F.lit("b"), F.year(day)).alias("id_batch"))
 
     @cached_property
     def fact(self) -> DataFrame:
-        return (self._lines.join(self._orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        return self.sales("ciudad")
+
+    def sales(self, *dims: str) -> DataFrame:
+        return (self._lines.join(self._orders(dims), F.col("l_orderkey") == F.col("o_orderkey"))
                 .drop("l_orderkey", "o_orderkey"))
 
-    def totals(self) -> DataFrame:
+    def totals(self, *dims: str) -> DataFrame:
         """Line items summed per order *before* the join with orders.
 
         The sum runs map-side, the join reuses its partitioning, and a giant
@@ -128,7 +137,7 @@ class OrderStar(Star):
             F.count(F.lit(1)).alias("n_ventas"), F.sum("cantidad").alias("cantidad"),
             F.sum("monto_total").cast("decimal(18,2)").alias("monto_total"),
             F.sum("monto_neto").cast("decimal(18,2)").alias("monto_neto"))
-        return (per_order.join(self._orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        return (per_order.join(self._orders(dims), F.col("l_orderkey") == F.col("o_orderkey"))
                 .drop("l_orderkey", "o_orderkey"))
 
     @cached_property
@@ -180,8 +189,9 @@ class OrderStar(Star):
     def canal(self) -> DataFrame:
         priority = F.col("o_orderpriority")
         digit = F.substring(priority, 1, 1).cast("bigint")
-        return (self.table("orders").groupBy(digit.alias("canal_key"))
-                .agg(F.min(priority).alias("nombre_canal"))
+        # distinct first: it hashes, while the smallest text of a group is found by sorting
+        return (self.table("orders").select(priority, digit.alias("canal_key")).distinct()
+                .groupBy("canal_key").agg(F.min(priority).alias("nombre_canal"))
                 .select("canal_key", "nombre_canal",
                         F.when(F.col("canal_key") == 5, "Físico").otherwise("Digital").alias("tipo_canal"),
                         (F.col("canal_key") - 1).cast("decimal(5,2)").alias("comision_pct")))
