@@ -85,11 +85,26 @@ def dedupe_first(rows: DataFrame, key: str = "id_venta", order: tuple[str, ...]
     return rows.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
 
 
-def split_loaded(rows: DataFrame, existing: DataFrame, key: str = "id_venta") -> tuple[DataFrame, DataFrame]:
-    """(new rows, rows whose key is already stored)."""
-    wanted = rows.select(key)
-    # cut the stored keys down to this batch first; they are unique there
-    known = existing.select(key).join(wanted, key, "left_semi")
+def stored_keys_near(existing: DataFrame, wanted: DataFrame, key: str = "id_venta") -> DataFrame:
+    """Keys of ``existing`` inside the key range of ``wanted``.
+
+    The range is two scalar subqueries that reach the scan of the stored
+    table, where keys grow with time: old row groups are not read.
+    """
+    low, high = wanted.agg(F.min(key)).scalar(), wanted.agg(F.max(key)).scalar()
+    return existing.select(key).where((F.col(key) >= low) & (F.col(key) <= high))
+
+
+def split_loaded(rows: DataFrame, existing: DataFrame, key: str = "id_venta",
+                 wanted: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(new rows, rows whose key is already stored).
+
+    ``wanted`` is a cheap table with at least the keys of ``rows`` (default
+    ``rows``); it bounds the part of the stored table that is read.
+    """
+    near = stored_keys_near(existing, rows if wanted is None else wanted, key)
+    # cut the stored keys down to this batch before they meet the rows
+    known = near.join(rows.select(key), key, "left_semi")
     return rows.join(known, key, "left_anti"), rows.join(known, key, "left_semi")
 
 
@@ -105,7 +120,8 @@ def clean(raw: DataFrame, existing: DataFrame | None = None,
     good = dedupe_first(judged.where("motivo is null"))
     rejected = rejected_rows(judged)
     if existing is not None:
-        good, known = split_loaded(good, existing)
+        ids = raw.select(N.to_integer(F.col("id_venta")).alias("id_venta"))
+        good, known = split_loaded(good, existing, wanted=ids)
         rejected = rejected.unionByName(known.select(
             F.col("_raw_id").alias("id_venta"), F.lit("DUPLICADO_EN_DWH").alias("motivo"), *keep))
     return good.select(*CLEAN_COLUMNS, *keep), rejected

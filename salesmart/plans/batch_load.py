@@ -115,6 +115,8 @@ class Warehouse:
             raise ValueError("mode must be initial or incremental")
         log: list[tuple] = []
         step = "extract"
+        # stays behind if the driver dies; the end of the run replaces it
+        self._write_log([(step, now, None, "INICIADO", 0, 0, 0, None, batch_id)], batch_id)
         try:
             self.store.overwrite_batch(RAW_T, stamp_lineage(rows, batch_id, now).select(
                 *BUSINESS_COLUMNS, "fecha_carga", "archivo_origen", "row_seq"), batch_id)
@@ -155,9 +157,12 @@ class Warehouse:
             self._log(log, step, now, 0, 0, 0, batch_id, "FALLIDO", str(error)[:500])
             raise
         finally:
-            self.store.overwrite_batch(RUN_T, self.spark.createDataFrame(log, RUN_LOG).coalesce(1), batch_id)
+            self._write_log(log, batch_id)
         return BatchResult(batch_id, mode, extracted, n_clean, n_rejected, n_fact, n_skipped, n_lost, score)
 
+    def _write_log(self, rows: list[tuple], batch_id: str) -> None:
+        self.store.overwrite_batch(RUN_T, self.spark.createDataFrame(rows, RUN_LOG).coalesce(1), batch_id)
+
     def _log(self, log, step, now, seen, good, bad, batch_id, state=None, error=None):
         state = state or ("PARCIAL" if step == "fact" and bad else "EXITOSO")
         log.append((step, now, now, state, seen, good, bad, error, batch_id))
@@ -223,7 +228,7 @@ class Warehouse:
         if batch_id in self.store.batches(RUN_T):
             log = self.store.read_batch(RUN_T, RUN_LOG, batch_id).collect()  # a few rows per batch
             marked = [(*row[:3], "REVERTIDO", *row[4:7], "Rollback manual ejecutado", row[8]) for row in log]
-            self.store.overwrite_batch(RUN_T, self.spark.createDataFrame(marked, RUN_LOG).coalesce(1), batch_id)
+            self._write_log(marked, batch_id)
 
     def erase_customers(self, requests: DataFrame, user: str, now: datetime) -> int:
         """Replace the personal data of the requested customers everywhere; audited.
