@@ -45,16 +45,16 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def is_small(df: DataFrame, limit: int = SMALL_BYTES) -> bool:
-    """True when the estimated size of ``df`` is within ``limit`` bytes."""
+def is_small(df: DataFrame, limit: int | None = None) -> bool:
+    """True when the estimated size of ``df`` is within ``limit`` (default ``SMALL_BYTES``)."""
     try:
-        return plan_bytes(df) <= limit
+        return plan_bytes(df) <= (SMALL_BYTES if limit is None else limit)
     except AttributeError:  # no JVM plan at hand (Spark Connect): assume large
         return False
 
 
 def broadcast_if_small(df: DataFrame, bound: DataFrame | None = None,
-                       limit: int = SMALL_BYTES) -> DataFrame:
+                       limit: int | None = None) -> DataFrame:
     """Hint a broadcast only when ``bound`` (default ``df``) is proven small.
 
     ``bound`` is a table that ``df`` cannot outgrow, such as the base table
