@@ -19,13 +19,21 @@ def read_csv(spark: SparkSession, path: str | list[str], multiline: bool = False
     it was read from plus its place in the task, which is always below the
     next block's offset because a row is longer than a byte.
     """
-    rows = spark.read.csv(path, schema=RAW_CSV, header=True, multiLine=multiline,
-                          encoding="UTF-8", enforceSchema=False)
-    place = F.monotonically_increasing_id().bitwiseAND(_ROW_BITS)
+    return place_rows(file_columns(spark.read.csv(
+        path, schema=RAW_CSV, header=True, multiLine=multiline, encoding="UTF-8", enforceSchema=False)))
+
+
+def file_columns(rows: DataFrame) -> DataFrame:
+    """Business columns with the file and block each row came from; batch or stream."""
     return rows.select(
         *[missing_to_null(F.col(c)).alias(c) for c in BUSINESS_COLUMNS],
         F.col("_metadata.file_name").alias("archivo_origen"),
-        (F.col("_metadata.file_block_start") + place).alias("row_seq"))
+        F.col("_metadata.file_block_start").alias("_block"))
+
+
+def place_rows(rows: DataFrame) -> DataFrame:
+    place = F.monotonically_increasing_id().bitwiseAND(_ROW_BITS)
+    return rows.withColumn("row_seq", F.col("_block") + place).drop("_block")
 
 
 def stamp_lineage(rows: DataFrame, batch_id: str, loaded_at: datetime) -> DataFrame:

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from salesmart.plans.batch_load import Warehouse
+from salesmart.schemas import RAW_CSV
+from salesmart.sources.csv_files import file_columns, place_rows
 from salesmart.sources.tables import Store
 
 
@@ -35,6 +39,24 @@ def ingest(stream: DataFrame, store: Store, table: str, checkpoint: str,
     _drain(stream.writeStream.foreachBatch(write), checkpoint)
 
 
+def load_new_files(house: Warehouse, folder: str, checkpoint: str,
+                   clock: Callable[[int], datetime], files_per_trigger: int | None = None,
+                   **options) -> None:
+    """Run the whole batch load on sales files that arrived since the last call.
+
+    Each micro-batch is one batch named after it, so a replay after a crash
+    repeats the same batch and changes nothing. ``clock`` gives the load time
+    of a micro-batch number.
+    """
+    stream = file_columns(file_stream(house.spark, folder, RAW_CSV, kind="csv", header="true",
+                                      files_per_trigger=files_per_trigger))
+
+    def load(rows: DataFrame, number: int) -> None:
+        house.run(place_rows(rows), "incremental", f"s{number:08d}", clock(number), **options)
+
+    _drain(stream.writeStream.foreachBatch(load), checkpoint)
+
+
 def new_only(existing: Callable[[], DataFrame], key: str) -> Callable[[DataFrame, str], DataFrame]:
     """Transform for ``ingest``: drop keys other micro-batches have stored."""
     def apply(rows: DataFrame, batch_id: str) -> DataFrame:

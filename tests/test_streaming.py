@@ -4,9 +4,12 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from salesmart.plans.batch_load import Warehouse
 from salesmart.sources.csv_files import read_after
 from salesmart.sources.tables import Store
-from salesmart.streaming.ingest import (daily_totals, dedupe_late, file_stream, ingest, new_only, write_appended)
+from salesmart.streaming.ingest import (daily_totals, dedupe_late, file_stream, ingest, load_new_files,
+                                        new_only, write_appended)
+from tests.sample_sales import INCREMENTAL, INITIAL, write_csv
 
 SCHEMA = "k bigint, ts timestamp, v double"
 STORED = "k bigint, ts timestamp, v double, id_batch string"
@@ -51,3 +54,17 @@ def test_watermark_reaches_the_scan(spark, tmp_path):
     fresh = read_after(source, "ts", source.where(F.col("k") <= 3))
     assert sorted(r.k for r in fresh.collect()) == [4, 5]
     assert read_after(source, "ts", source.where("k > 99")).count() == 5
+
+
+def test_files_load_as_batches(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path / "house"))
+    house.seed()
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    clock = lambda number: datetime(2026, 3, 11 + number)
+    for name, rows in (("ventas_raw.csv", INITIAL), ("ventas_nuevas.csv", INCREMENTAL)):
+        write_csv(landing, name, rows)
+        load_new_files(house, str(landing), str(tmp_path / "c"), clock)
+    load_new_files(house, str(landing), str(tmp_path / "c"), clock)
+    totals = house.fact().groupBy("id_batch").agg(F.count(F.lit(1)), F.sum("monto_total")).orderBy("id_batch").collect()
+    assert [(r[0], r[1], int(r[2])) for r in totals] == [("s00000000", 17, 1291000), ("s00000001", 7, 510000)]
