@@ -152,8 +152,8 @@ def span_digests(found: DataFrame, counted: dict[str, str]) -> DataFrame:
     """doc_id, a count per kind, base_sha256 and spans from a frame of span arrays in their listed order."""
     spans = F.arrays_zip("kinds", "starts", "ends", "base")
     said = lambda s: F.concat_ws(":", s["kinds"], s["starts"], s["ends"])
-    counts = [F.size(F.filter("kinds", lambda k, kind=kind: k == kind)).cast("long").alias(name)
-              for kind, name in counted.items()]
+    of_kind = lambda kind: F.size(F.filter("kinds", lambda k: k == kind)).cast("long")
+    counts = [of_kind(kind).alias(name) for kind, name in counted.items()]
     base = F.concat_ws(",", F.transform(F.filter(spans, lambda s: s["base"]), said))
     return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"),
                         F.concat_ws(",", F.transform(spans, said)).alias("spans"),
