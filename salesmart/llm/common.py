@@ -52,6 +52,17 @@ def word_count(text: str = "text"):
     return F.regexp_count(padded, F.lit(f"[{SPACE_CLASS}][^{SPACE_CLASS}]")).cast("long")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names that ``df`` does not have yet, one for each of ``names``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 class Scratch:
     """Tables below the shared folder: each is written once and read by later steps.
 

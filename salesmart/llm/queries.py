@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import pii, secrets
+from salesmart.llm import pii, secrets, simhash
 from salesmart.llm.common import table
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(table(spark, sf_dir, "documents"))
     return pii.span_digests(found, {kind: f"n_{kind}" for kind in pii.BASE_KINDS})
@@ -19,6 +24,7 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_simhash": op2_simhash,
     "op3_pii": op3_pii,
     "op5_secrets": op5_secrets,
 }
