@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import pii, secrets, simhash
+from salesmart.llm import langid, pii, secrets, simhash
 from salesmart.llm.common import table
 
 
@@ -23,10 +23,16 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digests(found, {kind: f"n_{kind}" for kind in secrets.BASE_KINDS})
 
 
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train(docs))
+
+
 QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_pii": op3_pii,
     "op5_secrets": op5_secrets,
+    "op9_langid": op9_langid,
 }
 
 ORACLE: dict[str, str] = {}

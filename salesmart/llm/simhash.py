@@ -12,7 +12,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from salesmart.llm.common import Scratch, fresh, scan
 from salesmart.llm.components import connected, merge_labels
@@ -147,7 +147,10 @@ def link_fingerprints(distinct: DataFrame, scratch: Scratch, bits: int = MAX_BIT
 
 
 def classes(docs: DataFrame, bits: int = MAX_BITS) -> DataFrame:
-    """Every row's doc_id, text_hash, fp and component_id, the least doc_id its fingerprint reaches by links.
+    """Every row's doc_id, text_hash, fp, class_fp and component_id, the least doc_id its fingerprint reaches by links.
+
+    class_fp is the least fingerprint of the class; unlike component_id it also
+    tells classes apart when a doc_id occurs with different texts.
 
     One row in, one row out. Null and empty texts and texts without words have
     fingerprint zero and link like any other; repeated rows share a class; a
@@ -160,9 +163,10 @@ def classes(docs: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     found = connected(link_fingerprints(distinct, scratch, bits), scratch)
     linked = found.join(distinct.withColumnRenamed("fp", "node"), "node")
     least = linked.groupBy("component").agg(F.min("first_id").alias("least_id"))
-    named = linked.join(least, "component").select(F.col("node").alias("fp"), "least_id")
-    named = distinct.join(named, "fp", "left").select("fp", F.coalesce("least_id", "first_id").alias("component_id"))
-    return prints.join(named, "fp").select("doc_id", "text_hash", "fp", "component_id")
+    named = linked.join(least, "component").select(F.col("node").alias("fp"), "component", "least_id")
+    named = distinct.join(named, "fp", "left").select("fp", F.coalesce("component", "fp").alias("class_fp"),
+                                                      F.coalesce("least_id", "first_id").alias("component_id"))
+    return prints.join(named, "fp").select("doc_id", "text_hash", "fp", "class_fp", "component_id")
 
 
 def hex_digits(fp: str = "fp"):
@@ -176,15 +180,11 @@ def keep_one(docs: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     and a hash of the text. Of rows equal in both, one stays.
     """
     key, other, text_hash, place = fresh(docs, "_key", "_other", "_text_hash", "_place")
-    ranked = classes(docs, bits).withColumn("fp_class", F.when(F.col("component_id").isNull(), F.col("fp")))
-    winners = (ranked.withColumn("place", F.row_number().over(_by("component_id", "fp_class", "doc_id")))
+    first = F.row_number().over(Window.partitionBy("class_fp").orderBy(F.col("doc_id").asc_nulls_last(), "text_hash"))
+    winners = (classes(docs, bits).withColumn("place", first)
                .where("place = 1").select(F.col("doc_id").alias(key), F.col("text_hash").alias(other)))
     matched = docs.withColumn(text_hash, F.xxhash64("text")).join(
         winners, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(text_hash) == F.col(other)), "left_semi")
-    again = F.row_number().over(_by("doc_id", text_hash, text_hash))
+    again = F.row_number().over(Window.partitionBy("doc_id", text_hash).orderBy(text_hash))
     return matched.withColumn(place, again).where(F.col(place) == 1).select(*docs.columns)
 
-
-def _by(first: str, second: str, order: str):
-    from pyspark.sql import Window
-    return Window.partitionBy(first, second).orderBy(F.col(order).asc_nulls_last())
