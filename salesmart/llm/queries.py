@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import langid, pii, secrets, simhash
+from salesmart.llm import decontaminate, langid, pii, secrets, simhash
 from salesmart.llm.common import table
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.classes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
@@ -29,6 +33,7 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
     "op2_simhash": op2_simhash,
     "op3_pii": op3_pii,
     "op5_secrets": op5_secrets,
