@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import decontaminate, langid, pii, secrets, simhash
+from salesmart.llm import decontaminate, langid, mixing, pii, secrets, sharding, simhash
 from salesmart.llm.common import table
 
 
@@ -27,6 +27,15 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digests(found, {kind: f"n_{kind}" for kind in secrets.BASE_KINDS})
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planned = mixing.plan(table(spark, sf_dir, "documents"))
+    return planned.orderBy("place", "doc_id").drop("h", "place")
+
+
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.identify(docs, langid.train(docs))
@@ -37,7 +46,51 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_pii": op3_pii,
     "op5_secrets": op5_secrets,
+    "op7_sharding": op7_sharding,
+    "op8_mixing": op8_mixing,
     "op9_langid": op9_langid,
 }
 
 ORACLE: dict[str, str] = {}
+
+_WORDS = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
+
+ORACLE["op8_mixing"] = rf"""
+with sized as (
+  select doc_id, source, cast({_WORDS} as bigint) as size,
+    cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '') || '|' || md5(coalesce(text, ''))), 1, 16) as ubigint) as u
+  from documents),
+keyed as (
+  select doc_id, source, size,
+    cast(case when u >= 9223372036854775808 then cast(u as hugeint) - 18446744073709551616 else u end as bigint) as h
+  from sized),
+totals as (
+  select source, cast(sum(size) as bigint) as source_size,
+    row_number() over (order by source nulls last) - 1 as rk from keyed group by source),
+weighted as (select *, rk % 3 + 1 as weight, cast(source_size * 3 as double) as room from totals),
+levels as (
+  select *, (sum(cast(source_size as double)) over () - coalesce(sum(room) over earlier, 0.0))
+    / (sum(weight) over () - coalesce(sum(weight) over earlier, 0)) as level
+  from weighted
+  window earlier as (order by room / weight, rk rows between unbounded preceding and 1 preceding)),
+targets as (
+  select source, source_size, (weight - 2) * cast(0.4 as double) as slope,
+    least(room, max(level) over () * weight) as target from levels),
+streams as (
+  select k.doc_id, k.size, t.source_size, t.slope, t.target, cast(round(t.target) as bigint) as demand,
+    cast(coalesce(sum(k.size) over (partition by k.source order by h, k.doc_id, k.size
+      rows between unbounded preceding and 1 preceding), 0) as bigint) as start
+  from keyed k join targets t on k.source is not distinct from t.source),
+epochs as (
+  select *, least(greatest(demand - start, 0), size) as e0,
+    least(greatest(demand - (source_size + start), 0), size) as e1,
+    least(greatest(demand - (source_size * 2 + start), 0), size) as e2,
+    case when target > 0 then start / target end as share
+  from streams)
+select doc_id, size, source_size, target, cast(e0 + e1 + e2 as bigint) as taken,
+  cast((e0 > 0 and e0 * 2 >= size) as integer) + cast((e1 > 0 and e1 * 2 >= size) as integer)
+    + cast((e2 > 0 and e2 * 2 >= size) as integer) as copies,
+  case when e0 > 0 then 2.0 * share / ((1.0 - slope) + sqrt((1.0 - slope) * (1.0 - slope) + 4.0 * slope * share)) end
+    as position
+from epochs
+"""
