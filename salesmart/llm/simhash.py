@@ -166,6 +166,7 @@ def classes(docs: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     named = linked.join(least, "component").select(F.col("node").alias("fp"), "component", "least_id")
     named = distinct.join(named, "fp", "left").select("fp", F.coalesce("component", "fp").alias("class_fp"),
                                                       F.coalesce("least_id", "first_id").alias("component_id"))
+    named = scratch.keep(named, "classes")  # so that the last join has two plain sides, and Spark can split a hot one
     return prints.join(named, "fp").select("doc_id", "text_hash", "fp", "class_fp", "component_id")
 
 
