@@ -9,12 +9,14 @@ characters as one blank between words.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import ahocorasick
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from salesmart.llm.common import fresh, scan
+from salesmart.llm.common import ARROW_ROWS, fresh, scan
 
 # Edits allowed for each character of an item; items under LEAST_CHARS must match exactly, as whole words.
 ERROR_RATE, LEAST_CHARS = 0.1, 32
@@ -232,22 +234,21 @@ def _matcher(block: list[tuple[int | None, str]]):
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, all their columns as they were."""
     (flag,) = fresh(docs, "_clean")
-    flags = docs
+    kept = docs
     for block in benchmark_blocks(benchmark):
-        flags = _flagged(flags, flag, block)
-        flags = flags.where(flag).drop(flag)
-    return flags
+        kept = _flagged(kept, flag, block).where(F.col(flag)).select(*docs.columns)
+    return kept
 
 
 def _flagged(docs: DataFrame, flag: str, block: list[tuple[int | None, str]]) -> DataFrame:
     """``docs`` with a boolean column; the text is judged where it is, so rows need no key and no join."""
-    import pandas as pd
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
     @F.pandas_udf("boolean")
-    def is_clean(texts: pd.Series) -> pd.Series:
+    def is_clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         items = prepare(block)
         pieces = piece_automaton(items)
-        return pd.Series([not (items and find_items(t, items, pieces)) for t in texts], dtype=bool)
+        for texts in batches:
+            yield pd.Series([not (items and find_items(t, items, pieces)) for t in texts], dtype=bool)
 
     return docs.withColumn(flag, is_clean("text"))

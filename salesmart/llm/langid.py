@@ -12,9 +12,10 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from salesmart.llm.common import scan
+from salesmart.llm.common import ARROW_ROWS, fresh, scan
 
 UNDETERMINED = "und"
 # The sample that a language's model is fitted on: so many documents of each language are expected.
@@ -196,3 +197,22 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
 
     return scan(docs.select("doc_id", in_test().alias("held_out"), "text"), work,
                 "doc_id long, held_out boolean, lang_pred string, score double, languages string")
+
+
+def keep_identified(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
+    """The rows of ``docs`` that have a language; the text is judged where it is, so rows need no key and no join.
+
+    Rejected are null texts, texts without a letter, and all rows under an empty model.
+    """
+    languages, table = model
+    (flag,) = fresh(docs, "_identified")
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+
+    @F.pandas_udf("boolean")
+    def identified(texts: pd.Series) -> pd.Series:
+        own = texts.tolist()
+        if not languages:
+            return pd.Series([False] * len(own), dtype=bool)
+        return pd.Series(fit_mixtures(*unit_likelihoods(own, table), len(own)).max(axis=1) > 0, dtype=bool)
+
+    return docs.withColumn(flag, identified("text")).where(F.col(flag)).select(*docs.columns)
