@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import decontaminate, langid, mixing, pii, secrets, sharding, simhash
+from salesmart.llm import decontaminate, langid, mixing, pii, secrets, sharding, simhash, warc
 from salesmart.llm.common import table
 
 
@@ -41,6 +41,11 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.train(docs))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.round_trip(table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_simhash": op2_simhash,
@@ -49,6 +54,7 @@ QUERIES = {
     "op7_sharding": op7_sharding,
     "op8_mixing": op8_mixing,
     "op9_langid": op9_langid,
+    "op10_warc": op10_warc,
 }
 
 ORACLE: dict[str, str] = {}
