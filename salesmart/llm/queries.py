@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import decontaminate, langid, mixing, pii, secrets, sharding, simhash, warc
+from salesmart.llm import decontaminate, langid, mixing, pii, secrets, sharding, simhash, vectors, warc
 from salesmart.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digests(found, {kind: f"n_{kind}" for kind in pii.BASE_KINDS})
 
 
+def op4_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
     return pii.span_digests(found, {kind: f"n_{kind}" for kind in secrets.BASE_KINDS})
@@ -50,6 +54,7 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_simhash": op2_simhash,
     "op3_pii": op3_pii,
+    "op4_vectors": op4_vectors,
     "op5_secrets": op5_secrets,
     "op7_sharding": op7_sharding,
     "op8_mixing": op8_mixing,
