@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from salesmart.session import scratch_path
@@ -20,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def arrow_schema(schema: StructType | str) -> pa.Schema:
+    """The Arrow form of a Spark schema; made on the driver, carried to tasks."""
+    return to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
+
+
 def scan(df: DataFrame, work: Callable[[dict[str, list]], dict[str, list]], schema: StructType | str) -> DataFrame:
     """Apply ``work`` to Arrow batches of ``df`` as columns of Python values.
 
@@ -27,10 +33,7 @@ def scan(df: DataFrame, work: Callable[[dict[str, list]], dict[str, list]], sche
     Batches are bounded by ``ARROW_ROWS``; nothing is kept between batches.
     """
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-    if isinstance(schema, str):
-        schema = StructType.fromDDL(schema)
-    from pyspark.sql.pandas.types import to_arrow_schema
-    arrow = to_arrow_schema(schema)
+    arrow = arrow_schema(schema)
     names = df.columns
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,6 +66,13 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now: it does so when the JVM collects what owned them."""
+    import gc
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 class Scratch:
     """Tables below the shared folder: each is written once and read by later steps.
 
@@ -78,9 +88,10 @@ class Scratch:
         self._count += 1
         return f"{self.root}/{self._count:03d}-{name}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        """Write ``df``, in folders of the column ``by`` if given, and read it back."""
         path = self.path(name)
-        df.write.parquet(path)
+        (df.write.partitionBy(by) if by else df.write).parquet(path)
         kept = self.spark.read.schema(df.schema).parquet(path)
         kept.scratch_path = path
         return kept

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import decontaminate, langid, mixing, pii, secrets, sharding, simhash, vectors, warc
+from salesmart.llm import decontaminate, katz, langid, mixing, pii, secrets, sharding, simhash, vectors, warc
 from salesmart.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digests(found, {kind: f"n_{kind}" for kind in secrets.BASE_KINDS})
 
 
+def op6_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ QUERIES = {
     "op3_pii": op3_pii,
     "op4_vectors": op4_vectors,
     "op5_secrets": op5_secrets,
+    "op6_katz": op6_katz,
     "op7_sharding": op7_sharding,
     "op8_mixing": op8_mixing,
     "op9_langid": op9_langid,
