@@ -146,27 +146,37 @@ def link_fingerprints(distinct: DataFrame, scratch: Scratch, bits: int = MAX_BIT
     return dealt.groupBy("shard").applyInArrow(link, "a long, b long")
 
 
-def classes(docs: DataFrame, bits: int = MAX_BITS) -> DataFrame:
-    """Every row's doc_id, text_hash, fp, class_fp and component_id, the least doc_id its fingerprint reaches by links.
+def class_table(docs: DataFrame, bits: int = MAX_BITS) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text_hash, fp) of every row, and of every fingerprint its class.
 
-    class_fp is the least fingerprint of the class; unlike component_id it also
-    tells classes apart when a doc_id occurs with different texts.
-
-    One row in, one row out. Null and empty texts and texts without words have
-    fingerprint zero and link like any other; repeated rows share a class; a
-    null doc_id never names a class unless all of the class are null; an empty
-    table gives none. Only doc_id and text are read.
+    The second has fp, class_fp (the least fingerprint of the class),
+    component_id (the least doc_id of the class) and first, the least row of
+    the fingerprint as (no doc_id, doc_id, text_hash). Only doc_id and text are read.
     """
     scratch = Scratch(docs.sparkSession, "simhash")
     prints = scratch.keep(fingerprints(docs), "fingerprints")
-    distinct = scratch.keep(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    distinct = scratch.keep(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.min(row).alias("first")), "distinct")
     found = connected(link_fingerprints(distinct, scratch, bits), scratch)
     linked = found.join(distinct.withColumnRenamed("fp", "node"), "node")
     least = linked.groupBy("component").agg(F.min("first_id").alias("least_id"))
     named = linked.join(least, "component").select(F.col("node").alias("fp"), "component", "least_id")
     named = distinct.join(named, "fp", "left").select("fp", F.coalesce("component", "fp").alias("class_fp"),
-                                                      F.coalesce("least_id", "first_id").alias("component_id"))
-    named = scratch.keep(named, "classes")  # so that the last join has two plain sides, and Spark can split a hot one
+                                                      F.coalesce("least_id", "first_id").alias("component_id"), "first")
+    # written, so that a join with it has two plain sides and Spark can split a hot one
+    return prints, scratch.keep(named, "classes")
+
+
+def classes(docs: DataFrame, bits: int = MAX_BITS) -> DataFrame:
+    """Every row's doc_id, text_hash, fp, class_fp and component_id, the least doc_id its fingerprint reaches by links.
+
+    One row in, one row out. Null and empty texts and texts without words have
+    fingerprint zero and link like any other; repeated rows share a class; a
+    null doc_id never names a class unless all of the class are null; an empty
+    table gives none. Unlike component_id, class_fp also tells classes apart
+    when a doc_id occurs with different texts.
+    """
+    prints, named = class_table(docs, bits)
     return prints.join(named, "fp").select("doc_id", "text_hash", "fp", "class_fp", "component_id")
 
 
@@ -177,13 +187,13 @@ def hex_digits(fp: str = "fp"):
 def keep_one(docs: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` that stay when each class keeps one: the least doc_id, nulls last.
 
-    The choice is made on narrow rows; texts meet it once, in a join on doc_id
-    and a hash of the text. Of rows equal in both, one stays.
+    The choice is a minimum for each fingerprint, then for each class; texts
+    meet it once, in a join on doc_id and a hash of the text. Of rows equal in
+    both, one stays.
     """
     key, other, text_hash, place = fresh(docs, "_key", "_other", "_text_hash", "_place")
-    first = F.row_number().over(Window.partitionBy("class_fp").orderBy(F.col("doc_id").asc_nulls_last(), "text_hash"))
-    winners = (classes(docs, bits).withColumn("place", first)
-               .where("place = 1").select(F.col("doc_id").alias(key), F.col("text_hash").alias(other)))
+    winners = (class_table(docs, bits)[1].groupBy("class_fp").agg(F.min("first").alias("first"))
+               .select(F.col("first.doc_id").alias(key), F.col("first.text_hash").alias(other)))
     matched = docs.withColumn(text_hash, F.xxhash64("text")).join(
         winners, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(text_hash) == F.col(other)), "left_semi")
     again = F.row_number().over(Window.partitionBy("doc_id", text_hash).orderBy(text_hash))
