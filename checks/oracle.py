@@ -449,6 +449,18 @@ SELECT producto_key, CAST(m AS DOUBLE) AS monto_total, CAST(u AS BIGINT) AS unid
        ntile(7) OVER (ORDER BY u DESC, producto_key) AS tramo
 FROM s
 """
+ORACLE["ranks_with_gaps"] = """
+WITH r AS (SELECT c_custkey, c_name, CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN c_mktsegment END AS grupo,
+                  CASE WHEN c_custkey % 7 <> 0 THEN floor(CAST(c_acctbal AS DOUBLE) / 100) / 4 END AS valor FROM customer),
+k AS (SELECT *, rank() OVER (PARTITION BY grupo ORDER BY valor DESC NULLS LAST) AS r1,
+             dense_rank() OVER (PARTITION BY grupo ORDER BY valor ASC NULLS LAST) AS d1,
+             rank() OVER (ORDER BY valor DESC NULLS LAST) AS g1,
+             row_number() OVER (ORDER BY valor DESC NULLS LAST, c_name) AS p1,
+             ntile(5) OVER (ORDER BY valor DESC NULLS LAST, c_name) AS t1 FROM r)
+SELECT c_custkey, grupo, valor, r1 AS rango_ventana, d1 AS denso_ventana, g1 AS global_ventana, p1 AS posicion_ventana, t1 AS tramo_ventana,
+       r1 AS rango_rangos, d1 AS denso_rangos, g1 AS global_rangos, p1 AS posicion_rangos, t1 AS tramo_rangos
+FROM k
+"""
 _FIRST_GOOD = """
 g1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id_venta ORDER BY fecha_carga, archivo_origen, row_seq) AS rn
                       FROM judged WHERE motivo IS NULL AND archivo_origen = 'ventas_raw.csv') WHERE rn = 1),

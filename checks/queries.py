@@ -272,6 +272,22 @@ def global_ranks(spark, sf_dir):
     return with_ntile(ranked, 7, "unidades", "producto_key", "tramo")
 
 
+@register
+def ranks_with_gaps(spark, sf_dir):
+    """Ranks by both ways over null values, null groups, ties, negatives and doubles."""
+    customer = _table(spark, sf_dir, "customer")
+    rows = customer.select(
+        "c_custkey", "c_name", F.when(F.col("c_mktsegment") != "HOUSEHOLD", F.col("c_mktsegment")).alias("grupo"),
+        F.when(F.col("c_custkey") % 7 != 0, F.floor(F.col("c_acctbal").cast("double") / 100) / 4).alias("valor"))
+    for suffix, bound in (("ventana", customer), ("rangos", None)):
+        rows = with_rank(rows, "valor", f"rango_{suffix}", by=["grupo"], bound=bound)
+        rows = with_rank(rows, "valor", f"denso_{suffix}", by=["grupo"], method="dense", descending=False, bound=bound)
+        rows = with_rank(rows, "valor", f"global_{suffix}", bound=bound)
+        rows = with_row_number(rows, "valor", "c_name", f"posicion_{suffix}", bound=bound)
+        rows = with_ntile(rows, 5, "valor", "c_name", f"tramo_{suffix}", bound=bound)
+    return rows.drop("c_name")
+
+
 @register
 def new_dim_members(spark, sf_dir):
     """Members of the clean sales that the stored dimensions lack."""

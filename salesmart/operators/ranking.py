@@ -1,12 +1,11 @@
 """Exact ranks, row numbers, tiles and percentiles over tables of any size.
 
 A window without ``partitionBy`` sorts everything in one task. That is fine
-for a table whose size is checked and small. For larger ones the helpers
-below work on *value prefixes*: the ranked value is an integer (money in
-cents), its leading bits name a group, and running counts are kept per
-group, per super-group and overall. A window partition then never holds
-more than 2^21 distinct values, whatever the data looks like, and equal
-values are counted before they are shuffled.
+for a table whose size is checked and small. For larger ones rows are
+range-sorted, summed up within their range, and offset by the sums of the
+ranges before it; equal values are counted before they are shuffled, so a
+frequent value is one row. Both ways take any type that Spark can order, put
+nulls last and keep every row, also those whose value or group is null.
 """
 
 from __future__ import annotations
@@ -15,103 +14,87 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from salesmart.session import is_small, materialise
 
-PREFIX_BITS = 21
-
 
 def _as_long(df: DataFrame, name: str) -> Column:
-    """The column as a bigint in the same order (decimals lose their point)."""
-    kind = dict(df.dtypes)[name]
-    if kind.startswith("decimal"):
-        scale = int(kind.rstrip(")").split(",")[1])
-        return (F.col(name) * F.lit(10 ** scale).cast("decimal(19,0)")).cast("bigint")
-    if kind == "date":
-        return F.unix_date(name).cast("bigint")
-    if kind in ("tinyint", "smallint", "int", "bigint"):
-        return F.col(name).cast("bigint")
-    raise TypeError(f"{name} is {kind}; ranks need an integer, decimal or date column")
-
-
-def running_before(counts: DataFrame, value: str, weight: str, out: str,
-                   by: list[str] | None = None, descending: bool = True) -> DataFrame:
-    """Sum of ``weight`` over all rows that come before each ``value``.
-
-    ``counts`` holds one row per (``by``, ``value``) with a bigint value.
+    """A decimal column as a bigint in the same order."""
+    scale = int(dict(df.dtypes)[name].rstrip(")").split(",")[1])
+    return (F.col(name) * F.lit(10 ** scale).cast("decimal(19,0)")).cast("bigint")
+
+
+def _order(name: str, descending: bool) -> Column:
+    return F.col(name).desc_nulls_last() if descending else F.col(name).asc_nulls_last()
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on ``keys`` in which nulls are equal; the keys come from the left."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    condition = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    return left.join(renamed, condition).drop(*[f"_right_{k}" for k in keys])
+
+
+def running_before(rows: DataFrame, order: list[Column], weight: str, out: str,
+                   by: list[str] | None = None) -> DataFrame:
+    """Sum of ``weight`` over all rows of the same ``by`` that come before each in ``order``.
+
+    ``order`` must be unique within ``by``. Placement in a range sort is
+    sampled, so the placed rows are written once.
     """
     by = by or []
-    order = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
-    before = (Window.unboundedPreceding, -1)
-
-    leaf = (counts.withColumn("_p2", F.shiftright(value, PREFIX_BITS))
-            .withColumn("_p1", F.shiftright(value, 2 * PREFIX_BITS)))
-    mid = leaf.groupBy(*by, "_p1", "_p2").agg(F.sum(weight).alias("_w2"))
-    top = mid.groupBy(*by, "_p1").agg(F.sum("_w2").alias("_w1"))
-
-    def prior(column: str, window) -> Column:
-        return F.coalesce(F.sum(column).over(window.rowsBetween(*before)), F.lit(0))
-
-    top = top.select(*by, "_p1", prior(
-        "_w1", Window.partitionBy(*by).orderBy(order("_p1"))).alias("_b1"))
-    mid = mid.select(*by, "_p1", "_p2", prior(
-        "_w2", Window.partitionBy(*by, "_p1").orderBy(order("_p2"))).alias("_b2"))
-    offsets = (mid.join(top, [*by, "_p1"])
-               .select(*by, "_p2", (F.col("_b1") + F.col("_b2")).alias("_b")))
-    leaf = leaf.withColumn("_b3", prior(
-        weight, Window.partitionBy(*by, "_p2").orderBy(order(value))))
-    return (leaf.join(offsets, [*by, "_p2"])
-            .withColumn(out, F.col("_b") + F.col("_b3"))
-            .drop("_p1", "_p2", "_b", "_b3"))
+    full = [*[F.col(k).asc_nulls_last() for k in by], *order]
+    placed = materialise(rows.repartitionByRange(*full).withColumn("_part", F.spark_partition_id()))
+    inside = Window.partitionBy("_part").orderBy(*full).rowsBetween(Window.unboundedPreceding, -1)
+    # one row per range: as many as there are shuffle partitions
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (placed.groupBy("_part").agg(F.sum(weight).alias("_w"))
+               .select("_part", F.coalesce(F.sum("_w").over(earlier), F.lit(0)).alias("_offset")))
+    summed = placed.withColumn(out, F.coalesce(F.sum(weight).over(inside), F.lit(0)))
+    summed = summed.join(F.broadcast(offsets), "_part").withColumn(out, F.col(out) + F.col("_offset")).drop("_part", "_offset")
+    if not by:
+        return summed
+    starts = summed.groupBy(*by).agg(F.min(out).alias("_start"))
+    return join_null_safe(summed, starts, by).withColumn(out, F.col(out) - F.col("_start")).drop("_start")
 
 
 def with_rank(df: DataFrame, value: str, out: str, *, by: list[str] | None = None,
               method: str = "rank", descending: bool = True,
               bound: DataFrame | None = None) -> DataFrame:
-    """Add ``rank`` or ``dense_rank`` of ``value``; ``bound`` caps the row count.
+    """Add ``rank`` or ``dense_rank`` of ``value``, nulls last; ``bound`` caps the row count.
 
     ``bound`` is a table (a dimension) that ``df`` cannot outgrow; when its
     size is checked and small one window does the job.
     """
     by = by or []
     if bound is not None and is_small(bound):
-        order = F.col(value).desc() if descending else F.col(value).asc()
         function = F.rank() if method == "rank" else F.dense_rank()
-        return df.withColumn(out, function.over(Window.partitionBy(*by).orderBy(order)).cast("bigint"))
-    # read several times below: written once, so the plan above runs once
-    keyed = materialise(df.withColumn("_v", _as_long(df, value)))
-    weight = F.count(F.lit(1)) if method == "rank" else F.lit(1).cast("bigint")
-    if method == "rank":
-        counts = keyed.groupBy(*by, "_v").agg(weight.alias("_n"))
-    else:
-        counts = keyed.select(*by, "_v").distinct().withColumn("_n", weight)
-    ranks = (running_before(counts, "_v", "_n", "_before", by, descending)
-             .select(*by, "_v", (F.col("_before") + 1).alias(out)))
+        return df.withColumn(out, function.over(
+            Window.partitionBy(*by).orderBy(_order(value, descending))).cast("bigint"))
+    # read twice below: written once, so the plan above runs once
+    kept = materialise(df)
+    counts = kept.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    if method != "rank":
+        counts = counts.withColumn("_n", F.lit(1).cast("bigint"))
+    ranks = (running_before(counts, [_order(value, descending)], "_n", "_before", by)
+             .select(*by, value, (F.col("_before") + 1).alias(out)))
     # one row per value on the right, so tied rows on the left may be split
-    return keyed.join(ranks, [*by, "_v"]).drop("_v")
+    return join_null_safe(kept, ranks, [*by, value])
 
 
 def with_row_number(df: DataFrame, value: str, key: str, out: str, *,
                     descending: bool = True, bound: DataFrame | None = None) -> DataFrame:
-    """Position by ``value``, ties by the unique integer ``key`` ascending."""
+    """Position by ``value``, ties by the unique ``key`` ascending; nulls last in both."""
+    order = [_order(value, descending), _order(key, False)]
     if bound is not None and is_small(bound):
-        order = F.col(value).desc() if descending else F.col(value).asc()
-        return df.withColumn(out, F.row_number().over(
-            Window.orderBy(order, F.col(key).asc())).cast("bigint"))
-    ranked = with_rank(df, value, "_rank", descending=descending)
-    ranked = materialise(ranked.withColumn("_v", _as_long(df, value)))
-    keys = (ranked.select("_v", F.col(key).cast("bigint").alias("_k"))
-            .withColumn("_n", F.lit(1).cast("bigint")))
-    inside = (running_before(keys, "_k", "_n", "_inside", ["_v"], descending=False)
-              .select(F.col("_k").alias(key), "_inside"))
-    return (ranked.join(inside, key)
-            .withColumn(out, F.col("_rank") + F.col("_inside"))
-            .drop("_rank", "_inside", "_v"))
+        return df.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    placed = running_before(df.withColumn("_n", F.lit(1).cast("bigint")), order, "_n", out)
+    return placed.withColumn(out, F.col(out) + 1).drop("_n")
 
 
 def with_ntile(df: DataFrame, tiles: int, value: str, key: str, out: str, *,
                bound: DataFrame | None = None) -> DataFrame:
-    """``NTILE(tiles)`` by descending ``value``; the first tiles get the remainder."""
+    """``NTILE(tiles)`` by descending ``value``, nulls last; the first tiles get the remainder."""
     if bound is not None and is_small(bound):
         return df.withColumn(out, F.ntile(tiles).over(
-            Window.orderBy(F.col(value).desc(), F.col(key).asc())).cast("bigint"))
+            Window.orderBy(_order(value, True), _order(key, False))).cast("bigint"))
     placed = materialise(with_row_number(df, value, key, "_pos"))
     total = placed.agg(F.count(F.lit(1))).scalar()
     size = F.floor(total / tiles)
@@ -131,13 +114,12 @@ def exact_percentiles(values: DataFrame, group: str, value: str,
     Works from value counts, so no task ever holds a whole column.
     """
     scale = int(dict(values.dtypes)[value].rstrip(")").split(",")[1])
-    # read several times below: written once, so the data is scanned once
-    counts = materialise(values.where(F.col(value).isNotNull())
-                         .withColumn("_v", _as_long(values, value))
-                         .groupBy(group, "_v").agg(F.count(F.lit(1)).alias("_n")))
-    placed = running_before(counts, "_v", "_n", "_before", [group], descending=False)
-    totals = counts.groupBy(group).agg(F.sum("_n").alias("n"))
-    placed = placed.join(totals, group)
+    counts = (values.where(F.col(value).isNotNull()).withColumn("_v", _as_long(values, value))
+              .groupBy(group, "_v").agg(F.count(F.lit(1)).alias("_n")))
+    placed = running_before(counts, [F.col("_v").asc()], "_n", "_before", [group])
+    # a row per group, and groups are the profiled columns: bounded by the schema
+    totals = placed.groupBy(group).agg(F.max(F.col("_before") + F.col("_n")).alias("n"))
+    placed = join_null_safe(placed, F.broadcast(totals), [group])
     last = F.col("n") - 1
 
     def at(position: Column) -> Column:
