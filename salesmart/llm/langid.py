@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from salesmart.llm.common import ARROW_ROWS, fresh, scan
+from salesmart.llm.common import ARROW_ROWS, Scratch, fresh, scan
 
 UNDETERMINED = "und"
 # The sample that a language's model is fitted on: so many documents of each language are expected.
@@ -149,6 +149,7 @@ def train(docs: DataFrame, sample: int = SAMPLE_PER_LANGUAGE) -> tuple[list[str]
     labelled = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()
                           & ~in_test()).select("doc_id", "lang", "text")
     shares = labelled.groupBy(F.col("lang").alias("of")).agg((F.lit(float(sample)) / F.count("*")).alias("share"))
+    shares = Scratch(docs.sparkSession, "langid").keep(shares, "shares")  # its size known, texts are not shuffled for it
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     chosen = labelled.join(shares, F.col("lang") == F.col("of")).where(place < F.col("share")).select("lang", "text")
 
