@@ -192,46 +192,62 @@ def _count_bucket(model: Model):
     def count(rows: pa.Table) -> pa.Table:
         out: list[dict] = []
         bucket = rows.column("bucket")[0].as_py()
-        chunks, words, contexts, docs = [], [], [], []
-        for row in rows.to_pylist():
-            if row["doc_ids"] is not None:
-                out.append({"kind": "text", "bucket": bucket, "chunk": row["chunk"], "longs": row["doc_ids"],
-                            "more_longs": row["tokens"], "counts": [int(h) for h in row["held"]]})
-                continue
-            data = zstandard.decompress(row["packed"])
-            many = len(data) // 6
-            words.append(np.repeat(np.array(row["words"], np.int64), row["runs"]))
-            contexts.append(np.array(row["contexts"], np.int64)[_unpacked(data[:4 * many], "<u4")])
-            docs.append(_unpacked(data[4 * many:], "<u2").astype(np.int64) + (len(chunks) << 16))
-            chunks.append(row["chunk"])
+        chunks, parts = [], []
+        for at in range(rows.num_rows):
+            row = {name: rows.column(name)[at] for name in rows.column_names}
+            chunk = row["chunk"].as_py()
+            if row["doc_ids"].is_valid:
+                out.append({"kind": "text", "bucket": bucket, "chunk": chunk, "longs": row["doc_ids"].as_py(),
+                            "more_longs": row["tokens"].values.to_numpy(), "counts": [int(h) for h in row["held"].as_py()]})
+            else:
+                parts.append([row[name].values.to_numpy() for name in ("words", "runs", "contexts")] + [row["packed"].as_py()])
+                chunks.append(chunk)
         if chunks:
-            out += _looked_up(model, bucket, chunks, *map(np.concatenate, (words, contexts, docs)))
+            out += _looked_up(model, bucket, chunks, parts)
         return pa.Table.from_pylist(out, schema=schema)
     return count
 
 
-def _looked_up(model: Model, bucket: int, chunks: list[int], word: np.ndarray, context: np.ndarray,
-               doc: np.ndarray) -> Iterator[dict]:
+def _unpack(parts: list[list]) -> tuple[np.ndarray, ...]:
+    """Words and contexts of a bucket, and for each occurrence its place in both and its document.
+
+    A document is the number of its part, then its number in the chunk, then
+    whether it is held out. Occurrences are 32-bit numbers, as they are many.
+    """
+    names, before = (np.unique(np.concatenate([part[i] for part in parts])) for i in (0, 2))
+    word_at, context_at, docs = [], [], []
+    for number, (words, runs, contexts, packed) in enumerate(parts):
+        data = zstandard.decompress(packed)
+        many = len(data) // 6
+        word_at.append(np.repeat(np.searchsorted(names, words).astype(np.int32), runs))
+        context_at.append(np.searchsorted(before, contexts).astype(np.int32)[_unpacked(data[:4 * many], "<u4")])
+        docs.append(_unpacked(data[4 * many:], "<u2").astype(np.int64) + (number << 16))
+    return names, before, np.concatenate(word_at), np.concatenate(context_at), np.concatenate(docs)
+
+
+def _looked_up(model: Model, bucket: int, chunks: list[int], parts: list[list]) -> Iterator[dict]:
+    names, before, word_at, context_at, doc = _unpack(parts)
     trained = (doc & 1) == 0
-    names, word_at = np.unique(word, return_inverse=True)
-    before, context_at = np.unique(context, return_inverse=True)
-    pairs, pair_at = np.unique(word_at * len(before) + context_at, return_inverse=True)
+    pairs, pair_at = np.unique(word_at.astype(np.int64) * len(before) + context_at, return_inverse=True)
+    pair_at = pair_at.astype(np.int32)
     pair_count = np.bincount(pair_at[trained], minlength=len(pairs))
     count = np.bincount(word_at[trained], minlength=len(names))
     if len(model.frequent):
         at = np.minimum(np.searchsorted(model.frequent, names), len(model.frequent) - 1)
         count = np.where(model.frequent[at] == names, model.frequent_counts[at], count)
     log_p = np.log10(np.maximum(unigram(count, model), 1e-300))
-    own = pair_count[pair_at]
-    seen, known = own > 0, count[word_at] > 0
-    part = np.where(seen, np.log10(np.where(own > DISCOUNTED, own - LARGE_GIVES, np.maximum(own, 1))), log_p[word_at])
+    docs = np.unique(doc)
+    doc_at = np.searchsorted(docs, doc).astype(np.int32)
+    base = np.bincount(doc_at, np.log10(count + 1.0)[word_at], len(docs))
+    log_pair = np.log10(np.where(pair_count > DISCOUNTED, pair_count - LARGE_GIVES, np.maximum(pair_count, 1)))
     as_context = np.where(names == END, 0.0, np.log10(np.maximum(count, 1)))
+    seen = (pair_count > 0)[pair_at]
+    part = np.where(seen, log_pair[pair_at], log_p[word_at])
     part -= as_context[word_at]
-    docs, doc_at = np.unique(doc, return_inverse=True)
-    base = np.bincount(doc_at, np.log10(count + 1.0)[word_at], len(docs))
     part = np.bincount(doc_at, part, len(docs))
-    counts = np.stack([np.bincount(doc_at[known], minlength=len(docs)),
-                       *[np.bincount(doc_at[own == r], minlength=len(docs)) for r in range(1, DISCOUNTED + 1)]], axis=1)
+    small = np.minimum(pair_count, DISCOUNTED + 1).astype(np.int8)[pair_at]
+    counts = np.stack([np.bincount(doc_at[(count > 0)[word_at]], minlength=len(docs)),
+                       *[np.bincount(doc_at[small == r], minlength=len(docs)) for r in range(1, DISCOUNTED + 1)]], axis=1)
     for at in np.unique(docs >> 16):
         mine = (docs >> 16) == at
         yield {"kind": "part", "bucket": bucket, "chunk": chunks[at], "longs": (docs[mine] & 0xFFFF) >> 1,
@@ -239,7 +255,7 @@ def _looked_up(model: Model, bucket: int, chunks: list[int], word: np.ndarray, c
     unseen = np.flatnonzero(~seen)
     first = np.array(chunks, np.int64)[doc[unseen] >> 16] + ((doc[unseen] & 0xFFFF) >> 1)
     for at in range(0, len(unseen), PIECE):
-        yield {"kind": "unseen", "bucket": bucket, "longs": context[unseen[at:at + PIECE]], "more_longs": first[at:at + PIECE]}
+        yield {"kind": "unseen", "bucket": bucket, "longs": before[context_at[unseen[at:at + PIECE]]], "more_longs": first[at:at + PIECE]}
     stored = np.flatnonzero(pair_count)
     of_word = pairs[stored] // len(before)
     for at in range(0, len(stored), PIECE):
@@ -297,6 +313,7 @@ def score(docs: DataFrame) -> DataFrame:
     narrow = docs.select("doc_id", held_out().alias("held"), F.col("text").cast("binary").alias("text"))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     words, model = fit_words(narrow, scratch)
+    release(spark)
     sent = narrow.mapInArrow(_send(model), OCCURRENCES)
     counted = scratch.keep(sent.groupBy("bucket").applyInArrow(_count_bucket(model), COUNTED), "counted", by="kind")
     release(spark)

@@ -68,3 +68,13 @@ def access_entry(spark: SparkSession, user: str, table: str, operation: str,
     if operation not in ACCESS_OPERATIONS:
         raise ValueError(f"operation must be one of {ACCESS_OPERATIONS}")
     return spark.createDataFrame([(user, table, operation, when, affected)], ACCESS_LOG)
+
+
+def access_entries(counts: DataFrame, user: str, what: str, operation: str, when: datetime) -> DataFrame:
+    """One row per customer of ``counts(_id, n)``: what was done to it, and to how many rows."""
+    if operation not in ACCESS_OPERATIONS:
+        raise ValueError(f"operation must be one of {ACCESS_OPERATIONS}")
+    return counts.select(
+        F.lit(user).alias("usuario_db"), F.concat(F.lit(f"{what}:id_cliente="), F.col("_id").cast("string")).alias("tabla_accedida"),
+        F.lit(operation).alias("operacion"), F.lit(when).cast("timestamp").alias("fecha_hora"),
+        F.col("n").cast("bigint").alias("filas_afectadas"))

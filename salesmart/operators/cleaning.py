@@ -95,17 +95,50 @@ def stored_keys_near(existing: DataFrame, wanted: DataFrame, key: str = "id_vent
     return existing.select(key).where((F.col(key) >= low) & (F.col(key) <= high))
 
 
+def with_loaded(rows: DataFrame, existing: DataFrame, key: str = "id_venta",
+                wanted: DataFrame | None = None) -> DataFrame:
+    """``rows`` with a flag ``_loaded``: its key is stored already. One join.
+
+    ``wanted`` is a cheap table with at least the keys of ``rows``; given, it
+    bounds the part of the stored table that is read.
+    """
+    near = existing.select(key) if wanted is None else stored_keys_near(existing, wanted, key)
+    near = near.distinct().withColumn("_stored", F.lit(True))
+    return rows.join(near, key, "left").withColumn("_loaded", F.col("_stored").isNotNull()).drop("_stored")
+
+
 def split_loaded(rows: DataFrame, existing: DataFrame, key: str = "id_venta",
                  wanted: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(new rows, rows whose key is already stored).
+    """(new rows, rows whose key is already stored); see ``with_loaded``."""
+    flagged = with_loaded(rows, existing, key, wanted)
+    return flagged.where(~F.col("_loaded")).drop("_loaded"), flagged.where("_loaded").drop("_loaded")
 
-    ``wanted`` is a cheap table with at least the keys of ``rows`` (default
-    ``rows``); it bounds the part of the stored table that is read.
+
+def outcome(raw: DataFrame, existing: DataFrame | None = None, strict: bool = False) -> DataFrame:
+    """Typed rows with ``motivo``, without later copies of good sales, parsed once.
+
+    Good rows are numbered per sale; rejected ones, which take no part in
+    that, are spread by their place so that no reason gathers in one task.
+    ``existing`` holds the keys already in the fact table; good rows among
+    them get the reason ``DUPLICADO_EN_DWH``.
     """
-    near = stored_keys_near(existing, rows if wanted is None else wanted, key)
-    # cut the stored keys down to this batch before they meet the rows
-    known = near.join(rows.select(key), key, "left_semi")
-    return rows.join(known, key, "left_anti"), rows.join(known, key, "left_semi")
+    judged = judge(raw, strict)
+    good = F.col("motivo").isNull()
+    spread = F.when(~good, F.xxhash64("_raw_id", *[c for c in ARRIVAL if c in judged.columns]))
+    first = Window.partitionBy(F.when(good, F.col("id_venta")), spread).orderBy(*ARRIVAL)
+    rows = judged.withColumn("_n", F.row_number().over(first)).where(~good | (F.col("_n") == 1)).drop("_n")
+    if existing is None:
+        return rows
+    ids = raw.select(N.to_integer(F.col("id_venta")).alias("id_venta"))
+    known = F.col("_loaded") & F.col("motivo").isNull()
+    return with_loaded(rows, existing, wanted=ids).withColumn(
+        "motivo", F.when(known, "DUPLICADO_EN_DWH").otherwise(F.col("motivo"))).drop("_loaded")
+
+
+def split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(clean rows, rejected rows with their reason) of an ``outcome``."""
+    keep = [c for c in ("id_batch",) if c in rows.columns]
+    return rows.where("motivo is null").select(*CLEAN_COLUMNS, *keep), rejected_rows(rows)
 
 
 def clean(raw: DataFrame, existing: DataFrame | None = None,

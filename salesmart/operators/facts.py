@@ -65,13 +65,14 @@ def star_rows(clean: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
 def fact_rows(keyed: DataFrame, batch_id: str, stamp: Column, start: Column | None = None) -> DataFrame:
     """Fact columns of resolved rows; discount and taxes default to zero.
 
-    ``venta_key`` only has to be unique, so it is the row's place in its
-    task above the highest stored key: no shuffle, gaps allowed.
+    A ``venta_key`` that the rows have is kept. Otherwise it only has to be
+    unique: the row's place in its task above ``start``, no shuffle, gaps allowed.
     """
     zero = F.lit(0).cast("decimal(10,2)")
     base = F.coalesce(start, F.lit(0)).cast("bigint") if start is not None else F.lit(0).cast("bigint")
     return keyed.select(
-        (base + 1 + F.monotonically_increasing_id()).alias("venta_key"), "id_venta",
+        F.col("venta_key") if "venta_key" in keyed.columns
+        else (base + 1 + F.monotonically_increasing_id()).alias("venta_key"), "id_venta",
         date_key(F.col("fecha")).alias("fecha_key"), "cliente_key", "producto_key", "vendedor_key",
         "canal_key", "ciudad_key", "cantidad", "precio_unitario", "monto_total",
         zero.alias("descuento"), zero.alias("impuestos"),

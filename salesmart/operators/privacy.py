@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from salesmart.functions import masking as M
+from salesmart.functions.normalize import to_integer
 from salesmart.session import broadcast_if_small
 
 
@@ -41,16 +42,22 @@ def pseudonymise(df: DataFrame, columns: list[str], salt: str) -> DataFrame:
     return _replace(df, **{c: M.pseudonym(F.col(c).cast("string"), salt) for c in columns})
 
 
+def customer_id(df: DataFrame) -> Column:
+    """The customer of a row as cleaning reads it, so that ``' 2001'`` and ``2001.0`` are found too."""
+    col = F.col("id_cliente")
+    return to_integer(col) if dict(df.dtypes)["id_cliente"] == "string" else col.cast("bigint")
+
+
 def erase(df: DataFrame, requests: DataFrame, stamp: Column | None = None) -> DataFrame:
     """Replace e-mail and phone of the requested customers; rows and keys stay.
 
     ``requests`` is a table of ``id_cliente``: any number of requests is one
     pass. Works on customer history, raw (text ids) and clean sales.
     """
-    ids = requests.select(F.col("id_cliente").cast("string").alias("_erase")).distinct()
-    joined = df.join(broadcast_if_small(ids, requests), F.col("id_cliente").cast("string") == F.col("_erase"), "left")
+    ids = requests.select(F.col("id_cliente").cast("bigint").alias("_erase")).distinct()
+    joined = df.join(broadcast_if_small(ids, requests), customer_id(df) == F.col("_erase"), "left")
     hit = F.col("_erase").isNotNull()
-    new = {"email_cliente": F.when(hit, M.fake_email(F.col("id_cliente"))).otherwise(F.col("email_cliente")),
+    new = {"email_cliente": F.when(hit, M.fake_email(F.col("_erase"))).otherwise(F.col("email_cliente")),
            "telefono_cliente": F.when(hit, M.PHONE_STARS).otherwise(F.col("telefono_cliente"))}
     if stamp is not None and "fecha_actualizacion" in df.columns:
         new["fecha_actualizacion"] = F.when(hit, stamp).otherwise(F.col("fecha_actualizacion"))
@@ -76,7 +83,8 @@ def portability(requests: DataFrame, customers: DataFrame, fact: DataFrame,
            .select("id_cliente", "c.campo", "c.valor", F.lit("dwh.dim_cliente").alias("tabla_origen"),
                    "fecha_registro"))
     loaded = F.col("fecha_carga") if "fecha_carga" in fact.columns else F.lit(None).cast("timestamp")
-    bought = (fact.join(broadcast_if_small(facts_of, requests), "cliente_key")
+    # a customer has many versions, so what bounds these keys is the table of customers
+    bought = (fact.join(broadcast_if_small(facts_of, customers), "cliente_key")
               .join(canal.select("canal_key", "nombre_canal"), "canal_key")
               .join(ciudad.select("ciudad_key", "nombre_ciudad"), "ciudad_key"))
     line = F.concat(F.lit("fecha="), F.col("fecha_venta").cast("string"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from salesmart.functions.normalize import blank_to_null
 from salesmart.operators.ranking import assign_keys
-from salesmart.session import is_small, materialise
+from salesmart.session import broadcast_if_small, is_small, materialise
 
 TRACKED = ("email_cliente", "telefono_cliente", "ciudad")
 
@@ -69,23 +69,37 @@ def scd2_versions(current: DataFrame, incoming: DataFrame, eff_date: date, batch
     return joined.select(F.explode(F.filter(F.array(kept, opened), lambda v: v.isNotNull())).alias("v")).select("v.*")
 
 
+def edited_in_place(history: DataFrame, incoming: DataFrame, eff_date: date, stamp: Column,
+                    tracked=TRACKED) -> DataFrame:
+    """What a merge on ``eff_date`` replaces in versions that were opened that day."""
+    new = incoming.select("id_cliente", *[blank_to_null(F.col(c)).alias(f"_new_{c}") for c in tracked])
+    today = history.where(F.col("es_registro_actual") & (F.col("fecha_vigencia_desde") == F.lit(eff_date)))
+    return today.join(new, "id_cliente").where(_differs(tracked)).select(
+        "cliente_key", "id_cliente", *tracked, "fecha_actualizacion", stamp.alias("fecha_edicion"))
+
+
 def scd2_merge(history: DataFrame, incoming: DataFrame, eff_date: date, batch_id: str,
-               stamp: Column | None = None, tracked=TRACKED) -> DataFrame:
+               stamp: Column | None = None, tracked=TRACKED, start: Column | int | None = None) -> DataFrame:
     """The whole history after merging one snapshot of incoming attributes.
 
-    Closed versions of the past are passed through without a shuffle.
+    Closed versions and customers that aren't incoming are passed through;
+    only touched customers meet the incoming ones. Opened versions get keys
+    above ``start`` (default: the highest key in use).
     """
     stamp = F.lit(eff_date).cast("timestamp") if stamp is None else stamp
     active = F.col("es_registro_actual")
-    versions = scd2_versions(history.where(active), incoming, eff_date, batch_id, stamp, tracked)
+    ids = broadcast_if_small(incoming.select("id_cliente"), incoming)
+    touched = history.where(active).join(ids, "id_cliente", "left_semi")
+    untouched = history.where(active).join(ids, "id_cliente", "left_anti").unionByName(history.where(~active))
+    versions = scd2_versions(touched, incoming, eff_date, batch_id, stamp, tracked)
     # upper bound of what gets a key: one version per incoming customer
     small = is_small(incoming)
-    if not small:
+    if not (small and is_small(history)):  # read twice below
         versions = materialise(versions)
-    start = history.agg(F.max("cliente_key")).scalar()
+    start = history.agg(F.max("cliente_key")).scalar() if start is None else start
     opened = assign_keys(versions.where("cliente_key is null").drop("cliente_key"), ["id_cliente"],
                          "cliente_key", start, bound=incoming if small else None)
-    return (history.where(~active).unionByName(versions.where("cliente_key is not null"))
+    return (untouched.unionByName(versions.where("cliente_key is not null"))
             .unionByName(opened))
 
 
@@ -93,16 +107,28 @@ def current_version(history: DataFrame) -> DataFrame:
     return history.where("es_registro_actual")
 
 
-def undo_batch(history: DataFrame, batch_id: str, stamp: Column) -> DataFrame:
-    """Drop the versions a batch opened, then reopen the ones it closed."""
-    reopened = F.coalesce(F.col("id_batch_close") == batch_id, F.lit(False))
+def undo_batch(history: DataFrame, batch_id: str, stamp: Column,
+               previous: DataFrame | None = None, tracked=TRACKED) -> DataFrame:
+    """Drop the versions a batch opened, reopen the ones it closed, take back its edits in place.
+
+    ``previous`` holds what the batch replaced (``edited_in_place``). A closed
+    version whose key is active already is left out: it was reopened by a
+    call that was cut off.
+    """
     kept = history.where(F.coalesce(F.col("id_batch_open") != batch_id, F.lit(True)))
-    return kept.select(*[
-        {"fecha_vigencia_hasta": F.when(~reopened, F.col(c)),
-         "es_registro_actual": F.col(c) | reopened,
-         "fecha_actualizacion": F.when(reopened, stamp).otherwise(F.col(c)),
-         "id_batch_close": F.when(~reopened, F.col(c))}.get(c, F.col(c)).alias(c)
-        for c in history.columns])
+    mine = F.coalesce(F.col("id_batch_close") == batch_id, F.lit(False))
+    active = kept.where("es_registro_actual")
+    reopened = kept.where(mine).join(active.select("cliente_key"), "cliente_key", "left_anti").withColumns({
+        "fecha_vigencia_hasta": F.lit(None).cast("date"), "es_registro_actual": F.lit(True),
+        "fecha_actualizacion": stamp, "id_batch_close": F.lit(None).cast("string")})
+    if previous is not None:
+        before = previous.select("cliente_key", F.lit(True).alias("_edited"),
+                                 *[F.col(c).alias(f"_old_{c}") for c in (*tracked, "fecha_actualizacion")])
+        active = active.join(before, "cliente_key", "left").select(*[
+            F.when(F.col("_edited"), F.col(f"_old_{c}")).otherwise(F.col(c)).alias(c)
+            if c in (*tracked, "fecha_actualizacion") else F.col(c) for c in history.columns])
+    closed = kept.where(~F.col("es_registro_actual") & ~mine)
+    return closed.unionByName(active).unionByName(reopened)
 
 
 def timelines(history: DataFrame) -> DataFrame:

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from salesmart.operators import access, cleaning, dimensions, facts, privacy, quality, scd2
 from salesmart.operators.calendar import build_calendar
-from salesmart.schemas import (ACCESS_LOG, BUSINESS_COLUMNS, CHANNEL, CITY, CLEAN, CUSTOMER, FACT,
-                               PRODUCT, QUALITY_LOG, RAW, REJECTED, RUN_LOG, SELLER)
-from salesmart.session import scratch_path
+from salesmart.operators.ranking import assign_keys
+from salesmart.schemas import (ACCESS_LOG, BUSINESS_COLUMNS, CHANNEL, CITY, CLEAN, CUSTOMER, FACT, KEY_MARK,
+                               PREVIOUS, PRODUCT, QUALITY_LOG, RAW, REJECTED, RUN_LOG, SELLER)
+from salesmart.session import is_small, materialise, scratch_path
 from salesmart.sources.csv_files import read_csv, stamp_lineage
 from salesmart.sources.seeds import seed_dimensions
 from salesmart.sources.tables import RETENTION_DAYS, Store
@@ -21,8 +22,11 @@ FACT_T, REJECT_T = "dwh/fact_ventas", "control/rechazos"
 RUN_T, QUALITY_T, ACCESS_T = ("control/etl_execution_log", "control/data_quality_log",
                               "control/auditoria_accesos")
 ACTIVE_T, CLOSED_T = "dwh/dim_cliente_actual", "dwh/dim_cliente_cerrado"
+PREVIOUS_T, MARK_T = "dwh/dim_cliente_previo", "control/llaves"
 MEMBER_TABLES = {"dim_canal": CHANNEL, "dim_ciudad": CITY, "dim_vendedor": SELLER, "dim_producto": PRODUCT}
-KEYED = CLEAN.replace(", id_batch string", "") + (
+# no personal columns: the keys don't need them, and erasure needn't come here
+KEYED = (CLEAN.replace(", id_batch string", "").replace(", email_cliente string", "")
+         .replace(", telefono_cliente string", "")) + (
     ", fecha_key int, cliente_key bigint, producto_key bigint, vendedor_key bigint, "
     "canal_key bigint, ciudad_key bigint, motivo string, id_batch string")
 
@@ -115,8 +119,8 @@ class Warehouse:
             raise ValueError("mode must be initial or incremental")
         log: list[tuple] = []
         step = "extract"
-        # stays behind if the driver dies; the end of the run replaces it
-        self._write_log([(step, now, None, "INICIADO", 0, 0, 0, None, batch_id)], batch_id)
+        # stays behind if the driver dies; the end of this attempt replaces it
+        self._write_log([(step, now, None, "INICIADO", 0, 0, 0, None, batch_id)], batch_id, now)
         try:
             self.store.overwrite_batch(RAW_T, stamp_lineage(rows, batch_id, now).select(
                 *BUSINESS_COLUMNS, "fecha_carga", "archivo_origen", "row_seq"), batch_id)
@@ -131,37 +135,46 @@ class Warehouse:
             quality.check_gate(score, threshold)
 
             step = "clean"
-            good, rejected = cleaning.clean(raw, loaded, strict)
-            self.store.overwrite_batch(CLEAN_T, good.withColumn(
-                "fecha_procesamiento", F.lit(now).cast("timestamp")), batch_id)
-            self.store.overwrite_batch(REJECT_T, rejected, batch_id)
+            # judged once and written down: both tables are cut from the same rows
+            stamp = F.lit(now).cast("timestamp")
+            good, rejected = cleaning.split(materialise(cleaning.outcome(raw, loaded, strict)))
+            self.store.overwrite_batch(CLEAN_T, good.withColumn("fecha_procesamiento", stamp), batch_id)
+            self.store.overwrite_batch(REJECT_T, rejected.withColumn("fecha_rechazo", stamp), batch_id)
             clean = self.store.read_batch(CLEAN_T, CLEAN, batch_id)
             n_clean = clean.count()
             n_rejected = self.store.read_batch(REJECT_T, REJECTED, batch_id).count()
             self._log(log, step, now, extracted, n_clean, n_rejected, batch_id)
 
             step = "dimensions"
-            self._load_dimensions(clean, batch_id, now)
+            keys = self._reserve(batch_id, n_clean)
+            self._load_dimensions(clean, batch_id, now, keys)
             self._log(log, step, now, n_clean, n_clean, 0, batch_id)
 
             step = "fact"
-            n_fact, n_skipped, n_lost = self._load_fact(clean, batch_id, now, by_date)
+            n_fact, n_skipped, n_lost = self._load_fact(clean, batch_id, now, by_date, keys)
             self._log(log, step, now, n_fact + n_lost + n_skipped, n_fact, n_lost, batch_id)
 
             step = "cleanup"
             for name, (stamp, days) in (RETENTION_DAYS if retention is None else retention).items():
-                schema = {RAW_T: RAW, CLEAN_T: CLEAN, QUALITY_T: QUALITY_LOG, RUN_T: RUN_LOG}[name]
+                schema = {RAW_T: RAW, CLEAN_T: CLEAN, QUALITY_T: QUALITY_LOG, RUN_T: RUN_LOG,
+                          KEYED_T: KEYED, REJECT_T: REJECTED}[name]
                 self.store.expire(name, schema, stamp, days, now)
             self._log(log, step, now, 0, 0, 0, batch_id)
         except Exception as error:
-            self._log(log, step, now, 0, 0, 0, batch_id, "FALLIDO", str(error)[:500])
+            self._log(log, step, now, 0, 0, 0, batch_id, "FALLIDO", str(error))
             raise
         finally:
-            self._write_log(log, batch_id)
+            self._write_log(log, batch_id, now)
         return BatchResult(batch_id, mode, extracted, n_clean, n_rejected, n_fact, n_skipped, n_lost, score)
 
-    def _write_log(self, rows: list[tuple], batch_id: str) -> None:
-        self.store.overwrite_batch(RUN_T, self.spark.createDataFrame(rows, RUN_LOG).coalesce(1), batch_id)
+    def _write_log(self, rows: list[tuple], batch_id: str, attempt: datetime | None = None) -> None:
+        """Add the rows of an attempt to the batch's log, in place of its start; without one, replace the log."""
+        kept = []
+        if attempt is not None:  # a few rows per attempt
+            kept = [tuple(r) for r in self.store.read_batch(RUN_T, RUN_LOG, batch_id).collect()
+                    if not (r.estado == "INICIADO" and r.fecha_inicio == attempt)]
+        log = self.spark.createDataFrame([*kept, *rows], RUN_LOG)
+        self.store.overwrite_batch(RUN_T, log.coalesce(1), batch_id)
 
     def _log(self, log, step, now, seen, good, bad, batch_id, state=None, error=None):
         state = state or ("PARCIAL" if step == "fact" and bad else "EXITOSO")
@@ -176,17 +189,54 @@ class Warehouse:
         stored = self.store.read_batch(QUALITY_T, QUALITY_LOG, batch_id)
         return float(quality.score_mean_of_rules(stored).first().score)
 
-    def _load_dimensions(self, clean: DataFrame, batch_id: str, now: datetime) -> None:
+    def _reserve(self, batch_id: str, rows: int) -> dict[str, int]:
+        """The key above which a batch of ``rows`` sales may number, by table.
+
+        A batch keeps what it once reserved, so that a rerun gives the same
+        keys. Marks are never lowered, so no key is given twice, also after a
+        rollback. Without any mark the highest keys in use are where to start.
+        """
+        mine = F.col("id_batch") == batch_id
+        marks = {r.tabla: r for r in self.store.read(MARK_T, KEY_MARK).groupBy("tabla").agg(
+            F.max("hasta").alias("hasta"), F.max(F.when(mine, F.col("desde"))).alias("desde"),
+            F.max(F.when(mine, F.col("hasta"))).alias("propio")).collect()}  # a row per table
+        tables = {"fact_ventas": lambda: self.fact().agg(F.max("venta_key")),
+                  "dim_cliente": lambda: self.customers().agg(F.max("cliente_key"))}
+        for name in MEMBER_TABLES:
+            key = name.removeprefix("dim_") + "_key"
+            tables[name] = lambda name=name, key=key: self.members(name).agg(F.max(key))
+        out = {}
+        for name, highest in tables.items():
+            mark = marks.get(name)
+            if mark is not None and mark.desde is not None and mark.propio - mark.desde >= rows:
+                out[name] = (mark.desde, mark.propio)
+            else:
+                top = mark.hasta if mark is not None else highest().first()[0] or 0
+                out[name] = (top, top + rows)
+        if any(name not in marks or marks[name].desde != low for name, (low, _) in out.items()):
+            self.store.overwrite_batch(MARK_T, self.spark.createDataFrame(
+                [(name, low, high, batch_id) for name, (low, high) in out.items()], KEY_MARK).coalesce(1), batch_id)
+        return {name: low for name, (low, _) in out.items()}
+
+    def _load_dimensions(self, clean: DataFrame, batch_id: str, now: datetime, keys: dict[str, int]) -> None:
         makers = {"dim_canal": dimensions.new_channels, "dim_ciudad": dimensions.new_cities,
                   "dim_vendedor": dimensions.new_sellers, "dim_producto": dimensions.new_products}
-        for name, maker in makers.items():
-            new = maker(self.members(name), clean)
+        names = materialise(dimensions.member_names(clean))
+        for (name, maker), column in zip(makers.items(), dimensions.MEMBER_COLUMNS, strict=True):
+            new = materialise(maker(self.members(name), dimensions.names_of(names, column), keys[name]))
+            if new.isEmpty():
+                continue
             missing = [F.lit(None).cast(kind).alias(c) for c, kind in
                        (field.strip().split(" ") for field in _fields(MEMBER_TABLES[name])) if c not in new.columns]
             self.store.append_batch(f"dwh/{name}", new.select("*", *missing), batch_id)
 
-        merged = scd2.scd2_merge(self.customers(), scd2.latest_attributes(clean), now.date(),
-                                 batch_id, F.lit(now).cast("timestamp"))
+        incoming, stamp = materialise(scd2.latest_attributes(clean)), F.lit(now).cast("timestamp")
+        edited = scd2.edited_in_place(self.customers(), incoming, now.date(), stamp)
+        known = self.store.read_batch(PREVIOUS_T, PREVIOUS, batch_id)
+        edited = materialise(edited.join(known.select("cliente_key"), "cliente_key", "left_anti"))
+        if not edited.isEmpty():  # before the edit itself: what is replaced is on record first
+            self.store.append_batch(PREVIOUS_T, edited, batch_id)
+        merged = scd2.scd2_merge(self.customers(), incoming, now.date(), batch_id, stamp, start=keys["dim_cliente"])
         just_closed = merged.where(~F.col("es_registro_actual") & (F.col("id_batch_close") == batch_id))
         known = self.store.read_batch(CLOSED_T, _with_batch(CUSTOMER), batch_id)
         # closed rows first: a run cut off in between is repaired by running the batch again
@@ -194,7 +244,7 @@ class Warehouse:
                                 batch_id)
         self.store.write_snapshot(ACTIVE_T, merged.where("es_registro_actual"))
 
-    def _load_fact(self, clean, batch_id, now, by_date) -> tuple[int, int, int]:
+    def _load_fact(self, clean, batch_id, now, by_date, keys) -> tuple[int, int, int]:
         dims = self.dims()
         if by_date:
             dims["dim_cliente"] = self.customers()
@@ -204,9 +254,12 @@ class Warehouse:
         keyed = self.store.read_batch(KEYED_T, KEYED, batch_id)
         others = self.store.read_other(FACT_T, FACT, batch_id)
         new, known = facts.insert_new(others, facts.resolved(keyed))
-        start = others.agg(F.max("venta_key")).scalar()
+        # numbered in the order of sale ids: same keys on a rerun, and sorted files, whose
+        # statistics let the search for stored keys skip row groups
+        numbered = assign_keys(new, ["id_venta"], "venta_key", keys["fact_ventas"],
+                               bound=keyed if is_small(keyed) else None)
         self.store.overwrite_batch(FACT_T, facts.fact_rows(
-            new, batch_id, F.lit(now).cast("timestamp"), start), batch_id)
+            numbered, batch_id, F.lit(now).cast("timestamp")), batch_id)
         loaded = self.store.read_batch(FACT_T, FACT, batch_id).count()
         lost = keyed.where("motivo is not null").count()
         return loaded, keyed.count() - loaded - lost, lost
@@ -214,51 +267,76 @@ class Warehouse:
     # -- operations ------------------------------------------------------------
 
     def rollback(self, batch_id: str, now: datetime) -> None:
-        """Undo a batch: facts, customer versions, staging; the run log says so."""
-        later = self.store.read(CLOSED_T, _with_batch(CUSTOMER)).where(
-            (F.col("id_batch_open") == batch_id) & (F.col("id_batch_close") != batch_id))
-        if not later.isEmpty():
-            raise ValueError(f"a later batch changed customers opened by {batch_id}; undo it first")
+        """Undo a batch: facts, customer versions, edits in place, staging; the run log says so.
+
+        Refused when a later batch has sold to, closed or edited a customer
+        version that this batch opened or edited: undo that batch first. May
+        be repeated after it was cut off.
+        """
+        self._refuse_if_built_on(batch_id)
         stamp = F.lit(now).cast("timestamp")
-        restored = scd2.undo_batch(self.customers(), batch_id, stamp).where("es_registro_actual")
+        previous = self.store.read_batch(PREVIOUS_T, PREVIOUS, batch_id)
+        restored = scd2.undo_batch(self.customers(), batch_id, stamp, previous).where("es_registro_actual")
         self.store.drop_batch(FACT_T, batch_id)
         self.store.write_snapshot(ACTIVE_T, restored)
-        for name in (CLOSED_T, RAW_T, CLEAN_T, KEYED_T, REJECT_T):
+        for name in (CLOSED_T, PREVIOUS_T, RAW_T, CLEAN_T, KEYED_T, REJECT_T):
             self.store.drop_batch(name, batch_id)
         if batch_id in self.store.batches(RUN_T):
             log = self.store.read_batch(RUN_T, RUN_LOG, batch_id).collect()  # a few rows per batch
             marked = [(*row[:3], "REVERTIDO", *row[4:7], "Rollback manual ejecutado", row[8]) for row in log]
             self._write_log(marked, batch_id)
 
+    def _refuse_if_built_on(self, batch_id: str) -> None:
+        customers, previous = self.customers(), self.store.read(PREVIOUS_T, PREVIOUS)
+        other = F.coalesce(F.col("id_batch") != batch_id, F.lit(True))
+        opened = customers.where(F.col("id_batch_open") == batch_id).select("cliente_key")
+        edited = previous.where(~other).select("cliente_key", F.col("fecha_edicion").alias("_mine"))
+        ours = opened.unionByName(edited.select("cliente_key"))
+        closed = customers.where(F.coalesce(F.col("id_batch_close") != batch_id, F.lit(False))).join(
+            ours, "cliente_key", "left_semi")
+        sold = self.fact().where(other).join(opened, "cliente_key", "left_semi")
+        again = previous.where(other).join(opened, "cliente_key", "left_semi")
+        after = previous.where(other).join(edited, "cliente_key").where("fecha_edicion >= _mine")
+        for found, what in ((closed, "changed"), (sold, "sold to"), (again, "edited"), (after, "edited")):
+            if not found.isEmpty():
+                raise ValueError(f"a later batch {what} customers opened or edited by {batch_id}; undo it first")
+
     def erase_customers(self, requests: DataFrame, user: str, now: datetime) -> int:
-        """Replace the personal data of the requested customers everywhere; audited.
+        """Replace the personal data of the requested customers everywhere; audited by customer.
 
-        Only batches that hold a requested customer are rewritten. Returns
-        the customer versions affected.
+        Only batches that hold a requested customer are rewritten, and no
+        earlier snapshot stays. Returns the customer versions affected.
         """
         stamp = F.lit(now).cast("timestamp")
-        ids = requests.select(F.col("id_cliente").cast("string").alias("_id")).distinct()
+        ids = requests.select(F.col("id_cliente").cast("bigint").alias("_id")).distinct()
 
         def concerned(df):
-            hits = df.join(ids, df.id_cliente.cast("string") == F.col("_id"), "left_semi")
+            hits = df.join(ids, privacy.customer_id(df) == F.col("_id"), "left_semi")
             return df.join(hits.select("id_batch").distinct(), "id_batch", "left_semi")
 
-        self._audit(user, "DERECHO_AL_OLVIDO", "DELETE", now, 0)
-        affected = self.customers().join(
-            ids, F.col("id_cliente").cast("string") == F.col("_id"), "left_semi").count()
+        self._audit_each(ids.withColumn("n", F.lit(0).cast("bigint")), user, "DERECHO_AL_OLVIDO", now)
+        versions = self.customers().join(ids, F.col("id_cliente") == F.col("_id"))
+        counts = materialise(ids.join(versions.groupBy("_id").agg(F.count(F.lit(1)).alias("n")), "_id", "left")
+                             .select("_id", F.coalesce("n", F.lit(0)).alias("n")))
         active = self.store.read_snapshot(ACTIVE_T, CUSTOMER)
-        self.store.write_snapshot(ACTIVE_T, privacy.erase(active, requests, stamp))
-        for name, schema in ((CLOSED_T, _with_batch(CUSTOMER)), (RAW_T, RAW), (CLEAN_T, CLEAN), (KEYED_T, KEYED)):
+        self.store.write_snapshot(ACTIVE_T, privacy.erase(active, requests, stamp), keep=1)
+        for name, schema in ((CLOSED_T, _with_batch(CUSTOMER)), (PREVIOUS_T, PREVIOUS), (RAW_T, RAW), (CLEAN_T, CLEAN)):
             if not self.store.batches(name):
                 continue
             erased = privacy.erase(concerned(self.store.read(name, schema)), requests, stamp)
             # through a scratch table: the folders being replaced are also being read
             scratch = scratch_path(self.spark, "erase")
-            erased.write.parquet(scratch)
-            self.store.rewrite_batches(name, self.spark.read.schema(schema).parquet(scratch))
-            self.store._drop(scratch)
-        self._audit(user, "DERECHO_AL_OLVIDO_COMPLETADO", "DELETE", now, affected)
-        return affected
+            try:
+                erased.write.parquet(scratch)
+                self.store.rewrite_batches(name, self.spark.read.schema(schema).parquet(scratch))
+            finally:
+                self.store._drop(scratch)
+        self._audit_each(counts, user, "DERECHO_AL_OLVIDO_COMPLETADO", now)
+        return counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+    def _audit_each(self, counts: DataFrame, user: str, what: str, now: datetime) -> None:
+        """One audit row per customer of ``counts(_id, n)``."""
+        self.store.append_batch(ACCESS_T, access.access_entries(counts, user, what, "DELETE", now), f"{now:%Y%m%d}")
 
     def portability(self, requests: DataFrame, user: str, now: datetime) -> DataFrame:
         """All data of the requested customers; the read is audited."""

@@ -17,7 +17,15 @@ CLEAN = (
     "email_cliente string, telefono_cliente string, monto_total decimal(15,2), "
     "fecha_procesamiento timestamp, id_batch string")
 
-REJECTED = "id_venta string, motivo string, id_batch string"
+REJECTED = "id_venta string, motivo string, fecha_rechazo timestamp, id_batch string"
+
+# attributes that an edit in place replaced, so that a rollback can bring them back
+PREVIOUS = (
+    "cliente_key bigint, id_cliente bigint, email_cliente string, telefono_cliente string, ciudad string, "
+    "fecha_actualizacion timestamp, fecha_edicion timestamp, id_batch string")
+
+# keys reserved for a batch: above ``desde`` up to ``hasta``; never given again
+KEY_MARK = "tabla string, desde bigint, hasta bigint, id_batch string"
 
 CUSTOMER = (
     "cliente_key bigint, id_cliente bigint, email_cliente string, telefono_cliente string, "

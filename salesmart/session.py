@@ -32,7 +32,9 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def build_session(app: str = "salesmart", master: str | None = None,
                   shuffle_partitions: int | None = None) -> SparkSession:
-    builder = SparkSession.builder.appName(app)
+    builder = SparkSession.builder.appName(app).config(
+        # checkpoints hold customer rows: they go when nothing refers to them
+        "spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
     if shuffle_partitions:

@@ -17,8 +17,10 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# days a row stays; tables not named here are kept for good
+# Days a row stays, and the column that says since when; tables not named here are kept for good.
 RETENTION_DAYS = {
+    "staging/ventas_llaves": ("fecha_procesamiento", 7),
+    "control/rechazos": ("fecha_rechazo", 30),
     "staging/ventas_raw": ("fecha_carga", 7),
     "staging/ventas_clean": ("fecha_procesamiento", 30),
     "control/data_quality_log": ("fecha_validacion", 365),
@@ -117,6 +119,7 @@ class Store:
         return self.spark.read.schema(schema).parquet(f"{self.path(name)}/{versions[-1 - back]}")
 
     def write_snapshot(self, name: str, df: DataFrame, keep: int = 2) -> str:
+        """Write a new version; of the versions then there, the newest ``keep`` stay."""
         versions = self.versions(name)
         version = f"v{(int(versions[-1][1:]) if versions else 0) + 1:08d}"
         df.write.mode("overwrite").parquet(f"{self.path(name)}/{version}")

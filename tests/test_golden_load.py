@@ -198,7 +198,7 @@ def test_retention_and_privacy_jobs(loaded, tmp_path):
         assert all(r.telefono_cliente == "**********" for r in rows)
     assert house.raw().count() == 29 and house.clean().count() == 24
     audit = {(r.tabla_accedida, r.operacion, r.filas_afectadas) for r in house.access_log().collect()}
-    assert ("DERECHO_AL_OLVIDO_COMPLETADO", "DELETE", 1) in audit and ("PORTABILIDAD", "SELECT", None) in audit
+    assert ("DERECHO_AL_OLVIDO_COMPLETADO:id_cliente=2003", "DELETE", 1) in audit and ("PORTABILIDAD", "SELECT", None) in audit
     house.write_test_copy()
     copy = house.spark.read.parquet(house.store.path("test_data/ventas_anonimo"))
     assert copy.count() == 24 and copy.where("email_cliente like '%@email.com'").isEmpty()
