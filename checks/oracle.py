@@ -309,7 +309,9 @@ WITH {RAW_WITH}, log AS (
 UNION ALL {_DUPS.format(name='UNIQUENESS:id_venta')}
 UNION ALL SELECT 'UNIQUENESS:cross_file', (SELECT count(*) FROM raw),
   (SELECT count(*) FROM (SELECT DISTINCT {_int('id_venta')} AS i FROM raw) WHERE i IN (SELECT id_venta FROM loaded))
-UNION ALL SELECT 'CONSISTENCY:monto_total', count(*), count(*) FILTER (abs(monto_total - cantidad * precio_unitario) > 0.01) FROM good)
+UNION ALL SELECT 'CONSISTENCY:monto_total', count(*), count(*) FILTER (abs(monto_total - cantidad * precio_unitario) > 0.01) FROM (
+  SELECT CAST(l_quantity AS INTEGER) AS cantidad, CAST(l_extendedprice AS DECIMAL(15,2)) AS monto_total,
+         CAST(CAST(l_extendedprice AS DECIMAL(15,2)) / CAST(l_quantity AS INTEGER) AS DECIMAL(12,2)) AS precio_unitario FROM lineitem))
 {_LOG_SELECT}
 """
 ORACLE["profile_quality_log"] = f"""
@@ -521,8 +523,12 @@ FROM merged
 """
 ORACLE["scd2_undo"] = f"""
 WITH {HISTORY}
-SELECT cliente_key, id_cliente, CAST(desde AS VARCHAR) AS fecha_vigencia_desde, CAST(hasta AS VARCHAR) AS fecha_vigencia_hasta,
-       CAST(actual AS BIGINT) AS es_registro_actual, opened AS id_batch_open, closed AS id_batch_close FROM stored
+SELECT s.cliente_key, s.id_cliente, s.email_cliente, s.telefono_cliente, s.ciudad, CAST(s.desde AS VARCHAR) AS fecha_vigencia_desde,
+       CAST(s.hasta AS VARCHAR) AS fecha_vigencia_hasta, CAST(s.actual AS BIGINT) AS es_registro_actual,
+       '1995-01-01 00:00:00' AS fecha_creacion,
+       CASE WHEN s.actual AND m.changed AND NOT m.same_day THEN '2002-01-02 00:00:00' END AS fecha_actualizacion,
+       s.opened AS id_batch_open, s.closed AS id_batch_close
+FROM stored s JOIN moved m ON m.id_cliente = s.id_cliente
 """
 _BROKEN = """
 SELECT id_cliente, count(*) AS total_versiones, count(*) FILTER ({flag}) AS versiones_activas, count(*) FILTER (gap) AS cortes, '{case}' AS caso
@@ -698,7 +704,7 @@ SELECT medida, miembro, CAST(valor AS DOUBLE) AS valor, dense_rank() OVER (PARTI
 """
 ORACLE["kpi_light"] = f"""
 WITH {STAR}, m AS (SELECT CAST(date_trunc('month', fecha) AS DATE) AS mes, sum(monto_total) AS s FROM fact GROUP BY 1),
-t AS (SELECT 'calendar' AS base, CAST(sum(s) AS DOUBLE) / 84 * 1.05 AS meta FROM m
+t AS (SELECT 'calendar' AS base, CAST(sum(s) AS DOUBLE) / ((year(max(mes)) - year(min(mes)) + 1) * 12) * 1.05 AS meta FROM m
       UNION ALL SELECT 'active', CAST(sum(s) AS DOUBLE) / count(*) * 1.05 FROM m)
 SELECT base, CAST(mes AS VARCHAR) AS mes, CAST(s AS DOUBLE) AS ventas, meta,
        CASE WHEN CAST(s AS DOUBLE) >= meta THEN 'Verde' WHEN CAST(s AS DOUBLE) >= meta * 0.90 THEN 'Amarillo' ELSE 'Rojo' END AS color_kpi

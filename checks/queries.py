@@ -131,8 +131,7 @@ def email_phone_checks(spark, sf_dir):
 @register
 def quality_log(spark, sf_dir):
     raw = _raw(spark, sf_dir)
-    good, _ = cleaning.clean(raw)
-    return quality.quality_log(raw, _loaded_ids(raw), good)
+    return quality.quality_log(raw, _loaded_ids(raw), order_star(spark, sf_dir).lines())
 
 
 @register
@@ -291,13 +290,15 @@ def ranks_with_gaps(spark, sf_dir):
 @register
 def new_dim_members(spark, sf_dir):
     """Members of the clean sales that the stored dimensions lack."""
-    clean, stored = cleaning.clean(_raw(spark, sf_dir))[0], _test_dims(spark, sf_dir)
+    stored = _test_dims(spark, sf_dir)
+    names = materialise(dimensions.member_names(cleaning.clean(_raw(spark, sf_dir))[0]))
     out = None
     for kind, natural, maker in (("canal", "nombre_canal", dimensions.new_channels),
                                  ("ciudad", "nombre_ciudad", dimensions.new_cities),
                                  ("vendedor", "nombre_vendedor", dimensions.new_sellers),
                                  ("producto", "id_producto", dimensions.new_products)):
-        rows = maker(stored[f"dim_{kind}"], clean).select(
+        column = "id_producto" if kind == "producto" else kind
+        rows = maker(stored[f"dim_{kind}"], dimensions.names_of(names, column)).select(
             F.lit(kind).alias("dimension"), F.col(f"{kind}_key").alias("clave"),
             F.col(natural).cast("string").alias("miembro"))
         out = rows if out is None else out.unionByName(rows)
@@ -362,10 +363,10 @@ def scd2_history(spark, sf_dir):
 
 @register
 def scd2_undo(spark, sf_dir):
-    """The merge undone: the stored history again, but for touch times and same-day edits."""
-    undone = scd2.undo_batch(_merged_history(spark, sf_dir), "b2", F.lit("2002-01-02").cast("timestamp"))
-    return undone.select("cliente_key", "id_cliente", "fecha_vigencia_desde", "fecha_vigencia_hasta",
-                         "es_registro_actual", "id_batch_open", "id_batch_close")
+    """The merge undone: the stored history again, same-day edits too; reopened versions carry the time of the undo."""
+    edited = scd2.edited_in_place(_customer_history(spark, sf_dir), _customer_snapshot(spark, sf_dir), EFFECTIVE,
+                                  F.lit("2002-01-01").cast("timestamp"))
+    return scd2.undo_batch(_merged_history(spark, sf_dir), "b2", F.lit("2002-01-02").cast("timestamp"), edited)
 
 
 @register
@@ -432,7 +433,8 @@ def fact_unresolved(spark, sf_dir):
 @register
 def fact_insert_new(spark, sf_dir):
     """Rows to add and rows skipped when the first file is already in the fact."""
-    new, known = facts.insert_new(_loaded_ids(_raw(spark, sf_dir)), facts.resolved(_keyed(spark, sf_dir)))
+    flagged = materialise(cleaning.with_loaded(facts.resolved(_keyed(spark, sf_dir)), _loaded_ids(_raw(spark, sf_dir))))
+    new, known = flagged.where(~F.col("_loaded")), flagged.where("_loaded")
     rows = facts.fact_rows(new, "b9", F.lit("2024-01-01").cast("timestamp")).select(
         "id_venta", "fecha_key", "monto_total", "descuento", "impuestos", "monto_neto", "id_batch")
     skipped = known.select("id_venta", F.lit(None).cast("int").alias("fecha_key"), "monto_total",
@@ -552,6 +554,9 @@ def shares(spark, sf_dir):
 @register
 def dense_ranks(spark, sf_dir):
     star = order_star(spark, sf_dir)
+    # products and sellers from one reading of the line items, without the orders
+    lines = materialise(star.lines().groupingSets([["producto_key"], ["vendedor_key"]], "producto_key", "vendedor_key").agg(
+        F.sum("monto_total").alias("monto_total"), F.sum("cantidad").alias("cantidad")))
     def ranked(fact, dim, name, value, label):
         key = f"{dim}_key"
         sums = fact.groupBy(key).agg(F.sum(value).alias("valor")).join(
@@ -560,17 +565,16 @@ def dense_ranks(spark, sf_dir):
         return out.select(F.lit(label).alias("medida"), F.col(name).alias("miembro"),
                           F.col("valor").cast("double").alias("valor"), "ranking")
     return (ranked(star.totals("ciudad"), "ciudad", "nombre_ciudad", "monto_total", "ciudad")
-            .unionByName(ranked(star.sales(), "vendedor", "nombre_vendedor", "monto_total", "vendedor"))
-            .unionByName(ranked(star.sales(), "producto", "nombre_producto", "monto_total", "producto_monto"))
-            .unionByName(ranked(star.sales(), "producto", "nombre_producto", "cantidad", "producto_unidades")))
+            .unionByName(ranked(lines, "vendedor", "nombre_vendedor", "monto_total", "vendedor"))
+            .unionByName(ranked(lines, "producto", "nombre_producto", "monto_total", "producto_monto"))
+            .unionByName(ranked(lines, "producto", "nombre_producto", "cantidad", "producto_unidades")))
 
 
 @register
 def kpi_light(spark, sf_dir):
     star = order_star(spark, sf_dir)
-    years = star.fecha.where(F.year("fecha").between(1995, 2001))
-    by_calendar = measures.kpi_light(star.totals(), years).withColumn("base", F.lit("calendar"))
-    active = measures.kpi_light(star.totals(), years, months="active").withColumn("base", F.lit("active"))
+    by_calendar = measures.kpi_light(star.totals(), star.fecha).withColumn("base", F.lit("calendar"))
+    active = measures.kpi_light(star.totals(), star.fecha, months="active").withColumn("base", F.lit("active"))
     return by_calendar.unionByName(active)
 
 
@@ -676,10 +680,8 @@ def access_log(spark, sf_dir):
     """One audit row per erased customer with the versions that were changed."""
     merged = _merged_history(spark, sf_dir)
     hit = merged.join(_requests(spark, sf_dir), "id_cliente", "left_semi")
-    return hit.groupBy("id_cliente").agg(F.count(F.lit(1)).alias("filas_afectadas")).select(
-        F.lit("etl").alias("usuario_db"), F.concat(F.lit("DERECHO_AL_OLVIDO_COMPLETADO:id_cliente="),
-                                                   F.col("id_cliente").cast("string")).alias("tabla_accedida"),
-        F.lit("DELETE").alias("operacion"), "filas_afectadas")
+    counts = hit.groupBy(F.col("id_cliente").alias("_id")).agg(F.count(F.lit(1)).alias("n"))
+    return access.access_entries(counts, "etl", "DERECHO_AL_OLVIDO_COMPLETADO", "DELETE", datetime(2026, 3, 1)).drop("fecha_hora")
 
 
 # ---- increments, streams, whole jobs ------------------------------------------

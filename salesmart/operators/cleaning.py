@@ -85,14 +85,15 @@ def dedupe_first(rows: DataFrame, key: str = "id_venta", order: tuple[str, ...]
     return rows.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
 
 
-def stored_keys_near(existing: DataFrame, wanted: DataFrame, key: str = "id_venta") -> DataFrame:
-    """Keys of ``existing`` inside the key range of ``wanted``.
+def stored_keys_near(existing: DataFrame, wanted: DataFrame, key: str = "id_venta",
+                     columns: tuple[str, ...] = ()) -> DataFrame:
+    """Keys (and ``columns``) of ``existing`` inside the key range of ``wanted``.
 
     The range is two scalar subqueries that reach the scan of the stored
     table, where keys grow with time: old row groups are not read.
     """
     low, high = wanted.agg(F.min(key)).scalar(), wanted.agg(F.max(key)).scalar()
-    return existing.select(key).where((F.col(key) >= low) & (F.col(key) <= high))
+    return existing.select(key, *columns).where((F.col(key) >= low) & (F.col(key) <= high))
 
 
 def with_loaded(rows: DataFrame, existing: DataFrame, key: str = "id_venta",

@@ -144,22 +144,40 @@ def with_percent(log: DataFrame) -> DataFrame:
                       pct.alias("porcentaje_calidad"), detail.alias("detalles"))
 
 
-def quality_log(raw: DataFrame, existing: DataFrame | None = None,
-                clean: DataFrame | None = None) -> DataFrame:
-    """Log of the batch load; ``existing`` adds the cross-file rule, ``clean`` consistency."""
-    log = count_invalid(raw, load_rules()).select(
-        "regla_calidad", "registros_evaluados", "registros_invalidos")
-    unique = repeated_rows(raw).withColumn("regla_calidad", F.lit("UNIQUENESS:id_venta"))
-    log = log.unionByName(unique)
+def one_pass_log(raw: DataFrame, rules: list[Rule], unique: str, existing: DataFrame | None = None,
+                 key: str = "id_venta") -> DataFrame:
+    """All rules, the rule ``unique`` for repeated keys, and against ``existing`` the cross-file rule, in one scan.
+
+    Broken rules are counted per key, in each task first, and the counts are
+    summed; a frequent key is one row by then. The stored keys meet the keys
+    of the batch, not its rows.
+    """
+    names = list(dict.fromkeys(r.name for r in rules))
+    broken = [sum((F.count_if(r.invalid) for r in rules if r.name == name), F.lit(0)).alias(f"r{i}")
+              for i, name in enumerate(names)]
+    keys = raw.groupBy(key).agg(F.count(F.lit(1)).alias("n"), *broken)
+    zero = lambda column: F.coalesce(F.sum(column), F.lit(0))
+    sums = [zero("n").alias("registros_evaluados"), *[zero(f"r{i}").alias(f"r{i}") for i in range(len(names))],
+            zero(F.when(F.col("n") > 1, F.col("n"))).alias(f"r{len(names)}")]
+    names = [*names, unique]
     if existing is not None:
-        found = loaded_keys(raw, existing).agg(F.count(F.lit(1)))
-        cross = raw.agg(F.count(F.lit(1)).alias("registros_evaluados")).select(
-            "registros_evaluados", found.scalar().alias("registros_invalidos"),
-            F.lit("UNIQUENESS:cross_file").alias("regla_calidad"))
-        log = log.unionByName(cross)
-    if clean is not None:
+        stored = existing.select(F.col(key).cast("bigint").alias("_stored")).distinct()
+        keys = keys.withColumn("_id", N.to_integer(F.col(key))).join(stored, F.col("_id") == F.col("_stored"), "left")
+        sums.append(F.count_distinct("_stored").alias(f"r{len(names)}"))
+        names.append("UNIQUENESS:cross_file")
+    pairs = ", ".join(f"'{name}', r{i}" for i, name in enumerate(names))
+    return keys.agg(*sums).selectExpr(
+        f"stack({len(names)}, {pairs}) as (regla_calidad, registros_invalidos)", "registros_evaluados").select(
+            "regla_calidad", "registros_evaluados", "registros_invalidos")
+
+
+def quality_log(raw: DataFrame, existing: DataFrame | None = None,
+                stored: DataFrame | None = None) -> DataFrame:
+    """Log of the batch load; ``existing`` adds the cross-file rule, stored facts the consistency of amounts."""
+    log = one_pass_log(raw, load_rules(), "UNIQUENESS:id_venta", existing)
+    if stored is not None:
         off = F.abs(F.col("monto_total") - F.col("cantidad") * F.col("precio_unitario")) > 0.01
-        log = log.unionByName(clean.agg(
+        log = log.unionByName(stored.agg(
             F.count(F.lit(1)).alias("registros_evaluados"),
             F.count_if(off).alias("registros_invalidos")).withColumn(
                 "regla_calidad", F.lit("CONSISTENCY:monto_total")))
@@ -168,10 +186,7 @@ def quality_log(raw: DataFrame, existing: DataFrame | None = None,
 
 def profile_log(raw: DataFrame) -> DataFrame:
     """Log of the profiler."""
-    log = count_invalid(raw, profile_rules()).select(
-        "regla_calidad", "registros_evaluados", "registros_invalidos")
-    unique = repeated_rows(raw).withColumn("regla_calidad", F.lit("DUPLICATES:id_venta"))
-    return with_percent(log.unionByName(unique))
+    return with_percent(one_pass_log(raw, profile_rules(), "DUPLICATES:id_venta"))
 
 
 def score_mean_of_rules(log: DataFrame) -> DataFrame:

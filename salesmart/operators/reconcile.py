@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from salesmart.operators.cleaning import stored_keys_near
+from salesmart.session import materialise
+
 
 def batch_summary(fact: DataFrame) -> DataFrame:
     loaded = [F.max("fecha_carga").alias("ultima_carga")] if "fecha_carga" in fact.columns else []
@@ -24,15 +27,20 @@ def stage_vs_fact(stage: DataFrame, fact: DataFrame, batch_id: str | None = None
 
 
 def orphans(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """Per dimension, how many facts point to no member.
+    """Per dimension, how many facts point to no member; a null key points to none.
 
-    Facts are counted per key first, so each check joins distinct keys.
+    The fact is read once: its rows are counted per key of each dimension,
+    in each task first, and written down, so the checks join distinct keys.
     """
+    pairs = F.array(*[F.struct(F.lit(name).alias("dim"), F.col(name.removeprefix("dim_") + "_key").cast("bigint").alias("key"))
+                      for name in dims])
+    counts = materialise(fact.select(F.explode(pairs).alias("p")).groupBy("p.dim", "p.key").agg(
+        F.count(F.lit(1)).alias("n")))
     out = None
     for name, dim in dims.items():
         key = name.removeprefix("dim_") + "_key"
-        keys = fact.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        lost = keys.join(dim.select(key), key, "left_anti").agg(
+        keys = counts.where(F.col("dim") == name).select(F.col("key").alias(key), "n")
+        lost = keys.join(dim.select(F.col(key).cast("bigint").alias(key)), key, "left_anti").agg(
             F.coalesce(F.sum("n"), F.lit(0)).alias("filas")).select(
                 F.lit(f"fact sin {name}").alias("problema"), "filas")
         out = lost if out is None else out.unionByName(lost)
@@ -49,7 +57,8 @@ def duplicates_raw(raw: DataFrame) -> DataFrame:
 
 def duplicates_incremental(clean: DataFrame, fact: DataFrame) -> DataFrame:
     """Clean rows whose sale is already in the fact, with its first load time."""
-    loaded = fact.select("id_venta", F.col("fecha_carga").alias("fecha_carga_original"))
+    near = stored_keys_near(fact, clean, columns=("fecha_carga",))
+    loaded = near.select("id_venta", F.col("fecha_carga").alias("fecha_carga_original"))
     return clean.select("id_venta", "fecha").join(loaded, "id_venta").withColumn(
         "tipo_problema", F.lit("DUPLICADO_INCREMENTAL"))
 

@@ -7,6 +7,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from salesmart.functions.normalize import to_integer
 from salesmart.operators import access, cleaning, dimensions, facts, privacy, quality, scd2
 from salesmart.operators.calendar import build_calendar
 from salesmart.operators.ranking import assign_keys
@@ -181,7 +182,9 @@ class Warehouse:
         log.append((step, now, now, state, seen, good, bad, error, batch_id))
 
     def _validate(self, raw, loaded, batch_id, now) -> float:
-        log = quality.quality_log(raw, None if loaded is None else loaded.select("id_venta"))
+        near = None if loaded is None else cleaning.stored_keys_near(
+            loaded, raw.select(to_integer(F.col("id_venta")).alias("id_venta")))
+        log = quality.quality_log(raw, near)
         self.store.overwrite_batch(QUALITY_T, log.select(
             F.lit("staging.ventas_raw").alias("tabla_origen"), "regla_calidad",
             F.lit(now).cast("timestamp").alias("fecha_validacion"), "registros_evaluados",

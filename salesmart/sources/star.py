@@ -8,8 +8,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from salesmart.functions.dates import date_key
-from salesmart.operators.calendar import build_calendar
-from salesmart.session import broadcast_if_small, is_small
+from salesmart.operators.calendar import calendar_of, days_between
+from salesmart.session import broadcast_if_small
 
 # Column types of the order tables; naming them saves a footer read per table.
 TABLE_SCHEMAS = {
@@ -26,8 +26,6 @@ TABLE_SCHEMAS = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
 }
 
-# a table below the size of one scan split arrives as a single task
-ONE_SPLIT_BYTES = 128 * 1024 * 1024
 
 
 class Star:
@@ -65,13 +63,6 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a table that fits one scan task over the cores; larger ones stay as they are."""
-    if not is_small(df, ONE_SPLIT_BYTES):
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
-
-
 def _line_measures(line: DataFrame) -> DataFrame:
     money = F.col("l_extendedprice").cast("decimal(15,2)")
     discount = (money * F.col("l_discount").cast("decimal(4,2)")).cast("decimal(15,2)")
@@ -104,7 +95,7 @@ class OrderStar(Star):
 
     @cached_property
     def _lines(self) -> DataFrame:
-        return _line_measures(spread(self.table("lineitem"), "l_orderkey"))
+        return _line_measures(self.table("lineitem"))
 
     def _orders(self, dims: tuple[str, ...]) -> DataFrame:
         """Orders; the city hangs on the customer, so that join is only made when asked for."""
@@ -123,6 +114,10 @@ class OrderStar(Star):
     def fact(self) -> DataFrame:
         return self.sales("ciudad")
 
+    def lines(self) -> DataFrame:
+        """Line items with product, seller and amounts only: no join with orders."""
+        return self._lines.drop("l_orderkey")
+
     def sales(self, *dims: str) -> DataFrame:
         return (self._lines.join(self._orders(dims), F.col("l_orderkey") == F.col("o_orderkey"))
                 .drop("l_orderkey", "o_orderkey"))
@@ -150,7 +145,12 @@ class OrderStar(Star):
 
     @cached_property
     def fecha(self) -> DataFrame:
-        return build_calendar(self.spark, date(1990, 1, 1), date(2030, 12, 31))
+        """All days of the years that have orders."""
+        day = F.col("o_orderdate").cast("date")
+        years = self.table("orders").agg(
+            F.trunc(F.min(day), "year").alias("a"),
+            F.last_day(F.add_months(F.trunc(F.max(day), "year"), 11)).alias("b"))
+        return calendar_of(days_between(years, "a", "b"))
 
     @cached_property
     def ciudad(self) -> DataFrame:

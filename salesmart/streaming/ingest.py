@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from salesmart.operators.cleaning import stored_keys_near
 from salesmart.plans.batch_load import Warehouse
 from salesmart.schemas import RAW_CSV
 from salesmart.sources.csv_files import file_columns, place_rows
@@ -60,7 +61,7 @@ def load_new_files(house: Warehouse, folder: str, checkpoint: str,
 def new_only(existing: Callable[[], DataFrame], key: str) -> Callable[[DataFrame, str], DataFrame]:
     """Transform for ``ingest``: drop keys other micro-batches have stored."""
     def apply(rows: DataFrame, batch_id: str) -> DataFrame:
-        stored = existing().where(F.col("id_batch") != batch_id).select(key)
+        stored = stored_keys_near(existing().where(F.col("id_batch") != batch_id), rows, key)
         wanted = stored.join(rows.select(key), key, "left_semi")
         return rows.join(wanted, key, "left_anti")
     return apply
