@@ -790,8 +790,9 @@ FROM merged WHERE id_cliente IN (SELECT c_custkey FROM customer WHERE c_acctbal
 ORACLE["watermark_increment"] = "SELECT event_id, user_id, event_type, value FROM events WHERE ts >= TIMESTAMP '2024-01-20'"
 ORACLE["stream_ingest"] = "SELECT event_id, user_id, event_type, value FROM events"
 ORACLE["stream_daily"] = """
-SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS dia, event_type, count(*) AS filas, round(sum(value), 4) AS total FROM events
-WHERE CAST(ts AS DATE) + 1 <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY GROUP BY 1, 2
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS dia, event_type, count(*) AS filas, round(sum(value), 4) AS total,
+       CAST(CAST(ts AS DATE) + 1 <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY AS BIGINT) AS final
+FROM events GROUP BY CAST(ts AS DATE), event_type
 """
 _BATCHES = f"""
 f1 AS (SELECT * FROM g1 WHERE fecha BETWEEN DATE '2020-01-01' AND DATE '2030-12-31'),
@@ -816,3 +817,71 @@ SELECT * FROM state WHERE id_batch = 'b1'
 UNION ALL SELECT 'cliente', 'b1', count(DISTINCT id_cliente), CAST(0 AS DOUBLE) FROM g1
 UNION ALL SELECT 'historia_rota', 'b1', 0, CAST(0 AS DOUBLE)
 """
+
+_HOUSE = f"WITH {RAW_WITH}, {_FILE_GOOD}, {_BATCHES}, f AS (SELECT * FROM f1 UNION ALL SELECT * FROM f2)"
+ORACLE["warehouse_city_analysis"] = _HOUSE + """
+SELECT rank() OVER (ORDER BY sum(monto_total) DESC) AS ranking_nacional, ciudad AS nombre_ciudad, count(*) AS total_transacciones,
+       CAST(sum(monto_total) AS DOUBLE) AS monto_total, sum(cantidad) AS unidades_vendidas FROM f GROUP BY ciudad
+"""
+ORACLE["warehouse_seller_rows"] = _HOUSE + """,
+t AS (SELECT vendedor, count(*) AS ventas, CAST(sum(monto_total) AS DOUBLE) AS monto_total FROM f GROUP BY 1)
+SELECT 'seller' AS rol, vendedor AS nombre_vendedor, ventas, monto_total FROM t WHERE vendedor = 'Vendedor 3'
+UNION ALL SELECT 'report', * FROM t WHERE vendedor <> 'SIN_ASIGNAR' AND CAST(split_part(vendedor, ' ', 2) AS INTEGER) % 2 = 0
+UNION ALL SELECT 'admin', * FROM t
+"""
+ORACLE["run_log_state"] = _HOUSE + """,
+n AS (SELECT 'b1' AS b, (SELECT count(*) FROM raw WHERE archivo_origen = 'ventas_raw.csv') AS seen,
+             (SELECT count(*) FROM g1) AS good, (SELECT count(*) FROM f1) AS kept
+      UNION ALL SELECT 'b2', (SELECT count(*) FROM raw WHERE archivo_origen = 'ventas_nuevas.csv'),
+             (SELECT count(*) FROM fresh), (SELECT count(*) FROM f2))
+SELECT b AS id_batch, p AS proceso, CASE WHEN p = 'fact' AND good > kept THEN 'PARCIAL' ELSE 'EXITOSO' END AS estado, 1 AS filas,
+       CASE WHEN p IN ('extract', 'validate', 'clean') THEN seen WHEN p = 'cleanup' THEN 0 ELSE good END AS procesados
+FROM n, (SELECT unnest(['extract', 'validate', 'clean', 'dimensions', 'fact', 'cleanup']) AS p)
+UNION ALL SELECT 'b3', 'extract', 'EXITOSO', 2, 2 * (SELECT count(*) FROM raw WHERE archivo_origen = 'ventas_nuevas.csv' AND fecha = '')
+UNION ALL SELECT 'b3', 'validate', 'FALLIDO', 2, 0
+"""
+ORACLE["quality_json"] = f"""
+WITH {RAW_WITH}, {_FILE_GOOD}, rules AS (SELECT count(*) AS r FROM ({_LOAD_LOG}))
+SELECT CASE archivo_origen WHEN 'ventas_raw.csv' THEN 'b1' ELSE 'b2' END AS id_batch,
+       any_value(r) + 1 + CAST(any_value(archivo_origen) = 'ventas_nuevas.csv' AS BIGINT) AS reglas,
+       (any_value(r) + 1 + CAST(any_value(archivo_origen) = 'ventas_nuevas.csv' AS BIGINT)) * count(*) AS evaluados
+FROM raw, rules GROUP BY archivo_origen
+"""
+ORACLE["test_copy"] = _HOUSE + f""",
+c AS (SELECT * FROM g1 UNION ALL SELECT * FROM fresh)
+SELECT id_venta, 'cliente_' || CAST(id_cliente AS VARCHAR) || '@anonimo.test' AS email_cliente,
+       {_STAR_PHONE} AS telefono_cliente, CAST(monto_total AS DOUBLE) AS monto_total FROM c
+"""
+ORACLE["erased_state"] = _HOUSE + f""",
+r AS (SELECT {_int('id_cliente')} AS i FROM raw), c AS (SELECT id_cliente FROM g1 UNION ALL SELECT id_cliente FROM fresh)
+SELECT 'raw' AS tabla, 'cliente_' || CAST(i AS VARCHAR) || '@anonimo.test' AS valor, count(*) AS filas FROM r WHERE i BETWEEN 2 AND 11 GROUP BY i
+UNION ALL SELECT 'clean', 'cliente_' || CAST(id_cliente AS VARCHAR) || '@anonimo.test', count(*) FROM c WHERE id_cliente BETWEEN 2 AND 11 GROUP BY id_cliente
+UNION ALL SELECT 'clientes con datos', '-', 0 UNION ALL SELECT 'auditoria', '-', 20
+"""
+ORACLE["retention_state"] = _HOUSE + """
+SELECT 'staging/ventas_raw' AS tabla, 'b2' AS id_batch, count(*) AS filas FROM raw WHERE archivo_origen = 'ventas_nuevas.csv'
+UNION ALL SELECT 'staging/ventas_clean', 'b2', count(*) FROM fresh
+UNION ALL SELECT 'staging/ventas_llaves', 'b2', count(*) FROM fresh
+UNION ALL SELECT 'control/rechazos', 'b2', (SELECT count(*) FROM judged WHERE archivo_origen = 'ventas_nuevas.csv' AND motivo IS NOT NULL)
+       + (SELECT count(*) FROM g2) - (SELECT count(*) FROM fresh)
+"""
+_TOKEN = "nullif(nullif({0}, ''), 'NaN')"
+ORACLE["csv_roundtrip"] = f"""
+WITH {RAW}
+SELECT {_TOKEN.format('id_venta')} AS id_venta, {_TOKEN.format('fecha')} AS fecha, {_TOKEN.format('id_cliente')} AS id_cliente,
+       {_TOKEN.format('cantidad')} AS cantidad, {_TOKEN.format('precio_unitario')} AS precio_unitario, vendedor,
+       {_TOKEN.format('canal')} AS canal, 'b1' AS id_batch, 1 AS con_origen FROM raw
+"""
+ORACLE["run_summary"] = _HOUSE + """
+SELECT 'b2' AS id_batch, 'incremental' AS modo, (SELECT count(*) FROM raw WHERE archivo_origen = 'ventas_nuevas.csv') AS extraidos,
+       (SELECT count(*) FROM fresh) AS limpios, (SELECT count(*) FROM f2) AS en_fact
+"""
+ORACLE["admin_rows"] = f"WITH {STAR} SELECT id_venta, vendedor_key, CAST(monto_total AS DOUBLE) AS monto_total FROM fact"
+ORACLE["profile_report"] = " UNION ALL ".join(
+    f"SELECT '{part}' AS parte, {n} AS filas" for part, n in (
+        ("stats", "1"), ("score", "1"), ("por_columna", "11"),
+        ("numericas", f"(SELECT count(*) FROM ({ORACLE['numeric_profile']}))"),
+        ("issues", f"(SELECT count(*) FROM ({ORACLE['violations']}))"),
+        ("key_issues", f"(SELECT count(*) FROM (WITH {RAW} SELECT id_venta FROM raw GROUP BY id_venta HAVING count(*) > 1))"),
+        ("outliers", f"(SELECT count(*) FROM ({ORACLE['iqr_outliers']}))"),
+        ("quality_log", f"(SELECT count(*) FROM ({ORACLE['profile_quality_log']}))")))

@@ -69,7 +69,7 @@ def new_products(existing: DataFrame, clean: DataFrame, start: int | None = None
 
 
 def overwrite_changed(existing: DataFrame, incoming: DataFrame, natural: str, key: str,
-                      bound: DataFrame | None = None) -> DataFrame:
+                      bound: DataFrame | None = None, start: int | None = None) -> DataFrame:
     """Overwrite attributes with the incoming ones where given, add unknown members."""
     attributes = [c for c in incoming.columns if c != natural]
     new = incoming.select(natural, *[F.col(c).alias(f"_new_{c}") for c in attributes])
@@ -77,6 +77,6 @@ def overwrite_changed(existing: DataFrame, incoming: DataFrame, natural: str, ke
     joined = existing.join(new, natural, "full_outer").select(
         key, natural, *[(F.coalesce(f"_new_{c}", c) if c in attributes else F.col(c)).alias(c)
                         for c in kept])
-    start = existing.agg(F.max(key)).scalar()
+    start = existing.agg(F.max(key)).scalar() if start is None else start
     added = assign_keys(joined.where(F.col(key).isNull()).drop(key), [natural], key, start, bound=bound)
     return joined.where(F.col(key).isNotNull()).unionByName(added)

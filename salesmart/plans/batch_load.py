@@ -16,6 +16,7 @@ from salesmart.schemas import (ACCESS_LOG, BUSINESS_COLUMNS, CHANNEL, CITY, CLEA
 from salesmart.session import is_small, materialise, scratch_path
 from salesmart.sources.csv_files import read_csv, stamp_lineage
 from salesmart.sources.seeds import seed_dimensions
+from salesmart.sources.star import Star
 from salesmart.sources.tables import RETENTION_DAYS, Store
 
 RAW_T, CLEAN_T, KEYED_T = "staging/ventas_raw", "staging/ventas_clean", "staging/ventas_llaves"
@@ -86,6 +87,11 @@ class Warehouse:
         out["dim_fecha"] = self.calendar()
         return out
 
+    def star(self) -> Star:
+        """The loaded warehouse as the star that the analytical queries and measures take."""
+        dims = {name.removeprefix("dim_"): self.members(name) for name in MEMBER_TABLES}
+        return Star(fact=self.fact(), cliente=self.customers(), fecha=self.calendar(), **dims)
+
     def fact(self) -> DataFrame:
         return self.store.read(FACT_T, FACT)
 
@@ -132,8 +138,8 @@ class Warehouse:
             step = "validate"
             loaded = self.store.read_other(FACT_T, FACT, batch_id) if mode == "incremental" else None
             score = self._validate(raw, loaded, batch_id, now)
-            self._log(log, step, now, extracted, extracted, 0, batch_id)
             quality.check_gate(score, threshold)
+            self._log(log, step, now, extracted, extracted, 0, batch_id)
 
             step = "clean"
             # judged once and written down: both tables are cut from the same rows
@@ -269,6 +275,31 @@ class Warehouse:
 
     # -- operations ------------------------------------------------------------
 
+    def update_members(self, name: str, incoming: DataFrame, batch_id: str) -> None:
+        """Overwrite attributes of dimension members where ``incoming`` gives them, and add unknown members.
+
+        ``incoming`` has the natural key and any of the dimension's attributes,
+        such as the e-mail and region of sellers. Keys stay; new ones come
+        from what the batch reserves. Only batches with a changed member are rewritten.
+        """
+        schema = _with_batch(MEMBER_TABLES[name])
+        stored = self.store.read(f"dwh/{name}", schema)
+        key, natural = stored.columns[:2]
+        given = materialise(incoming)
+        start = self._reserve(batch_id, given.count())[name]
+        after = dimensions.overwrite_changed(stored.drop("id_batch"), given, natural, key, start=start)
+        old = stored.select(F.col(key).alias("_key"), F.col("id_batch").alias("_batch"))
+        after = after.join(old, F.col(key) == F.col("_key"), "left").withColumn(
+            "id_batch", F.coalesce("_batch", F.lit(batch_id))).select(*stored.columns)
+        touched = after.join(given.select(natural), natural, "left_semi").select("id_batch").distinct()
+        after = after.join(touched, "id_batch", "left_semi").select(*stored.columns)
+        scratch = scratch_path(self.spark, "members")
+        try:  # the folders being replaced are also being read
+            after.write.parquet(scratch)
+            self.store.rewrite_batches(f"dwh/{name}", self.spark.read.schema(schema).parquet(scratch))
+        finally:
+            self.store._drop(scratch)
+
     def rollback(self, batch_id: str, now: datetime) -> None:
         """Undo a batch: facts, customer versions, edits in place, staging; the run log says so.
 

@@ -25,6 +25,7 @@ RAW_EXPRESSIONS = {
                   "ELSE CAST(l_suppkey + 1 AS STRING) END",
     "id_producto": f"CASE WHEN {_K} % 199 = 4 THEN 'abc' ELSE CAST(l_partkey + 1 AS STRING) END",
     "cantidad": f"CASE WHEN {_K} % 89 = 1 THEN '-2' WHEN {_K} % 83 = 2 THEN '' WHEN {_K} % 79 = 3 THEN '1.5' "
+                f"WHEN {_K} % 997 = 4 THEN '900' "
                 "ELSE CAST(CAST(l_quantity AS INT) AS STRING) END",
     "precio_unitario": f"CASE WHEN {_K} % 97 = 0 THEN NULL WHEN {_K} % 113 = 6 THEN 'NaN' WHEN {_K} % 127 = 8 THEN '0' "
                        "ELSE CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS STRING) END",

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from salesmart.operators.cleaning import stored_keys_near
+from salesmart.session import materialise
 from salesmart.plans.batch_load import Warehouse
 from salesmart.schemas import RAW_CSV
 from salesmart.sources.csv_files import file_columns, place_rows
@@ -73,15 +75,40 @@ def dedupe_late(stream: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
 
 
 def daily_totals(stream: DataFrame, ts: str, by: list[str], value: str, delay: str) -> DataFrame:
-    """Sales per day and group; a day is emitted once the watermark has passed it."""
+    """Sales per day and group with the last event seen; state of a day is kept until the watermark has passed it."""
     return (stream.withWatermark(ts, delay).groupBy(F.window(ts, "1 day").alias("w"), *by)
-            .agg(F.count(F.lit(1)).alias("filas"), F.sum(value).alias("total"))
-            .select(F.to_date("w.start").alias("dia"), *by, "filas", "total"))
+            .agg(F.count(F.lit(1)).alias("filas"), F.sum(value).alias("total"), F.max(ts).alias("ultimo"))
+            .select(F.to_date("w.start").alias("dia"), *by, "filas", "total", "ultimo"))
 
 
-def write_appended(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Drain finalised rows into a Parquet folder."""
-    _drain(stream.writeStream.format("parquet").outputMode("append").option("path", path), checkpoint)
+def write_updated(totals: DataFrame, keys: list[str], path: str, checkpoint: str) -> None:
+    """Drain totals into a table with a folder per day, replacing the rows of ``dia`` and ``keys`` that changed.
+
+    Open days are there from their first event on. A replayed micro-batch
+    writes the same rows again.
+    """
+    spark = totals.sparkSession
+
+    def replace(rows: DataFrame, number: int) -> None:
+        rows = materialise(rows)
+        if rows.isEmpty():
+            return
+        try:
+            stored = spark.read.parquet(path)
+        except AnalysisException:  # the first micro-batch
+            stored = rows.limit(0)
+        kept = (stored.join(rows.select("dia").distinct(), "dia", "left_semi")
+                .join(rows.select("dia", *keys), ["dia", *keys], "left_anti"))
+        after = materialise(kept.unionByName(rows))
+        after.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dia").parquet(path)
+
+    _drain(totals.writeStream.outputMode("update").foreachBatch(replace), checkpoint)
+
+
+def with_final(totals: DataFrame, delay: str) -> DataFrame:
+    """Daily totals with ``final``: the watermark, ``delay`` behind the last event, has passed the day."""
+    watermark = totals.agg(F.max("ultimo")).scalar() - F.expr(f"INTERVAL {delay}")
+    return totals.withColumn("final", F.date_add("dia", 1).cast("timestamp") <= watermark).drop("ultimo")
 
 
 def _drain(writer, checkpoint: str) -> None:
