@@ -90,7 +90,8 @@ def scd2_merge(history: DataFrame, incoming: DataFrame, eff_date: date, batch_id
     active = F.col("es_registro_actual")
     ids = broadcast_if_small(incoming.select("id_cliente"), incoming)
     touched = history.where(active).join(ids, "id_cliente", "left_semi")
-    untouched = history.where(active).join(ids, "id_cliente", "left_anti").unionByName(history.where(~active))
+    untouched = (history.where(~active).unionByName(history.where(active).join(ids, "id_cliente", "left_anti"))
+                 .select(*history.columns))
     versions = scd2_versions(touched, incoming, eff_date, batch_id, stamp, tracked)
     # upper bound of what gets a key: one version per incoming customer
     small = is_small(incoming)

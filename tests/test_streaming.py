@@ -8,7 +8,7 @@ from salesmart.plans.batch_load import Warehouse
 from salesmart.sources.csv_files import read_after
 from salesmart.sources.tables import Store
 from salesmart.streaming.ingest import (daily_totals, dedupe_late, file_stream, ingest, load_new_files,
-                                        new_only, write_appended)
+                                        new_only, with_final, write_updated)
 from tests.sample_sales import INCREMENTAL, INITIAL, write_csv
 
 SCHEMA = "k bigint, ts timestamp, v double"
@@ -38,13 +38,21 @@ def test_ingest_new_files_once(spark, tmp_path):
     assert sorted(r.k for r in stored().collect()) == [1, 2, 3]
 
 
-def test_daily_totals_emit_closed_days(spark, tmp_path):
-    folder = str(tmp_path / "in")
+def test_daily_totals_hold_open_days(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+
+    def drain():
+        stream = daily_totals(file_stream(spark, folder, SCHEMA), "ts", [], "v", "1 hour")
+        write_updated(stream, [], out, str(tmp_path / "c"))
+        rows = with_final(spark.read.parquet(out), "1 hour").orderBy("dia").collect()
+        return [(str(r.dia), r.filas, r.total, r.final) for r in rows]
+
     _write(spark, folder, [(d * 10 + h, datetime(2024, 1, d, h), 1.0) for d in (1, 2, 3) for h in (1, 2)])
-    stream = daily_totals(file_stream(spark, folder, SCHEMA), "ts", [], "v", "1 hour")
-    write_appended(stream, str(tmp_path / "out"), str(tmp_path / "c"))
-    rows = spark.read.parquet(str(tmp_path / "out")).orderBy("dia").collect()
-    assert [(str(r.dia), r.filas, r.total) for r in rows] == [("2024-01-01", 2, 2.0), ("2024-01-02", 2, 2.0)]
+    first = [("2024-01-01", 2, 2.0, True), ("2024-01-02", 2, 2.0, True), ("2024-01-03", 2, 2.0, False)]
+    assert drain() == first
+    assert drain() == first
+    _write(spark, folder, [(90, datetime(2024, 1, 3, 5), 4.0), (91, datetime(2024, 1, 4, 5), 1.0)])
+    assert drain() == [*first[:2], ("2024-01-03", 3, 6.0, True), ("2024-01-04", 1, 1.0, False)]
 
 
 def test_watermark_reaches_the_scan(spark, tmp_path):
