@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -13,6 +15,7 @@ from salesmart.session import scratch_path
 
 # Rows handed to a Python worker at once; long texts make a row large.
 ARROW_ROWS = 512
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # ASCII whitespace: what splits words in every contract of this package.
 SPACE_CLASS = r"\x20\x09-\x0D"
 
@@ -66,11 +69,11 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished steps now: it does so when the JVM collects what owned them."""
-    import gc
-    gc.collect()
-    spark._jvm.System.gc()
+def give_back() -> None:
+    """Return what a Python worker has freed to the system; a reused worker would keep it while Spark needs it elsewhere."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 class Scratch:
@@ -88,10 +91,17 @@ class Scratch:
         self._count += 1
         return f"{self.root}/{self._count:03d}-{name}"
 
-    def keep(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, by: str | None = None, **options) -> DataFrame:
         """Write ``df``, in folders of the column ``by`` if given, and read it back."""
-        path = self.path(name)
-        (df.write.partitionBy(by) if by else df.write).parquet(path)
+        path, before = self.path(name), self.spark.conf.get(SHUFFLE_CLEANUP, None)
+        if before is not None:  # what was shuffled for the table isn't needed once it is written
+            self.spark.conf.set(SHUFFLE_CLEANUP, "true")
+        try:
+            writer = df.write.options(**options)
+            (writer.partitionBy(by) if by else writer).parquet(path)
+        finally:
+            if before is not None:
+                self.spark.conf.set(SHUFFLE_CLEANUP, before)
         kept = self.spark.read.schema(df.schema).parquet(path)
         kept.scratch_path = path
         return kept

@@ -29,13 +29,17 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from salesmart.llm.common import ARROW_ROWS, Scratch, arrow_schema, release
+from salesmart.llm.common import Scratch, arrow_schema, give_back
 
 # Counts up to DISCOUNTED are discounted by Good-Turing; greater ones give up LARGE_GIVES of one occurrence.
 DISCOUNTED, LARGE_GIVES = 5, 0.01
 # Tokens and documents that a task packs together, tokens that a bucket aims at, frequent words at most.
-CHUNK_TOKENS, CHUNK_DOCS, BUCKET_TOKENS, MOST_FREQUENT = 6_000_000, 16_384, 3_000_000, 100_000
-PIECE = 1 << 16
+CHUNK_TOKENS, CHUNK_DOCS, BUCKET_TOKENS, MOST_FREQUENT = 3_000_000, 16_384, 2_000_000, 100_000
+# A bucket is counted in so many passes over its words, one after the other, to keep its task small.
+PASSES = 4
+PIECE = 1 << 14
+# Rows handed to a task at once: those of a bucket are large.
+ROWS_AT_ONCE = 64
 HELD_OUT_EVERY, HELD_OUT_IS = 7, 2
 # What stands for the start and the end of a text; no word holds a blank.
 START = int(np.uint64(xxhash.xxh64_intdigest(b" start")).astype(np.int64))
@@ -116,6 +120,8 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             vocabulary, held, free, size = Vocabulary(), [], [], 0
     if size:
         yield flush()
+    del vocabulary, held, free
+    give_back()
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -123,12 +129,13 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(29))
 
 
-def bucket_of(words: np.ndarray, contexts: np.ndarray, model: Model) -> np.ndarray:
-    """Bucket of each occurrence: by word, and by pair where the word is frequent."""
-    spread = np.isin(words, model.frequent)
-    keys = _mixed(words)
-    keys[spread] ^= _mixed(_mixed(contexts[spread]).view(np.int64))
-    return (keys % np.uint64(model.buckets)).astype(np.int64)
+def bucket_of(names: np.ndarray, word: np.ndarray, context: np.ndarray, model: Model) -> np.ndarray:
+    """Bucket of each occurrence of local words: by word, and by pair where the word is frequent."""
+    keys, many = _mixed(names), np.uint64(model.buckets)
+    out = (keys % many).astype(np.int32)[word]
+    often = np.flatnonzero(np.isin(names, model.frequent)[word])
+    out[often] = ((keys[word[often]] ^ _mixed(keys.view(np.int64))[context[often]]) % many).astype(np.int32)
+    return out
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -151,12 +158,16 @@ def _send(model: Model):
             chunk = (partition << 40) | (flushed << 20)
             names = np.array(vocabulary.hashes, np.int64)
             sizes = np.array([len(t) + 1 for t in texts])
+            many = len(texts)
             flat = np.concatenate([part for t in texts for part in (t, np.ones(1, np.int32))])
             before = np.concatenate([part for t in texts for part in (np.zeros(1, np.int32), t)])
-            doc = np.repeat((np.arange(len(texts)) * 2 + np.array(held)).astype(np.uint16), sizes)
-            bucket = bucket_of(names[flat], names[before], model)
-            order = np.argsort((bucket * len(names) + flat) * len(names) + before)
+            doc = np.repeat((np.arange(many) * 2 + np.array(held)).astype(np.uint16), sizes)
+            texts.clear()
+            bucket = bucket_of(names, flat, before, model)
+            order = (bucket.astype(np.int64) * len(names) + flat) * len(names) + before
+            order = np.argsort(order)
             flat, before, doc, bucket = flat[order], before[order], doc[order], bucket[order]
+            del order
             cuts = np.flatnonzero(np.diff(bucket)) + 1
             for start, end in zip(np.append(0, cuts), np.append(cuts, len(flat))):
                 words, runs = np.unique(flat[start:end], return_counts=True)
@@ -182,6 +193,8 @@ def _send(model: Model):
                     vocabulary, texts, ids, held, size = Vocabulary(), [], [], [], 0
         if texts:
             yield from flush(vocabulary, texts, ids, held)
+        del vocabulary, texts
+        give_back()
     return send
 
 
@@ -190,21 +203,25 @@ def _count_bucket(model: Model):
     schema = arrow_schema(COUNTED)
 
     def count(rows: pa.Table) -> pa.Table:
-        out: list[dict] = []
+        out: list[pa.RecordBatch] = []
+        put = lambda row: out.append(pa.RecordBatch.from_pylist([row], schema=schema))  # noqa: E731  small batches
         bucket = rows.column("bucket")[0].as_py()
         chunks, parts = [], []
         for at in range(rows.num_rows):
             row = {name: rows.column(name)[at] for name in rows.column_names}
             chunk = row["chunk"].as_py()
             if row["doc_ids"].is_valid:
-                out.append({"kind": "text", "bucket": bucket, "chunk": chunk, "longs": row["doc_ids"].as_py(),
-                            "more_longs": row["tokens"].values.to_numpy(), "counts": [int(h) for h in row["held"].as_py()]})
+                put({"kind": "text", "bucket": bucket, "chunk": chunk, "longs": row["doc_ids"].as_py(),
+                     "more_longs": row["tokens"].values.to_numpy(), "counts": [int(h) for h in row["held"].as_py()]})
             else:
                 parts.append([row[name].values.to_numpy() for name in ("words", "runs", "contexts")] + [row["packed"].as_py()])
                 chunks.append(chunk)
         if chunks:
-            out += _looked_up(model, bucket, chunks, parts)
-        return pa.Table.from_pylist(out, schema=schema)
+            for found in _looked_up(model, chunks, parts):
+                put(found | {"bucket": bucket})
+        del chunks, parts
+        give_back()
+        return pa.Table.from_batches(out, schema=schema)
     return count
 
 
@@ -216,54 +233,66 @@ def _unpack(parts: list[list]) -> tuple[np.ndarray, ...]:
     """
     names, before = (np.unique(np.concatenate([part[i] for part in parts])) for i in (0, 2))
     word_at, context_at, docs = [], [], []
+    kind = np.int32 if len(parts) < 1 << 15 else np.int64
     for number, (words, runs, contexts, packed) in enumerate(parts):
         data = zstandard.decompress(packed)
         many = len(data) // 6
         word_at.append(np.repeat(np.searchsorted(names, words).astype(np.int32), runs))
         context_at.append(np.searchsorted(before, contexts).astype(np.int32)[_unpacked(data[:4 * many], "<u4")])
-        docs.append(_unpacked(data[4 * many:], "<u2").astype(np.int64) + (number << 16))
+        docs.append(_unpacked(data[4 * many:], "<u2").astype(kind) + kind(number << 16))
     return names, before, np.concatenate(word_at), np.concatenate(context_at), np.concatenate(docs)
 
 
-def _looked_up(model: Model, bucket: int, chunks: list[int], parts: list[list]) -> Iterator[dict]:
+def _looked_up(model: Model, chunks: list[int], parts: list[list]) -> Iterator[dict]:
+    """The rows of a bucket: what it adds to each document, unseen pairs, pairs with counts, counts of counts."""
     names, before, word_at, context_at, doc = _unpack(parts)
-    trained = (doc & 1) == 0
-    pairs, pair_at = np.unique(word_at.astype(np.int64) * len(before) + context_at, return_inverse=True)
-    pair_at = pair_at.astype(np.int32)
-    pair_count = np.bincount(pair_at[trained], minlength=len(pairs))
-    count = np.bincount(word_at[trained], minlength=len(names))
-    if len(model.frequent):
-        at = np.minimum(np.searchsorted(model.frequent, names), len(model.frequent) - 1)
-        count = np.where(model.frequent[at] == names, model.frequent_counts[at], count)
-    log_p = np.log10(np.maximum(unigram(count, model), 1e-300))
     docs = np.unique(doc)
-    doc_at = np.searchsorted(docs, doc).astype(np.int32)
-    base = np.bincount(doc_at, np.log10(count + 1.0)[word_at], len(docs))
-    log_pair = np.log10(np.where(pair_count > DISCOUNTED, pair_count - LARGE_GIVES, np.maximum(pair_count, 1)))
-    as_context = np.where(names == END, 0.0, np.log10(np.maximum(count, 1)))
-    seen = (pair_count > 0)[pair_at]
-    part = np.where(seen, log_pair[pair_at], log_p[word_at])
-    part -= as_context[word_at]
-    part = np.bincount(doc_at, part, len(docs))
-    small = np.minimum(pair_count, DISCOUNTED + 1).astype(np.int8)[pair_at]
-    counts = np.stack([np.bincount(doc_at[(count > 0)[word_at]], minlength=len(docs)),
-                       *[np.bincount(doc_at[small == r], minlength=len(docs)) for r in range(1, DISCOUNTED + 1)]], axis=1)
-    for at in np.unique(docs >> 16):
-        mine = (docs >> 16) == at
-        yield {"kind": "part", "bucket": bucket, "chunk": chunks[at], "longs": (docs[mine] & 0xFFFF) >> 1,
-               "counts": counts[mine].reshape(-1), "base": base[mine], "part": part[mine]}
-    unseen = np.flatnonzero(~seen)
-    first = np.array(chunks, np.int64)[doc[unseen] >> 16] + ((doc[unseen] & 0xFFFF) >> 1)
-    for at in range(0, len(unseen), PIECE):
-        yield {"kind": "unseen", "bucket": bucket, "longs": before[context_at[unseen[at:at + PIECE]]], "more_longs": first[at:at + PIECE]}
-    stored = np.flatnonzero(pair_count)
-    of_word = pairs[stored] // len(before)
-    for at in range(0, len(stored), PIECE):
-        part_of = of_word[at:at + PIECE]
-        yield {"kind": "pair", "bucket": bucket, "longs": before[pairs[stored[at:at + PIECE]] % len(before)],
-               "more_longs": names[part_of], "counts": np.stack([pair_count[stored[at:at + PIECE]], count[part_of]], 1).reshape(-1)}
-    yield {"kind": "of_count", "bucket": bucket,
-           "counts": np.bincount(np.minimum(pair_count[stored], DISCOUNTED + 2), minlength=DISCOUNTED + 3)[1:DISCOUNTED + 2]}
+    base, part = np.zeros(len(docs)), np.zeros(len(docs))
+    counts = np.zeros((DISCOUNTED + 1, len(docs)), np.int64)
+    of_count = np.zeros(DISCOUNTED + 1, np.int64)
+    turn = ((_mixed(names) >> np.uint64(40)) % np.uint64(PASSES)).astype(np.int8)
+    for number in range(PASSES):
+        at = np.flatnonzero((turn == number)[word_at])
+        if not len(at):
+            continue
+        word, context, own = word_at[at], context_at[at], doc[at]
+        trained = (own & 1) == 0
+        pair_at = word.astype(np.int64) * len(before) + context
+        pairs = np.unique(pair_at)
+        pair_at = np.searchsorted(pairs, pair_at).astype(np.int32)
+        pair_count = np.bincount(pair_at[trained], minlength=len(pairs))
+        count = np.bincount(word[trained], minlength=len(names))
+        if len(model.frequent):
+            place = np.minimum(np.searchsorted(model.frequent, names), len(model.frequent) - 1)
+            count = np.where(model.frequent[place] == names, model.frequent_counts[place], count)
+        to = np.searchsorted(docs, own).astype(np.int32)
+        base += np.bincount(to, np.log10(count + 1.0)[word], len(docs))
+        log_p = np.log10(np.maximum(unigram(count, model), 1e-300))
+        log_pair = np.log10(np.where(pair_count > DISCOUNTED, pair_count - LARGE_GIVES, np.maximum(pair_count, 1)))
+        as_context = np.where(names == END, 0.0, np.log10(np.maximum(count, 1)))
+        seen = (pair_count > 0)[pair_at]
+        part += np.bincount(to, np.where(seen, log_pair[pair_at], log_p[word]) - as_context[word], len(docs))
+        small = np.minimum(pair_count, DISCOUNTED + 1).astype(np.int8)[pair_at]
+        counts[0] += np.bincount(to[(count > 0)[word]], minlength=len(docs))
+        for r in range(1, DISCOUNTED + 1):
+            counts[r] += np.bincount(to[small == r], minlength=len(docs))
+        unseen = np.flatnonzero(~seen)
+        text = np.array(chunks, np.int64)[own[unseen] >> 16] + ((own[unseen] & 0xFFFF) >> 1)
+        for start in range(0, len(unseen), PIECE):
+            some = slice(start, start + PIECE)
+            yield {"kind": "unseen", "longs": before[context[unseen[some]]], "more_longs": text[some]}
+        stored = np.flatnonzero(pair_count)
+        for start in range(0, len(stored), PIECE):
+            some = stored[start:start + PIECE]
+            of_word = pairs[some] // len(before)
+            yield {"kind": "pair", "longs": before[pairs[some] % len(before)], "more_longs": names[of_word],
+                   "counts": np.stack([pair_count[some], count[of_word]], 1).reshape(-1)}
+        of_count += np.bincount(np.minimum(pair_count[stored], DISCOUNTED + 2), minlength=DISCOUNTED + 3)[1:DISCOUNTED + 2]
+    yield {"kind": "of_count", "counts": of_count}
+    for number in np.unique(docs >> 16):
+        mine = (docs >> 16) == number
+        yield {"kind": "part", "chunk": chunks[number], "longs": (docs[mine] & 0xFFFF) >> 1,
+               "counts": counts[:, mine].T.reshape(-1), "base": base[mine], "part": part[mine]}
 
 
 def unigram(count: np.ndarray, model: Model) -> np.ndarray:
@@ -311,12 +340,11 @@ def score(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     scratch = Scratch(spark, "katz")
     narrow = docs.select("doc_id", held_out().alias("held"), F.col("text").cast("binary").alias("text"))
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_ONCE))
     words, model = fit_words(narrow, scratch)
-    release(spark)
     sent = narrow.mapInArrow(_send(model), OCCURRENCES)
-    counted = scratch.keep(sent.groupBy("bucket").applyInArrow(_count_bucket(model), COUNTED), "counted", by="kind")
-    release(spark)
+    counted = scratch.keep(sent.groupBy("bucket").applyInArrow(_count_bucket(model), COUNTED), "counted", by="kind",
+                           **{"parquet.block.size": 16 << 20})  # rows are large arrays: small row groups, small buffers
     of_kind = lambda kind: counted.where(F.col("kind") == kind)
     totals = of_kind("of_count").agg(*[F.sum(F.element_at("counts", r)) for r in range(1, DISCOUNTED + 2)]).first()
     discounts = good_turing([n or 0 for n in totals])
