@@ -62,8 +62,8 @@ def plan(docs: DataFrame) -> DataFrame:
     (words, over up to three epochs; a source's sum is its target rounded, the
     last document of it may be taken in part), copies (epochs in which at
     least half of the document is taken), position (training time of its first
-    word, null when nothing is taken) and place (position, or a number above 1
-    in stream order). Null texts have no words; a null source is a source;
+    word, null when nothing is taken), place (position, or a number above 1
+    in stream order) and places (the training time of each copy, in its own epoch). Null texts have no words; a null source is a source;
     a source without words has no target; repeated rows are interchangeable;
     an empty table gives none.
     """
@@ -76,13 +76,16 @@ def plan(docs: DataFrame) -> DataFrame:
     nth = lambda epoch: F.least(F.greatest(
         demand - (F.col("source_size") * epoch + F.col("start")), F.lit(0)), "size")
     epochs = [nth(e) for e in range(MOST_EPOCHS)]
-    share = F.when(F.col("target") > 0, F.col("start") / F.col("target"))
-    position = F.when(epochs[0] > 0, due_time(share, F.col("slope")))
+    due = lambda epoch: F.when(F.col("target") > 0, due_time(
+        (F.col("source_size") * epoch + F.col("start")) / F.col("target"), F.col("slope")))
+    position = F.when(epochs[0] > 0, due(0))
+    copied = [(e * 2 >= F.col("size")) & (e > 0) for e in epochs]
     late = 1.0 + (F.col("start") + 1) / (F.col("source_size") + 1)
     return rows.select(
         "doc_id", "h", "size", "source_size", "target", sum(epochs[1:], epochs[0]).cast("long").alias("taken"),
-        sum((F.when((e * 2 >= F.col("size")) & (e > 0), 1).otherwise(0) for e in epochs), F.lit(0)).alias("copies"),
-        position.alias("position"), F.coalesce(position, late).alias("place"))
+        sum((F.when(c, 1).otherwise(0) for c in copied), F.lit(0)).alias("copies"),
+        position.alias("position"), F.coalesce(position, late).alias("place"),
+        F.array_compact(F.array(*[F.when(c, due(e)) for e, c in enumerate(copied)])).alias("places"))
 
 
 def training_order(docs: DataFrame) -> DataFrame:
@@ -90,7 +93,8 @@ def training_order(docs: DataFrame) -> DataFrame:
 
     A row comes as often as epochs take at least half of it; its repeats
     follow their own positions' order only by source stream, so they are
-    placed with the first. Columns stay as they were.
+    placed with the first. Columns stay as they were. The pipeline takes
+    ``scheduled_copies``, which places each repeat in its own epoch.
     """
     key, place, copies, number, again = fresh(docs, "_h", "_place", "_copies", "_number", "_again")
     due = plan(docs).where("copies > 0")
@@ -101,3 +105,19 @@ def training_order(docs: DataFrame) -> DataFrame:
     rows = rows.select(*docs.columns, one["place"].alias(place), one["copies"].alias(number)).where(F.col(number) > 0)
     rows = rows.withColumn(again, F.explode(F.sequence(F.lit(1), F.col(number))))
     return rows.orderBy(place, "doc_id").select(*docs.columns)
+
+
+def scheduled_copies(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, each as often as it takes them, range-sorted by position.
+
+    A row comes as often as epochs take at least half of it, each time where
+    its source's word stream has come round to it. Columns stay as they were.
+    """
+    key, place, copies, number = fresh(docs, "_h", "_place", "_copies", "_number")
+    due = plan(docs).where("copies > 0")
+    by_key = due.groupBy(F.col("h").alias(key)).agg(F.sort_array(F.collect_list(F.struct("place", "places"))).alias(copies))
+    rows = docs.withColumn("_of_" + key, stream_hash()).join(by_key, F.col("_of_" + key) == F.col(key))
+    rows = rows.withColumn(number, F.row_number().over(Window.partitionBy(key).orderBy(key)))
+    one = F.try_element_at(copies, F.col(number))
+    rows = rows.select(*docs.columns, F.explode(one["places"]).alias(place))
+    return rows.orderBy(place, "doc_id").select(*docs.columns)

@@ -41,7 +41,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.plan(table(spark, sf_dir, "documents"))
-    return planned.orderBy("place", "doc_id").drop("h", "place")
+    return planned.orderBy("place", "doc_id").drop("h", "place", "places")
 
 
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
