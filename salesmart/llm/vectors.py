@@ -17,8 +17,8 @@ from salesmart.llm.common import Scratch, scan
 from salesmart.llm.components import connected, merge_labels
 
 LEAST_COSINE = 0.95
-# Vectors that centroids and codebooks are fitted on, lists at most, lists that a vector looks into at most.
-SAMPLE, MOST_LISTS, PROBES = 20_000, 4096, 16
+# Vectors that centroids and codebooks are fitted on, lists at most.
+SAMPLE, MOST_LISTS = 20_000, 4096
 SUBSPACES, CODES, ROUNDS = 8, 256, 8
 # Members and queries that meet in one group; larger lists are split into blocks of both.
 MEMBER_BLOCK, QUERY_BLOCK, STEP = 2048, 8192, 256
@@ -64,16 +64,17 @@ class Index:
         return own, codes.astype(np.uint8), np.linalg.norm(residuals - coded, axis=1)
 
     def probes(self, units: np.ndarray, own: np.ndarray, distance: float) -> list[list[int]]:
-        """The ``PROBES`` nearest lists of each vector without those whose border is beyond ``distance``."""
-        squares = ((units * units).sum(axis=1)[:, None] - 2 * units @ self.centroids.T
-                   + (self.centroids * self.centroids).sum(axis=1))
-        many = min(PROBES, len(self.centroids))
-        near = np.argpartition(squares, many - 1, axis=1)[:, :many]
-        apart = np.linalg.norm(self.centroids[near] - self.centroids[own][:, None, :], axis=2)
-        over = np.take_along_axis(squares, near, axis=1) - squares[np.arange(len(units)), own][:, None]
-        may = (over <= 2 * apart * distance + 1e-9) | (near == own[:, None])
-        out = [row[ok].tolist() for row, ok in zip(near, may, strict=True)]
-        return [p if o in p else [*p, int(o)] for p, o in zip(out, own, strict=True)]
+        """The lists of each vector without those whose border with its own is beyond ``distance``; the bound is exact."""
+        out, norms = [], (self.centroids * self.centroids).sum(axis=1)
+        for at in range(0, len(units), STEP):
+            some, mine = units[at:at + STEP], own[at:at + STEP]
+            squares = norms - 2 * some @ self.centroids.T
+            over = squares - squares[np.arange(len(some)), mine][:, None]
+            apart = norms[mine][:, None] + norms - 2 * self.centroids[mine] @ self.centroids.T
+            may = over <= 2 * np.sqrt(np.maximum(apart, 0.0) + 1e-12) * distance + 1e-9
+            may[np.arange(len(some)), mine] = True
+            out += [np.flatnonzero(row).tolist() for row in may]
+        return out
 
     def scores(self, queries: np.ndarray, of_list: int, codes: np.ndarray) -> np.ndarray:
         """Approximate cosines of queries with coded members of a list, by table look-up."""

@@ -74,3 +74,20 @@ def test_edge_rows(spark):
     want += [(1, 3, 1, True), (1, 3, 1, True), (2, 3, 1, False), (None, 3, 1, False), (10, 1, 10, True), (11, 1, 10, False)]
     assert got == sorted(want, key=str)
     assert vectors.near_duplicates(frame.limit(0)).count() == 0
+
+
+def test_a_cluster_over_many_lists_loses_no_link(spark):
+    """A third of the vectors in one cluster of different ones, spread over more lists than a few nearest."""
+    random = np.random.default_rng(9)
+    center = random.normal(size=64)
+    hot = center + random.normal(size=(1500, 64)) * 0.19 * np.linalg.norm(center) / 8
+    raw = np.concatenate([hot, random.normal(size=(3000, 64))])
+    units = raw / np.linalg.norm(raw, axis=1, keepdims=True)
+    index = vectors.Index(units, 256)
+    own, _, _ = index.encode(units)
+    probes = [set(p) for p in index.probes(units, own, (2 - 2 * vectors.LEAST_COSINE) ** 0.5)]
+    a, b = np.nonzero(units[:1500] @ units[:1500].T >= vectors.LEAST_COSINE)
+    assert len(set(own[:1500])) > 32 and len(a) > 100_000
+    assert all(own[j] in probes[i] for i, j in zip(a, b, strict=True))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(raw)], "vec_id long, embedding array<double>")
+    assert found(vectors.near_duplicates(frame)) == plain(np.arange(len(raw)), raw)
