@@ -57,6 +57,26 @@ def mod97(code: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def iban_ends(match: re.Match) -> list[int]:
+    """Ends that an IBAN may have within a match, the longest first: the match's own and those before a blank."""
+    text, start = match[0], match.start()
+    return [match.end(), *(start + at for at in range(len(text) - 1, 0, -1) if text[at] == " ")]
+
+
+def ibans(text: str) -> list[tuple[int, int]]:
+    """Spans that pass mod-97; a word that follows an IBAN is tried with it first, then left out."""
+    found, at = [], 0
+    while m := IBAN.search(text, at):
+        at = m.end()
+        for end in iban_ends(m):
+            code = text[m.start():end].replace(" ", "")
+            if 15 <= len(code) <= 34 and mod97(code):
+                found.append((m.start(), end))
+                at = end
+                break
+    return found
+
+
 def emails(text: str) -> list[tuple[int, int]]:
     """Each domain with the run of local characters before its ``@``; linear also where no ``@`` follows a run."""
     found, free = [], 0
@@ -100,10 +120,8 @@ def find_spans(text: str | None) -> list[tuple[str, int, int, float, bool]]:
     if not text:
         return []
     found = [(k, s, e, scored(text, k, s, e), True) for k, s, e in base_spans(text)]
-    for m in IBAN.finditer(text):
-        code = m[0].replace(" ", "")
-        if 15 <= len(code) <= 34 and mod97(code):
-            found.append(("iban", m.start(), m.end(), scored(text, "iban", m.start(), m.end()), False))
+    for start, end in ibans(text):
+        found.append(("iban", start, end, scored(text, "iban", start, end), False))
     for m in NATIONAL_ID.finditer(text):
         score = scored(text, "national_id", m.start(), m.end())
         if score >= KEEP_AT:
