@@ -15,6 +15,7 @@ from salesmart.session import scratch_path
 
 # Rows handed to a Python worker at once; long texts make a row large.
 ARROW_ROWS = 512
+ARROW_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # ASCII whitespace: what splits words in every contract of this package.
 SPACE_CLASS = r"\x20\x09-\x0D"
@@ -48,6 +49,17 @@ def scan(df: DataFrame, work: Callable[[dict[str, list]], dict[str, list]], sche
     return df.mapInArrow(run, schema)
 
 
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Hand Python workers so many rows at once for what is run inside; the session's own setting comes back after."""
+    before = spark.conf.get(ARROW_SETTING, None)
+    spark.conf.set(ARROW_SETTING, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.unset(ARROW_SETTING) if before is None else spark.conf.set(ARROW_SETTING, before)
+
+
 def word_count(text: str = "text"):
     """Number of words of a text, null as none, without splitting it into an array of strings.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import decontaminate, katz, langid, mixing, pii, secrets, sharding, simhash, vectors, warc
+from salesmart.llm import decontaminate, katz, langid, mixing, phrases, pii, secrets, sharding, simhash, vectors, warc
 from salesmart.llm.common import table
 
 
@@ -54,6 +54,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_simhash": op2_simhash,
@@ -65,6 +69,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_langid": op9_langid,
     "op10_warc": op10_warc,
+    "op11_phrases": op11_phrases,
 }
 
 ORACLE: dict[str, str] = {}
@@ -110,3 +115,36 @@ select doc_id, size, source_size, target, cast(e0 + e1 + e2 as bigint) as taken,
     as position
 from epochs
 """
+
+ORACLE["op11_phrases"] = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+worded as materialized (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+totals as (select lang, cast(sum(len(w)) as bigint) as n from worded group by lang),
+grams as (
+  select lang, m as words, array_to_string(w[i:i + m - 1], ' ') as phrase
+  from (select lang, w, m, unnest(generate_series(1, len(w) - m + 1)) as i
+        from (select lang, w, unnest([1, 2, 3]) as m from worded))),
+f as materialized (select lang, words, phrase, count(*) as a from grams group by all having count(*) >= 10),
+candidates as materialized (select *, string_split(phrase, ' ') as parts from f where words > 1),
+cuts as (
+  select lang, phrase, a, k, array_to_string(parts[1:k], ' ') as head, array_to_string(parts[k + 1:words], ' ') as tail
+  from (select *, unnest(generate_series(1, words - 1)) as k from candidates)),
+scored as (
+  select c.lang, c.phrase, c.a, c.k, l.a as l, r.a as r,
+    cast((1000000::hugeint * c.a * c.a) // (l.a::hugeint * r.a) as bigint) as score
+  from cuts c join f l on l.lang = c.lang and l.phrase = c.head join f r on r.lang = c.lang and r.phrase = c.tail),
+worst as (select *, row_number() over (partition by lang, phrase order by score, k) as nth from scored),
+around as (
+  select lang, phrase, max(a) as around from (
+    select lang, a, unnest([array_to_string(parts[1:2], ' '), array_to_string(parts[2:3], ' ')]) as phrase
+    from candidates where words = 3) group by all),
+ranked as (
+  select s.lang, s.phrase, s.a, s.l, s.r, s.score,
+    row_number() over (partition by s.lang order by s.score desc, s.a desc, s.phrase) as rank
+  from worst s left join around o on o.lang = s.lang and o.phrase = s.phrase
+  where s.nth = 1 and (o.around is null or 100 * o.around < 50 * s.a))
+select x.lang, x.rank, x.phrase, x.a, x.l, x.r, t.n, x.score from ranked x join totals t using (lang) where x.rank <= 2000
+"""
