@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import decontaminate, katz, langid, mixing, phrases, pii, secrets, sharding, simhash, vectors, warc
+from salesmart.llm import decontaminate, katz, langid, mixing, packing, phrases, pii, secrets, sharding, simhash, vectors, warc
 from salesmart.llm.common import table
 
 
+# Folder of the public tokenizers' files.
+TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+
+
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -58,6 +64,10 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_digests(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_simhash": op2_simhash,
@@ -70,6 +80,7 @@ QUERIES = {
     "op9_langid": op9_langid,
     "op10_warc": op10_warc,
     "op11_phrases": op11_phrases,
+    "op13_packing": op13_packing,
 }
 
 ORACLE: dict[str, str] = {}
