@@ -120,5 +120,8 @@ class Scratch:
 
     def drop(self, kept: DataFrame) -> None:
         """Delete a table that no later step reads."""
-        jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(kept.scratch_path)
+        self.drop_path(kept.scratch_path)
+
+    def drop_path(self, path: str) -> None:
+        jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         jvm_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(jvm_path, True)

@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import decontaminate, katz, langid, mixing, packing, phrases, pii, secrets, sharding, simhash, vectors, warc
+from salesmart.llm import clustering, decontaminate, katz, langid, mixing, packing, phrases, pii, secrets, sharding, simhash, vectors, warc
 from salesmart.llm.common import table
 
 
@@ -64,6 +64,10 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster(table(spark, sf_dir, "embeddings"))
+
+
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_digests(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
 
@@ -80,6 +84,7 @@ QUERIES = {
     "op9_langid": op9_langid,
     "op10_warc": op10_warc,
     "op11_phrases": op11_phrases,
+    "op12_clusters": op12_clusters,
     "op13_packing": op13_packing,
 }
 
@@ -159,3 +164,34 @@ ranked as (
   where s.nth = 1 and (o.around is null or 100 * o.around < 50 * s.a))
 select x.lang, x.rank, x.phrase, x.a, x.l, x.r, t.n, x.score from ranked x join totals t using (lang) where x.rank <= 2000
 """
+
+
+def _cluster_sql(rounds: int = 10) -> str:
+    """The rounds written out one after the other: assignments a0, a1, ... and centroids c0, c1, ..."""
+    parts = ["""kept as materialized (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as q
+  from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64)""",
+             "cells as materialized (select vec_id, unnest(q) as x, unnest(range(64)) as d from kept)",
+             """c0 as materialized (
+  select k, unnest(q) as x, unnest(range(64)) as d from (
+    select q, row_number() over (order by sha256('3:' || vec_id), vec_id) - 1 as k from kept) where k < 8)"""]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} as materialized (
+  select vec_id, arg_min(k, (distance, k)) as k, min(distance) as distance from (
+    select v.vec_id, c.k, sum((v.x - c.x) * (v.x - c.x)) as distance from cells v join c{i} c using (d) group by all)
+  group by vec_id)""")
+        if i < rounds:
+            parts.append(f"""c{i + 1} as materialized (
+  select o.k, o.d, coalesce(n.x, o.x) as x from c{i} o left join (
+    select a.k, v.d, cast((sum(v.x) - ((sum(v.x) % count(*)) + count(*)) % count(*)) // count(*) as bigint) as x
+    from cells v join a{i} a using (vec_id) group by all) n on n.k = o.k and n.d = o.d)""")
+    return f"""with {', '.join(parts)},
+names as (select k, sha256(string_agg(cast(x as varchar), ',' order by d)) as centroid_sha256 from c{rounds} group by k)
+select a.vec_id, cast(a.k as integer) as cluster, cast(a.distance as bigint) as distance,
+  cast(sum(a.distance) over (partition by a.k) as bigint) as cluster_inertia, cast(sum(a.distance) over () as bigint) as inertia,
+  names.centroid_sha256
+from a{rounds} a join names using (k)"""
+
+
+ORACLE["op12_clusters"] = _cluster_sql()
