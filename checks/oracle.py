@@ -807,10 +807,32 @@ state AS (
 """
 # one load stamps all its rows alike, so arrival is the file order
 _FILE_GOOD = _FIRST_GOOD.replace("fecha_carga, ", "")
+# attributes of each customer's last sale of a batch; a batch opens versions for customers that are new or differ
+_LAST = """SELECT id_cliente, nullif(trim(email_cliente), '') AS email_cliente, nullif(trim(telefono_cliente), '') AS telefono_cliente,
+  nullif(trim(ciudad), '') AS ciudad
+FROM (SELECT *, row_number() OVER (PARTITION BY id_cliente ORDER BY fecha DESC, id_venta DESC) AS k FROM {0}) WHERE k = 1"""
+_VERSIONS = f"""
+att1 AS ({_LAST.format('g1')}), att2 AS ({_LAST.format('fresh')}),
+v1 AS (SELECT row_number() OVER (ORDER BY id_cliente) AS cliente_key, * FROM att1),
+moved AS (
+  SELECT att2.*, v1.cliente_key AS old_key FROM att2 LEFT JOIN v1 USING (id_cliente)
+  WHERE v1.cliente_key IS NULL OR v1.email_cliente IS DISTINCT FROM att2.email_cliente
+     OR v1.telefono_cliente IS DISTINCT FROM att2.telefono_cliente OR v1.ciudad IS DISTINCT FROM att2.ciudad),
+versions AS (
+  SELECT v1.cliente_key, v1.id_cliente, v1.email_cliente, v1.telefono_cliente, v1.ciudad, '2026-03-01' AS fecha_vigencia_desde,
+         CASE WHEN old_key IS NOT NULL THEN '2026-03-01' END AS fecha_vigencia_hasta, CAST(old_key IS NULL AS BIGINT) AS es_registro_actual,
+         'b1' AS id_batch_open, CASE WHEN old_key IS NOT NULL THEN 'b2' END AS id_batch_close
+  FROM v1 LEFT JOIN moved ON old_key = v1.cliente_key
+  UNION ALL
+  SELECT (SELECT count(*) FROM g1) + row_number() OVER (ORDER BY id_cliente), id_cliente, email_cliente, telefono_cliente, ciudad,
+         '2026-03-02', NULL, 1, 'b2', NULL FROM moved)
+"""
 ORACLE["batch_rerun"] = f"""
-WITH {RAW_WITH}, {_FILE_GOOD}, {_BATCHES}
-SELECT *, 1 AS corrida FROM state UNION ALL SELECT *, 2 FROM state
+WITH {RAW_WITH}, {_FILE_GOOD}, {_BATCHES}, {_VERSIONS},
+all_state AS (SELECT * FROM state UNION ALL SELECT 'cliente', id_batch_open, count(*), CAST(0 AS DOUBLE) FROM versions GROUP BY 2)
+SELECT *, 1 AS corrida FROM all_state UNION ALL SELECT *, 2 FROM all_state
 """
+ORACLE["customer_versions"] = f"WITH {RAW_WITH}, {_FILE_GOOD}, {_BATCHES}, {_VERSIONS} SELECT * FROM versions"
 ORACLE["rollback_state"] = f"""
 WITH {RAW_WITH}, {_FILE_GOOD}, {_BATCHES}
 SELECT * FROM state WHERE id_batch = 'b1'

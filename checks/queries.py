@@ -914,8 +914,13 @@ def _state(house):
 def batch_rerun(spark, sf_dir):
     """State after two batches and after running the second one again."""
     house, before = _load_twice(spark, sf_dir)
-    return (before.withColumn("corrida", F.lit(1)).unionByName(_state(house).withColumn("corrida", F.lit(2)))
-            .where("tabla <> 'cliente'"))
+    return before.withColumn("corrida", F.lit(1)).unionByName(_state(house).withColumn("corrida", F.lit(2)))
+
+
+@register
+def customer_versions(spark, sf_dir):
+    """All customer versions of the loaded warehouse, with their keys, from the buckets and the closed rows."""
+    return _loaded(spark, sf_dir).customers().drop("fecha_creacion", "fecha_actualizacion")
 
 
 @register

@@ -28,6 +28,14 @@ def _differs(tracked) -> Column:
     return ~same
 
 
+def news(current: DataFrame, incoming: DataFrame, tracked=TRACKED) -> DataFrame:
+    """Rows of ``incoming`` that a merge into ``current`` would act on: unknown customers and changed attributes."""
+    new = incoming.select("id_cliente", *[blank_to_null(F.col(c)).alias(f"_new_{c}") for c in tracked])
+    known = current.where("es_registro_actual").select("id_cliente", F.lit(True).alias("_known"), *tracked)
+    acted = new.join(known, "id_cliente", "left").where(F.col("_known").isNull() | _differs(tracked))
+    return incoming.join(acted.select("id_cliente"), "id_cliente", "left_semi")
+
+
 def scd2_versions(current: DataFrame, incoming: DataFrame, eff_date: date, batch_id: str,
                   stamp: Column, tracked=TRACKED) -> DataFrame:
     """Versions after one merge: kept, closed and opened, from a single join.

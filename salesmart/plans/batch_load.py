@@ -25,6 +25,8 @@ RUN_T, QUALITY_T, ACCESS_T = ("control/etl_execution_log", "control/data_quality
                               "control/auditoria_accesos")
 ACTIVE_T, CLOSED_T = "dwh/dim_cliente_actual", "dwh/dim_cliente_cerrado"
 PREVIOUS_T, MARK_T = "dwh/dim_cliente_previo", "control/llaves"
+# Hash buckets that the active customers of a new warehouse are kept in; a batch rewrites those it touches.
+CUSTOMER_BUCKETS = 16
 MEMBER_TABLES = {"dim_canal": CHANNEL, "dim_ciudad": CITY, "dim_vendedor": SELLER, "dim_producto": PRODUCT}
 # no personal columns: the keys don't need them, and erasure needn't come here
 KEYED = (CLEAN.replace(", id_batch string", "").replace(", email_cliente string", "")
@@ -56,9 +58,9 @@ class Warehouse:
     Times and batch ids are arguments, so a repeated run gives the same rows.
     """
 
-    def __init__(self, spark: SparkSession, root: str,
-                 first: date = date(2020, 1, 1), last: date = date(2030, 12, 31)):
-        self.spark, self.store = spark, Store(spark, root)
+    def __init__(self, spark: SparkSession, root: str, first: date = date(2020, 1, 1),
+                 last: date = date(2030, 12, 31), customer_buckets: int = CUSTOMER_BUCKETS):
+        self.spark, self.store = spark, Store(spark, root, {ACTIVE_T: ("id_cliente", customer_buckets)})
         self.first, self.last = first, last
 
     # -- tables ----------------------------------------------------------------
@@ -73,8 +75,12 @@ class Warehouse:
     def members(self, name: str) -> DataFrame:
         return self.store.read(f"dwh/{name}", _with_batch(MEMBER_TABLES[name])).drop("id_batch")
 
+    def active(self, buckets: list[int] | None = None) -> DataFrame:
+        """Current customer versions, all or those of some buckets."""
+        return self.store.read_snapshot(ACTIVE_T, CUSTOMER, buckets=buckets)
+
     def customers(self) -> DataFrame:
-        active = self.store.read_snapshot(ACTIVE_T, CUSTOMER)
+        active = self.active()
         closed = self.store.read(CLOSED_T, _with_batch(CUSTOMER)).drop("id_batch")
         return active.unionByName(closed)
 
@@ -83,7 +89,7 @@ class Warehouse:
 
     def dims(self) -> dict[str, DataFrame]:
         out = {name: self.members(name) for name in MEMBER_TABLES}
-        out["dim_cliente"] = self.store.read_snapshot(ACTIVE_T, CUSTOMER)
+        out["dim_cliente"] = self.active()
         out["dim_fecha"] = self.calendar()
         return out
 
@@ -239,19 +245,28 @@ class Warehouse:
                        (field.strip().split(" ") for field in _fields(MEMBER_TABLES[name])) if c not in new.columns]
             self.store.append_batch(f"dwh/{name}", new.select("*", *missing), batch_id)
 
-        incoming, stamp = materialise(scd2.latest_attributes(clean)), F.lit(now).cast("timestamp")
-        edited = scd2.edited_in_place(self.customers(), incoming, now.date(), stamp)
+        self._load_customers(materialise(scd2.latest_attributes(clean)), batch_id, now, keys["dim_cliente"])
+
+    def _load_customers(self, incoming: DataFrame, batch_id: str, now: datetime, start: int) -> None:
+        """Merge attributes into the customer history; reads and writes only the buckets where something is new."""
+        stamp = F.lit(now).cast("timestamp")
+        incoming = materialise(scd2.news(self.active(self.store.buckets_of(ACTIVE_T, incoming)), incoming))
+        touched = self.store.buckets_of(ACTIVE_T, incoming)
+        if not touched:
+            return
+        active = self.active(touched)
+        edited = scd2.edited_in_place(active, incoming, now.date(), stamp)
         known = self.store.read_batch(PREVIOUS_T, PREVIOUS, batch_id)
         edited = materialise(edited.join(known.select("cliente_key"), "cliente_key", "left_anti"))
         if not edited.isEmpty():  # before the edit itself: what is replaced is on record first
             self.store.append_batch(PREVIOUS_T, edited, batch_id)
-        merged = scd2.scd2_merge(self.customers(), incoming, now.date(), batch_id, stamp, start=keys["dim_cliente"])
+        merged = materialise(scd2.scd2_merge(active, incoming, now.date(), batch_id, stamp, start=start))
         just_closed = merged.where(~F.col("es_registro_actual") & (F.col("id_batch_close") == batch_id))
         known = self.store.read_batch(CLOSED_T, _with_batch(CUSTOMER), batch_id)
         # closed rows first: a run cut off in between is repaired by running the batch again
         self.store.append_batch(CLOSED_T, just_closed.join(known.select("cliente_key"), "cliente_key", "left_anti"),
                                 batch_id)
-        self.store.write_snapshot(ACTIVE_T, merged.where("es_registro_actual"))
+        self.store.write_buckets(ACTIVE_T, merged.where("es_registro_actual"), touched)
 
     def _load_fact(self, clean, batch_id, now, by_date, keys) -> tuple[int, int, int]:
         dims = self.dims()
@@ -310,9 +325,13 @@ class Warehouse:
         self._refuse_if_built_on(batch_id)
         stamp = F.lit(now).cast("timestamp")
         previous = self.store.read_batch(PREVIOUS_T, PREVIOUS, batch_id)
-        restored = scd2.undo_batch(self.customers(), batch_id, stamp, previous).where("es_registro_actual")
+        closed = self.store.read_batch(CLOSED_T, _with_batch(CUSTOMER), batch_id).drop("id_batch")
+        opened = self.active().where(F.col("id_batch_open") == batch_id)
+        concerned = opened.select("id_cliente").unionByName(closed.select("id_cliente")).unionByName(previous.select("id_cliente"))
+        touched = self.store.buckets_of(ACTIVE_T, concerned)
+        restored = scd2.undo_batch(self.active(touched).unionByName(closed), batch_id, stamp, previous)
         self.store.drop_batch(FACT_T, batch_id)
-        self.store.write_snapshot(ACTIVE_T, restored)
+        self.store.write_buckets(ACTIVE_T, restored.where("es_registro_actual"), touched)
         for name in (CLOSED_T, PREVIOUS_T, RAW_T, CLEAN_T, KEYED_T, REJECT_T):
             self.store.drop_batch(name, batch_id)
         if batch_id in self.store.batches(RUN_T):
@@ -352,8 +371,8 @@ class Warehouse:
         versions = self.customers().join(ids, F.col("id_cliente") == F.col("_id"))
         counts = materialise(ids.join(versions.groupBy("_id").agg(F.count(F.lit(1)).alias("n")), "_id", "left")
                              .select("_id", F.coalesce("n", F.lit(0)).alias("n")))
-        active = self.store.read_snapshot(ACTIVE_T, CUSTOMER)
-        self.store.write_snapshot(ACTIVE_T, privacy.erase(active, requests, stamp), keep=1)
+        touched = self.store.buckets_of(ACTIVE_T, ids, "_id")
+        self.store.write_buckets(ACTIVE_T, privacy.erase(self.active(touched), requests, stamp), touched, keep=1)
         for name, schema in ((CLOSED_T, _with_batch(CUSTOMER)), (PREVIOUS_T, PREVIOUS), (RAW_T, RAW), (CLEAN_T, CLEAN)):
             if not self.store.batches(name):
                 continue

@@ -6,7 +6,9 @@ Two kinds of tables, both without row updates:
   appended to or dropped as a folder.
 * *snapshot tables* have one folder per version. A version counts once its
   job has committed (``_SUCCESS``), so readers never see half a write, and
-  the previous version stays readable.
+  the previous version stays readable. Those named in ``bucketed`` are kept
+  in hash buckets of a key, of which a write replaces only some
+  (``sources/buckets.py``).
 
 One writer at a time is assumed.
 """
@@ -17,6 +19,8 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from salesmart.sources.buckets import BucketedSnapshot
+
 # Days a row stays, and the column that says since when; tables not named here are kept for good.
 RETENTION_DAYS = {
     "staging/ventas_llaves": ("fecha_procesamiento", 7),
@@ -29,8 +33,11 @@ RETENTION_DAYS = {
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str):
+    """``bucketed`` names snapshot tables with their key and the number of buckets they start with."""
+
+    def __init__(self, spark: SparkSession, root: str, bucketed: dict[str, tuple[str, int]] | None = None):
         self.spark, self.root = spark, root.rstrip("/")
+        self.bucketed = {name: BucketedSnapshot(self, name, key, many) for name, (key, many) in (bucketed or {}).items()}
 
     # -- folders -------------------------------------------------------------
 
@@ -53,6 +60,27 @@ class Store:
         fs, p = self._path(path)
         return fs.delete(p, True)
 
+    def _read_text(self, path: str) -> str:
+        fs, p = self._path(path)
+        stream = fs.open(p)
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def _write_text(self, path: str, text: str) -> None:
+        """A small file that is there whole or not at all."""
+        fs, part = self._path(f"{path}.part")
+        stream = fs.create(part, True)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+        _, whole = self._path(path)
+        fs.delete(whole, False)
+        if not fs.rename(part, whole):
+            raise OSError(f"cannot write {path}")
+
     # -- batch tables ----------------------------------------------------------
 
     def read(self, name: str, schema: str) -> DataFrame:
@@ -111,15 +139,39 @@ class Store:
         return [v for v in self._children(self.path(name))
                 if v.startswith("v") and self._exists(f"{self.path(name)}/{v}/_SUCCESS")]
 
-    def read_snapshot(self, name: str, schema: str, back: int = 0) -> DataFrame:
-        """The newest committed version, or an earlier one."""
+    def read_snapshot(self, name: str, schema: str, back: int = 0, buckets: list[int] | None = None) -> DataFrame:
+        """The newest committed version, or an earlier one; of a bucketed table all buckets or some."""
+        table = self.bucketed.get(name)
+        if table is not None and table.manifests():
+            return table.read(schema, buckets, back)
         versions = self.versions(name)
         if len(versions) <= back:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.path(name)}/{versions[-1 - back]}")
+        rows = self.spark.read.schema(schema).parquet(f"{self.path(name)}/{versions[-1 - back]}")
+        return rows if buckets is None else rows.where(table.bucket().isin(buckets))
+
+    def buckets_of(self, name: str, rows: DataFrame, key: str | None = None) -> list[int]:
+        """Buckets of a bucketed table that hold, or would hold, the keys of ``rows``."""
+        return self.bucketed[name].buckets_of(rows, key)
+
+    def write_buckets(self, name: str, df: DataFrame, touched: list[int], keep: int = 2) -> str | None:
+        """Replace some buckets of a bucketed table; writes nothing for none."""
+        table = self.bucketed[name]
+        if not touched and table.manifests():
+            table._forget(keep)
+            return None
+        if not table.manifests() and self.versions(name):  # a table from before it had buckets
+            raise ValueError(f"{name} has no buckets yet: write_snapshot it once")
+        return table.write(df, touched, keep)
 
     def write_snapshot(self, name: str, df: DataFrame, keep: int = 2) -> str:
         """Write a new version; of the versions then there, the newest ``keep`` stay."""
+        if name in self.bucketed:
+            plain = self.versions(name)
+            folder = self.bucketed[name].write(df, None, keep)
+            for old in plain:
+                self._drop(f"{self.path(name)}/{old}")
+            return folder
         versions = self.versions(name)
         version = f"v{(int(versions[-1][1:]) if versions else 0) + 1:08d}"
         df.write.mode("overwrite").parquet(f"{self.path(name)}/{version}")
