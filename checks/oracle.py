@@ -596,6 +596,7 @@ FROM lookup WHERE falta IS NULL AND id_venta IN (SELECT id_venta FROM loaded)
 
 # ---- reconciliation ---------------------------------------------------------------
 
+ORACLE["fact_insert_indexed"] = ORACLE["fact_insert_new"]
 ORACLE["batch_summary"] = f"""
 WITH {STAR}
 SELECT id_batch, count(*) AS total_ventas, CAST(sum(monto_total) AS DOUBLE) AS monto_total_cargado,
@@ -862,6 +863,17 @@ FROM n, (SELECT unnest(['extract', 'validate', 'clean', 'dimensions', 'fact', 'c
 UNION ALL SELECT 'b3', 'extract', 'EXITOSO', 2, 2 * (SELECT count(*) FROM raw WHERE archivo_origen = 'ventas_nuevas.csv' AND fecha = '')
 UNION ALL SELECT 'b3', 'validate', 'FALLIDO', 2, 0
 """
+ORACLE["key_index_state"] = _HOUSE + """
+SELECT id_batch, count(*) AS llaves, count(DISTINCT (id_venta - 1) // 32768) AS grupos, min((id_venta - 1) // 32768 + 1) AS primero,
+       max((id_venta - 1) // 32768 + 1) AS ultimo
+FROM (SELECT 'b1' AS id_batch, id_venta FROM f1 UNION ALL SELECT 'b2', id_venta FROM f2) GROUP BY 1
+"""
+ORACLE["batch_footprint"] = _HOUSE + """
+SELECT t.tabla, id_batch, filas AS registros, stamp AS mas_antiguo, stamp AS mas_reciente
+FROM (SELECT *, CASE id_batch WHEN 'b1' THEN '2026-03-01 00:00:00' ELSE '2026-03-02 00:00:00' END AS stamp FROM state) s
+JOIN (VALUES ('staging/ventas_raw', 'raw'), ('staging/ventas_clean', 'clean'), ('staging/ventas_llaves', 'clean'),
+             ('dwh/fact_ventas', 'fact')) t(tabla, de) ON s.tabla = t.de
+"""
 ORACLE["quality_json"] = f"""
 WITH {RAW_WITH}, {_FILE_GOOD}, rules AS (SELECT count(*) AS r FROM ({_LOAD_LOG}))
 SELECT CASE archivo_origen WHEN 'ventas_raw.csv' THEN 'b1' ELSE 'b2' END AS id_batch,

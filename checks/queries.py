@@ -8,12 +8,12 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from salesmart.functions import dates, masking, normalize as N
-from salesmart.operators import (access, cleaning, dimensions, facts, privacy, profiling, quality,
+from salesmart.operators import (access, cleaning, dimensions, facts, key_index, privacy, profiling, quality,
                                  reconcile, scd2)
 from salesmart.operators.calendar import build_calendar, calendar_of, days_between
 from salesmart.operators.ranking import assign_keys, with_ntile, with_rank, with_row_number
 from salesmart.plans import analytics, measures
-from salesmart.plans.batch_load import Warehouse, run_summary as summary_of
+from salesmart.plans.batch_load import KEY_INDEX_T, Warehouse, run_summary as summary_of
 from salesmart.schemas import BUSINESS_COLUMNS
 from salesmart.session import configure, materialise, scratch_path
 from salesmart.sources.csv_files import read_after, read_csv, stamp_lineage
@@ -443,6 +443,20 @@ def fact_insert_new(spark, sf_dir):
     return rows.unionByName(skipped)
 
 
+@register
+def fact_insert_indexed(spark, sf_dir):
+    """The same as ``fact_insert_new``, with the stored keys looked up in their index."""
+    keyed = materialise(facts.resolved(_keyed(spark, sf_dir)))
+    index = materialise(key_index.key_bitmaps(_loaded_ids(_raw(spark, sf_dir))))
+    new, known = facts.insert_new(materialise(key_index.known_keys(index, keyed)), keyed)
+    rows = facts.fact_rows(new, "b9", F.lit("2024-01-01").cast("timestamp")).select(
+        "id_venta", "fecha_key", "monto_total", "descuento", "impuestos", "monto_neto", "id_batch")
+    zero = F.lit(0)
+    return rows.unionByName(known.select(
+        "id_venta", F.lit(None).cast("int").alias("fecha_key"), "monto_total", zero.alias("descuento"),
+        zero.alias("impuestos"), zero.alias("monto_neto"), F.lit("omitida").alias("id_batch")))
+
+
 # ---- reconciliation -----------------------------------------------------------
 
 @register
@@ -789,6 +803,20 @@ def run_log_state(spark, sf_dir):
         F.count(F.lit(1)).alias("filas"), F.sum("registros_procesados").alias("procesados"))
 
 
+@register
+def key_index_state(spark, sf_dir):
+    """Keys and buckets that the index of the loaded warehouse has of each batch."""
+    index = _loaded(spark, sf_dir).store.read(KEY_INDEX_T, key_index.KEY_INDEX)
+    return key_index.keys_in(index).groupBy("id_batch").agg(F.sum("n").alias("llaves"), F.count(F.lit(1)).alias("grupos"),
+                                                            F.min("bucket").alias("primero"), F.max("bucket").alias("ultimo"))
+
+
+@register
+def batch_footprint(spark, sf_dir):
+    """Rows and age of each stored batch, from the manifests alone."""
+    return _loaded(spark, sf_dir).footprint()
+
+
 @register
 def quality_json(spark, sf_dir):
     """The quality log written as JSON lines and read back."""

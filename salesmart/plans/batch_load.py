@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from salesmart.functions.normalize import to_integer
-from salesmart.operators import access, cleaning, dimensions, facts, privacy, quality, scd2
+from salesmart.operators import access, cleaning, dimensions, facts, key_index, privacy, quality, scd2
 from salesmart.operators.calendar import build_calendar
 from salesmart.operators.ranking import assign_keys
 from salesmart.schemas import (ACCESS_LOG, BUSINESS_COLUMNS, CHANNEL, CITY, CLEAN, CUSTOMER, FACT, KEY_MARK,
@@ -20,7 +20,7 @@ from salesmart.sources.star import Star
 from salesmart.sources.tables import RETENTION_DAYS, Store
 
 RAW_T, CLEAN_T, KEYED_T = "staging/ventas_raw", "staging/ventas_clean", "staging/ventas_llaves"
-FACT_T, REJECT_T = "dwh/fact_ventas", "control/rechazos"
+FACT_T, KEY_INDEX_T, REJECT_T = "dwh/fact_ventas", "dwh/fact_ventas_llaves", "control/rechazos"
 RUN_T, QUALITY_T, ACCESS_T = ("control/etl_execution_log", "control/data_quality_log",
                               "control/auditoria_accesos")
 ACTIVE_T, CLOSED_T = "dwh/dim_cliente_actual", "dwh/dim_cliente_cerrado"
@@ -135,14 +135,16 @@ class Warehouse:
         # stays behind if the driver dies; the end of this attempt replaces it
         self._write_log([(step, now, None, "INICIADO", 0, 0, 0, None, batch_id)], batch_id, now)
         try:
-            self.store.overwrite_batch(RAW_T, stamp_lineage(rows, batch_id, now).select(
-                *BUSINESS_COLUMNS, "fecha_carga", "archivo_origen", "row_seq"), batch_id)
+            extracted = self.store.overwrite_batch(RAW_T, stamp_lineage(rows, batch_id, now).select(
+                *BUSINESS_COLUMNS, "fecha_carga", "archivo_origen", "row_seq"), batch_id)["filas"]
             raw = self.store.read_batch(RAW_T, RAW, batch_id)
-            extracted = raw.count()
             self._log(log, step, now, extracted, extracted, 0, batch_id)
 
             step = "validate"
-            loaded = self.store.read_other(FACT_T, FACT, batch_id) if mode == "incremental" else None
+            loaded = None
+            if mode == "incremental":  # looked up once, for the rule and for the cleaning
+                ids = raw.select(to_integer(F.col("id_venta")).alias("id_venta"))
+                loaded = materialise(self.stored_keys(ids, batch_id))
             score = self._validate(raw, loaded, batch_id, now)
             quality.check_gate(score, threshold)
             self._log(log, step, now, extracted, extracted, 0, batch_id)
@@ -151,11 +153,9 @@ class Warehouse:
             # judged once and written down: both tables are cut from the same rows
             stamp = F.lit(now).cast("timestamp")
             good, rejected = cleaning.split(materialise(cleaning.outcome(raw, loaded, strict)))
-            self.store.overwrite_batch(CLEAN_T, good.withColumn("fecha_procesamiento", stamp), batch_id)
-            self.store.overwrite_batch(REJECT_T, rejected.withColumn("fecha_rechazo", stamp), batch_id)
+            n_clean = self.store.overwrite_batch(CLEAN_T, good.withColumn("fecha_procesamiento", stamp), batch_id)["filas"]
+            n_rejected = self.store.overwrite_batch(REJECT_T, rejected.withColumn("fecha_rechazo", stamp), batch_id)["filas"]
             clean = self.store.read_batch(CLEAN_T, CLEAN, batch_id)
-            n_clean = clean.count()
-            n_rejected = self.store.read_batch(REJECT_T, REJECTED, batch_id).count()
             self._log(log, step, now, extracted, n_clean, n_rejected, batch_id)
 
             step = "dimensions"
@@ -193,10 +193,13 @@ class Warehouse:
         state = state or ("PARCIAL" if step == "fact" and bad else "EXITOSO")
         log.append((step, now, now, state, seen, good, bad, error, batch_id))
 
+    def footprint(self) -> DataFrame:
+        """Rows and age of every batch of the staging tables and the fact, from their manifests."""
+        return self.store.footprint({RAW_T: (RAW, "fecha_carga"), CLEAN_T: (CLEAN, "fecha_procesamiento"),
+                                     KEYED_T: (KEYED, "fecha_procesamiento"), FACT_T: (FACT, "fecha_carga")})
+
     def _validate(self, raw, loaded, batch_id, now) -> float:
-        near = None if loaded is None else cleaning.stored_keys_near(
-            loaded, raw.select(to_integer(F.col("id_venta")).alias("id_venta")))
-        log = quality.quality_log(raw, near)
+        log = quality.quality_log(raw, loaded)
         self.store.overwrite_batch(QUALITY_T, log.select(
             F.lit("staging.ventas_raw").alias("tabla_origen"), "regla_calidad",
             F.lit(now).cast("timestamp").alias("fecha_validacion"), "registros_evaluados",
@@ -274,19 +277,29 @@ class Warehouse:
             dims["dim_cliente"] = self.customers()
         keyed = facts.resolve_keys(clean, dims, by_date)
         names = [field.strip().split(" ")[0] for field in _fields(KEYED)]
-        self.store.overwrite_batch(KEYED_T, keyed.select(*names), batch_id)
+        seen = self.store.overwrite_batch(KEYED_T, keyed.select(*names), batch_id, {"perdidas": F.count("motivo")})
         keyed = self.store.read_batch(KEYED_T, KEYED, batch_id)
-        others = self.store.read_other(FACT_T, FACT, batch_id)
-        new, known = facts.insert_new(others, facts.resolved(keyed))
+        new, _ = facts.insert_new(self.stored_keys(keyed, batch_id), facts.resolved(keyed))
         # numbered in the order of sale ids: same keys on a rerun, and sorted files, whose
         # statistics let the search for stored keys skip row groups
         numbered = assign_keys(new, ["id_venta"], "venta_key", keys["fact_ventas"],
                                bound=keyed if is_small(keyed) else None)
-        self.store.overwrite_batch(FACT_T, facts.fact_rows(
-            numbered, batch_id, F.lit(now).cast("timestamp")), batch_id)
-        loaded = self.store.read_batch(FACT_T, FACT, batch_id).count()
-        lost = keyed.where("motivo is not null").count()
-        return loaded, keyed.count() - loaded - lost, lost
+        # the index of what is being replaced goes first: a batch without one is indexed when it is asked for
+        self.store.drop_batch(KEY_INDEX_T, batch_id)
+        loaded = self.store.overwrite_batch(FACT_T, facts.fact_rows(
+            numbered, batch_id, F.lit(now).cast("timestamp")), batch_id)["filas"]
+        self._index(batch_id)
+        return loaded, seen["filas"] - loaded - seen["perdidas"], seen["perdidas"]
+
+    def _index(self, batch_id: str) -> None:
+        keys = key_index.key_bitmaps(self.store.read_batch(FACT_T, FACT, batch_id))
+        self.store.overwrite_batch(KEY_INDEX_T, keys.sortWithinPartitions("bucket"), batch_id)
+
+    def stored_keys(self, wanted: DataFrame, batch_id: str) -> DataFrame:
+        """Sale ids of ``wanted`` that batches other than ``batch_id`` have stored, found in the key index."""
+        for other in sorted(set(self.store.batches(FACT_T)) - set(self.store.batches(KEY_INDEX_T)) - {batch_id}):
+            self._index(other)
+        return key_index.known_keys(self.store.read_other(KEY_INDEX_T, key_index.KEY_INDEX, batch_id), wanted)
 
     # -- operations ------------------------------------------------------------
 
@@ -330,7 +343,8 @@ class Warehouse:
         concerned = opened.select("id_cliente").unionByName(closed.select("id_cliente")).unionByName(previous.select("id_cliente"))
         touched = self.store.buckets_of(ACTIVE_T, concerned)
         restored = scd2.undo_batch(self.active(touched).unionByName(closed), batch_id, stamp, previous)
-        self.store.drop_batch(FACT_T, batch_id)
+        for name in (KEY_INDEX_T, FACT_T):
+            self.store.drop_batch(name, batch_id)
         self.store.write_buckets(ACTIVE_T, restored.where("es_registro_actual"), touched)
         for name in (CLOSED_T, PREVIOUS_T, RAW_T, CLEAN_T, KEYED_T, REJECT_T):
             self.store.drop_batch(name, batch_id)
@@ -381,7 +395,7 @@ class Warehouse:
             scratch = scratch_path(self.spark, "erase")
             try:
                 erased.write.parquet(scratch)
-                self.store.rewrite_batches(name, self.spark.read.schema(schema).parquet(scratch))
+                self.store.rewrite_batches(name, self.spark.read.schema(schema).parquet(scratch), same_rows=True)
             finally:
                 self.store._drop(scratch)
         self._audit_each(counts, user, "DERECHO_AL_OLVIDO_COMPLETADO", now)

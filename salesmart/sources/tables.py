@@ -3,7 +3,8 @@
 Two kinds of tables, both without row updates:
 
 * *batch tables* have one folder per ``id_batch``. A batch is replaced,
-  appended to or dropped as a folder.
+  appended to or dropped as a folder. What was measured while it was written
+  (rows, extent of stamps and keys) stays in ``_batches`` as its manifest.
 * *snapshot tables* have one folder per version. A version counts once its
   job has committed (``_SUCCESS``), so readers never see half a write, and
   the previous version stays readable. Those named in ``bucketed`` are kept
@@ -15,9 +16,10 @@ One writer at a time is assumed.
 
 from __future__ import annotations
 
+import json
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from salesmart.sources.buckets import BucketedSnapshot
 
@@ -31,6 +33,27 @@ RETENTION_DAYS = {
     "control/etl_execution_log": ("fecha_inicio", 365),
 }
 
+# Columns whose least and greatest value a batch's manifest has; of timestamps as microseconds, of dates as days since 1970.
+ZONES = {
+    "staging/ventas_raw": ("fecha_carga",),
+    "staging/ventas_clean": ("fecha_procesamiento", "id_venta"),
+    "staging/ventas_llaves": ("fecha_procesamiento", "id_venta"),
+    "control/rechazos": ("fecha_rechazo",),
+    "control/data_quality_log": ("fecha_validacion",),
+    "control/etl_execution_log": ("fecha_inicio",),
+    "dwh/fact_ventas": ("fecha_carga", "fecha_venta", "id_venta"),
+}
+
+
+def _zones(name: str, df: DataFrame) -> list[Column]:
+    """Rows, and the extent of each zone column, as aggregates."""
+    out, kinds = [F.count(F.lit(1)).alias("filas")], dict(df.dtypes)
+    for c in ZONES.get(name, ()):
+        as_number = {"timestamp": F.unix_micros, "date": F.unix_date}.get(kinds.get(c), lambda x: x)
+        if c in kinds:
+            out += [F.min(as_number(F.col(c))).alias(f"min_{c}"), F.max(as_number(F.col(c))).alias(f"max_{c}")]
+    return out
+
 
 class Store:
     """``bucketed`` names snapshot tables with their key and the number of buckets they start with."""
@@ -103,34 +126,79 @@ class Store:
             raise ValueError("batch ids must not contain / or =")
         return f"{self.path(name)}/id_batch={batch_id}"
 
-    def overwrite_batch(self, name: str, df: DataFrame, batch_id: str) -> None:
-        """Replace one batch; the same batch written twice leaves one copy."""
-        df.drop("id_batch").write.mode("overwrite").parquet(self._folder(name, batch_id))
+    def overwrite_batch(self, name: str, df: DataFrame, batch_id: str, counts: dict[str, Column] | None = None) -> dict:
+        """Replace one batch; the same batch written twice leaves one copy.
+
+        Returns what was measured while writing, without another scan: the
+        rows (``filas``), the extent of the table's zone columns, and
+        ``counts``. It is kept as the batch's manifest.
+        """
+        rows, seen = df.drop("id_batch"), Observation()
+        counts = {} if counts is None else counts
+        folder = self._folder(name, batch_id)
+        self._drop(self._manifest(name, batch_id))  # until the rows are there, nothing is known of them
+        rows.observe(seen, *_zones(name, rows), *[c.alias(n) for n, c in counts.items()]).write.mode("overwrite").parquet(folder)
+        got = {"filas": 0, **dict.fromkeys(counts, 0)} | {k: v for k, v in seen.get.items()}
+        self._write_text(self._manifest(name, batch_id), json.dumps(got, default=str))
+        return got
 
     def append_batch(self, name: str, df: DataFrame, batch_id: str) -> None:
+        self._drop(self._manifest(name, batch_id))
         df.drop("id_batch").write.mode("append").parquet(self._folder(name, batch_id))
 
     def drop_batch(self, name: str, batch_id: str) -> bool:
+        self._drop(self._manifest(name, batch_id))
         return self._drop(self._folder(name, batch_id))
 
-    def rewrite_batches(self, name: str, df: DataFrame) -> None:
-        """Replace exactly the batches that occur in ``df`` with its rows."""
+    def rewrite_batches(self, name: str, df: DataFrame, same_rows: bool = False) -> None:
+        """Replace exactly the batches that occur in ``df`` with its rows.
+
+        Manifests of the table go, unless the rows are ``same_rows``: as many
+        as before, with the same stamps and keys.
+        """
+        if not same_rows:
+            self._drop(f"{self.path(name)}/_batches")
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("id_batch").parquet(self.path(name)))
 
+    def _manifest(self, name: str, batch_id: str) -> str:
+        return f"{self.path(name)}/_batches/{batch_id}.json"
+
+    def manifests(self, name: str, schema: str) -> dict[str, dict]:
+        """What is known of each batch of a table: a small file each. Only a batch without one is read, once."""
+        out, there = {}, set(self._children(f"{self.path(name)}/_batches"))
+        for batch_id in self.batches(name):
+            if f"{batch_id}.json" in there:
+                out[batch_id] = json.loads(self._read_text(self._manifest(name, batch_id)))
+                continue
+            rows = self.read_batch(name, schema, batch_id)
+            out[batch_id] = rows.agg(*_zones(name, rows)).first().asDict()
+            self._write_text(self._manifest(name, batch_id), json.dumps(out[batch_id], default=str))
+        return out
+
+    def footprint(self, names: dict[str, tuple[str, str]]) -> DataFrame:
+        """tabla, id_batch, registros, mas_antiguo and mas_reciente from the manifests of tables (name: schema, stamp)."""
+        rows = [(name, batch_id, m["filas"], m.get(f"min_{stamp}"), m.get(f"max_{stamp}"))
+                for name, (schema, stamp) in names.items() for batch_id, m in self.manifests(name, schema).items()]
+        made = self.spark.createDataFrame(rows, "tabla string, id_batch string, registros bigint, lo bigint, hi bigint")
+        return made.select("tabla", "id_batch", "registros", F.timestamp_micros("lo").alias("mas_antiguo"),
+                           F.timestamp_micros("hi").alias("mas_reciente"))
+
     def expire(self, name: str, schema: str, stamp: str, days: int, now: datetime) -> int:
-        """Drop rows older than ``days``; whole batches go as folders. Returns batches touched."""
+        """Drop rows older than ``days``; whole batches go as folders, by their manifests. Returns batches touched."""
         cutoff = now - timedelta(days=days)
-        old = (self.read(name, schema).groupBy("id_batch")
-               .agg(F.min(stamp).alias("lo"), F.max(stamp).alias("hi"))
-               .where(F.col("lo") < F.lit(cutoff)).collect())  # one row per expired batch
-        for row in old:
-            if row.hi < cutoff:
-                self.drop_batch(name, row.id_batch)
-        mixed = [row.id_batch for row in old if row.hi >= cutoff]
+        micros = round(cutoff.timestamp() * 1_000_000)
+        known = {b: m for b, m in self.manifests(name, schema).items() if m.get(f"min_{stamp}") is not None}
+        old = {b: m for b, m in known.items() if m[f"min_{stamp}"] < micros}
+        for batch_id, m in old.items():
+            if m[f"max_{stamp}"] < micros:
+                self.drop_batch(name, batch_id)
+        mixed = [b for b, m in old.items() if m[f"max_{stamp}"] >= micros]
         if mixed:
             rows = self.read(name, schema).where(F.col("id_batch").isin(mixed) & (F.col(stamp) >= F.lit(cutoff)))
-            self.rewrite_batches(name, rows)
+            for batch_id in mixed:
+                self._drop(self._manifest(name, batch_id))
+            self.rewrite_batches(name, rows, same_rows=True)
         return len(old)
 
     # -- snapshot tables -------------------------------------------------------
