@@ -125,6 +125,18 @@ SELECT rank() OVER (ORDER BY m DESC) AS ranking, nombre_canal, tipo_canal, n AS
 FROM c
 """
 
+_ROLLED = "sum(cantidad) AS total_unidades, count(*) AS total_transacciones, CAST(sum(monto_total) AS DOUBLE) AS monto_total"
+ORACLE["city_rollup"] = f"""
+WITH {STAR}
+SELECT r_name AS region, 'Departamento ' || n_name AS departamento, n_name AS nombre_ciudad,
+       bit_count(grouping(r_name, 'Departamento ' || n_name, n_name)) AS nivel, {_ROLLED}
+FROM fact JOIN places ON ciudad_key = n_nationkey GROUP BY ROLLUP (r_name, 'Departamento ' || n_name, n_name)
+"""
+ORACLE["product_rollup"] = f"""
+WITH {STAR}
+SELECT p_type AS categoria, p_brand AS subcategoria, bit_count(grouping(p_type, p_brand)) AS nivel, {_ROLLED}
+FROM fact JOIN part ON producto_key = p_partkey GROUP BY ROLLUP (p_type, p_brand)
+"""
 ORACLE["product_yoy"] = f"""
 WITH {STAR}, y AS (
   SELECT p_partkey, p_name, p_type, year(fecha) AS anio, count(*) AS n, sum(cantidad) AS u,
@@ -377,6 +389,11 @@ SELECT n.id_venta, n.columna, CAST(n.v AS DOUBLE) AS valor, 'OUTLIER_DETECTADO'
 FROM nums n JOIN q ON n.columna = q.columna
 WHERE CAST(v AS DOUBLE) < q1 - (q3 - q1) * 1.5 OR CAST(v AS DOUBLE) > q3 + (q3 - q1) * 1.5
 """
+ORACLE["iqr_sketch"] = f"""
+WITH {RAW}, {_NUMBERS}
+SELECT columna, count(v) AS n, 1 AS q1_dentro, 1 AS q3_dentro FROM nums
+WHERE v IS NOT NULL AND columna IN ('cantidad', 'precio_unitario') GROUP BY 1
+"""
 ORACLE["value_frequencies"] = f"""
 WITH {RAW}, {_CELLS}
 SELECT columna, valor, count(*) AS frecuencia FROM cells WHERE columna IN ('canal', 'ciudad', 'vendedor') GROUP BY 1, 2
@@ -441,6 +458,18 @@ WITH {STAR}, h AS (SELECT d, {HOLIDAY} AS hol FROM (SELECT DISTINCT fecha AS d F
 SELECT CAST(d AS VARCHAR) AS fecha, hol AS nombre_festivo, isodow(d) AS dia_semana, count(*) AS ventas, CAST(sum(monto_total) AS DOUBLE) AS monto_total
 FROM h JOIN fact ON fecha = d WHERE hol IS NOT NULL GROUP BY d, hol
 """
+_CENTURY, _GOLDEN = "(y // 100)", "(y % 19)"
+_MOON = f"((19 * {_GOLDEN} + {_CENTURY} - {_CENTURY} // 4 - ({_CENTURY} - ({_CENTURY} + 8) // 25 + 1) // 3 + 15) % 30)"
+_WEEKDAY = f"((32 + 2 * ({_CENTURY} % 4) + 2 * ((y % 100) // 4) - {_MOON} - (y % 100) % 4) % 7)"
+_EASTER = f"({_MOON} + {_WEEKDAY} - 7 * (({_GOLDEN} + 11 * {_MOON} + 22 * {_WEEKDAY}) // 451) + 114)"
+ORACLE["holidays_movable"] = f"""
+WITH {STAR}, years AS (SELECT y, make_date(y, {_EASTER} // 31, {_EASTER} % 31 + 1) AS e FROM (SELECT DISTINCT year(fecha) AS y FROM fact)),
+h AS (SELECT d, coalesce(CASE date_diff('day', e, d) WHEN -3 THEN 'Jueves Santo' WHEN -2 THEN 'Viernes Santo' WHEN 43 THEN 'Ascensión del Señor'
+                         WHEN 64 THEN 'Corpus Christi' WHEN 71 THEN 'Sagrado Corazón' END, {HOLIDAY}) AS hol
+      FROM (SELECT DISTINCT fecha AS d FROM fact) JOIN years ON y = year(d))
+SELECT CAST(d AS VARCHAR) AS fecha, hol AS nombre_festivo, isodow(d) AS dia_semana, count(*) AS ventas, CAST(sum(monto_total) AS DOUBLE) AS monto_total
+FROM h JOIN fact ON fecha = d WHERE hol IS NOT NULL GROUP BY d, hol
+"""
 ORACLE["assigned_keys"] = """
 SELECT c_name, c_custkey, (SELECT max(s_suppkey) FROM supplier) + row_number() OVER (ORDER BY c_name) AS cliente_key FROM customer
 """
@@ -777,6 +806,19 @@ SELECT vendedor_key, count(*) AS ventas, CAST(sum(monto_total) AS DOUBLE) AS mon
 WHERE vendedor_key IN (SELECT vendedor_key FROM vendedor WHERE region = (SELECT region FROM vendedor WHERE email_vendedor = 'v1@ventas.test'))
 GROUP BY 1
 """
+ORACLE["policy_rows"] = f"""
+WITH {STAR}, users(usuario, rol) AS (VALUES ('v3@ventas.test', 'seller'), ('v1@ventas.test', 'report'), ('v2@ventas.test', 'manager'),
+  ('jefe@ventas.test', 'admin'), ('nadie@ventas.test', 'report'), ('nadie@ventas.test', 'seller'), ('v4@ventas.test', 'otro'))
+SELECT usuario, rol, vendedor_key, count(*) AS ventas, CAST(sum(monto_total) AS DOUBLE) AS monto_total
+FROM users JOIN (fact LEFT JOIN vendedor v USING (vendedor_key)) ON rol = 'admin' OR (rol = 'seller' AND v.email_vendedor = usuario)
+  OR (rol IN ('report', 'manager') AND v.region = (SELECT min(m.region) FROM vendedor m WHERE m.email_vendedor = usuario))
+GROUP BY ALL
+"""
+ORACLE["policy_columns"] = f"""
+SELECT 'admin' AS rol, c_custkey AS id_cliente, {_MAIL} AS email_cliente, {_PHONE} AS telefono_cliente FROM customer
+UNION ALL SELECT 'report', c_custkey, '***@mail.com', '******' || right({_PHONE}, 4) FROM customer
+UNION ALL SELECT unnest(['seller', 'otro']), c_custkey, NULL, NULL FROM customer
+"""
 ORACLE["role_columns"] = f"""
 SELECT c_custkey AS id_cliente, '***@mail.com' AS email_cliente, '******' || right({_PHONE}, 4) AS telefono_cliente, {_MAIL} AS email_etl FROM customer
 """
@@ -795,6 +837,21 @@ SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS dia, event_type, count(*) AS filas,
        CAST(CAST(ts AS DATE) + 1 <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY AS BIGINT) AS final
 FROM events GROUP BY CAST(ts AS DATE), event_type
 """
+_DAY_LOG = "\nUNION ALL ".join(
+    f"SELECT CAST(fecha_carga AS DATE) AS dia, '{name}' AS r, count(*) AS n, count(*) FILTER ({bad}) AS bad FROM raw GROUP BY 1"
+    for name, bad in _LOAD_CHECKS)
+ORACLE["stream_quality"] = f"""
+WITH {RAW}, log AS ({_DAY_LOG})
+SELECT CAST(dia AS VARCHAR) AS dia, r AS regla_calidad, n AS registros_evaluados, n - bad AS registros_validos, bad AS registros_invalidos,
+       round(avg(CAST(n - bad AS DOUBLE) / n) OVER (PARTITION BY dia), 4) AS score
+FROM log
+"""
+ORACLE["customers_by_span"] = f"""
+WITH {STAR}, s AS (SELECT r_name AS region, fecha, cliente_key FROM fact JOIN places ON ciudad_key = n_nationkey)
+SELECT region, CAST(CAST(date_trunc('quarter', fecha) AS DATE) AS VARCHAR) AS desde, count(DISTINCT cliente_key) AS clientes_unicos, 'trimestre' AS tramo
+FROM s GROUP BY ALL
+UNION ALL SELECT region, CAST(CAST(date_trunc('year', fecha) AS DATE) AS VARCHAR), count(DISTINCT cliente_key), 'año' FROM s GROUP BY ALL
+"""
 _BATCHES = f"""
 f1 AS (SELECT * FROM g1 WHERE fecha BETWEEN DATE '2020-01-01' AND DATE '2030-12-31'),
 fresh AS (SELECT * FROM g2 WHERE id_venta NOT IN (SELECT id_venta FROM f1)),

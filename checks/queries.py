@@ -17,12 +17,12 @@ from salesmart.plans.batch_load import KEY_INDEX_T, Warehouse, run_summary as su
 from salesmart.schemas import BUSINESS_COLUMNS
 from salesmart.session import configure, materialise, scratch_path
 from salesmart.sources.csv_files import read_after, read_csv, stamp_lineage
-from salesmart.sources.raw_sample import raw_sales
+from salesmart.sources.raw_sample import RAW_EXPRESSIONS, raw_sales
 from salesmart.sources.seeds import seed_dimensions
-from salesmart.sources.star import order_star, read
+from salesmart.sources.star import TABLE_SCHEMAS, order_star, read
 from salesmart.sources.tables import RETENTION_DAYS, Store
-from salesmart.streaming.ingest import (daily_totals, dedupe_late, file_stream, ingest, new_only,
-                                        with_final, write_updated)
+from salesmart.streaming.ingest import (daily_quality, daily_totals, dedupe_late, file_stream, ingest, new_only,
+                                        quality_by_day, with_final, write_updated)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -61,7 +61,7 @@ def _on_star(plan, name=None):
 
 for _plan in (analytics.top_customers, analytics.monthly_trend, analytics.city_analysis,
               analytics.seller_ranking, analytics.product_analysis, analytics.channel_analysis,
-              analytics.product_yoy, analytics.sales_view):
+              analytics.product_yoy, analytics.sales_view, analytics.city_rollup, analytics.product_rollup):
     _on_star(_plan)
 
 
@@ -183,6 +183,22 @@ def iqr_outliers(spark, sf_dir):
     return profiling.iqr_outliers(_raw(spark, sf_dir))
 
 
+@register
+def iqr_sketch(spark, sf_dir):
+    """Whether the ranks of sketched quartiles are within the stated accuracy of the exact ones, per column."""
+    cells = materialise(profiling.numeric_cells(_raw(spark, sf_dir), ("cantidad", "precio_unitario")))
+    accuracy, points = 100, {"q1": 0.25, "q3": 0.75}
+    found = F.broadcast(profiling.percentiles(cells, points, accuracy))  # a row per profiled column
+    value = F.col("valor").cast("double")
+    below = [f(c).alias(f"{c}_{n}") for c in points for n, f in (
+        ("menos", lambda c: F.count_if(value < F.col(c))), ("hasta", lambda c: F.count_if(value <= F.col(c))))]
+    ranks = cells.join(found, "columna").groupBy("columna", "n").agg(*below)
+    off = F.ceil(F.col("n") / accuracy)
+    return ranks.select("columna", "n", *[
+        ((F.col(f"{c}_menos") <= F.col("n") * p + off) & (F.col(f"{c}_hasta") >= F.col("n") * p - off)).alias(f"{c}_dentro")
+        for c, p in points.items()])
+
+
 @register
 def value_frequencies(spark, sf_dir):
     return profiling.value_frequencies(_raw(spark, sf_dir))
@@ -249,10 +265,22 @@ def holidays(spark, sf_dir):
     """Sales of each holiday of the years that have orders."""
     orders = order_star(spark, sf_dir).totals().groupBy(F.col("fecha_venta").alias("fecha")).agg(
         F.sum("n_ventas").alias("ventas"), F.sum("monto_total").alias("monto_total"))
-    return (calendar_of(orders.select("fecha")).where("es_festivo")
+    return _holiday_sales(orders, False)
+
+
+def _holiday_sales(orders, movable):
+    return (calendar_of(orders.select("fecha"), movable).where("es_festivo")
             .join(orders, "fecha").select("fecha", "nombre_festivo", "dia_semana", "ventas", "monto_total"))
 
 
+@register
+def holidays_movable(spark, sf_dir):
+    """The same with the feasts that follow Easter."""
+    orders = order_star(spark, sf_dir).totals().groupBy(F.col("fecha_venta").alias("fecha")).agg(
+        F.sum("n_ventas").alias("ventas"), F.sum("monto_total").alias("monto_total"))
+    return _holiday_sales(orders, True)
+
+
 @register
 def assigned_keys(spark, sf_dir):
     customers = _table(spark, sf_dir, "customer").select("c_name", "c_custkey")
@@ -680,6 +708,27 @@ def region_rows(spark, sf_dir):
         F.count(F.lit(1)).alias("ventas"), F.sum("monto_total").alias("monto_total"))
 
 
+USERS = [("v3@ventas.test", "seller"), ("v1@ventas.test", "report"), ("v2@ventas.test", "manager"), ("jefe@ventas.test", "admin"),
+         ("nadie@ventas.test", "report"), ("nadie@ventas.test", "seller"), ("v4@ventas.test", "otro")]
+
+
+@register
+def policy_rows(spark, sf_dir):
+    """What each of several users sees, from one scan: by seller, with the policy in a table."""
+    star = order_star(spark, sf_dir)
+    users = spark.createDataFrame(USERS, "usuario string, rol string")
+    seen = access.rows_of_users(star.lines(), star.vendedor, users, access.row_policy(spark), star.bound("vendedor"))
+    return seen.groupBy("usuario", "rol", "vendedor_key").agg(F.count(F.lit(1)).alias("ventas"), F.sum("monto_total").alias("monto_total"))
+
+
+@register
+def policy_columns(spark, sf_dir):
+    """Personal columns of all customers as each role sees them, from one plan."""
+    customers = order_star(spark, sf_dir).cliente.select("id_cliente", "email_cliente", "telefono_cliente")
+    roles = F.explode(F.array(*[F.lit(r) for r in ("admin", "report", "seller", "otro")]))
+    return access.mask_by_role(customers.select(roles.alias("rol"), "*"), access.column_policy(spark))
+
+
 @register
 def role_columns(spark, sf_dir):
     c = order_star(spark, sf_dir).cliente.select("id_cliente", "email_cliente", "telefono_cliente")
@@ -737,6 +786,27 @@ def stream_daily(spark, sf_dir):
         "dia", "event_type", "filas", F.round("total", 4).alias("total"), "final")
 
 
+@register
+def stream_quality(spark, sf_dir):
+    """Quality of all raw sales by the day they came, as a stream; the second drain finds nothing new."""
+    root = scratch_path(spark, "stream-quality")
+    for _ in range(2):
+        lines = file_stream(spark, sf_dir, TABLE_SCHEMAS["lineitem"], pattern="lineitem.parquet")
+        raw = lines.selectExpr(*[f"{sql} AS {name}" for name, sql in RAW_EXPRESSIONS.items()])
+        write_updated(daily_quality(raw, "fecha_carga", "1 day"), ["dia"], f"{root}/out", f"{root}/checkpoint", folder="mes")
+    return quality_by_day(spark.read.parquet(f"{root}/out"))
+
+
+@register
+def customers_by_span(spark, sf_dir):
+    """Distinct customers per region and quarter or year, merged from stored months."""
+    star = order_star(spark, sf_dir)
+    sales = star.totals("ciudad").join(star.lookup("ciudad").select("ciudad_key", "region"), "ciudad_key")
+    months = materialise(measures.distinct_by_month(sales, ["region"]))
+    return measures.distinct_over(months, ["region"], "quarter").withColumn("tramo", F.lit("trimestre")).unionByName(
+        measures.distinct_over(months, ["region"], "year").withColumn("tramo", F.lit("año")))
+
+
 def _loaded(spark, sf_dir):
     """A warehouse with both files loaded as batches; built once per session, read by several queries."""
     known = (spark.sparkContext.applicationId, sf_dir)

@@ -36,6 +36,18 @@ def next_monday(col: Column) -> Column:
     return F.date_add(col, (7 - F.weekday(col)) % 7)
 
 
+def easter(year: Column) -> Column:
+    """Easter Sunday of the Gregorian calendar (the anonymous computus)."""
+    y = year.cast("int")
+    div = lambda a, b: F.floor(a / b).cast("int")
+    century, golden = div(y, 100), y % 19
+    moon = (19 * golden + century - div(century, 4) - div(century - div(century + 8, 25) + 1, 3) + 15) % 30
+    weekday = (32 + 2 * (century % 4) + 2 * div(y % 100, 4) - moon - (y % 100) % 4) % 7
+    late = div(golden + 11 * moon + 22 * weekday, 451)
+    days = moon + weekday - 7 * late + 114
+    return F.make_date(y, div(days, 31), days % 31 + 1)
+
+
 def month_name(month: Column) -> Column:
     return _pick(MONTH_NAMES, month)
 

@@ -17,6 +17,8 @@ COLUMN_POLICY = {
     "report": {"email_cliente": "masked", "telefono_cliente": "masked"},
     "seller": {"email_cliente": "hidden", "telefono_cliente": "hidden"},
 }
+# Which sales each role sees; other roles see none.
+ROW_POLICY = {"admin": "todo", "etl": "todo", "report": "region", "manager": "region", "seller": "propio"}
 MASKS = {"email_cliente": M.report_email, "telefono_cliente": M.report_phone}
 
 
@@ -62,6 +64,55 @@ def columns_for(role: str, df: DataFrame, policy: dict | None = None) -> DataFra
     return df.select(*out)
 
 
+def row_policy(spark: SparkSession) -> DataFrame:
+    """(rol, alcance): the rows of a role, as a table that may be stored and changed."""
+    return spark.createDataFrame(list(ROW_POLICY.items()), "rol string, alcance string")
+
+
+def column_policy(spark: SparkSession) -> DataFrame:
+    """(rol, columna, regla): what a role sees of the personal columns, as a table."""
+    return spark.createDataFrame([(role, column, rule) for role, rules in COLUMN_POLICY.items() for column, rule in rules.items()],
+                                 "rol string, columna string, regla string")
+
+
+def grants(users: DataFrame, sellers: DataFrame, policy: DataFrame) -> DataFrame:
+    """(usuario, rol, ambito) of ``users(usuario, rol)``: all sales, those of a region, or those of one seller.
+
+    Users of roles without a policy, and sellers or regions that don't exist, get no row.
+    """
+    own = sellers.where("email_vendedor is not null").groupBy(F.col("email_vendedor").alias("usuario")).agg(F.min("region").alias("_region"))
+    scope = (F.when(F.col("alcance") == "todo", "todo")
+             .when(F.col("alcance") == "region", F.concat(F.lit("region:"), "_region"))
+             .when((F.col("alcance") == "propio") & F.col("_mine"), F.concat(F.lit("propio:"), "usuario")))
+    return (users.select("usuario", "rol").distinct().join(policy, "rol").join(own.withColumn("_mine", F.lit(True)), "usuario", "left")
+            .select("usuario", "rol", scope.alias("ambito")).where("ambito is not null"))
+
+
+def rows_of_users(fact: DataFrame, sellers: DataFrame, users: DataFrame, policy: DataFrame,
+                  bound: DataFrame | None = None) -> DataFrame:
+    """Each user's sales, with ``usuario`` and ``rol``: one plan and one scan of the fact for all users.
+
+    A sale belongs to three scopes (all, its seller's region, its seller); the
+    users' grants are joined on them. Sales without a known seller are seen by
+    those who see all.
+    """
+    known = sellers.select("vendedor_key", "region", "email_vendedor")
+    marked = fact.join(broadcast_if_small(known.withColumnsRenamed({"region": "_region", "email_vendedor": "_email"}),
+                                          sellers if bound is None else bound), "vendedor_key", "left")
+    scopes = F.array(F.lit("todo"), F.concat(F.lit("region:"), "_region"), F.concat(F.lit("propio:"), "_email"))
+    spread = marked.select(*fact.columns, F.explode(F.array_compact(scopes)).alias("ambito"))
+    return spread.join(broadcast_if_small(grants(users, sellers, policy), users), "ambito").drop("ambito")
+
+
+def mask_by_role(rows: DataFrame, policy: DataFrame) -> DataFrame:
+    """Personal columns of ``rows`` as the role in ``rol`` sees them: as they are, masked, or null where hidden or unknown."""
+    rules = policy.groupBy("rol").agg(F.map_from_entries(F.collect_list(F.struct("columna", "regla"))).alias("_rules"))
+    joined = rows.join(broadcast_if_small(rules, policy), "rol", "left")
+    seen = {c: F.when(F.col("_rules")[c] == "visible", F.col(c)).when(F.col("_rules")[c] == "masked", mask(F.col(c)))
+            for c, mask in MASKS.items() if c in rows.columns}
+    return joined.withColumns(seen).select(*rows.columns)
+
+
 def access_entry(spark: SparkSession, user: str, table: str, operation: str,
                  when: datetime, affected: int | None = None) -> DataFrame:
     """One summary row for a job that read or changed personal data."""

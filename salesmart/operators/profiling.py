@@ -55,33 +55,44 @@ def numeric_cells(raw: DataFrame, columns=NUMERIC_COLUMNS) -> DataFrame:
     return cells.select("columna", to_decimal(F.col("valor"), WIDE).alias("valor")).where("valor is not null")
 
 
-def numeric_profile(raw: DataFrame, columns=NUMERIC_COLUMNS) -> DataFrame:
-    """Per numeric column: min, max, mean and the exact median."""
+def percentiles(cells: DataFrame, points: dict[str, float], accuracy: int | None = None) -> DataFrame:
+    """n and percentiles per column: exact, or with ``accuracy`` from a sketch of bounded size.
+
+    A sketch gives a value of the column whose rank is off by at most n / accuracy.
+    """
+    if accuracy is None:
+        return exact_percentiles(cells, "columna", "valor", points)
+    found = cells.groupBy("columna").agg(F.count("valor").alias("n"), F.percentile_approx(
+        F.col("valor").cast("double"), list(points.values()), accuracy).alias("_p"))
+    return found.select("columna", "n", *[F.col("_p")[i].alias(name) for i, name in enumerate(points)])
+
+
+def numeric_profile(raw: DataFrame, columns=NUMERIC_COLUMNS, accuracy: int | None = None) -> DataFrame:
+    """Per numeric column: min, max, mean and the median, exact or by sketch (``percentiles``)."""
     cells = numeric_cells(raw, columns)
     basic = cells.groupBy("columna").agg(
         F.min("valor").alias("min"), F.max("valor").alias("max"),
         F.sum("valor").alias("_sum"), F.count("valor").alias("_n"))
-    median = exact_percentiles(cells, "columna", "valor", {"mediana": 0.5}).drop("n")
+    median = percentiles(cells, {"mediana": 0.5}, accuracy).drop("n")
     return basic.join(median, "columna").select(
         "columna", "min", "max",
         F.round(F.col("_sum").cast("double") / F.col("_n"), 2).alias("media"), "mediana")
 
 
-def iqr_bounds(raw: DataFrame, columns=("cantidad", "precio_unitario")) -> DataFrame:
+def iqr_bounds(raw: DataFrame, columns=("cantidad", "precio_unitario"), accuracy: int | None = None) -> DataFrame:
     """Per column the quartiles and the accepted range; columns under four values are left out."""
-    quartiles = exact_percentiles(numeric_cells(raw, columns), "columna", "valor",
-                                  {"q1": 0.25, "q3": 0.75}).where("n >= 4")
+    quartiles = percentiles(numeric_cells(raw, columns), {"q1": 0.25, "q3": 0.75}, accuracy).where("n >= 4")
     spread = (F.col("q3") - F.col("q1")) * 1.5
     return quartiles.select("columna", "q1", "q3", (F.col("q1") - spread).alias("desde"),
                             (F.col("q3") + spread).alias("hasta"))
 
 
-def iqr_outliers(raw: DataFrame, columns=("cantidad", "precio_unitario")) -> DataFrame:
-    """Sales whose quantity or price is outside the quartile range."""
+def iqr_outliers(raw: DataFrame, columns=("cantidad", "precio_unitario"), accuracy: int | None = None) -> DataFrame:
+    """Sales whose quantity or price is outside the quartile range; with ``accuracy`` of sketched quartiles."""
     cells = raw.select("id_venta", *columns).unpivot(["id_venta"], list(columns), "columna", "texto")
     cells = cells.withColumn("valor", to_decimal(F.col("texto"), WIDE)).where("valor is not null")
     # one row of bounds per profiled column, so this side has a fixed size
-    bounds = F.broadcast(iqr_bounds(raw, columns).select("columna", "desde", "hasta"))
+    bounds = F.broadcast(iqr_bounds(raw, columns, accuracy).select("columna", "desde", "hasta"))
     value = F.col("valor").cast("double")
     return (cells.join(bounds, "columna").where((value < F.col("desde")) | (value > F.col("hasta")))
             .select("id_venta", "columna", "valor", F.lit("OUTLIER_DETECTADO").alias("tipo")))

@@ -104,12 +104,20 @@ def alert_rules() -> list[Rule]:
     ]
 
 
+def rule_names(rules: list[Rule]) -> list[str]:
+    return list(dict.fromkeys(r.name for r in rules))
+
+
+def broken_counts(rules: list[Rule]) -> list[Column]:
+    """One aggregate per rule name, ``r0``, ``r1``, ..: rows that break it."""
+    return [sum((F.count_if(r.invalid) for r in rules if r.name == name), F.lit(0)).alias(f"r{i}")
+            for i, name in enumerate(rule_names(rules))]
+
+
 def count_invalid(raw: DataFrame, rules: list[Rule]) -> DataFrame:
     """``regla_calidad, registros_evaluados, registros_invalidos``, one scan for all rules."""
-    names = list(dict.fromkeys(r.name for r in rules))
-    sums = [sum((F.count_if(r.invalid) for r in rules if r.name == name), F.lit(0)).alias(f"r{i}")
-            for i, name in enumerate(names)]
-    wide = raw.agg(F.count(F.lit(1)).alias("registros_evaluados"), *sums)
+    names = rule_names(rules)
+    wide = raw.agg(F.count(F.lit(1)).alias("registros_evaluados"), *broken_counts(rules))
     pairs = ", ".join(f"'{name}', r{i}" for i, name in enumerate(names))
     return wide.selectExpr(
         "registros_evaluados",
@@ -152,10 +160,8 @@ def one_pass_log(raw: DataFrame, rules: list[Rule], unique: str, existing: DataF
     summed; a frequent key is one row by then. The stored keys meet the keys
     of the batch, not its rows.
     """
-    names = list(dict.fromkeys(r.name for r in rules))
-    broken = [sum((F.count_if(r.invalid) for r in rules if r.name == name), F.lit(0)).alias(f"r{i}")
-              for i, name in enumerate(names)]
-    keys = raw.groupBy(key).agg(F.count(F.lit(1)).alias("n"), *broken)
+    names = rule_names(rules)
+    keys = raw.groupBy(key).agg(F.count(F.lit(1)).alias("n"), *broken_counts(rules))
     zero = lambda column: F.coalesce(F.sum(column), F.lit(0))
     sums = [zero("n").alias("registros_evaluados"), *[zero(f"r{i}").alias(f"r{i}") for i in range(len(names))],
             zero(F.when(F.col("n") > 1, F.col("n"))).alias(f"r{len(names)}")]

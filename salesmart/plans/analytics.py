@@ -222,3 +222,27 @@ def sales_view(star: Star) -> DataFrame:
         "region_vendedor", "nombre_canal", "ciudad_venta", "departamento", "region_ciudad",
         "cantidad", "precio_unitario", "monto_total", "descuento", "impuestos", "monto_neto",
         "id_batch")
+
+
+def rolled_up(sales: DataFrame, key: str, members: DataFrame, levels: list[str]) -> DataFrame:
+    """Totals of every level of a hierarchy, from its top to its leaves, and of all.
+
+    The sales are summed per key first, so only members are rolled up.
+    ``nivel`` is the number of levels left out (0: the leaf), which tells a
+    subtotal from a member whose name is missing.
+    """
+    sums = sales.groupBy(key).agg(sale_count(sales).alias("n"), F.sum("monto_total").alias("m"), F.sum("cantidad").alias("u"))
+    rolled = sums.join(members, key, "left").rollup(*levels).agg(
+        F.bit_count(F.grouping_id()).alias("nivel"), F.sum("n").alias("total_transacciones"), F.sum("m").alias("monto_total"),
+        F.sum("u").alias("total_unidades"))
+    return rolled.select(*levels, "nivel", "total_transacciones", "monto_total", "total_unidades")
+
+
+def city_rollup(star: Star) -> DataFrame:
+    """Sales by region, department and city, with all subtotals."""
+    return rolled_up(star.totals("ciudad"), "ciudad_key", star.lookup("ciudad"), ["region", "departamento", "nombre_ciudad"])
+
+
+def product_rollup(star: Star) -> DataFrame:
+    """Sales by category and subcategory, with all subtotals."""
+    return rolled_up(star.lines(), "producto_key", star.producto, ["categoria", "subcategoria"])

@@ -7,6 +7,14 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 
 # Holidays as (month, day, name, moved to the next Monday).
+# Feasts that move with Easter: days from Easter Sunday, name.
+MOVABLE_FEASTS = (
+    (-3, "Jueves Santo"),
+    (-2, "Viernes Santo"),
+    (43, "Ascensión del Señor"),
+    (64, "Corpus Christi"),
+    (71, "Sagrado Corazón"),
+)
 HOLIDAYS = (
     (1, 1, "Año Nuevo", False),
     (1, 6, "Reyes Magos", True),

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from salesmart.operators import quality
 from salesmart.operators.cleaning import stored_keys_near
 from salesmart.session import materialise
 from salesmart.plans.batch_load import Warehouse
@@ -81,8 +82,32 @@ def daily_totals(stream: DataFrame, ts: str, by: list[str], value: str, delay: s
             .select(F.to_date("w.start").alias("dia"), *by, "filas", "total", "ultimo"))
 
 
-def write_updated(totals: DataFrame, keys: list[str], path: str, checkpoint: str) -> None:
-    """Drain totals into a table with a folder per day, replacing the rows of ``dia`` and ``keys`` that changed.
+def daily_quality(stream: DataFrame, ts: str, delay: str, rules: list[quality.Rule] | None = None) -> DataFrame:
+    """Rows of each day, and how many break each rule that looks at one row (``r0``, ``r1``, ...), as they arrive.
+
+    The state is one row per open day. Rows that come late by up to ``delay``
+    are counted in their day, later ones are not; null stamps are in no day.
+    Rules that compare rows (repeated keys) are not among them.
+    """
+    rules = quality.load_rules() if rules is None else rules
+    return (stream.withWatermark(ts, delay).groupBy(F.window(ts, "1 day").alias("w"))
+            .agg(F.count(F.lit(1)).alias("registros_evaluados"), *quality.broken_counts(rules), F.max(ts).alias("ultimo"))
+            .select(F.to_date("w.start").alias("dia"), F.date_format("w.start", "yyyy-MM").alias("mes"), "*").drop("w"))
+
+
+def quality_by_day(totals: DataFrame, rules: list[quality.Rule] | None = None) -> DataFrame:
+    """Per day and rule what the batch log says, with the day's mean of the rules as ``score``."""
+    names = quality.rule_names(quality.load_rules() if rules is None else rules)
+    n = F.col("registros_evaluados")
+    ratios = sum(((n - F.col(f"r{i}")) / n for i in range(len(names))), F.lit(0.0))
+    pairs = ", ".join(f"'{name}', r{i}" for i, name in enumerate(names))
+    long = totals.withColumn("score", F.round(ratios / len(names), 4)).selectExpr(
+        "dia", "registros_evaluados", "score", f"stack({len(names)}, {pairs}) as (regla_calidad, registros_invalidos)")
+    return long.withColumn("registros_validos", n - F.col("registros_invalidos"))
+
+
+def write_updated(totals: DataFrame, keys: list[str], path: str, checkpoint: str, folder: str = "dia") -> None:
+    """Drain totals into a table with a folder per ``folder``, replacing the rows of it and ``keys`` that changed.
 
     Open days are there from their first event on. A replayed micro-batch
     writes the same rows again.
@@ -97,10 +122,10 @@ def write_updated(totals: DataFrame, keys: list[str], path: str, checkpoint: str
             stored = spark.read.parquet(path)
         except AnalysisException:  # the first micro-batch
             stored = rows.limit(0)
-        kept = (stored.join(rows.select("dia").distinct(), "dia", "left_semi")
-                .join(rows.select("dia", *keys), ["dia", *keys], "left_anti"))
+        kept = (stored.join(rows.select(folder).distinct(), folder, "left_semi")
+                .join(rows.select(folder, *keys), [folder, *keys], "left_anti"))
         after = materialise(kept.unionByName(rows))
-        after.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dia").parquet(path)
+        after.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(folder).parquet(path)
 
     _drain(totals.writeStream.outputMode("update").foreachBatch(replace), checkpoint)
 
