@@ -3,8 +3,11 @@
 Coarse centroids and codebooks are fitted on a bounded sample; every vector
 is indexed. A vector looks into the lists that may hold a partner: a list
 whose border with the vector's own list is farther than the link distance
-can't. In a list, a member's code gives its cosine up to the length of its
-coding error, which is stored, so no link is lost to the codes.
+can't. Partners seldom lie straight across a border, so in many dimensions a
+fraction of the distance finds nearly all links: the fraction is fitted to the
+sample (``Index.reach``), and 1 is the exact way. In a list, a member's code
+gives its cosine up to the length of its coding error, which is stored, so no
+link is lost to the codes.
 """
 
 from __future__ import annotations
@@ -20,6 +23,8 @@ LEAST_COSINE = 0.95
 # Vectors that centroids and codebooks are fitted on, lists at most.
 SAMPLE, MOST_LISTS = 20_000, 4096
 SUBSPACES, CODES, ROUNDS = 8, 256, 8
+# Sampled vectors that the reach is fitted on, drawn partners of each, the share of links that it has to find, and its margin.
+REACH_SAMPLE, PARTNERS, REACH_SHARE, REACH_MARGIN = 2048, 8, 0.999, 1.5
 # Members and queries that meet in one group; larger lists are split into blocks of both.
 MEMBER_BLOCK, QUERY_BLOCK, STEP = 2048, 8192, 256
 
@@ -76,6 +81,39 @@ class Index:
             out += [np.flatnonzero(row).tolist() for row in may]
         return out
 
+    def reach(self, sample: np.ndarray, least: float) -> float:
+        """The fraction of the link distance that finds more than ``REACH_SHARE`` of links at the border cosine ``least``.
+
+        Fitted on the links within a part of the sample, and on partners drawn
+        around it at cosine ``least`` in any direction; the larger counts,
+        times ``REACH_MARGIN``.
+        """
+        some = sample[:REACH_SAMPLE]
+        random, distance = np.random.default_rng(4), (2 - 2 * least) ** 0.5
+        norms, needed = (self.centroids * self.centroids).sum(axis=1), [0.0]
+
+        def fractions(units: np.ndarray, partners: np.ndarray) -> np.ndarray:
+            mine, theirs, rows = nearest(units, self.centroids), nearest(partners, self.centroids), np.arange(len(units))
+            over = norms[theirs] - norms[mine] - 2 * np.einsum("ij,ij->i", units, self.centroids[theirs] - self.centroids[mine])
+            apart = np.linalg.norm(self.centroids[theirs] - self.centroids[mine], axis=1)
+            across = (mine != theirs) & (apart > 0)
+            out = np.zeros(len(rows))
+            out[across] = over[across] / (2 * apart[across] * distance)
+            return out
+
+        for _ in range(PARTNERS):
+            aside = random.normal(size=some.shape)
+            aside -= np.einsum("ij,ij->i", aside, some)[:, None] * some
+            length = np.linalg.norm(aside, axis=1, keepdims=True)
+            if not (length > 0).all():  # one component: no aside
+                return 1.0
+            needed.append(np.quantile(fractions(some, least * some + (1 - least * least) ** 0.5 * aside / length), REACH_SHARE))
+        for at in range(0, len(some), STEP):
+            q, m = np.nonzero(some[at:at + STEP] @ some.T >= least)
+            if len(q):
+                needed.append(np.quantile(fractions(some[at + q], some[m]), REACH_SHARE))
+        return float(min(1.0, max(needed) * REACH_MARGIN + 1e-6))
+
     def scores(self, queries: np.ndarray, of_list: int, codes: np.ndarray) -> np.ndarray:
         """Approximate cosines of queries with coded members of a list, by table look-up."""
         out = np.repeat((queries @ self.centroids[of_list])[:, None], len(codes), axis=1)
@@ -85,7 +123,7 @@ class Index:
 
 
 def unit_rows(flat: list[bytes], dims: int) -> np.ndarray:
-    rows = np.frombuffer(b"".join(flat), "<f8").reshape(-1, dims)
+    rows = np.frombuffer(b"".join(flat), f"<f{len(flat[0]) // dims}").astype(np.float64).reshape(-1, dims)
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
@@ -100,7 +138,7 @@ def _keys(vector: str = "embedding") -> list[Column]:
     return [F.xxhash64(plain).alias("key_a"), F.xxhash64(F.lit("b"), plain).alias("key_b")]
 
 
-def link_blocks(distinct: DataFrame, dims: int, scratch: Scratch, least: float) -> DataFrame:
+def link_blocks(distinct: DataFrame, dims: int, scratch: Scratch, least: float, reach: float | None, single: bool) -> DataFrame:
     """(id, links, root) partial results of all distinct vectors with ``dims`` components.
 
     links is a number of linked rows, root the least id of a forest that the
@@ -112,14 +150,16 @@ def link_blocks(distinct: DataFrame, dims: int, scratch: Scratch, least: float)
     share = min(1.0, SAMPLE / max(1, count))
     sample = rows.where(F.pmod(F.xxhash64("key_a"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select("vector")
     points = np.array([r[0] for r in sample.toLocalIterator()], np.float64)
-    index = Index(points / np.linalg.norm(points, axis=1, keepdims=True), int(min(MOST_LISTS, max(1, count ** 0.5))))
-    distance = (2 - 2 * least) ** 0.5
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    index = Index(points, int(min(MOST_LISTS, max(1, count ** 0.5))))
+    distance = (2 - 2 * least) ** 0.5 * (index.reach(points, least) if reach is None else reach)
+    stored = "<f4" if single else "<f8"
 
     def encode(columns: dict[str, list]) -> dict[str, list]:
         raw = np.array(columns["vector"], "<f8")
         units = raw / np.linalg.norm(raw, axis=1, keepdims=True)
         own, codes, errors = index.encode(units)
-        return {"id": columns["id"], "rows": columns["rows"], "raw": [r.tobytes() for r in raw], "list": own,
+        return {"id": columns["id"], "rows": columns["rows"], "raw": [r.tobytes() for r in raw.astype(stored)], "list": own,
                 "codes": [c.tobytes() for c in codes], "error": errors, "probes": index.probes(units, own, distance)}
 
     coded = scratch.keep(scan(rows.select("id", "rows", "vector"), encode,
@@ -163,7 +203,7 @@ def link_blocks(distinct: DataFrame, dims: int, scratch: Scratch, least: float)
         for at in range(0, len(ids), STEP):
             some = probing[at:at + STEP]
             q, m = np.nonzero(index.scores(some, of_list, codes) + error >= least - 1e-6)
-            exact = np.einsum("ij,ij->i", some[q], members[m]) >= least
+            exact = (some @ members.T)[q, m] >= least
             q, m = q[exact] + at, m[exact]
             other = ids[q] != own_ids[m]
             q, m = q[other], m[other]
@@ -176,9 +216,11 @@ def link_blocks(distinct: DataFrame, dims: int, scratch: Scratch, least: float)
     return dealt.groupBy("list", "mb", "qb").applyInArrow(link, "id long, links long, root long")
 
 
-def near_duplicates(vectors: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
+def near_duplicates(vectors: DataFrame, least: float = LEAST_COSINE, reach: float | None = None) -> DataFrame:
     """vec_id, n_links, component_id and kept of every row of ``vectors(vec_id, embedding)``.
 
+    ``reach`` is the fraction of the link distance within which a list's
+    border is crossed: fitted by default, 1 loses no link.
     Rows with equal vectors are one vector with a number of rows in the index
     and link with each other. Null, zero and unusable vectors link with
     nothing and are their own component; only vectors of equal length are
@@ -186,6 +228,7 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST_COSINE) -> DataFram
     an empty table gives none.
     """
     scratch = Scratch(vectors.sparkSession, "vectors")
+    single = vectors.schema["embedding"].dataType.simpleString() == "array<float>"
     rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("vector"), usable().alias("good"))
     good = rows.where("good").select("vec_id", "vector", *_keys("vector"))
     distinct = good.groupBy("key_a", "key_b").agg(F.count(F.lit(1)).alias("rows"), F.min("vec_id").alias("first_id"),
@@ -194,7 +237,7 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST_COSINE) -> DataFram
     lengths = [r[0] for r in distinct.select(F.size("vector")).distinct().collect()]
     found = None
     for dims in sorted(lengths):
-        part = link_blocks(distinct, dims, scratch, least)
+        part = link_blocks(distinct, dims, scratch, least, reach, single)
         found = part if found is None else found.union(part)
     narrow = distinct.select("id", "key_a", "key_b", "rows", "first_id")
     if found is None:
