@@ -51,8 +51,13 @@ FROM (
 WHERE ranking <= 5
 """
 ORACLE["top_customers"] = f"WITH {STAR} {_TOP}"
-# every customer of the mapping has one version, so both variants agree
-ORACLE["top_customers_all_versions"] = ORACLE["top_customers"]
+# two customers in three have an earlier version, which owns their sales before the move
+_MOVED = f"""WITH {STAR},
+moved AS (SELECT *, cliente_key % 3 = 0 OR fecha >= DATE '1998-04-01' AS de_version_actual FROM fact),
+"""
+ORACLE["top_customers_all_versions"] = f"{_MOVED} all_fact AS (SELECT * FROM moved) {_TOP.replace('FROM fact f', 'FROM all_fact f')}"
+ORACLE["top_customers_current_version"] = (
+    f"{_MOVED} now_fact AS (SELECT * FROM moved WHERE de_version_actual) {_TOP.replace('FROM fact f', 'FROM now_fact f')}")
 
 ORACLE["monthly_trend"] = f"""
 WITH {STAR}, m AS (
@@ -968,11 +973,25 @@ SELECT 'b2' AS id_batch, 'incremental' AS modo, (SELECT count(*) FROM raw WHERE
        (SELECT count(*) FROM fresh) AS limpios, (SELECT count(*) FROM f2) AS en_fact
 """
 ORACLE["admin_rows"] = f"WITH {STAR} SELECT id_venta, vendedor_key, CAST(monto_total AS DOUBLE) AS monto_total FROM fact"
-ORACLE["profile_report"] = " UNION ALL ".join(
-    f"SELECT '{part}' AS parte, {n} AS filas" for part, n in (
-        ("stats", "1"), ("score", "1"), ("por_columna", "11"),
-        ("numericas", f"(SELECT count(*) FROM ({ORACLE['numeric_profile']}))"),
-        ("issues", f"(SELECT count(*) FROM ({ORACLE['violations']}))"),
-        ("key_issues", f"(SELECT count(*) FROM (WITH {RAW} SELECT id_venta FROM raw GROUP BY id_venta HAVING count(*) > 1))"),
-        ("outliers", f"(SELECT count(*) FROM ({ORACLE['iqr_outliers']}))"),
-        ("quality_log", f"(SELECT count(*) FROM ({ORACLE['profile_quality_log']}))")))
+
+
+def _digest(part: str, sql: str, columns: str) -> str:
+    """Rows and digest of a part of the report; of ``columns`` those marked with * are doubles."""
+    said = " || '|' || ".join(f"coalesce(CAST({f'CAST({c[:-1]} AS DECIMAL(30,6))' if c.endswith('*') else c} AS VARCHAR), 'NULL')"
+                              for c in sorted(columns.split()))
+    return (f"SELECT '{part}' AS parte, count(*) AS filas, "
+            f"CAST(sum(CAST('0x' || substr(md5({said}), 1, 7) AS BIGINT)) AS BIGINT) AS huella FROM ({sql})")
+
+
+ORACLE["profile_report"] = " UNION ALL ".join(_digest(*part) for part in (
+    ("stats", ORACLE["table_stats"], "total_registros total_columnas duplicados_id_venta filas_completamente_duplicadas"),
+    ("por_columna", ORACLE["column_profile"], "columna nulos pct_nulos* distintos valor_mas_comun"),
+    ("numericas", ORACLE["numeric_profile"], "columna min* max* media* mediana*"),
+    ("issues", ORACLE["violations"], "regla campo id_venta valor tipo"),
+    ("key_issues", f"WITH {RAW} SELECT id_venta, count(*) AS copias, 'DUPLICADO_ID_VENTA' AS tipo FROM raw GROUP BY id_venta "
+                   "HAVING count(*) > 1", "id_venta copias tipo"),
+    ("outliers", ORACLE["iqr_outliers"], "id_venta columna valor* tipo"),
+    ("quality_log", ORACLE["profile_quality_log"], "regla_calidad registros_evaluados registros_validos registros_invalidos "
+                                                   "porcentaje_calidad* detalles"),
+    ("score", f"SELECT score, CAST(score >= 0.75 AS BIGINT) AS pass_threshold FROM ({ORACLE['quality_scores']}) WHERE formula = 'B'",
+     "score* pass_threshold")))

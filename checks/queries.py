@@ -19,7 +19,7 @@ from salesmart.session import configure, materialise, scratch_path
 from salesmart.sources.csv_files import read_after, read_csv, stamp_lineage
 from salesmart.sources.raw_sample import RAW_EXPRESSIONS, raw_sales
 from salesmart.sources.seeds import seed_dimensions
-from salesmart.sources.star import TABLE_SCHEMAS, order_star, read
+from salesmart.sources.star import TABLE_SCHEMAS, Star, order_star, read
 from salesmart.sources.tables import RETENTION_DAYS, Store
 from salesmart.streaming.ingest import (daily_quality, daily_totals, dedupe_late, file_stream, ingest, new_only,
                                         quality_by_day, with_final, write_updated)
@@ -65,9 +65,34 @@ for _plan in (analytics.top_customers, analytics.monthly_trend, analytics.city_a
     _on_star(_plan)
 
 
+# Two customers in three move on this day: sales before it belong to an earlier version of theirs.
+MOVE_DAY = date(1998, 4, 1)
+
+
+def _moved_star(spark, sf_dir):
+    """The order star with a second version of customers; version keys are twice the id, plus one from the move on."""
+    star = order_star(spark, sf_dir)
+    moves = F.col("id_cliente") % 3 > 0
+    key = F.col("id_cliente") * 2
+    now = star.cliente.withColumn("cliente_key", key + 1).withColumn(
+        "fecha_vigencia_desde", F.when(moves, F.lit(MOVE_DAY)).otherwise(F.col("fecha_vigencia_desde")))
+    before = (star.cliente.where(moves).withColumn("cliente_key", key).withColumn("es_registro_actual", F.lit(False))
+              .withColumn("ciudad", F.concat(F.lit("Antes de "), "ciudad")).withColumn("fecha_vigencia_hasta", F.lit(MOVE_DAY)))
+    sold_to = F.col("cliente_key") * 2 + F.when(
+        (F.col("cliente_key") % 3 > 0) & (F.col("fecha_venta") < F.lit(MOVE_DAY)), 0).otherwise(1)
+    return Star(fact=star.totals().withColumn("cliente_key", sold_to), cliente=now.unionByName(before))
+
+
 @register
 def top_customers_all_versions(spark, sf_dir):
-    return analytics.top_customers(order_star(spark, sf_dir), by_id=True)
+    """Best customers by the sales of all their versions, where two in three have moved."""
+    return analytics.top_customers(_moved_star(spark, sf_dir), by_id=True)
+
+
+@register
+def top_customers_current_version(spark, sf_dir):
+    """Best customers by the sales of their current version alone, over the same star."""
+    return analytics.top_customers(_moved_star(spark, sf_dir))
 
 
 # ---- raw rows: parsing, quality, profiles, cleaning -------------------------
@@ -217,7 +242,7 @@ def rejected_rows(spark, sf_dir):
 
 @register
 def clean_rows_strict(spark, sf_dir):
-    good, bad = cleaning.clean(_raw(spark, sf_dir), strict=True)
+    good, bad = cleaning.split(materialise(cleaning.outcome(_raw(spark, sf_dir), strict=True)))
     return (good.groupBy(F.lit("LIMPIA").alias("motivo")).agg(F.count(F.lit(1)).alias("filas"))
             .unionByName(bad.groupBy("motivo").agg(F.count(F.lit(1)).alias("filas"))))
 
@@ -972,15 +997,23 @@ def admin_rows(spark, sf_dir):
 
 @register
 def profile_report(spark, sf_dir):
-    """Counts and checks of the full profile, one row per part of the report."""
+    """Rows of each part of the full profile, and a digest of all their values."""
     report = profiling.full_report(_raw(spark, sf_dir))
     out = None
-    for part in report:
-        rows = report[part].agg(F.lit(part).alias("parte"), F.count(F.lit(1)).alias("filas"))
+    for part, values in report.items():
+        rows = plain(values).select(_row_digest(plain(values)).alias("h")).agg(
+            F.lit(part).alias("parte"), F.count(F.lit(1)).alias("filas"), F.sum("h").alias("huella"))
         out = rows if out is None else out.unionByName(rows)
     return out
 
 
+def _row_digest(df):
+    """28 bits of the MD5 of a row's values, by column name; doubles with six places."""
+    said = [F.col(name).cast("decimal(30,6)") if kind == "double" else F.col(name) for name, kind in sorted(df.dtypes)]
+    text = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("NULL")) for c in said])
+    return F.conv(F.substring(F.md5(text), 1, 7), 16, 10).cast("bigint")
+
+
 def _load_twice(spark, sf_dir):
     """Both files as batches, then the second one again."""
     house = Warehouse(spark, scratch_path(spark, "batch"), last=date(2030, 12, 31))

@@ -12,6 +12,7 @@ from salesmart.functions.dates import month_label, month_start
 from salesmart.functions.numbers import kpi_colour, safe_ratio, signed_pct_label
 from salesmart.operators.ranking import with_rank
 from salesmart.plans.analytics import sale_count
+from salesmart.session import materialise
 
 
 def base_measures(sales: DataFrame, by: list[str], customer: str = "cliente_key") -> DataFrame:
@@ -67,9 +68,10 @@ def year_to_date(sales: DataFrame, by: list[str]) -> DataFrame:
     """Running sales of the year per month, and the same month a year before.
 
     Every year that has sales gets its twelve months, so the running sum of
-    the year before is there even when that very month had no sales.
+    the year before is there even when that very month had no sales. The
+    months, one row each per axis value, are written once and read three times.
     """
-    months = monthly_sales(sales, by).select(*by, "mes", "ventas")
+    months = materialise(monthly_sales(sales, by).select(*by, "mes", "ventas"))
     year = F.trunc("mes", "year")
     spine = (months.select(*by, year.alias("_year")).distinct()
              .withColumn("mes", F.explode(F.sequence(
