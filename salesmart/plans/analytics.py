@@ -150,13 +150,24 @@ def product_analysis(star: Star) -> DataFrame:
 
 
 def channel_analysis(star: Star) -> DataFrame:
-    """Channels with shares and commission, from one pass over the sales."""
+    """Channels with shares and commission, from one pass over the sales.
+
+    Sales are summed per channel and customer, and per channel and product, in
+    one aggregate over two rows a sale; distinct members are then its rows, and
+    the amounts are those of the customers.
+    """
     fact = star.sales()
-    sums = fact.groupBy("canal_key").agg(
-        sale_count(fact).alias("total_transacciones"), F.sum("monto_total").alias("monto_total"),
-        F.sum("cantidad").alias("total_unidades"),
-        F.count_distinct("cliente_key").alias("clientes_unicos"),
-        F.count_distinct("producto_key").alias("productos_distintos"))
+    count = F.col("n_ventas") if "n_ventas" in fact.columns else F.lit(1)
+    cells = fact.select("canal_key", count.alias("n"), "monto_total", "cantidad", "cliente_key", "producto_key").unpivot(
+        ["canal_key", "n", "monto_total", "cantidad"], ["cliente_key", "producto_key"], "de", "miembro")
+    members = cells.groupBy("canal_key", "de", "miembro").agg(
+        F.sum("n").alias("n"), F.sum("monto_total").alias("m"), F.sum("cantidad").alias("u"))
+    of_customers, present = F.col("de") == "cliente_key", F.col("miembro").isNotNull()
+    whole = lambda value: F.sum(F.when(of_customers, F.col(value)))
+    sums = members.groupBy("canal_key").agg(
+        whole("n").alias("total_transacciones"), whole("m").alias("monto_total"), whole("u").alias("total_unidades"),
+        F.count_if(of_customers & present).alias("clientes_unicos"),
+        F.count_if(~of_customers & present).alias("productos_distintos"))
     channels = sums.join(star.lookup("canal"), "canal_key")
     bound = star.bound("canal")
     ranked = with_rank(channels, "monto_total", "ranking", bound=bound)
