@@ -1,8 +1,9 @@
 """Personal data: patterns propose spans, checksums confirm them, context words move the score.
 
 Four base kinds follow fixed patterns and stay whatever their score. Two more
-kinds need more than a pattern: ``iban`` must pass mod-97, ``national_id``
-has no checksum and must have a context word nearby.
+kinds need more than a pattern: ``iban`` must have its country's length and
+pass mod-97, ``national_id`` has no checksum, must be in an issued range and
+must have a context word nearby.
 """
 
 from __future__ import annotations
@@ -23,8 +24,17 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 # The added kinds.
 ADDED_KINDS = ("iban", "national_id")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
-NATIONAL_ID = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
+# Characters of an IBAN by country.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28, "CH": 21,
+    "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27,
+    "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26,
+    "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27,
+    "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25,
+    "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SC": 31, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "ST": 25, "SV": 28, "TL": 23,
+    "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20}
+IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Za-z]{2}[0-9]{2}(?=[\x20-]?[A-Za-z0-9])")
+NATIONAL_ID = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 # Words that make a kind likelier when near, and scores before and after.
 CONTEXT_WORDS = {
     "email": ("mail", "contact", "write", "correo", "courriel"),
@@ -57,23 +67,34 @@ def mod97(code: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
-def iban_ends(match: re.Match) -> list[int]:
-    """Ends that an IBAN may have within a match, the longest first: the match's own and those before a blank."""
-    text, start = match[0], match.start()
-    return [match.end(), *(start + at for at in range(len(text) - 1, 0, -1) if text[at] == " ")]
+def iban_at(text: str, start: int) -> int | None:
+    """End of the IBAN that starts at ``start``: its country's number of letters and digits, in one run or in
+    groups parted by single blanks or hyphens, as a whole word and with a checksum that holds. Case is free."""
+    left = IBAN_LENGTHS.get(text[start:start + 2].upper())
+    if left is None:
+        return None
+    code, at = [], start
+    while left and at < len(text):
+        c = text[at]
+        if c.isascii() and c.isalnum():
+            code.append(c)
+            left -= 1
+        elif c not in " -" or text[at - 1] in " -":
+            return None
+        at += 1
+    if left or text[at:at + 1].isascii() and text[at:at + 1].isalnum():
+        return None
+    return at if mod97("".join(code).upper()) else None
 
 
 def ibans(text: str) -> list[tuple[int, int]]:
-    """Spans that pass mod-97; a word that follows an IBAN is tried with it first, then left out."""
+    """Spans of IBANs; behind a start that is none the search goes on at the next character."""
     found, at = [], 0
-    while m := IBAN.search(text, at):
-        at = m.end()
-        for end in iban_ends(m):
-            code = text[m.start():end].replace(" ", "")
-            if 15 <= len(code) <= 34 and mod97(code):
-                found.append((m.start(), end))
-                at = end
-                break
+    while m := IBAN_START.search(text, at):
+        end = iban_at(text, m.start())
+        if end:
+            found.append((m.start(), end))
+        at = end or m.start() + 1
     return found
 
 

@@ -1,12 +1,17 @@
 """Secrets: an Aho-Corasick pass finds keywords, anchored patterns run only at hits, checksums confirm.
 
-The base kinds follow fixed patterns. ``github`` tokens carry a CRC-32 of
-their body in base 62 and are kept only when it agrees; ``private_key``
-blocks need both of their marker lines.
+The base kinds follow fixed patterns. ``github`` and ``npm`` tokens carry a
+CRC-32 of their body in base 62 and are kept only when it agrees;
+``private_key`` blocks need both of their marker lines, with headers or
+without; a ``jwt`` must have a JSON head that names an algorithm and a JSON
+body.
 """
 
 from __future__ import annotations
 
+import base64
+import binascii
+import json
 import re
 import zlib
 
@@ -25,17 +30,21 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}+")
 ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST = 6, 20, 24
 # The added kinds.
-ADDED_KINDS = ("github", "private_key")
+ADDED_KINDS = ("github", "private_key", "npm", "jwt")
 GITHUB_PREFIXES = ("ghp_", "gho_", "ghu_", "ghs_", "ghr_")
 GITHUB = re.compile(r"gh[pousr]_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
+NPM = re.compile(r"npm_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
+JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+(?![A-Za-z0-9_-])")
 KEY_MARK = "-----begin "
-PRIVATE_KEY = re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----[A-Za-z0-9+/=\s]*-----END \1-----")
+# line ends may be written out as \n, as in JSON; headers are lines such as "Proc-Type: 4,ENCRYPTED"
+PRIVATE_KEY = re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY(?: BLOCK)?)-----(?:(?:\r?\n|(?:\\r)?\\n)+[A-Z][A-Za-z-]+: (?:(?!-----)[^\r\n\\])*)*+"
+                         r"(?:[A-Za-z0-9+/=\s]|\\r|\\n)*+-----END \1-----")
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
 
 KEYWORDS = {**dict.fromkeys(ASSIGN_WORDS, "assign"), "akia": "access",
-            **dict.fromkeys(GITHUB_PREFIXES, "github"), KEY_MARK: "private_key"}
-SCORES = {"assign": 0.6, "access": 0.9, "hex": 0.5, "github": 1.0, "private_key": 1.0}
+            **dict.fromkeys(GITHUB_PREFIXES, "github"), KEY_MARK: "private_key", "npm_": "npm", "eyj": "jwt"}
+SCORES = {"assign": 0.6, "access": 0.9, "hex": 0.5, "github": 1.0, "private_key": 1.0, "npm": 1.0, "jwt": 1.0}
 
 
 def automaton() -> ahocorasick.Automaton:
@@ -54,6 +63,15 @@ def base62_crc(body: str) -> str:
     return out.rjust(6, "0")
 
 
+def json_part(coded: str) -> dict:
+    """A part of a token as its JSON object; empty where it is none."""
+    try:
+        value = json.loads(base64.urlsafe_b64decode(coded + "=" * (-len(coded) % 4)))
+    except (binascii.Error, ValueError, RecursionError):
+        return {}
+    return value if isinstance(value, dict) else {}
+
+
 def lowered(text: str) -> str:
     """Lower case with positions kept: where full lower-casing changes the length, A-Z only."""
     low = text.lower()
@@ -80,10 +98,15 @@ def find_spans(text: str | None, words: ahocorasick.Automaton) -> list[tuple[str
                 free[kind] = m.end()
                 if m.end() - start >= ACCESS_LEAST:
                     found.append((kind, start, m.end()))
-        elif kind == "github":
-            if (m := GITHUB.match(text, start)) and base62_crc(m[1]) == m[2]:
+        elif kind in ("github", "npm"):
+            if (m := (GITHUB if kind == "github" else NPM).match(text, start)) and base62_crc(m[1]) == m[2]:
                 free[kind] = m.end()
                 found.append((kind, start, m.end()))
+        elif kind == "jwt":
+            if m := JWT.match(text, start):
+                free[kind] = m.end()
+                if "alg" in json_part(m[1]) and json_part(m[2]):
+                    found.append((kind, start, m.end()))
         elif m := PRIVATE_KEY.match(text, start):
             free[kind] = m.end()
             found.append((kind, start, m.end()))
