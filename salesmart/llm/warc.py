@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import base64
+import binascii
 import hashlib
+import io
 import re
 import struct
 import uuid
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 import zstandard
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from salesmart.llm.common import Scratch, scan
+from salesmart.llm.common import Scratch, arrow_rows, arrow_schema
 
 # Magic numbers of the format.
 SKIPPABLE_MAGIC, FRAME_MAGIC = 0x184D2A5D, 0xFD2FB528
@@ -24,9 +27,13 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 ARCHIVE_BYTES = 8 << 20
 DICTIONARY_BYTES, DICTIONARY_PAGES, DICTIONARY_PAGE_CHARS = 64 << 10, 512, 16_384
 CHUNK = 32 << 10
+# Pages read from archives are handed on once they have so many bytes or are so many.
+READ_BYTES, READ_PAGES = 4 << 20, 256
+DIGESTS = ("md5", "sha1", "sha256", "sha512")
 CRAWL_DATE = "2026-01-01T00:00:00Z"
 PAGE_SCHEMA = ("page_id long, url string, payload binary, payload_bytes long, payload_digest string, "
                "record_type string, refers_to long, archive string")
+FAULT_SCHEMA = "record int, error string"
 
 
 def base32_sha1(data: bytes) -> str:
@@ -64,6 +71,46 @@ def info_record() -> bytes:
                     ("Content-Length", str(len(block)))], block)
 
 
+def digest_bytes(said: str) -> tuple[str, bytes | None]:
+    """Algorithm and value of a digest field, written in base32 or hexadecimal; None where it can't be told."""
+    name, _, value = said.partition(":")
+    name = name.strip().lower().replace("-", "")
+    if name not in DIGESTS:
+        return name, None
+    value, size = value.strip(), hashlib.new(name).digest_size
+    try:
+        if len(value) == 2 * size:
+            return name, binascii.unhexlify(value)
+        value = value.rstrip("=").upper()
+        found = base64.b32decode(value + "=" * (-len(value) % 8))
+    except (binascii.Error, ValueError):
+        return name, b""
+    return name, found if len(found) == size else b""
+
+
+def agrees(said: str | None, *contents: bytes) -> bool:
+    """True when the digest is that of one of ``contents``, is missing, or is of an unknown algorithm."""
+    name, value = digest_bytes(said or "")
+    return value is None or any(hashlib.new(name, data).digest() == value for data in contents)
+
+
+def unchunked(body: bytes) -> bytes:
+    """The content of a body in chunks; raises ValueError where a chunk is not well formed or cut off."""
+    out, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        size = re.fullmatch(rb"([0-9A-Fa-f]{1,15})[\x20\t]*(?:;.*)?", body[at:end]) if end >= 0 else None
+        if not size:
+            raise ValueError("a chunk has no size")
+        many, at = int(size[1], 16), end + 2
+        if not many:  # trailers may follow
+            return b"".join(out)
+        if body[at + many:at + many + 2] != b"\r\n":
+            raise ValueError("a chunk is cut off")
+        out.append(body[at:at + many])
+        at += many + 2
+
+
 def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
     """Headers (lower-case names) and block of one record; raises ValueError where it is not well formed."""
     head, found, rest = data.partition(b"\r\n\r\n")
@@ -83,24 +130,40 @@ def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
     if len(rest) != length + 4 or rest[length:] != b"\r\n\r\n":
         raise ValueError(f"Content-Length is {length}, the block has {len(rest) - 4} bytes")
     block = rest[:length]
-    said = fields.get("warc-block-digest")
-    if said and said != f"sha1:{base32_sha1(block)}":
+    if not agrees(fields.get("warc-block-digest"), block):
         raise ValueError("block digest does not match")
     return fields, block
 
 
 def parse_page(fields: dict[str, str], block: bytes) -> dict:
-    """A page's columns from its record, with the payload's length and digest checked where it is there."""
-    http, found, payload = block.partition(b"\r\n\r\n")
-    length = re.search(rb"(?mi)^content-length:\s*(\d+)\s*$", http)
-    if not found or not length:
-        raise ValueError("no HTTP header with a length")
-    digest = fields["warc-payload-digest"].removeprefix("sha1:")
-    size, kind = int(length[1]), fields["warc-type"]
-    if kind == "response" and (len(payload) != size or base32_sha1(payload) != digest):
-        raise ValueError("payload does not match its length and digest")
-    if kind == "revisit" and payload:
-        raise ValueError("a revisit has a payload")
+    """A page's columns from its record, with the payload's length and digest checked where they are there.
+
+    The payload is what follows the HTTP header: as long as its Content-Length
+    says, or in chunks, which are put together (the digest may be of either
+    form), or else to the end. The whole block is the payload where it is not
+    HTTP. A revisit's length is null where its header has none; its digest is
+    written in base32 if it is a SHA-1, else as it stands.
+    """
+    kind, said = fields["warc-type"], fields.get("warc-payload-digest")
+    http, found, payload = b"", True, block
+    if fields.get("content-type", "application/http").lower().startswith("application/http"):
+        http, found, payload = block.partition(b"\r\n\r\n")
+    if not found:
+        raise ValueError("the HTTP header has no end")
+    length = re.search(rb"(?mi)^content-length:[\x20\t]*(\d+)[\x20\t]*\r?$", http)
+    size = int(length[1]) if length else None
+    if kind == "response":
+        sent = payload
+        if re.search(rb"(?mi)^transfer-encoding:[^\r\n]*\bchunked\b", http):
+            payload, size = unchunked(sent), None
+        if size not in (None, len(payload)) or not agrees(said, payload, sent):
+            raise ValueError("payload does not match its length and digest")
+        size, digest = len(payload), base32_sha1(payload)
+    else:
+        if http and payload:
+            raise ValueError("a revisit has a payload")
+        name, value = digest_bytes(said or "")
+        digest = base64.b32encode(value).decode() if name == "sha1" and value else said
     refers = re.search(r"<urn:page:(-?\d+)>", fields.get("warc-refers-to", ""))
     return {"page_id": int(fields["warc-page-id"]) if "warc-page-id" in fields else None,
             "url": fields.get("warc-target-uri"), "payload": payload if kind == "response" else None,
@@ -108,28 +171,54 @@ def parse_page(fields: dict[str, str], block: bytes) -> dict:
             "refers_to": int(refers[1]) if refers else None}
 
 
-def frames(data: bytes) -> Iterator[bytes]:
-    """The content of each frame of an archive, decoded one at a time with the dictionary at its start."""
-    view, at, words = memoryview(data), 0, None
-    if len(view) >= 8 and struct.unpack_from("<I", view)[0] == SKIPPABLE_MAGIC:
-        size = struct.unpack_from("<I", view, 4)[0]
-        if 8 + size > len(view):
+def frames(data: bytes | BinaryIO) -> Iterator[bytes]:
+    """The content of each frame of an archive, read and decoded one at a time with the dictionary at its start."""
+    source, words = io.BytesIO(data) if isinstance(data, bytes) else data, None
+    rest = source.read(8)
+    if len(rest) == 8 and struct.unpack_from("<I", rest)[0] == SKIPPABLE_MAGIC:
+        size = struct.unpack_from("<I", rest, 4)[0]
+        raw, rest = source.read(size), b""
+        if len(raw) < size:
             raise ValueError("the dictionary is cut off")
-        raw, at = bytes(view[8:8 + size]), 8 + size
         if raw[:4] == struct.pack("<I", FRAME_MAGIC):  # the dictionary may itself be compressed
             raw = zstandard.ZstdDecompressor().decompressobj().decompress(raw)
         words = zstandard.ZstdCompressionDict(raw) if raw else None
     decoder = zstandard.ZstdDecompressor(dict_data=words) if words else zstandard.ZstdDecompressor()
-    while at < len(view):
+    while rest := rest or source.read(CHUNK):
         frame, parts = decoder.decompressobj(), []
         while not frame.eof:
-            chunk = view[at:at + CHUNK]
-            if not chunk:
+            rest = rest or source.read(CHUNK)
+            if not rest:
                 raise ValueError("the last frame is cut off")
-            parts.append(frame.decompress(chunk))
-            at += len(chunk)
-        at -= len(frame.unused_data)
-        yield b"".join(parts)
+            parts.append(frame.decompress(rest))
+            rest = frame.unused_data if frame.eof else b""
+        if content := b"".join(parts):  # other skippable frames have none
+            yield content
+
+
+def pages_of(source: bytes | BinaryIO, archive: str, strict: bool = True) -> Iterator[dict]:
+    """The page records of an archive; a fault raises, or unless ``strict`` is a row with its record and error.
+
+    A wrong record costs itself only, a damaged frame all that follows in its archive.
+    """
+    records, number = frames(source), -1
+    while True:
+        number += 1
+        readable = False
+        try:
+            data = next(records, None)
+            if data is None:
+                return
+            readable = True
+            fields, block = parse_record(data)
+            if fields["warc-type"] in ("response", "revisit"):
+                yield parse_page(fields, block) | {"archive": archive}
+        except (ValueError, KeyError, zstandard.ZstdError) as error:
+            if strict:
+                raise ValueError(f"{archive}, record {number}: {error}") from error
+            yield {"archive": archive, "record": number, "error": str(error)}
+            if not readable:
+                return
 
 
 def train_dictionary(pages: DataFrame) -> bytes:
@@ -195,40 +284,46 @@ def write_archives(pages: DataFrame, folder: str, scratch: Scratch) -> DataFrame
             yield closed()
 
     rows = with_records(pages, scratch)
-    pages.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
     store, root = fs.FileSystem.from_uri(folder)
     store.create_dir(root, recursive=True)
-    return scratch.keep(rows.mapInArrow(write, "archive string, records long, bytes long"), "archives")
+    with arrow_rows(pages.sparkSession, 256):
+        return scratch.keep(rows.mapInArrow(write, "archive string, records long, bytes long"), "archives")
 
 
-def read_archives(spark: SparkSession, folder: str, listed: DataFrame | None = None, payload: bool = True) -> DataFrame:
+def read_archives(spark: SparkSession, folder: str, listed: DataFrame | None = None, payload: bool = True,
+                  strict: bool = True) -> DataFrame:
     """A row for each page record of the archives below ``folder`` (only those ``listed``, if given).
 
     Columns as in ``PAGE_SCHEMA``, without the payload unless asked for.
-    Raises where a frame is cut off or a header, length or digest is wrong.
+    Raises where a frame is cut off or a header, length or digest is wrong;
+    with ``strict=False`` such records are rows too, with their number in the
+    archive and the error in two more columns. Archives are read from a stream,
+    a record at a time, so their size doesn't matter.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
-    files = files.select(F.element_at(F.split("path", "/"), -1).alias("archive"), "content")
+    files = files.select(F.element_at(F.split("path", "/"), -1).alias("archive"))
     if listed is not None:
         files = files.join(listed.select("archive"), "archive", "left_semi")
     schema = PAGE_SCHEMA if payload else PAGE_SCHEMA.replace(" payload binary,", "")
-    names = [field.split()[0] for field in schema.split(", ")]
-
-    def read(columns: dict[str, list]) -> dict[str, list]:
-        out: dict[str, list] = {name: [] for name in names}
-        for archive, content in zip(columns["archive"], columns["content"], strict=True):
-            for number, data in enumerate(frames(content)):
-                try:
-                    fields, block = parse_record(data)
-                    if fields["warc-type"] in ("response", "revisit"):
-                        page = parse_page(fields, block) | {"archive": archive}
-                        for name in names:
-                            out[name].append(page[name])
-                except (ValueError, KeyError) as error:
-                    raise ValueError(f"{archive}, record {number}: {error}") from error
-        return out
-
-    return scan(files.select("archive", "content"), read, schema)
+    schema = schema if strict else f"{schema}, {FAULT_SCHEMA}"
+    arrow = arrow_schema(schema)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = fs.FileSystem.from_uri(folder)
+        rows, size = [], 0
+        for batch in batches:
+            for archive in batch.column(0).to_pylist():
+                with store.open_input_stream(f"{root}/{archive}", compression=None) as source:
+                    for page in pages_of(source, archive, strict):
+                        rows.append(page if payload else page | {"payload": None})
+                        size += len(rows[-1].get("payload") or b"")
+                        if size >= READ_BYTES or len(rows) >= READ_PAGES:
+                            yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+                            rows, size = [], 0
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+
+    return files.mapInArrow(read, schema)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
