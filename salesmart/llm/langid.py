@@ -134,6 +134,21 @@ def fit_mixtures(rows: np.ndarray, sizes: np.ndarray, scores: np.ndarray, n: int
     return shares
 
 
+def explained(rows: np.ndarray, sizes: np.ndarray, scores: np.ndarray, shares: np.ndarray) -> np.ndarray:
+    """True for each document whose mixture makes its trigrams likelier than if all buckets were equally likely.
+
+    Text in a learned language, or in several, is far above that, random letters far below; a document
+    without units is not explained.
+    """
+    fit, letters = np.zeros(len(shares)), np.zeros(len(shares))
+    if len(rows):
+        top = scores.max(axis=1)
+        mixed = (shares[rows] * np.exp(np.maximum(scores - top[:, None], -700))).sum(axis=1)
+        np.add.at(fit, rows, top + np.log(np.maximum(mixed, 1e-300)))
+        np.add.at(letters, rows, sizes)
+    return (letters > 0) & (fit > -np.log(BUCKETS) * letters)
+
+
 def in_test(every: int = 5):
     """True for the rows that are held out: crc32 of doc_id as text leaves no remainder."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % every == 0, F.lit(False))
@@ -200,10 +215,11 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
                 "doc_id long, held_out boolean, lang_pred string, score double, languages string")
 
 
-def keep_identified(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
+def keep_identified(docs: DataFrame, model: tuple[list[str], np.ndarray], likely: bool = False) -> DataFrame:
     """The rows of ``docs`` that have a language; the text is judged where it is, so rows need no key and no join.
 
-    Rejected are null texts, texts without a letter, and all rows under an empty model.
+    Rejected are null texts, texts without a letter, and all rows under an empty model; with ``likely`` also texts that
+    their own mixture of languages explains no better than chance (see ``explained``). Mixed languages are kept.
     """
     languages, table = model
     (flag,) = fresh(docs, "_identified")
@@ -214,6 +230,8 @@ def keep_identified(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> Dat
         own = texts.tolist()
         if not languages:
             return pd.Series([False] * len(own), dtype=bool)
-        return pd.Series(fit_mixtures(*unit_likelihoods(own, table), len(own)).max(axis=1) > 0, dtype=bool)
+        units = unit_likelihoods(own, table)
+        shares = fit_mixtures(*units, len(own))
+        return pd.Series(explained(*units, shares) if likely else shares.max(axis=1) > 0, dtype=bool)
 
     return docs.withColumn(flag, identified("text")).where(F.col(flag)).select(*docs.columns)

@@ -96,9 +96,28 @@ def assign(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
-def shard_rows(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """``docs`` with a column ``shard`` added (``_shard`` where that name is taken); texts aren't shuffled."""
-    group, size, shard = fresh(docs, "_group", "_size", "shard")
-    keyed = docs.withColumn(group, group_of()).withColumn(size, size_of())
+def row_place() -> Column:
+    """Where a row lies in a table that Spark wrote: the numbers of its part file, then its row in that file.
+
+    Files of a range-sorted table are numbered in its order, so this gives the
+    order back whatever tasks read the files. Only for a frame that is such a
+    table itself: behind further steps Spark gives the place in their source.
+    """
+    numbers = lambda group: F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)-.*?(?:-c(\d+))?(?:\.[a-z]+)*$", group)
+    part, piece = (F.coalesce(numbers(group).try_cast("long"), F.lit(0)) for group in (1, 2))
+    return F.shiftleft(part, 43) + F.shiftleft(piece, 35) + F.col("_metadata.row_index")
+
+
+def shard_rows(docs: DataFrame, shards: int = SHARDS, place: Column | None = None) -> DataFrame:
+    """``docs`` with a column ``shard`` added (``_shard`` where that name is taken); texts aren't shuffled.
+
+    With ``place``, a row's place in the training order, it is added as ``position`` (``_position`` where taken), so
+    that a shard's rows can be put into that order again; ``row_place()`` where ``docs`` is a table as
+    ``mixing.scheduled_copies`` was written. Equal texts, also null ones, share a shard; repeated rows keep
+    places of their own; an empty table gives none.
+    """
+    group, size, shard, position = fresh(docs, "_group", "_size", "shard", "position")
+    keyed = docs if place is None else docs.select("*", place.alias(position))
+    keyed = keyed.withColumn(group, group_of()).withColumn(size, size_of())
     parts = schedule(keyed.select(F.col(group).alias("grp"), F.col(size).alias("size")), shards)
-    return with_shard(keyed, group, shard, shards, parts).drop(group, size)
+    return with_shard(keyed, group, shard, shards, parts).select(*docs.columns, shard, *([] if place is None else [position]))
