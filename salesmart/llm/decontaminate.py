@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from salesmart.llm.common import ARROW_ROWS, fresh, scan
 
-# Edits allowed for each character of an item; items under LEAST_CHARS must match exactly, as whole words.
-ERROR_RATE, LEAST_CHARS = 0.1, 32
+# Edits allowed for each character of an item, rounded down; an item too short for one must match exactly, as whole words.
+ERROR_RATE = 0.1
 # Items are matched in blocks of about so many characters, each block in a pass of its own.
 BLOCK_CHARS = 8_000_000
 GRAM = 3
@@ -74,13 +74,12 @@ def best_end(masks: dict[str, int], size: int, text: str) -> tuple[int, int]:
     return best, end
 
 
-def prepare(items: list[tuple[int | None, str | None]]) -> list[Item]:
+def prepare(items: list[tuple[int | None, str | None]], error_rate: float = ERROR_RATE) -> list[Item]:
     out = []
     for item_id, raw in items:
         text = normalised(raw)
         if text:
-            budget = int(len(text) * ERROR_RATE) if len(text) >= LEAST_CHARS else 0
-            out.append(Item(item_id, text, budget, masks_of(text), masks_of(text[::-1]),
+            out.append(Item(item_id, text, int(len(text) * error_rate), masks_of(text), masks_of(text[::-1]),
                             [text[i:i + GRAM] for i in range(len(text) - GRAM + 1)]))
     return out
 
@@ -147,7 +146,7 @@ def verify(item: Item, text: str, first: int, last: int) -> tuple[int, int, int]
             return None
         _, back = best_end(item.back_masks, size, window[:end][::-1])
         return distance, low + end - back, low + end
-    for m in re.finditer(rf"(?<!\S){re.escape(item.text)}(?!\S)" if size < LEAST_CHARS else re.escape(item.text), window):
+    for m in re.finditer(rf"(?<!\S){re.escape(item.text)}(?!\S)", window):
         return 0, low + m.start(), low + m.end()
     return None
 
@@ -166,7 +165,7 @@ def find_items(text: str | None, items: list[Item], pieces: ahocorasick.Automato
     found = []
     for number, wanted in sorted((n, w) for n, w in starts.items() if w):
         item, best, run = items[number], None, []
-        if not item.budget:  # look at all of the text around each exact hit: short items need whole words
+        if not item.budget:  # look at all of the text around each exact hit: these need whole words
             runs = [(s - 1, s + 1) for s in sorted(wanted)]
         else:
             runs = []
@@ -196,9 +195,12 @@ def benchmark_blocks(benchmark: DataFrame) -> list[list[tuple[int | None, str]]]
     return [[tuple(r) for r in items.where(of == i).orderBy("item_id", "text").collect()] for i in range(blocks)]
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE) -> DataFrame:
     """One row for each row of ``docs`` and item that it holds within the item's budget.
 
+    The budget is ``error_rate`` times the item's normalised characters,
+    rounded down; an item with a budget of none must stand there as whole words.
+
     doc_id, item_id, distance (edits), budget, start and end of the best match
     in the normalised text. Null, empty and wordless texts and items match
     nothing; repeated rows and items repeat; null ids stay null; an empty
@@ -207,17 +209,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark: SparkSession = docs.sparkSession
     narrow, out = docs.select("doc_id", "text"), None
     for block in benchmark_blocks(benchmark):
-        hits = scan(narrow, _matcher(block), HIT_SCHEMA)
+        hits = scan(narrow, _matcher(block, error_rate), HIT_SCHEMA)
         out = hits if out is None else out.union(hits)
     return spark.createDataFrame([], HIT_SCHEMA) if out is None else out
 
 
-def _matcher(block: list[tuple[int | None, str]]):
+def _matcher(block: list[tuple[int | None, str]], error_rate: float):
     ready: list = []
 
     def work(columns: dict[str, list]) -> dict[str, list]:
         if not ready:
-            items = prepare(block)
+            items = prepare(block, error_rate)
             ready.extend((items, piece_automaton(items)))
         out: dict[str, list] = {k: [] for k in ("doc_id", "item_id", "distance", "budget", "start", "end")}
         if not ready[0]:
@@ -231,22 +233,26 @@ def _matcher(block: list[tuple[int | None, str]]):
     return work
 
 
-def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, all their columns as they were."""
+def clean(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE) -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item by the rule of ``contaminated``, all their columns as they were.
+
+    Null, empty and wordless texts stay; repeated rows are judged alike; an
+    empty benchmark keeps all rows; an empty table gives none.
+    """
     (flag,) = fresh(docs, "_clean")
     kept = docs
     for block in benchmark_blocks(benchmark):
-        kept = _flagged(kept, flag, block).where(F.col(flag)).select(*docs.columns)
+        kept = _flagged(kept, flag, block, error_rate).where(F.col(flag)).select(*docs.columns)
     return kept
 
 
-def _flagged(docs: DataFrame, flag: str, block: list[tuple[int | None, str]]) -> DataFrame:
+def _flagged(docs: DataFrame, flag: str, block: list[tuple[int | None, str]], error_rate: float) -> DataFrame:
     """``docs`` with a boolean column; the text is judged where it is, so rows need no key and no join."""
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
     @F.pandas_udf("boolean")
     def is_clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        items = prepare(block)
+        items = prepare(block, error_rate)
         pieces = piece_automaton(items)
         for texts in batches:
             yield pd.Series([not (items and find_items(t, items, pieces)) for t in texts], dtype=bool)

@@ -17,6 +17,8 @@ from salesmart.llm.running import with_running
 WEIGHT_CYCLE, MOST_EPOCHS = 3, 3
 # Schedule: rate 1 + slope * (2 t - 1), with slope (weight - 2) * SLOPE; light sources fade, heavy ones grow.
 SLOPE = 0.4
+# Entries of one repeated row that are listed together.
+REPEATS_AT_ONCE = 1 << 16
 
 
 def stream_hash(doc_id: str = "doc_id", text: str = "text") -> Column:
@@ -58,20 +60,30 @@ def due_time(share: Column, slope: Column) -> Column:
 def plan(docs: DataFrame) -> DataFrame:
     """What the mix takes of every row of ``docs`` and when.
 
-    doc_id, h (see ``stream_hash``), size (words), source_size, target, taken
-    (words, over up to three epochs; a source's sum is its target rounded, the
-    last document of it may be taken in part), copies (epochs in which at
-    least half of the document is taken), position (training time of its first
-    word, null when nothing is taken), place (position, or a number above 1
-    in stream order) and places (the training time of each copy, in its own epoch). Null texts have no words; a null source is a source;
-    a source without words has no target; repeated rows are interchangeable;
-    an empty table gives none.
+    doc_id, source, h (see ``stream_hash``), repeats and number (how many rows
+    are equal in the three and in text, and which of them this is), size
+    (words), source_size, target, taken (words, over up to three epochs; a
+    source's sum is its target rounded, the last document of it may be taken
+    in part), copies (epochs in which at least half of the document is taken),
+    position (training time of its first word, null when nothing is taken),
+    position_2 and position_3 (training time of the copies of the second and
+    third epoch, null without one), place (position, or a number above 1 in
+    stream order) and places (the training time of each copy, in its own
+    epoch). Null texts have no words; a null source is a source; a source
+    without words has no target; repeated rows are interchangeable and are
+    counted before they are placed; an empty table gives none.
     """
     scratch = Scratch(docs.sparkSession, "mixing")
-    sized = scratch.keep(docs.select("doc_id", "source", word_count().alias("size"), stream_hash().alias("h")), "sizes")
-    sources = scratch.keep(source_targets(sized).withColumnRenamed("source", "of"), "sources")
-    rows = sized.join(sources, F.col("source").eqNullSafe(F.col("of"))).drop("of", "source")
-    rows = with_running(rows, "rank", "h", ["doc_id", "size"], {"start": F.col("size")}, sized.count(), scratch)
+    narrow = docs.select("doc_id", "source", word_count().alias("size"), stream_hash().alias("h"))
+    sized = scratch.keep(narrow.groupBy(*narrow.columns).agg(F.count(F.lit(1)).alias("repeats")), "sizes")
+    words = F.col("size") * F.col("repeats")
+    sources = scratch.keep(source_targets(sized.select("source", words.alias("size"))).withColumnRenamed("source", "of"), "sources")
+    rows = sized.join(sources, F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    rows = with_running(rows, "rank", "h", ["doc_id", "size"], {"start": words}, sized.count(), scratch)
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("repeats") - 1, F.lit(REPEATS_AT_ONCE))).alias("_from"))
+    last = F.least(F.col("_from") + REPEATS_AT_ONCE, "repeats") - 1
+    rows = rows.select("*", F.explode(F.sequence("_from", last)).alias("number"))
+    rows = rows.withColumn("start", F.col("start") + F.col("size") * F.col("number"))
     demand = F.round("target").cast("long")
     nth = lambda epoch: F.least(F.greatest(
         demand - (F.col("source_size") * epoch + F.col("start")), F.lit(0)), "size")
@@ -82,42 +94,43 @@ def plan(docs: DataFrame) -> DataFrame:
     copied = [(e * 2 >= F.col("size")) & (e > 0) for e in epochs]
     late = 1.0 + (F.col("start") + 1) / (F.col("source_size") + 1)
     return rows.select(
-        "doc_id", "h", "size", "source_size", "target", sum(epochs[1:], epochs[0]).cast("long").alias("taken"),
+        "doc_id", "source", "h", "repeats", "number", "size", "source_size", "target",
+        sum(epochs[1:], epochs[0]).cast("long").alias("taken"),
         sum((F.when(c, 1).otherwise(0) for c in copied), F.lit(0)).alias("copies"),
-        position.alias("position"), F.coalesce(position, late).alias("place"),
+        position.alias("position"), *[F.when(copied[e], due(e)).alias(f"position_{e + 1}") for e in range(1, MOST_EPOCHS)],
+        F.coalesce(position, late).alias("place"),
         F.array_compact(F.array(*[F.when(c, due(e)) for e, c in enumerate(copied)])).alias("places"))
 
 
-def training_order(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the mix takes, each as often as it takes them, range-sorted by position.
-
-    A row comes as often as epochs take at least half of it; its repeats
-    follow their own positions' order only by source stream, so they are
-    placed with the first. Columns stay as they were. The pipeline takes
-    ``scheduled_copies``, which places each repeat in its own epoch.
-    """
-    key, place, copies, number, again = fresh(docs, "_h", "_place", "_copies", "_number", "_again")
-    due = plan(docs).where("copies > 0")
-    by_key = due.groupBy(F.col("h").alias(key)).agg(F.sort_array(F.collect_list(F.struct("place", "copies"))).alias(copies))
-    rows = docs.withColumn("_of_" + key, stream_hash()).join(by_key, F.col("_of_" + key) == F.col(key))
-    rows = rows.withColumn(number, F.row_number().over(Window.partitionBy(key).orderBy(key)))
-    one = F.try_element_at(copies, F.col(number))
-    rows = rows.select(*docs.columns, one["place"].alias(place), one["copies"].alias(number)).where(F.col(number) > 0)
-    rows = rows.withColumn(again, F.explode(F.sequence(F.lit(1), F.col(number))))
-    return rows.orderBy(place, "doc_id").select(*docs.columns)
-
-
 def scheduled_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the mix takes, each as often as it takes them, range-sorted by position.
 
     A row comes as often as epochs take at least half of it, each time where
     its source's word stream has come round to it. Columns stay as they were.
+    Rows equal in doc_id, source and text are numbered, by running counts that
+    no single task holds, and the plan's entries are dealt to them by number;
+    null texts and texts without words are never taken; an empty table gives none.
     """
-    key, place, copies, number = fresh(docs, "_h", "_place", "_copies", "_number")
-    due = plan(docs).where("copies > 0")
-    by_key = due.groupBy(F.col("h").alias(key)).agg(F.sort_array(F.collect_list(F.struct("place", "places"))).alias(copies))
-    rows = docs.withColumn("_of_" + key, stream_hash()).join(by_key, F.col("_of_" + key) == F.col(key))
-    rows = rows.withColumn(number, F.row_number().over(Window.partitionBy(key).orderBy(key)))
-    one = F.try_element_at(copies, F.col(number))
-    rows = rows.select(*docs.columns, F.explode(one["places"]).alias(place))
-    return rows.orderBy(place, "doc_id").select(*docs.columns)
+    scratch = Scratch(docs.sparkSession, "copies")
+    key, of, source, place, places, number, again, order = fresh(
+        docs, "_h", "_of", "_source", "_place", "_places", "_number", "_again", "_order")
+    due = scratch.keep(plan(docs).select("source", "h", "repeats", "number", "copies", "places"), "due")
+    due = due.select(F.col("source").alias(source), F.col("h").alias(of), "repeats", F.col("number").alias(number),
+                     "copies", F.col("places").alias(places))
+    keyed = docs.withColumn(key, stream_hash())
+    same = lambda rows, other: (rows[key] == other[of]) & rows["source"].eqNullSafe(other[source])
+    once = due.where("repeats = 1 and copies > 0").select(of, source, places)
+    taken = keyed.join(once, same(keyed, once)).select(*docs.columns, F.explode(places).alias(place))
+    several = due.where(f"repeats > 1 and {number} = 0").select(of, source)
+    if not several.isEmpty():
+        repeated = keyed.join(several, same(keyed, several), "left_semi").withColumn(again, F.monotonically_increasing_id())
+        repeated = scratch.keep(repeated, "repeated")  # written, so that a row's number stays
+        name = F.concat(F.col(key).cast("string"), F.coalesce(F.concat(F.lit("|"), "source"), F.lit("")))
+        numbered = with_running(repeated.select(name.alias(order), F.xxhash64(again).alias(key), F.col(again).alias(of)),
+                                order, key, [of], {number: F.lit(1)}, repeated.count(), scratch)
+        numbered = numbered.select(F.col(of).alias(again), F.col(number))
+        repeated = repeated.join(numbered, again)
+        entries = due.where("repeats > 1 and copies > 0").select(of, source, number, places)
+        repeated = repeated.join(entries, same(repeated, entries) & (repeated[number] == entries[number]))
+        taken = taken.union(repeated.select(*docs.columns, F.explode(places).alias(place)))
+    return taken.orderBy(place, "doc_id").select(*docs.columns)

@@ -47,7 +47,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.plan(table(spark, sf_dir, "documents"))
-    return planned.orderBy("place", "doc_id").drop("h", "place", "places")
+    return planned.orderBy("place", "doc_id").drop("source", "h", "repeats", "number", "place", "places")
 
 
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,13 +122,19 @@ epochs as (
   select *, least(greatest(demand - start, 0), size) as e0,
     least(greatest(demand - (source_size + start), 0), size) as e1,
     least(greatest(demand - (source_size * 2 + start), 0), size) as e2,
-    case when target > 0 then start / target end as share
+    case when target > 0 then start / target end as share,
+    case when target > 0 then (source_size + start) / target end as share_2,
+    case when target > 0 then (source_size * 2 + start) / target end as share_3
   from streams)
 select doc_id, size, source_size, target, cast(e0 + e1 + e2 as bigint) as taken,
   cast((e0 > 0 and e0 * 2 >= size) as integer) + cast((e1 > 0 and e1 * 2 >= size) as integer)
     + cast((e2 > 0 and e2 * 2 >= size) as integer) as copies,
   case when e0 > 0 then 2.0 * share / ((1.0 - slope) + sqrt((1.0 - slope) * (1.0 - slope) + 4.0 * slope * share)) end
-    as position
+    as position,
+  case when e1 > 0 and e1 * 2 >= size
+    then 2.0 * share_2 / ((1.0 - slope) + sqrt((1.0 - slope) * (1.0 - slope) + 4.0 * slope * share_2)) end as position_2,
+  case when e2 > 0 and e2 * 2 >= size
+    then 2.0 * share_3 / ((1.0 - slope) + sqrt((1.0 - slope) * (1.0 - slope) + 4.0 * slope * share_3)) end as position_3
 from epochs
 """
 

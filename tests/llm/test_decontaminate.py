@@ -87,6 +87,35 @@ def test_short_items_need_whole_words(spark):
     assert [r["doc_id"] for r in dc.contaminated(docs, bench).collect()] == [2]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text("ab ", min_size=8, max_size=34), st.text("ab ", max_size=80))
+def test_short_items_have_the_same_budget_as_long_ones(item, text):
+    ready = dc.prepare([(1, item)])
+    got = {i.item_id: d for i, d, _, _ in dc.find_items(text, ready, dc.piece_automaton(ready))}
+    item, text = dc.normalised(item), dc.normalised(text)
+    if len(item) < 10:
+        assert got == ({1: 0} if item and f" {item} " in f" {text} " else {})
+    else:
+        distance = least_distance(item, text)
+        assert got == ({1: distance} if text and distance <= len(item) // 10 else {})
+
+
+@pytest.mark.parametrize("size", [9, 10, 31, 32])
+def test_one_wrong_letter_at_the_borders_of_the_budget(spark, size):
+    item = "which river runs by the old mill"[:size]
+    docs = spark.createDataFrame([(1, f"so {item[:4]}q{item[5:]} it said"), (2, f"so {item} it said")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert sorted(r["doc_id"] for r in dc.contaminated(docs, bench).collect()) == ([2] if size < 10 else [1, 2])
+    assert [r["doc_id"] for r in dc.contaminated(docs, bench, error_rate=0).collect()] == [2]
+    assert [r["doc_id"] for r in dc.clean(docs, bench, error_rate=0).collect()] == [1]
+
+
+def test_repeated_items_and_item_ids(spark):
+    docs = spark.createDataFrame([(1, "a cat sat")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "cat"), (1, "cat"), (1, "sat"), (2, "cat")], "item_id long, text string")
+    assert sorted(r["item_id"] for r in dc.contaminated(docs, bench).collect()) == [1, 1, 1, 2]
+
+
 def test_blocks_of_items_give_the_same(spark, sf_dir, monkeypatch):
     docs, bench = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
     want = sorted(map(tuple, dc.contaminated(docs, bench).collect()))

@@ -45,13 +45,34 @@ def test_schedule_and_its_inverse(spark):
         assert all(abs(r["t"] + slope * (r["t"] ** 2 - r["t"]) - r["u"]) < 1e-9 for r in got)
 
 
-def test_training_order_repeats_and_sorts(spark, sf_dir):
+def test_scheduled_copies_repeat_and_sort(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     planned = {r["doc_id"]: r for r in mixing.plan(docs).collect()}
-    rows = [r["doc_id"] for r in mixing.training_order(docs).collect()]
+    rows = [r["doc_id"] for r in mixing.scheduled_copies(docs).collect()]
     assert Counter(rows) == {i: r["copies"] for i, r in planned.items() if r["copies"]}
-    places = [planned[i]["place"] for i in rows]
-    assert places == sorted(places)
+    assert rows == [i for _, i in sorted((t, i) for i, r in planned.items() for t in r["places"])]
+
+
+def test_a_row_repeated_for_a_third_of_the_table(spark):
+    """Equal rows with unlike further columns: each entry of the plan is dealt to one row, in its own source."""
+    rows = [(i, f"text {i} " * 5, "b" if i % 2 else None, i) for i in range(400)]
+    rows += [(7, "the same words", "a", 1000 + i) for i in range(200)] + [(7, "the same words", None, 2000 + i) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _h int").repartition(5)
+    planned = mixing.plan(docs).collect()
+    assert len(planned) == len(rows)
+    got = mixing.scheduled_copies(docs)
+    assert got.columns == docs.columns
+    want = Counter()
+    for r in planned:
+        want[r["doc_id"], r["source"], r["size"]] += r["copies"]
+    got = got.collect()
+    assert Counter((r["doc_id"], r["source"], len(r["text"].split())) for r in got) == +want
+    hot = [r for r in planned if (r["doc_id"], r["source"], r["size"]) == (7, "a", 3)]
+    assert sorted(r["number"] for r in hot) == list(range(200)) and {r["repeats"] for r in hot} == {200}
+    assert len({r["position"] for r in hot if r["copies"]}) == sum(1 for r in hot if r["copies"])
+    # copies of a row are as many as an entry gives: no row gets two entries
+    assert (Counter(Counter(r["_h"] for r in got if 1000 <= r["_h"] < 2000).values())
+            == Counter(r["copies"] for r in hot if r["copies"]))
 
 
 def test_mixing_edge_rows(edge_docs):
@@ -60,8 +81,13 @@ def test_mixing_edge_rows(edge_docs):
     assert all(r["taken"] == 0 for r in rows if r["size"] == 0)
     assert all(r["taken"] <= 3 * r["size"] for r in rows)
     assert mixing.plan(edge_docs.limit(0)).count() == 0
-    assert mixing.training_order(edge_docs).columns == edge_docs.columns
-    assert mixing.training_order(edge_docs.limit(0)).count() == 0
+    got = mixing.scheduled_copies(edge_docs)
+    assert got.columns == edge_docs.columns
+    copies = Counter()
+    for r in rows:
+        copies[r["doc_id"], r["source"], r["size"]] += r["copies"]
+    assert Counter((r["doc_id"], r["source"], len(r["text"].split())) for r in got.collect()) == +copies
+    assert mixing.scheduled_copies(edge_docs.limit(0)).count() == 0
 
 
 def test_word_count(spark, texts):

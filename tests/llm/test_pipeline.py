@@ -6,7 +6,7 @@ import duckdb
 
 import corpus_pipeline
 from salesmart.llm import decontaminate as dc, mixing, sharding
-from tests_support import plain_fingerprint, union
+from test_near_copies import plain_kept
 
 
 def test_stage_by_stage(spark, sf_dir, texts):
@@ -14,10 +14,9 @@ def test_stage_by_stage(spark, sf_dir, texts):
     kept = [stage(spark, docs, sf_dir) for _, stage in corpus_pipeline.STAGES[:1]][0].cache()
     assert {r["doc_id"] for r in kept.collect()} == {i for i, t in texts if t and any(c.isalpha() for c in t)}
 
-    deduped = corpus_pipeline.drop_near_copies(spark, kept, sf_dir).cache()
-    prints = {r["doc_id"]: plain_fingerprint(r["text"]) for r in kept.collect()}
-    root = union(prints, [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 2])
-    assert sorted(r["doc_id"] for r in deduped.collect()) == sorted(set(root.values()))
+    deduped = dict(corpus_pipeline.STAGES)["simhash_near_dedup"](spark, kept, sf_dir).cache()
+    want, _ = plain_kept([(r["doc_id"], r["text"]) for r in kept.collect()])
+    assert sorted(r["doc_id"] for r in deduped.collect()) == want
 
     clean = corpus_pipeline.drop_benchmark_leaks(spark, deduped, sf_dir).cache()
     items = [dc.normalised(t) for (t,) in duckdb.sql(f"select text from '{sf_dir}/benchmark.parquet'").fetchall()]
