@@ -3,7 +3,7 @@
 Four base kinds follow fixed patterns and stay whatever their score. Two more
 kinds need more than a pattern: ``iban`` must have its country's length and
 pass mod-97, ``national_id`` has no checksum, must be in an issued range and
-must have a context word nearby.
+must have a context word nearby, and no word of doubt.
 """
 
 from __future__ import annotations
@@ -44,8 +44,17 @@ CONTEXT_WORDS = {
     "iban": ("iban", "account", "bank", "konto", "cuenta", "compte"),
     "national_id": ("ssn", "social", "security", "id", "identity", "passport"),
 }
+# Words that make a kind less likely when near: numbers and names of another sort.
+DOUBT_WORDS = {
+    "email": ("example", "sample", "dummy"),
+    "ip": ("version", "release", "build", "section", "chapter", "firmware"),
+    "card": ("tracking", "serial", "isbn", "barcode", "parcel"),
+    "phone": ("tracking", "serial", "invoice", "version", "score"),
+    "iban": ("example", "sample", "dummy"),
+    "national_id": ("tracking", "serial", "invoice", "order", "part", "model"),
+}
 PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.8, "national_id": 0.4}
-CONTEXT_GAIN, CONTEXT_CHARS, KEEP_AT = 0.15, 40, 0.5
+CONTEXT_GAIN, DOUBT_LOSS, CONTEXT_CHARS, KEEP_AT = 0.15, 0.2, 40, 0.5
 WORD = re.compile(r"[^\W\d_]+")
 
 SCHEMA = ("doc_id long, kinds array<string>, starts array<int>, ends array<int>, scores array<double>, "
@@ -130,10 +139,11 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def scored(text: str, kind: str, start: int, end: int) -> float:
-    """The prior of the kind, raised when a context word stands within ``CONTEXT_CHARS``."""
+    """The prior of the kind, raised for a context word and lowered for a word of doubt within ``CONTEXT_CHARS``; 0 to 1."""
     near = text[max(0, start - CONTEXT_CHARS):start] + " " + text[end:end + CONTEXT_CHARS]
     words = {w.lower() for w in WORD.findall(near)}
-    return round(min(1.0, PRIOR[kind] + (CONTEXT_GAIN if words.intersection(CONTEXT_WORDS[kind]) else 0.0)), 4)
+    score = PRIOR[kind] + CONTEXT_GAIN * (not words.isdisjoint(CONTEXT_WORDS[kind]))
+    return round(max(0.0, min(1.0, score - DOUBT_LOSS * (not words.isdisjoint(DOUBT_WORDS[kind])))), 4)
 
 
 def find_spans(text: str | None) -> list[tuple[str, int, int, float, bool]]:

@@ -4,6 +4,11 @@ Equal texts form a group. Groups above a share of all bytes are scheduled one
 by one; there are at most ``SHARE`` of them for each shard. The smaller ones
 are bundled by hash into a fixed number of bundles, which are scheduled like
 groups. The heap so sees a bounded list, whatever the number of documents.
+
+The fullest shard tops the mean by less than the largest item of that list: a
+large group's bytes, or a bundle's. Bundles hold a hundredth of a shard on
+average, so without large groups shards differ by about a hundredth of their
+bytes at most, however many small groups there are.
 """
 
 from __future__ import annotations

@@ -153,6 +153,18 @@ def test_bundles_and_a_hot_group(spark, monkeypatch):
     assert max(rest) - min(rest) < 0.02 * sum(rest)
 
 
+def test_spread_of_more_groups_than_are_scheduled_one_by_one(spark):
+    """30,000 texts and 20,000 places in the list: most are bundled, shards differ by less than an average bundle or so."""
+    docs = spark.range(30_000).selectExpr("id as doc_id", "repeat(concat(id, ' '), 1 + cast(pow(id % 100, 2) / 100 as int)) as text")
+    rows = sharding.assign(docs, sharding.SHARDS).collect()
+    loads = Counter()
+    for r in rows:
+        loads[r["shard"]] += r["size"]
+    mean = sum(loads.values()) / sharding.SHARDS
+    assert sum(r["size"] * sharding.SHARE * sharding.SHARDS > sum(loads.values()) for r in rows) < 20_000 < len(rows)
+    assert len(loads) == sharding.SHARDS and max(loads.values()) - min(loads.values()) < 0.015 * mean
+
+
 def test_sharding_edge_rows(edge_docs):
     rows = sharding.assign(edge_docs, 3).collect()
     assert len(rows) == edge_docs.count() and all(r["shard"] is not None for r in rows)

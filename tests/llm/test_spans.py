@@ -74,6 +74,20 @@ def test_context_moves_the_score():
     assert near > plain
 
 
+@pytest.mark.parametrize("kind,span,doubt", [
+    ("ip", "10.0.0.1", "firmware version"), ("card", "4111 1111 1111 1111", "tracking"), ("phone", "+1 555 010 9999", "invoice"),
+    ("email", "a@b.co", "sample"), ("iban", "DE89 3704 0044 0532 0130 00", "dummy")])
+def test_words_of_doubt_lower_the_score_and_drop_nothing(kind, span, doubt):
+    score = lambda text: [s[3] for s in pii.find_spans(text) if s[0] == kind]
+    assert score(f"{doubt} {span} here") < score(f"see {span} here") < score(f"{pii.CONTEXT_WORDS[kind][0]} {span} here")
+    assert score(f"see {span} here. {'far ' * 20}{doubt}") == score(f"see {span} here")
+
+
+def test_a_number_of_an_order_is_no_national_id():
+    assert [s[0] for s in pii.find_spans("identity 123-45-6789 of the holder")] == ["national_id"]
+    assert not pii.find_spans("order id 123-45-6789 of the parts")
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(1, "mail a@b.co or 10.0.0.1"), (2, None)], "doc_id long, text string")
     assert {r[0]: r[1] for r in pii.redact_pii(docs).collect()} == {1: "mail [email] or [ip]", 2: None}
