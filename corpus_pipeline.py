@@ -26,7 +26,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, the one with the least doc_id, of what five-word Jaccard similarities of 0.8 or more connect."""
+    """Keeps one document, the one with the least doc_id, of what five-word Jaccard similarities of 0.8 or more connect.
+
+    SimHash classes of the vantage-point trees are compared first, min-hash bands after them; both verify exactly.
+    """
     return near_copies.keep_one(docs)
 
 

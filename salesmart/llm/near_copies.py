@@ -1,12 +1,17 @@
-"""Near copies by five-word shingles: candidates from min-hash bands, every link verified by exact Jaccard similarity.
-
-Texts with the same set of shingles are one set. A set's 384 min-hashes form
+"""Near copies by five-word shingles: candidates from SimHash classes, then min-hash bands; every link verified by exact Jaccard similarity.
+
+Texts with the same set of shingles are one set. A set has a SimHash
+fingerprint; vantage-point trees find what fingerprints within
+``simhash.MAX_BITS`` bits connect (``simhash.link_fingerprints``), and the sets
+of such a class are the first candidates. Two bits are too few for many texts
+of similarity 0.8, so the classes' components are then looked at through bands,
+which miss next to none. A set's 384 min-hashes form
 ``BANDS`` bands of ``BAND_ROWS``; sets that share a band are candidates. Two
 sets of similarity s share none with probability (1 - s ** 6) ** 64: less than
 4e-9 at 0.8; of sets that have a tenth in common, such as texts with one
 common line, 0.006 % share one.
 
-No pair leaves a group. The members of a band meet, with their shingles, in
+No pair leaves a group. The members of a class or band meet, with their shingles, in
 blocks of bounded size; a block compares those of different components and
 gives back which components its links join, fewer than it has members. After
 every pass components are contracted, and only bands that still hold several
@@ -24,14 +29,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from salesmart.llm.common import Scratch, fresh, scan
 from salesmart.llm.components import connected, merge_labels
-from salesmart.llm.simhash import signed
+from salesmart.llm.simhash import link_fingerprints, majority, signed
 
 SHINGLE = 5
 # Least similarity of a link as a fraction, in whole numbers so that the border is exact.
 LEAST_OF, LEAST_IN = 4, 5
 BANDS, BAND_ROWS = 64, 6
-# Bands up to which each round looks: near copies fall together in the first few, and are then one component in the others.
-ROUNDS = (4, 20, BANDS)
+# The turn of SimHash classes; bands follow from the next on.
+CLASS_TURN = 0
+# Turns up to which each round looks: SimHash classes, then bands; near copies fall together in the first few, and are then one
+# component in the others.
+ROUNDS = (1, 5, 21, 1 + BANDS)
 # Members that meet in a block, and their shingles together; a block may hold one longer text more.
 BLOCK, BLOCK_SHINGLES = 512, 2_000_000
 _RANDOM = np.random.default_rng(5)
@@ -87,14 +95,14 @@ def _join_components(block: pa.Table) -> pa.Table:
 
 
 class Components:
-    """The component of every set so far, contracted after each pass over bands."""
+    """The component of every set so far, contracted after each pass over classes or bands."""
 
     def __init__(self, arrays: DataFrame, members: DataFrame, scratch: Scratch):
         self.arrays, self.members, self.scratch = arrays, members, scratch
         self.named = scratch.keep(members.select("id").distinct().withColumn("comp", F.col("id")), "components")
 
     def open_members(self, low: int, high: int) -> DataFrame:
-        """turn, band, id, n and comp of the members of bands ``low`` to ``high`` that hold more than one component."""
+        """turn, band, id, n and comp of the members of turns ``low`` to ``high`` whose bands hold more than one component."""
         now = self.members.where(f"turn >= {low} and turn < {high}").join(self.named, "id")
         still = now.groupBy("turn", "band").agg(F.min("comp").alias("one"), F.max("comp").alias("two")).where("one <> two")
         return self.scratch.keep(now.join(still.select("turn", "band"), ["turn", "band"]), "open")
@@ -125,7 +133,7 @@ def _upto(many: str) -> Column:
 
 
 def components(arrays: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
-    """(id, comp) of the sets that share bands, from ``members(turn, band, id, n)`` and their shingles ``arrays(id, shingles)``."""
+    """(id, comp) of the sets that share classes or bands, from ``members(turn, band, id, n)`` and their shingles ``arrays(id, shingles)``."""
     work, band = Components(arrays, members, scratch), ["turn", "band"]
     for low, high in zip((0, *ROUNDS[:-1]), ROUNDS, strict=True):
         still = work.open_members(low, high)
@@ -158,6 +166,14 @@ def components(arrays: DataFrame, members: DataFrame, scratch: Scratch) -> DataF
     return work.named
 
 
+def simhash_classes(sets: DataFrame, scratch: Scratch) -> DataFrame:
+    """turn, band, id and n of the sets with shingles: the band is the least fingerprint that theirs reaches by links."""
+    some = sets.where("n > 0")
+    distinct = scratch.keep(some.select("fp").distinct(), "fingerprints")
+    found = connected(link_fingerprints(distinct, scratch), scratch).withColumnRenamed("node", "fp")
+    return some.join(found, "fp", "left").select(F.lit(CLASS_TURN).alias("turn"), F.coalesce("component", "fp").alias("band"), "id", "n")
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay when each class of near copies keeps one: the least doc_id, nulls last.
 
@@ -171,19 +187,23 @@ def keep_one(docs: DataFrame) -> DataFrame:
         found = [shingles(t) for t in columns["text"]]
         return {"doc_id": columns["doc_id"], "text_hash": columns["text_hash"], "n": [len(f) for f in found],
                 "key_a": [signed(xxhash.xxh64_intdigest(f.tobytes())) for f in found],
-                "key_b": [signed(xxhash.xxh64_intdigest(f.tobytes(), 1)) for f in found], "bands": [bands(f) for f in found]}
+                "key_b": [signed(xxhash.xxh64_intdigest(f.tobytes(), 1)) for f in found], "bands": [bands(f) for f in found],
+                "fp": [signed(majority(f)) for f in found]}
 
     def array(columns: dict[str, list]) -> dict[str, list]:
         return {"id": columns["id"], "shingles": [shingles(t).astype("<u8").tobytes() for t in columns["text"]]}
 
     key = ["key_a", "key_b"]  # 128 bits name a set
     narrow = docs.select("doc_id", F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("text_hash"))
-    read = scratch.keep(scan(narrow, work, "doc_id long, text_hash long, n long, key_a long, key_b long, bands array<long>"), "signatures")
+    read = scratch.keep(scan(narrow, work, "doc_id long, text_hash long, n long, key_a long, key_b long, bands array<long>, fp long"), "signatures")
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
-    sets = read.groupBy(*key).agg(F.min(row).alias("first"), F.min("n").alias("n"), F.any_value("bands").alias("bands"))
+    sets = read.groupBy(*key).agg(F.min(row).alias("first"), F.min("n").alias("n"), F.any_value("bands").alias("bands"),
+                                  F.any_value("fp").alias("fp"))
     sets = scratch.keep(sets.withColumn("id", F.monotonically_increasing_id()), "sets")
     scratch.drop(read)
-    each = sets.select("id", "n", F.posexplode("bands").alias("turn", "band"))
+    each = sets.select("id", "n", F.posexplode("bands").alias("turn", "band")).select(
+        (F.col("turn") + CLASS_TURN + 1).alias("turn"), "band", "id", "n")
+    each = each.unionByName(simhash_classes(sets, scratch))
     shared = each.groupBy("turn", "band").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("turn", "band")
     members = scratch.keep(each.join(shared, ["turn", "band"]).select("turn", "band", "id", "n"), "members")
     first = sets.select("id", F.col("first.doc_id").alias("of"), F.col("first.text_hash").alias("of_hash"))

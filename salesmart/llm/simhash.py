@@ -35,8 +35,12 @@ def fingerprint(text: bytes | None) -> int:
         return xxhash.xxh64_intdigest(joined, SEED)
     digest = xxhash.xxh64_intdigest
     starts, ends = (ends - sizes)[:1 - SHINGLE].tolist(), ends[SHINGLE - 1:].tolist()
-    hashes = np.array([digest(joined[s:e], SEED) for s, e in zip(starts, ends, strict=True)], dtype="<u8")
-    counts = np.zeros(64, np.int64)
+    return majority(np.array([digest(joined[s:e], SEED) for s, e in zip(starts, ends, strict=True)], dtype="<u8"))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The word whose bits are those set in over half of 64-bit ``hashes``; none give zero."""
+    hashes, counts = hashes.astype("<u8", copy=False), np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 14):
         part = hashes[at:at + (1 << 14)].view(np.uint8).reshape(-1, 8)
         counts += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)

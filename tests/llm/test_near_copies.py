@@ -57,3 +57,23 @@ def test_chains_large_groups_and_a_common_line(spark, monkeypatch, block):
     want, _ = plain_kept(rows)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(x["doc_id"] for x in STAGE(spark, docs, "").collect()) == want
+
+
+def test_stage_compares_simhash_classes_first(spark, monkeypatch):
+    """Without any band the stage still joins what SimHash classes propose, and only what Jaccard similarity confirms."""
+    r = random.Random(5)
+    texts = []
+    for _ in range(60):  # a word more at the end of a long text: few bits, high similarity
+        base = [f"w{r.randrange(10**6)}" for _ in range(400)]
+        texts += [base, [*base, f"x{r.randrange(10**6)}"]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(len(texts), None), (len(texts) + 1, "")]
+    want, _ = plain_kept(rows)
+    monkeypatch.setattr(near_copies, "bands", lambda found: [])
+    kept = {x["doc_id"] for x in STAGE(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()}
+    joined = set(range(len(rows))) - kept
+    assert joined <= set(range(len(rows))) - set(want) and len(joined) > 30
+
+    # equal fingerprints are no proof: sets whose similarity is low stay apart
+    monkeypatch.setattr(near_copies, "majority", lambda found: 0)
+    kept = {x["doc_id"] for x in STAGE(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()}
+    assert kept == set(want)
