@@ -851,11 +851,28 @@ _LOADED: dict[tuple[str, str], str] = {}
 
 
 def _copy_of(house):
-    """A copy of a warehouse that a query may change."""
-    jvm, conf, target = house.spark._jvm, house.spark._jsc.hadoopConfiguration(), scratch_path(house.spark, "copy")
-    source, to = (jvm.org.apache.hadoop.fs.Path(p) for p in (house.store.root, target))
-    files = source.getFileSystem(conf)
-    jvm.org.apache.hadoop.fs.FileUtil.copy(files, source, files, to, False, conf)
+    """A copy of a warehouse that a query may change. Tasks copy the files; only their names pass the driver."""
+    target = scratch_path(house.spark, "copy")
+    files, source = house.store._path(house.store.root)
+    source, to = (str(files.makeQualified(p).toString()) for p in (source, house.store._path(target)[1]))
+    names, found = [], files.listFiles(house.store._path(source)[1], True)
+    while found.hasNext():
+        names.append((found.next().getPath().toString()[len(source) + 1:],))
+
+    def copy(batches):
+        from pyarrow import fs
+        (old, here), (new, there) = fs.FileSystem.from_uri(source), fs.FileSystem.from_uri(to)
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                new.create_dir(f"{there}/{name}".rsplit("/", 1)[0], recursive=True)
+                with (old.open_input_stream(f"{here}/{name}", compression=None) as data,
+                      new.open_output_stream(f"{there}/{name}", compression=None) as out):
+                    while part := data.read(1 << 23):
+                        out.write(part)
+            yield batch
+
+    listed = house.spark.createDataFrame(names, "name string").repartition(min(len(names), 64))
+    listed.mapInArrow(copy, "name string").write.format("noop").mode("overwrite").save()
     return Warehouse(house.spark, target)
 
 
