@@ -13,7 +13,7 @@ from salesmart.operators.calendar import build_calendar
 from salesmart.operators.ranking import assign_keys
 from salesmart.schemas import (ACCESS_LOG, BUSINESS_COLUMNS, CHANNEL, CITY, CLEAN, CUSTOMER, FACT, KEY_MARK,
                                PREVIOUS, PRODUCT, QUALITY_LOG, RAW, REJECTED, RUN_LOG, SELLER)
-from salesmart.session import is_small, materialise, scratch_path
+from salesmart.session import broadcast_if_small, is_small, materialise, scratch_path
 from salesmart.sources.csv_files import read_csv, stamp_lineage
 from salesmart.sources.seeds import seed_dimensions
 from salesmart.sources.star import Star
@@ -378,8 +378,9 @@ class Warehouse:
         ids = requests.select(F.col("id_cliente").cast("bigint").alias("_id")).distinct()
 
         def concerned(df):
-            hits = df.join(ids, privacy.customer_id(df) == F.col("_id"), "left_semi")
-            return df.join(hits.select("id_batch").distinct(), "id_batch", "left_semi")
+            # names of batches, a few: a join on them would send each batch whole to one task
+            hits = df.join(broadcast_if_small(ids, requests), privacy.customer_id(df) == F.col("_id"), "left_semi")
+            return df.where(F.col("id_batch").isin([r.id_batch for r in hits.select("id_batch").distinct().collect()]))
 
         self._audit_each(ids.withColumn("n", F.lit(0).cast("bigint")), user, "DERECHO_AL_OLVIDO", now)
         versions = self.customers().join(ids, F.col("id_cliente") == F.col("_id"))

@@ -4,6 +4,7 @@ from datetime import datetime
 from pathlib import Path
 
 from checks.queries import _copy_of
+from salesmart.operators import privacy
 from salesmart.plans.batch_load import Warehouse
 from test_rollback import sales
 
@@ -33,3 +34,19 @@ def test_copy_of_a_warehouse_is_made_by_tasks(spark, tmp_path):
         return {str(p.relative_to(root)): p.read_bytes() for p in root.rglob("*") if p.is_file() and not p.name.endswith(".crc")}
     assert files(copy.store.root) == files(house.store.root)
     assert sorted(copy.fact().collect()) == sorted(house.fact().collect())
+
+
+def test_erasure_deals_no_batch_to_one_task(spark, tmp_path, monkeypatch):
+    house, seen, erase = loaded(spark, tmp_path), [], privacy.erase
+
+    def spied(df, *rest):
+        seen.append((df.columns, plan(df), {r[0] for r in df.select("id_batch").distinct().collect()} if "id_batch" in df.columns else None))
+        return erase(df, *rest)
+
+    monkeypatch.setattr(privacy, "erase", spied)
+    assert house.erase_customers(spark.createDataFrame([(7,)], "id_cliente bigint"), "dpo", datetime(2026, 3, 5)) == 1
+    batches = [(p, b) for columns, p, b in seen if "row_seq" in columns or "monto_total" in columns]
+    assert len(batches) == 2
+    for text, found in batches:  # only the batch with the customer, and no join that sends it by its name
+        assert found == {"b1"} and "Join" not in text and "Exchange" not in text
+    assert house.raw().where("email_cliente = 'siete@uno.co'").isEmpty()
