@@ -164,6 +164,6 @@ def assign_keys(new: DataFrame, order_by: list[str], out: str,
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     # one row per range: as many as there are shuffle partitions
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
-    return (placed.join(offsets, "_part")
+    return (placed.join(F.broadcast(offsets), "_part")
             .withColumn(out, start + F.col("_offset") + F.col("_row") + 1)
             .drop("_part", "_row", "_place", "_offset"))

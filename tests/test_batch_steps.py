@@ -3,8 +3,11 @@
 from datetime import datetime
 from pathlib import Path
 
+from pyspark.sql import functions as F
+
 from checks.queries import _copy_of
 from salesmart.operators import privacy
+from salesmart.operators.ranking import assign_keys
 from salesmart.plans.batch_load import Warehouse
 from test_rollback import sales
 
@@ -50,3 +53,11 @@ def test_erasure_deals_no_batch_to_one_task(spark, tmp_path, monkeypatch):
     for text, found in batches:  # only the batch with the customer, and no join that sends it by its name
         assert found == {"b1"} and "Join" not in text and "Exchange" not in text
     assert house.raw().where("email_cliente = 'siete@uno.co'").isEmpty()
+
+
+def test_numbered_rows_are_not_shuffled_for_their_offsets(spark):
+    rows = spark.range(0, 5000, 1, 8).withColumn("v", F.xxhash64("id"))
+    numbered = assign_keys(rows, ["v"], "k")
+    assert "SortMergeJoin" not in plan(numbered)
+    want = {v: i for i, v in enumerate(sorted(r.v for r in rows.collect()), 1)}
+    assert {r.v: r.k for r in numbered.collect()} == want
