@@ -143,7 +143,8 @@ class Warehouse:
             step = "validate"
             loaded = None
             if mode == "incremental":  # looked up once, for the rule and for the cleaning
-                ids = raw.select(to_integer(F.col("id_venta")).alias("id_venta"))
+                # parsed once: the search reads its keys several times
+                ids = materialise(raw.select(to_integer(F.col("id_venta")).alias("id_venta")))
                 loaded = materialise(self.stored_keys(ids, batch_id))
             score = self._validate(raw, loaded, batch_id, now)
             quality.check_gate(score, threshold)
