@@ -500,7 +500,7 @@ def fact_insert_new(spark, sf_dir):
 def fact_insert_indexed(spark, sf_dir):
     """The same as ``fact_insert_new``, with the stored keys looked up in their index."""
     keyed = materialise(facts.resolved(_keyed(spark, sf_dir)))
-    index = materialise(key_index.key_bitmaps(_loaded_ids(_raw(spark, sf_dir))))
+    index = materialise(key_index.key_bitmaps(_loaded_ids(_raw(spark, sf_dir)), scattered=True))
     new, known = facts.insert_new(materialise(key_index.known_keys(index, keyed)), keyed)
     rows = facts.fact_rows(new, "b9", F.lit("2024-01-01").cast("timestamp")).select(
         "id_venta", "fecha_key", "monto_total", "descuento", "impuestos", "monto_neto", "id_batch")

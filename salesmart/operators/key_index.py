@@ -27,10 +27,16 @@ def _place(key: str) -> Column:
     return F.bitmap_bit_position(key).cast("int")
 
 
-def key_bitmaps(rows: DataFrame, key: str = "id_venta") -> DataFrame:
-    """Index rows of the keys in ``rows``; null keys and copies leave no trace. A bucket has 32,768 places at most."""
-    rows = rows.select(F.col(key).cast("bigint").alias("_key")).where("_key is not null")
-    found = rows.groupBy(_bucket("_key")).agg(F.bitmap_construct_agg(_place("_key")).alias("bits"),
+def key_bitmaps(rows: DataFrame, key: str = "id_venta", scattered: bool = False) -> DataFrame:
+    """Index rows of the keys in ``rows``; null keys and copies leave no trace. A bucket has 32,768 places at most.
+
+    Sorted keys are put into bitmaps where they lie. ``scattered`` keys go to
+    the task of their bucket first: each task would else send a bitmap of every bucket.
+    """
+    rows = rows.select(F.col(key).cast("bigint").alias("_key")).where("_key is not null").select("_key", _bucket("_key"))
+    if scattered:
+        rows = rows.repartition("bucket")
+    found = rows.groupBy("bucket").agg(F.bitmap_construct_agg(_place("_key")).alias("bits"),
                                               F.collect_set(_place("_key")).alias("places"))
     few = F.size("places") <= MOST_PLACES
     return found.select("bucket", F.when(~few, F.col("bits")).alias("bits"), F.when(few, F.array_sort("places")).alias("places"))

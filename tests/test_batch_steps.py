@@ -6,7 +6,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from checks.queries import _copy_of
-from salesmart.operators import privacy
+from salesmart.operators import key_index, privacy
 from salesmart.operators.ranking import assign_keys
 from salesmart.plans.batch_load import Warehouse
 from test_rollback import sales
@@ -61,3 +61,12 @@ def test_numbered_rows_are_not_shuffled_for_their_offsets(spark):
     assert "SortMergeJoin" not in plan(numbered)
     want = {v: i for i, v in enumerate(sorted(r.v for r in rows.collect()), 1)}
     assert {r.v: r.k for r in numbered.collect()} == want
+
+
+def test_scattered_keys_meet_at_their_bucket_first(spark):
+    keys = spark.range(0, 200_000, 3, 16).select(F.col("id").alias("id_venta"))
+    keys = keys.union(keys.limit(50)).union(spark.createDataFrame([(None,)], "id_venta bigint")).repartition(16)
+    index = key_index.key_bitmaps(keys, scattered=True)
+    assert sorted(index.collect()) == sorted(key_index.key_bitmaps(keys).collect())
+    dealt = plan(index).split("== Initial Plan ==")[-1].split("Exchange hashpartitioning(bucket", 1)
+    assert "bitmap_construct_agg" in dealt[0] and "bitmap_construct_agg" not in dealt[1]
