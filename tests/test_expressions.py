@@ -38,6 +38,17 @@ def test_channels_and_sellers(spark):
     assert values(spark, ["NA", "null", "", "x"], N.missing_to_null) == [None, None, None, "x"]
 
 
+def test_usual_spellings_need_no_pattern(spark, monkeypatch):
+    """Patterns are for the rest: whole numbers and known channels are told by their bytes, with the patterns' results."""
+    odd = ["5\x7f", "\x7f5", "5\t", "2.", "+4", "0E-10", "1e-10", "--3", "\u0663", "9223372036854775808", "1L", "-0"]
+    assert values(spark, odd, N.to_integer) == [None, None, 5, 2, 4, 0, None, None, 3, None, None, 0]
+    assert values(spark, ["mar\u212aetplace", "online\n"], N.normalize_channel) == ["mar\u212aetplace", "Online\n"]
+    monkeypatch.setattr(N.F, "regexp_extract", lambda *_: F.lit(None))
+    monkeypatch.setattr(N.F, "regexp_replace", lambda *_: F.lit("pattern"))
+    assert values(spark, ["2", " -30 ", "9223372036854775807"], N.to_integer) == [2, -30, 9223372036854775807]
+    assert values(spark, ["ONLINE", " tienda ", "Marketplace", " "], N.normalize_channel) == ["Online", "Tienda", "Marketplace", None]
+
+
 def test_email_and_phone(spark):
     texts = ["a.b-c@d.co", "josé@x.co", "a@b", "@x.com", "", None, "a@b.c"]
     assert values(spark, texts, N.is_valid_email) == [True, True, False, False, False, False, False]
