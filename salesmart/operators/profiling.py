@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from salesmart.functions.normalize import to_decimal
 from salesmart.operators import quality
@@ -13,14 +13,23 @@ NUMERIC_COLUMNS = ("id_venta", "id_cliente", "id_producto", "cantidad", "precio_
 WIDE = "decimal(18,2)"
 
 
+def _whole_row(columns) -> Column:
+    """128 bits of the SHA-256 of a row; lengths and marks of nulls keep neighbouring values apart."""
+    said = [F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-"))
+            for c in (F.col(name).cast("string") for name in columns)]
+    return F.substring(F.unhex(F.sha2(F.concat(*said), 256)), 1, 16)
+
+
 def table_stats(raw: DataFrame, key: str = "id_venta", columns=BUSINESS_COLUMNS) -> DataFrame:
-    """Rows, columns, copies of a key beyond the first, whole-row copies beyond the first."""
+    """Rows, columns, copies of a key beyond the first, whole-row copies beyond the first.
+
+    Whole rows meet as digests: what is shuffled of a row doesn't grow with its texts.
+    """
     data = raw.select(*columns)
+    beyond = F.coalesce(F.sum(F.col("n") - 1), F.lit(0))
     by_key = data.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_registros"),
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicados_id_venta"))
-    whole = data.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).agg(
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)))
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_registros"), beyond.alias("duplicados_id_venta"))
+    whole = data.groupBy(_whole_row(columns).alias("_row")).agg(F.count(F.lit(1)).alias("n")).agg(beyond)
     return by_key.select("total_registros", F.lit(len(columns)).alias("total_columnas"),
                          "duplicados_id_venta",
                          whole.scalar().alias("filas_completamente_duplicadas"))
