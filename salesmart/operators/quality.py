@@ -13,6 +13,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from salesmart.functions import normalize as N
+from salesmart.session import is_small
 
 # Fields that must have a value, and numeric minimums.
 REQUIRED = ("id_venta", "fecha", "id_cliente", "id_producto", "cantidad", "precio_unitario",
@@ -24,6 +25,9 @@ FIRST_DATE, LAST_DATE = date(2020, 1, 1), date(2030, 12, 31)
 # Gate levels.
 STOP_BELOW, EXCELLENT_FROM = 0.75, 0.95
 
+# Incoming keys below this estimate are joined with the stored ones, more are grouped with them.
+FEW_KEYS_BYTES = 4 * 1024 * 1024
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -135,11 +139,18 @@ def repeated_rows(raw: DataFrame, key: str = "id_venta") -> DataFrame:
 def loaded_keys(raw: DataFrame, existing: DataFrame, key: str = "id_venta") -> DataFrame:
     """Distinct keys of ``raw`` that already exist.
 
-    The existing table is the side that gets filtered: Spark broadcasts or
-    Bloom-filters the incoming keys, so the stored table is not shuffled whole.
+    For a small ``raw`` the existing table is the side that gets filtered:
+    Spark broadcasts or Bloom-filters the incoming keys, so the stored table
+    is not shuffled whole. Otherwise both sides are grouped by key: a task
+    holds one row per key, where a join would also sort both sides.
     """
-    incoming = raw.select(N.to_integer(F.col(key)).alias(key)).where(F.col(key).isNotNull()).distinct()
-    return existing.select(F.col(key).cast("bigint").alias(key)).join(incoming, key, "left_semi").distinct()
+    incoming = raw.select(N.to_integer(F.col(key)).alias(key)).where(F.col(key).isNotNull())
+    stored = existing.select(F.col(key).cast("bigint").alias(key))
+    if is_small(incoming, FEW_KEYS_BYTES):
+        return stored.join(incoming.distinct(), key, "left_semi").distinct()
+    new = F.col("_new")
+    both = stored.where(F.col(key).isNotNull()).withColumn("_new", F.lit(0)).unionByName(incoming.withColumn("_new", F.lit(1)))
+    return both.groupBy(key).agg(F.min(new).alias("_from"), F.max(new).alias("_to")).where("_from < _to").select(key)
 
 
 def with_percent(log: DataFrame) -> DataFrame:

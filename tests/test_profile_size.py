@@ -1,6 +1,6 @@
 """Profiles and key checks whose shuffles and tasks must stay small beside their input."""
 
-from salesmart.operators import profiling
+from salesmart.operators import profiling, quality
 
 
 def plan(df):
@@ -15,3 +15,12 @@ def test_whole_rows_meet_as_digests(spark):
     assert tuple(stats.first()) == (12, 3, 9, 3)
     shuffles = [line for line in plan(stats).splitlines() if "Exchange hashpartitioning" in line]
     assert shuffles and not any("a#" in line or "b#" in line for line in shuffles)
+
+def test_many_keys_are_grouped_not_joined(spark, monkeypatch):
+    raw = spark.createDataFrame([(t,) for t in ("1", "1", " 2.0", "x", None, "7", "9")], "id_venta string")
+    stored = spark.createDataFrame([(1,), (1,), (2,), (3,), (None,), (9,)], "id_venta bigint")
+    few = quality.loaded_keys(raw, stored)
+    monkeypatch.setattr(quality, "is_small", lambda *_: False, raising=False)
+    many = quality.loaded_keys(raw, stored)
+    assert "Join" not in plan(many)
+    assert sorted(r[0] for r in many.collect()) == sorted(r[0] for r in few.collect()) == [1, 2, 9]
