@@ -8,6 +8,7 @@ from salesmart.functions.normalize import to_decimal
 from salesmart.operators import quality
 from salesmart.operators.ranking import exact_percentiles
 from salesmart.schemas import BUSINESS_COLUMNS
+from salesmart.session import materialise
 
 NUMERIC_COLUMNS = ("id_venta", "id_cliente", "id_producto", "cantidad", "precio_unitario")
 WIDE = "decimal(18,2)"
@@ -114,7 +115,7 @@ def value_frequencies(raw: DataFrame, columns=("canal", "ciudad", "vendedor")) -
 
 def full_report(raw: DataFrame, existing: DataFrame | None = None) -> dict[str, DataFrame]:
     """All profile tables plus the pooled score with its pass flag."""
-    log = quality.profile_log(raw)
+    log = materialise(quality.profile_log(raw))  # a row per rule, read twice
     score = quality.score_pooled(log).select(
         "score", (F.col("score") >= quality.STOP_BELOW).alias("pass_threshold"))
     return {

@@ -24,3 +24,9 @@ def test_many_keys_are_grouped_not_joined(spark, monkeypatch):
     many = quality.loaded_keys(raw, stored)
     assert "Join" not in plan(many)
     assert sorted(r[0] for r in many.collect()) == sorted(r[0] for r in few.collect()) == [1, 2, 9]
+
+
+def test_score_of_the_report_does_not_scan_the_sales_again(spark):
+    raw = spark.range(3).selectExpr(*[f"cast(id as string) as {c}" for c in profiling.BUSINESS_COLUMNS])
+    report = profiling.full_report(raw)
+    assert "Range" not in plan(report["score"]) and report["score"].count() == 1
