@@ -41,9 +41,9 @@ def blank_to_null(col: Column) -> Column:
     return F.nullif(F.trim(col), F.lit(""))
 
 
-# Dates are a chain that mentions its input once. Channels and whole numbers
-# know the usual spellings by their bytes, at a fraction of the patterns' cost,
-# and leave all other texts to the patterns; their input should be a column.
+# Dates, channels and whole numbers know the usual spellings by their bytes, at
+# a fraction of the patterns' cost, and leave all other texts to the patterns;
+# their input should be a column.
 
 def normalize_date(col: Column) -> Column:
     """Date of a text in one of the layouts, null for anything else.
@@ -51,9 +51,18 @@ def normalize_date(col: Column) -> Column:
     The text is put in ISO order and cast; that is far cheaper than trying
     one parser after the other, each of which fails with an exception.
     """
-    iso = F.regexp_replace(F.trim(col), YEAR_LAST, "$4-$3-$1")
-    iso = F.regexp_replace(iso, YEAR_FIRST_SLASH, "$1-$2-$3")
-    return F.regexp_extract(iso, YEAR_FIRST, 0).try_cast("date")
+    text = F.trim(col)
+    part = lambda start, length: F.substring(text, start, length)
+    joined = lambda *parts: F.concat_ws("-", *[part(*p) for p in parts])
+    # ten bytes with separators in their places; the cast refuses all but digits, save at the ends, where it trims
+    iso = F.when(F.octet_length(text) == 10,
+                 F.when((part(5, 1) == "-") & (part(8, 1) == "-"), text)
+                 .when((part(5, 1) == "/") & (part(8, 1) == "/"), joined((1, 4), (6, 2), (9, 2)))
+                 .when(part(3, 1).isin("-", "/") & (part(3, 1) == part(6, 1)), joined((7, 4), (4, 2), (1, 2))))
+    plain = F.substring(iso, 1, 1).between("0", "9") & F.substring(iso, -1, 1).between("0", "9")
+    other = F.regexp_replace(text, YEAR_LAST, "$4-$3-$1")
+    other = F.regexp_replace(other, YEAR_FIRST_SLASH, "$1-$2-$3")
+    return F.when(plain, iso.try_cast("date")).otherwise(F.regexp_extract(other, YEAR_FIRST, 0).try_cast("date"))
 
 
 def normalize_channel(col: Column) -> Column:

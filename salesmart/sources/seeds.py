@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Holidays as (month, day, name, moved to the next Monday).
 # Feasts that move with Easter: days from Easter Sunday, name.
@@ -81,6 +81,15 @@ def _decimal(text: str | None) -> Decimal | None:
     return None if text is None else Decimal(text)
 
 
+def _members(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """The rows as one literal array: Spark knows that it is small, while a list that passes through an RDD has no size.
+
+    A join with a table of unknown size is shuffled by its key, here a handful of names, and as many tasks.
+    """
+    members = [F.struct(*[F.lit(value) for value in row]).cast(f"struct<{schema}>") for row in rows]
+    return spark.range(1).select(F.inline(F.array(*members)))
+
+
 def seed_dimensions(spark: SparkSession) -> dict[str, DataFrame]:
     """The starting members of each dimension, keyed 1..n in listed order."""
     channels = [(i, *row[:3], _decimal(row[3])) for i, row in enumerate(CHANNEL_ROWS, 1)]
@@ -91,8 +100,8 @@ def seed_dimensions(spark: SparkSession) -> dict[str, DataFrame]:
     sellers = [(i, *row[:4], None, row[4], None) for i, row in enumerate(SELLER_ROWS, 1)]
     from salesmart.schemas import CHANNEL, CITY, PRODUCT, SELLER
     return {
-        "dim_canal": spark.createDataFrame(channels, CHANNEL),
-        "dim_ciudad": spark.createDataFrame(cities, CITY),
-        "dim_producto": spark.createDataFrame(products, PRODUCT),
-        "dim_vendedor": spark.createDataFrame(sellers, SELLER),
+        "dim_canal": _members(spark, channels, CHANNEL),
+        "dim_ciudad": _members(spark, cities, CITY),
+        "dim_producto": _members(spark, products, PRODUCT),
+        "dim_vendedor": _members(spark, sellers, SELLER),
     }

@@ -49,6 +49,17 @@ def test_usual_spellings_need_no_pattern(spark, monkeypatch):
     assert values(spark, ["ONLINE", " tienda ", "Marketplace", " "], N.normalize_channel) == ["Online", "Tienda", "Marketplace", None]
 
 
+def test_usual_dates_need_no_pattern(spark, monkeypatch):
+    """Ten bytes with separators in their places are dates by their bytes, with the patterns' results."""
+    odd = ["5\t-01-2024", "\t5-01-2024", "2024-01-5\n", "2024-01-5\t", "2024-01-1T", "+024-01-05", "05-01/2024", "20240-01-5",
+           "\u0661-01-2024", "2024-01-05\n", "2024--1-05"]
+    assert values(spark, odd, N.normalize_date) == [None, None, date(2024, 1, 5)] + [None] * 6 + [date(2024, 1, 5), None]
+    monkeypatch.setattr(N.F, "regexp_extract", lambda *_: F.lit("1999-01-01"))
+    usual = ["2024-01-05", " 2024/01/06 ", "07-01-2024", "08/01/2024", "2024-13-07", "2024-02-30", "29/02/2023"]
+    assert values(spark, usual, N.normalize_date) == [
+        date(2024, 1, 5), date(2024, 1, 6), date(2024, 1, 7), date(2024, 1, 8), None, None, None]
+
+
 def test_email_and_phone(spark):
     texts = ["a.b-c@d.co", "josé@x.co", "a@b", "@x.com", "", None, "a@b.c"]
     assert values(spark, texts, N.is_valid_email) == [True, True, False, False, False, False, False]

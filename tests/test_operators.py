@@ -7,12 +7,15 @@ import numpy as np
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from salesmart.operators import access, profiling, scd2
+from salesmart.operators import access, facts, profiling, scd2
+from salesmart.operators.calendar import build_calendar
 from salesmart.operators.cleaning import dedupe_first
 from salesmart.operators.ranking import (assign_keys, exact_percentiles, with_ntile, with_rank,
                                          with_row_number)
 from salesmart.plans import measures
+from salesmart.schemas import CHANNEL, CITY, PRODUCT, SELLER
 from salesmart.session import broadcast_if_small, is_small
+from salesmart.sources.seeds import CHANNEL_ROWS, CITY_ROWS, PRODUCT_ROWS, SELLER_ROWS, seed_dimensions
 from salesmart.sources.tables import Store
 
 
@@ -146,6 +149,31 @@ def test_broadcast_needs_a_small_bound(spark):
     assert not hinted(small)
 
 
+def test_sales_are_not_shuffled_by_seeded_names(spark):
+    """Seeds are known to be small: a join by channel or city would deal all sales to a task per name."""
+    seeds = seed_dimensions(spark)
+    for name, schema, rows in (("dim_canal", CHANNEL, CHANNEL_ROWS), ("dim_ciudad", CITY, CITY_ROWS),
+                               ("dim_producto", PRODUCT, PRODUCT_ROWS), ("dim_vendedor", SELLER, SELLER_ROWS)):
+        assert is_small(seeds[name])
+        assert seeds[name].schema == spark.createDataFrame([], schema).schema
+        assert [(r[0], r[1 + (name == "dim_producto")]) for r in seeds[name].collect()] == [
+            (i, row[name == "dim_producto"]) for i, row in enumerate(rows, 1)]
+    customers = spark.range(1, 4).select(F.col("id").alias("id_cliente"), F.col("id").alias("cliente_key"),
+                                         F.lit(True).alias("es_registro_actual"))
+    sales = spark.range(1 << 40).select(
+        F.col("id").alias("id_venta"), F.lit(date(2024, 1, 5)).alias("fecha"), F.lit(501).cast("bigint").alias("id_producto"),
+        (F.col("id") % 5).alias("id_cliente"), F.concat(F.lit("Onlin"), F.chr(F.col("id") % 3 + 100)).alias("canal"),
+        F.concat(F.lit("Cal"), F.chr(F.col("id") % 3 + 104)).alias("ciudad"), F.lit("SIN_ASIGNAR").alias("vendedor"))
+    dims = {"dim_fecha": build_calendar(spark), "dim_cliente": customers, **seeds}
+    for join in (facts.star_rows, facts.resolve_keys):
+        plan = join(sales, dims)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning(ca" not in plan and "Exchange hashpartitioning(ci" not in plan
+        assert "SortMergeJoin" not in plan
+    # Online and Cali come together in every third sale, a known customer in three of five
+    assert {r.id_venta for r in facts.star_rows(sales.where("id_venta < 30"), dims).collect()} == {
+        i for i in range(30) if i % 3 == 1 and i % 5 in (1, 2, 3)}
+
+
 def test_store_versions_and_batches(spark, tmp_path):
     store = Store(spark, str(tmp_path))
     schema = "a bigint, id_batch string"
