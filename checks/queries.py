@@ -851,7 +851,10 @@ _LOADED: dict[tuple[str, str], str] = {}
 
 
 def _copy_of(house):
-    """A copy of a warehouse that a query may change. Tasks copy the files; only their names pass the driver."""
+    """A copy of a warehouse that a query may change. Tasks copy the files; only their names pass the driver.
+
+    Rows are never changed inside a file: where the file system has hard links, the copies of Parquet files are links.
+    """
     target = scratch_path(house.spark, "copy")
     files, source = house.store._path(house.store.root)
     source, to = (str(files.makeQualified(p).toString()) for p in (source, house.store._path(target)[1]))
@@ -859,12 +862,26 @@ def _copy_of(house):
     while found.hasNext():
         names.append((found.next().getPath().toString()[len(source) + 1:],))
 
+    def link(old, new):
+        import contextlib
+        import os
+        with contextlib.suppress(FileNotFoundError):
+            os.unlink(new)  # left by an attempt before: to write into a link would change the source
+        try:
+            os.link(old, new)
+        except OSError:  # no links here, or not between these folders
+            return False
+        return True
+
     def copy(batches):
         from pyarrow import fs
         (old, here), (new, there) = fs.FileSystem.from_uri(source), fs.FileSystem.from_uri(to)
         for batch in batches:
             for name in batch.column(0).to_pylist():
                 new.create_dir(f"{there}/{name}".rsplit("/", 1)[0], recursive=True)
+                local = isinstance(old, fs.LocalFileSystem) and isinstance(new, fs.LocalFileSystem)
+                if local and name.endswith(".parquet") and link(f"{here}/{name}", f"{there}/{name}"):
+                    continue
                 with (old.open_input_stream(f"{here}/{name}", compression=None) as data,
                       new.open_output_stream(f"{there}/{name}", compression=None) as out):
                     while part := data.read(1 << 23):
@@ -876,6 +893,13 @@ def _copy_of(house):
     return Warehouse(house.spark, target)
 
 
+def _written(house, rows):
+    """A few rows read from a warehouse that only this query has, written down; the warehouse goes."""
+    rows = materialise(rows)
+    house.remove()
+    return rows
+
+
 @register
 def warehouse_city_analysis(spark, sf_dir):
     """The city analysis over the loaded warehouse."""
@@ -898,7 +922,8 @@ def warehouse_seller_rows(spark, sf_dir):
             F.count(F.lit(1)).alias("ventas"), F.sum("monto_total").alias("monto_total"))
         return rows.join(star.vendedor.select("vendedor_key", "nombre_vendedor"), "vendedor_key").select(
             F.lit(role).alias("rol"), "nombre_vendedor", "ventas", "monto_total")
-    return seen("seller", "v3@ventas.test").unionByName(seen("report", "v4@ventas.test")).unionByName(seen("admin", "x"))
+    out = seen("seller", "v3@ventas.test").unionByName(seen("report", "v4@ventas.test")).unionByName(seen("admin", "x"))
+    return _written(house, out)
 
 
 @register
@@ -911,8 +936,8 @@ def run_log_state(spark, sf_dir):
             house.run(bad, "incremental", "b3", datetime(2026, 3, 3), threshold=0.999, retention={})
         except quality.QualityGateError:
             pass
-    return house.run_log().groupBy("id_batch", "proceso", "estado").agg(
-        F.count(F.lit(1)).alias("filas"), F.sum("registros_procesados").alias("procesados"))
+    return _written(house, house.run_log().groupBy("id_batch", "proceso", "estado").agg(
+        F.count(F.lit(1)).alias("filas"), F.sum("registros_procesados").alias("procesados")))
 
 
 @register
@@ -962,7 +987,7 @@ def erased_state(spark, sf_dir):
     log = house.access_log().where("tabla_accedida like '%:id_cliente=%'")
     for name, df in (("clientes con datos", left), ("auditoria", log)):
         out = out.unionByName(df.agg(F.lit(name).alias("tabla"), F.lit("-").alias("valor"), F.count(F.lit(1)).alias("filas")))
-    return out
+    return _written(house, out)
 
 
 @register
@@ -980,7 +1005,7 @@ def retention_state(spark, sf_dir):
     for name, schema in tables.items():
         rows = house.store.read(name, schema).groupBy(F.lit(name).alias("tabla"), "id_batch").agg(F.count(F.lit(1)).alias("filas"))
         out = rows if out is None else out.unionByName(rows)
-    return out
+    return _written(house, out)
 
 
 @register
@@ -1002,6 +1027,7 @@ def run_summary(spark, sf_dir):
     house = _copy_of(_loaded(spark, sf_dir))
     rows = _second_load(_raw(spark, sf_dir)).select(*BUSINESS_COLUMNS, "archivo_origen", "row_seq")
     result = house.run(rows, "incremental", "b2", datetime(2026, 3, 2), threshold=0.5, retention={})
+    house.remove()
     return summary_of(result, spark).drop("score")
 
 
@@ -1062,7 +1088,7 @@ def _state(house):
 def batch_rerun(spark, sf_dir):
     """State after two batches and after running the second one again."""
     house, before = _load_twice(spark, sf_dir)
-    return before.withColumn("corrida", F.lit(1)).unionByName(_state(house).withColumn("corrida", F.lit(2)))
+    return _written(house, before.withColumn("corrida", F.lit(1)).unionByName(_state(house).withColumn("corrida", F.lit(2))))
 
 
 @register
@@ -1079,4 +1105,4 @@ def rollback_state(spark, sf_dir):
     broken = scd2.broken_history(house.customers()).agg(F.count(F.lit(1)).alias("filas")).select(
         F.lit("historia_rota").alias("tabla"), F.lit("b1").alias("id_batch"), "filas",
         F.lit(0).cast("decimal(25,2)").alias("monto"))
-    return _state(house).unionByName(broken)
+    return _written(house, _state(house).unionByName(broken))

@@ -124,10 +124,13 @@ def outcome(raw: DataFrame, existing: DataFrame | None = None, strict: bool = Fa
     them get the reason ``DUPLICADO_EN_DWH``.
     """
     judged = judge(raw, strict)
-    good = F.col("motivo").isNull()
+    good, told = F.col("motivo").isNull(), F.col("id_venta").cast("string")
     spread = F.when(~good, F.xxhash64("_raw_id", *[c for c in ARRIVAL if c in judged.columns]))
+    # the text of a good id is shuffled only where the number doesn't tell it
+    judged = judged.withColumn("_raw_id", F.when(~good | (F.col("_raw_id") != told), F.col("_raw_id")))
     first = Window.partitionBy(F.when(good, F.col("id_venta")), spread).orderBy(*ARRIVAL)
     rows = judged.withColumn("_n", F.row_number().over(first)).where(~good | (F.col("_n") == 1)).drop("_n")
+    rows = rows.withColumn("_raw_id", F.when(good, F.coalesce("_raw_id", told)).otherwise(F.col("_raw_id")))
     if existing is None:
         return rows
     ids = raw.select(N.to_integer(F.col("id_venta")).alias("id_venta"))
@@ -136,6 +139,13 @@ def outcome(raw: DataFrame, existing: DataFrame | None = None, strict: bool = Fa
         "motivo", F.when(known, "DUPLICADO_EN_DWH").otherwise(F.col("motivo"))).drop("_loaded")
 
 
+def to_split(rows: DataFrame) -> DataFrame:
+    """The columns of an ``outcome`` that ``split`` reads; the text of the id stays with rejected rows alone."""
+    keep = [c for c in ("id_batch",) if c in rows.columns]
+    raw_id = F.when(F.col("motivo").isNotNull(), F.col("_raw_id")).alias("_raw_id")
+    return rows.select(raw_id, *CLEAN_COLUMNS, "motivo", *keep)
+
+
 def split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(clean rows, rejected rows with their reason) of an ``outcome``."""
     keep = [c for c in ("id_batch",) if c in rows.columns]

@@ -20,6 +20,10 @@ LOOKUPS = (
     ("ciudad_key", "ciudad", "nombre_ciudad"),
 )
 
+# what ``fact_rows`` reads of a resolved row
+FACT_INPUT = ("id_venta", "fecha", "cliente_key", "producto_key", "vendedor_key", "canal_key", "ciudad_key",
+              "cantidad", "precio_unitario", "monto_total")
+
 
 def _lookup(dims: dict[str, DataFrame], key: str, natural: str, column: str) -> DataFrame:
     dim = dims["dim_" + key.removesuffix("_key")]

@@ -156,7 +156,7 @@ def assign_keys(new: DataFrame, order_by: list[str], out: str,
         return new.withColumn(out, start + position)
     placed = materialise(
         new.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
-        .withColumn("_place", F.monotonically_increasing_id()))
+        .withColumn("_place", F.monotonically_increasing_id()), compression="zstd")
     part = F.shiftright("_place", 33)
     row = F.col("_place").bitwiseAND((1 << 33) - 1)
     placed = placed.withColumn("_part", part).withColumn("_row", row)

@@ -13,7 +13,7 @@ from salesmart.operators.calendar import build_calendar
 from salesmart.operators.ranking import assign_keys
 from salesmart.schemas import (ACCESS_LOG, BUSINESS_COLUMNS, CHANNEL, CITY, CLEAN, CUSTOMER, FACT, KEY_MARK,
                                PREVIOUS, PRODUCT, QUALITY_LOG, RAW, REJECTED, RUN_LOG, SELLER)
-from salesmart.session import broadcast_if_small, is_small, materialise, scratch_path
+from salesmart.session import broadcast_if_small, is_small, materialise, scratch_of_job, scratch_path
 from salesmart.sources.csv_files import read_csv, stamp_lineage
 from salesmart.sources.seeds import seed_dimensions
 from salesmart.sources.star import Star
@@ -72,6 +72,10 @@ class Warehouse:
             self.store.append_batch(f"dwh/{name}", dimensions.absent(rows, self.members(name), natural)
                                     .coalesce(1), "seed")
 
+    def remove(self) -> None:
+        """Delete the warehouse with all its tables."""
+        self.store.remove()
+
     def members(self, name: str) -> DataFrame:
         return self.store.read(f"dwh/{name}", _with_batch(MEMBER_TABLES[name])).drop("id_batch")
 
@@ -135,45 +139,49 @@ class Warehouse:
         # stays behind if the driver dies; the end of this attempt replaces it
         self._write_log([(step, now, None, "INICIADO", 0, 0, 0, None, batch_id)], batch_id, now)
         try:
-            extracted = self.store.overwrite_batch(RAW_T, stamp_lineage(rows, batch_id, now).select(
-                *BUSINESS_COLUMNS, "fecha_carga", "archivo_origen", "row_seq"), batch_id)["filas"]
-            raw = self.store.read_batch(RAW_T, RAW, batch_id)
-            self._log(log, step, now, extracted, extracted, 0, batch_id)
-
-            step = "validate"
-            loaded = None
-            if mode == "incremental":  # looked up once, for the rule and for the cleaning
-                # parsed once: the search reads its keys several times
-                ids = materialise(raw.select(to_integer(F.col("id_venta")).alias("id_venta")))
-                loaded = materialise(self.stored_keys(ids, batch_id))
-            score = self._validate(raw, loaded, batch_id, now)
-            quality.check_gate(score, threshold)
-            self._log(log, step, now, extracted, extracted, 0, batch_id)
-
-            step = "clean"
-            # judged once and written down: both tables are cut from the same rows
-            stamp = F.lit(now).cast("timestamp")
-            good, rejected = cleaning.split(materialise(cleaning.outcome(raw, loaded, strict)))
-            n_clean = self.store.overwrite_batch(CLEAN_T, good.withColumn("fecha_procesamiento", stamp), batch_id)["filas"]
-            n_rejected = self.store.overwrite_batch(REJECT_T, rejected.withColumn("fecha_rechazo", stamp), batch_id)["filas"]
-            clean = self.store.read_batch(CLEAN_T, CLEAN, batch_id)
-            self._log(log, step, now, extracted, n_clean, n_rejected, batch_id)
-
-            step = "dimensions"
-            keys = self._reserve(batch_id, n_clean)
-            self._load_dimensions(clean, batch_id, now, keys)
-            self._log(log, step, now, n_clean, n_clean, 0, batch_id)
-
-            step = "fact"
-            n_fact, n_skipped, n_lost = self._load_fact(clean, batch_id, now, by_date, keys)
-            self._log(log, step, now, n_fact + n_lost + n_skipped, n_fact, n_lost, batch_id)
-
-            step = "cleanup"
-            for name, (stamp, days) in (RETENTION_DAYS if retention is None else retention).items():
-                schema = {RAW_T: RAW, CLEAN_T: CLEAN, QUALITY_T: QUALITY_LOG, RUN_T: RUN_LOG,
-                          KEYED_T: KEYED, REJECT_T: REJECTED}[name]
-                self.store.expire(name, schema, stamp, days, now)
-            self._log(log, step, now, 0, 0, 0, batch_id)
+            with scratch_of_job(self.spark, "load") as scratch:
+                extracted = self.store.overwrite_batch(RAW_T, stamp_lineage(rows, batch_id, now).select(
+                    *BUSINESS_COLUMNS, "fecha_carga", "archivo_origen", "row_seq"), batch_id)["filas"]
+                raw = self.store.read_batch(RAW_T, RAW, batch_id)
+                self._log(log, step, now, extracted, extracted, 0, batch_id)
+
+                step = "validate"
+                loaded = None
+                if mode == "incremental":  # looked up once, for the rule and for the cleaning
+                    # parsed once: the search reads its keys several times
+                    ids = materialise(raw.select(to_integer(F.col("id_venta")).alias("id_venta")))
+                    loaded = materialise(self.stored_keys(ids, batch_id))
+                    scratch.drop(ids)
+                score = self._validate(raw, loaded, batch_id, now)
+                quality.check_gate(score, threshold)
+                self._log(log, step, now, extracted, extracted, 0, batch_id)
+
+                step = "clean"
+                # judged once and written down: both tables are cut from the same rows
+                stamp = F.lit(now).cast("timestamp")
+                judged = materialise(cleaning.to_split(cleaning.outcome(raw.drop("id_batch"), loaded, strict)), compression="zstd")
+                good, rejected = cleaning.split(judged)
+                n_clean = self.store.overwrite_batch(CLEAN_T, good.withColumn("fecha_procesamiento", stamp), batch_id)["filas"]
+                n_rejected = self.store.overwrite_batch(REJECT_T, rejected.withColumn("fecha_rechazo", stamp), batch_id)["filas"]
+                scratch.drop(judged)
+                clean = self.store.read_batch(CLEAN_T, CLEAN, batch_id)
+                self._log(log, step, now, extracted, n_clean, n_rejected, batch_id)
+
+                step = "dimensions"
+                keys = self._reserve(batch_id, n_clean)
+                self._load_dimensions(clean, batch_id, now, keys)
+                self._log(log, step, now, n_clean, n_clean, 0, batch_id)
+
+                step = "fact"
+                n_fact, n_skipped, n_lost = self._load_fact(clean, batch_id, now, by_date, keys)
+                self._log(log, step, now, n_fact + n_lost + n_skipped, n_fact, n_lost, batch_id)
+
+                step = "cleanup"
+                for name, (stamp, days) in (RETENTION_DAYS if retention is None else retention).items():
+                    schema = {RAW_T: RAW, CLEAN_T: CLEAN, QUALITY_T: QUALITY_LOG, RUN_T: RUN_LOG,
+                              KEYED_T: KEYED, REJECT_T: REJECTED}[name]
+                    self.store.expire(name, schema, stamp, days, now)
+                self._log(log, step, now, 0, 0, 0, batch_id)
         except Exception as error:
             self._log(log, step, now, 0, 0, 0, batch_id, "FALLIDO", str(error))
             raise
@@ -280,7 +288,9 @@ class Warehouse:
         names = [field.strip().split(" ")[0] for field in _fields(KEYED)]
         seen = self.store.overwrite_batch(KEYED_T, keyed.select(*names), batch_id, {"perdidas": F.count("motivo")})
         keyed = self.store.read_batch(KEYED_T, KEYED, batch_id)
-        new, _ = facts.insert_new(self.stored_keys(keyed, batch_id), facts.resolved(keyed))
+        # written down, its size is known: where few keys are stored, no row of the batch is shuffled to meet them
+        stored = materialise(self.stored_keys(keyed, batch_id))
+        new, _ = facts.insert_new(stored, facts.resolved(keyed).select(*facts.FACT_INPUT))
         # numbered in the order of sale ids: same keys on a rerun, and sorted files, whose
         # statistics let the search for stored keys skip row groups
         numbered = assign_keys(new, ["id_venta"], "venta_key", keys["fact_ventas"],
@@ -393,13 +403,7 @@ class Warehouse:
             if not self.store.batches(name):
                 continue
             erased = privacy.erase(concerned(self.store.read(name, schema)), requests, stamp)
-            # through a scratch table: the folders being replaced are also being read
-            scratch = scratch_path(self.spark, "erase")
-            try:
-                erased.write.parquet(scratch)
-                self.store.rewrite_batches(name, self.spark.read.schema(schema).parquet(scratch), same_rows=True)
-            finally:
-                self.store._drop(scratch)
+            self.store.rewrite_batches(name, erased, same_rows=True)
         self._audit_each(counts, user, "DERECHO_AL_OLVIDO_COMPLETADO", now)
         return counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -19,6 +22,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # A table below this size on disk may be broadcast or windowed in one task.
 SMALL_BYTES = 32 * 1024 * 1024
 
@@ -81,12 +86,79 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame) -> DataFrame:
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """What is shuffled for a table that is written inside goes once the table is there, not when the driver collects garbage."""
+    if not spark.conf.isModifiable(SHUFFLE_CLEANUP):  # an older Spark
+        yield
+        return
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
+class JobScratch:
+    """Tables that a job writes for its own later steps, in one folder below the shared one."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.root = spark, scratch_path(spark, name)
+        self._count = 0
+
+    def keep(self, df: DataFrame, **options) -> DataFrame:
+        """Write ``df`` and read it back."""
+        self._count += 1
+        path = f"{self.root}/{self._count:03d}"
+        with shuffles_dropped(df.sparkSession):
+            df.write.options(**options).parquet(path)
+        kept = self.spark.read.schema(df.schema).parquet(path)
+        kept.scratch_path = path
+        return kept
+
+    def drop(self, kept: DataFrame) -> None:
+        """Delete a table that no later step reads."""
+        self._delete(kept.scratch_path)
+
+    def close(self) -> None:
+        self._delete(self.root)
+
+    def _delete(self, path: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_JOB: contextvars.ContextVar[JobScratch | None] = contextvars.ContextVar("job", default=None)
+
+
+@contextlib.contextmanager
+def scratch_of_job(spark: SparkSession, name: str) -> Iterator[JobScratch]:
+    """What is materialised inside are tables of one folder, which goes at the end.
+
+    For jobs that write their results: a DataFrame that leaves the job must
+    not read a scratch table.
+    """
+    scratch = JobScratch(spark, name)
+    token = _JOB.set(scratch)
+    try:
+        yield scratch
+    finally:
+        _JOB.reset(token)
+        scratch.close()
+
+
+def materialise(df: DataFrame, **options) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where row placement is sampled (range sorts) and two later steps
-    must see the same placement, also after an executor is lost.
+    must see the same placement, also after an executor is lost. Inside
+    ``scratch_of_job`` it is a Parquet table, written with ``options``, that
+    goes with the job; otherwise a checkpoint.
     """
+    job = _JOB.get()
+    if job is not None:
+        return job.keep(df, **options)
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(shared_dir(df.sparkSession))

@@ -16,6 +16,8 @@ import json
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from salesmart.session import shuffles_dropped
+
 BUCKET = "_bucket"
 
 
@@ -84,7 +86,8 @@ class BucketedSnapshot:
         folder = f"b{number:08d}"
         # one file a bucket; a folder of this number is what a write that was cut off has left
         rows = df.withColumn(BUCKET, _bucket(self.key, buckets)).repartition(max(1, len(touched)), BUCKET)
-        rows.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.root}/{folder}")
+        with shuffles_dropped(df.sparkSession):
+            rows.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.root}/{folder}")
         made = [c.split("=")[1] for c in self.store._children(f"{self.root}/{folder}") if c.startswith(f"{BUCKET}=")]
         if stray := {int(b) for b in made} - touched:
             raise ValueError(f"rows of buckets {sorted(stray)} in a write of others")

@@ -21,6 +21,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
+from salesmart.session import shuffles_dropped
 from salesmart.sources.buckets import BucketedSnapshot
 
 # Days a row stays, and the column that says since when; tables not named here are kept for good.
@@ -44,6 +45,13 @@ ZONES = {
     "dwh/fact_ventas": ("fecha_carga", "fecha_venta", "id_venta"),
 }
 
+# Tables of a row a sale, the bulk of a warehouse. Others keep the session's codec: their size on disk says what a broadcast takes.
+SALES = ("staging/ventas_raw", "staging/ventas_clean", "staging/ventas_llaves", "control/rechazos", "dwh/fact_ventas")
+
+
+def _codec(name: str) -> dict[str, str]:
+    return {"compression": "zstd"} if name in SALES else {}
+
 
 def _zones(name: str, df: DataFrame) -> list[Column]:
     """Rows, and the extent of each zone column, as aggregates."""
@@ -83,6 +91,10 @@ class Store:
         fs, p = self._path(path)
         return fs.delete(p, True)
 
+    def remove(self) -> None:
+        """Delete all tables."""
+        self._drop(self.root)
+
     def _read_text(self, path: str) -> str:
         fs, p = self._path(path)
         stream = fs.open(p)
@@ -137,29 +149,33 @@ class Store:
         counts = {} if counts is None else counts
         folder = self._folder(name, batch_id)
         self._drop(self._manifest(name, batch_id))  # until the rows are there, nothing is known of them
-        rows.observe(seen, *_zones(name, rows), *[c.alias(n) for n, c in counts.items()]).write.mode("overwrite").parquet(folder)
+        measured = rows.observe(seen, *_zones(name, rows), *[c.alias(n) for n, c in counts.items()])
+        with shuffles_dropped(df.sparkSession):
+            measured.write.mode("overwrite").options(**_codec(name)).parquet(folder)
         got = {"filas": 0, **dict.fromkeys(counts, 0)} | {k: v for k, v in seen.get.items()}
         self._write_text(self._manifest(name, batch_id), json.dumps(got, default=str))
         return got
 
     def append_batch(self, name: str, df: DataFrame, batch_id: str) -> None:
         self._drop(self._manifest(name, batch_id))
-        df.drop("id_batch").write.mode("append").parquet(self._folder(name, batch_id))
+        with shuffles_dropped(df.sparkSession):
+            df.drop("id_batch").write.mode("append").options(**_codec(name)).parquet(self._folder(name, batch_id))
 
     def drop_batch(self, name: str, batch_id: str) -> bool:
         self._drop(self._manifest(name, batch_id))
         return self._drop(self._folder(name, batch_id))
 
     def rewrite_batches(self, name: str, df: DataFrame, same_rows: bool = False) -> None:
-        """Replace exactly the batches that occur in ``df`` with its rows.
+        """Replace exactly the batches that occur in ``df`` with its rows; it may read them: they go when all is written.
 
         Manifests of the table go, unless the rows are ``same_rows``: as many
         as before, with the same stamps and keys.
         """
         if not same_rows:
             self._drop(f"{self.path(name)}/_batches")
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("id_batch").parquet(self.path(name)))
+        with shuffles_dropped(df.sparkSession):
+            (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**_codec(name))
+             .partitionBy("id_batch").parquet(self.path(name)))
 
     def _manifest(self, name: str, batch_id: str) -> str:
         return f"{self.path(name)}/_batches/{batch_id}.json"
@@ -242,7 +258,8 @@ class Store:
             return folder
         versions = self.versions(name)
         version = f"v{(int(versions[-1][1:]) if versions else 0) + 1:08d}"
-        df.write.mode("overwrite").parquet(f"{self.path(name)}/{version}")
+        with shuffles_dropped(df.sparkSession):
+            df.write.mode("overwrite").parquet(f"{self.path(name)}/{version}")
         for old in versions[:max(0, len(versions) + 1 - keep)]:
             self._drop(f"{self.path(name)}/{old}")
         return version
