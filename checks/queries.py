@@ -15,7 +15,7 @@ from salesmart.operators.ranking import assign_keys, with_ntile, with_rank, with
 from salesmart.plans import analytics, measures
 from salesmart.plans.batch_load import KEY_INDEX_T, Warehouse, run_summary as summary_of
 from salesmart.schemas import BUSINESS_COLUMNS
-from salesmart.session import configure, materialise, scratch_path
+from salesmart.session import configure, materialise, scratch_of_job, scratch_path
 from salesmart.sources.csv_files import read_after, read_csv, stamp_lineage
 from salesmart.sources.raw_sample import RAW_EXPRESSIONS, raw_sales
 from salesmart.sources.seeds import seed_dimensions
@@ -1041,13 +1041,15 @@ def admin_rows(spark, sf_dir):
 @register
 def profile_report(spark, sf_dir):
     """Rows of each part of the full profile, and a digest of all their values."""
-    report = profiling.full_report(_raw(spark, sf_dir))
-    out = None
-    for part, values in report.items():
-        rows = plain(values).select(_row_digest(plain(values)).alias("h")).agg(
-            F.lit(part).alias("parte"), F.count(F.lit(1)).alias("filas"), F.sum("h").alias("huella"))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    with scratch_of_job(spark, "profile"):
+        # several parts read the rows: they are derived once
+        report = profiling.full_report(materialise(_raw(spark, sf_dir).select(*BUSINESS_COLUMNS), compression="zstd"))
+        out = None
+        for part, values in report.items():
+            rows = plain(values).select(_row_digest(plain(values)).alias("h")).agg(
+                F.lit(part).alias("parte"), F.count(F.lit(1)).alias("filas"), F.sum("h").alias("huella"))
+            out = rows if out is None else out.unionByName(rows)
+        return spark.createDataFrame(out.collect(), out.schema)  # a row per part
 
 
 def _row_digest(df):

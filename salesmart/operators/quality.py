@@ -188,6 +188,22 @@ def one_pass_log(raw: DataFrame, rules: list[Rule], unique: str, existing: DataF
             "regla_calidad", "registros_evaluados", "registros_invalidos")
 
 
+def counted_log(counts: DataFrame, rules: list[Rule], unique: str, key: str = "id_venta") -> DataFrame:
+    """``one_pass_log`` from the values of each column and how often they occur; a rule sees its field alone, each value once."""
+    names, n = rule_names(rules), F.col("n")
+    of = lambda field: F.col("columna") == field
+    fields = dict.fromkeys([key, *(r.field for r in rules)])
+    values = counts.select("columna", "n", *[F.when(of(f), F.col("valor")).alias(f) for f in fields])
+    zero = lambda column: F.coalesce(F.sum(column), F.lit(0))
+    broken = lambda name: sum((zero(F.when(of(r.field), F.when(r.invalid, n))) for r in rules if r.name == name), F.lit(0))
+    sums = [zero(F.when(of(key), n)).alias("registros_evaluados"), *[broken(name).alias(f"r{i}") for i, name in enumerate(names)],
+            zero(F.when(of(key) & (n > 1), n)).alias(f"r{len(names)}")]
+    pairs = ", ".join(f"'{name}', r{i}" for i, name in enumerate([*names, unique]))
+    return values.agg(*sums).selectExpr(
+        f"stack({len(names) + 1}, {pairs}) as (regla_calidad, registros_invalidos)", "registros_evaluados").select(
+            "regla_calidad", "registros_evaluados", "registros_invalidos")
+
+
 def quality_log(raw: DataFrame, existing: DataFrame | None = None,
                 stored: DataFrame | None = None) -> DataFrame:
     """Log of the batch load; ``existing`` adds the cross-file rule, stored facts the consistency of amounts."""
@@ -201,9 +217,10 @@ def quality_log(raw: DataFrame, existing: DataFrame | None = None,
     return with_percent(log)
 
 
-def profile_log(raw: DataFrame) -> DataFrame:
-    """Log of the profiler."""
-    return with_percent(one_pass_log(raw, profile_rules(), "DUPLICATES:id_venta"))
+def profile_log(raw: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """Log of the profiler, from the rows or from ``profiling.value_counts`` of them."""
+    rules, unique = profile_rules(), "DUPLICATES:id_venta"
+    return with_percent(one_pass_log(raw, rules, unique) if counts is None else counted_log(counts, rules, unique))
 
 
 def score_mean_of_rules(log: DataFrame) -> DataFrame:
@@ -247,16 +264,22 @@ def check_gate(score: float, threshold: float = STOP_BELOW) -> float:
 def violations(raw: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     """One row per broken rule and sale, in one scan: rule, field, id, value, issue type."""
     rules = profile_rules() + alert_rules() if rules is None else rules
-    found = F.array(*[F.when(r.invalid, F.struct(
+    # rules are judged in a plain projection, which is compiled; below a filter of an array they would be interpreted.
+    # Generated, the answers are not pulled back into that filter.
+    fields = dict.fromkeys(["id_venta", *(r.field for r in rules)])
+    judged = raw.select(*fields, F.array(*[r.invalid for r in rules]).alias("_judged"))
+    broken = judged.select(*fields, F.explode(F.array("_judged")).alias("_broken")).where(F.array_contains("_broken", F.lit(True)))
+    found = F.array(*[F.when(F.col("_broken")[i], F.struct(
         F.lit(r.name).alias("regla"), F.lit(r.field).alias("campo"),
-        F.col(r.field).alias("valor"), F.lit(r.issue).alias("tipo"))) for r in rules])
-    return raw.select("id_venta", F.explode(F.filter(found, lambda x: x.isNotNull())).alias("v")).select(
+        F.col(r.field).alias("valor"), F.lit(r.issue).alias("tipo"))) for i, r in enumerate(rules)])
+    return broken.select("id_venta", F.explode(F.filter(found, lambda x: x.isNotNull())).alias("v")).select(
         "v.regla", "v.campo", "id_venta", "v.valor", "v.tipo")
 
 
-def key_violations(raw: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def key_violations(raw: DataFrame, existing: DataFrame | None = None, counts: DataFrame | None = None) -> DataFrame:
     """Repeated keys, and keys found in ``existing``: one row per key with its copies."""
-    copies = raw.groupBy("id_venta").agg(F.count(F.lit(1)).alias("copias"))
+    copies = (raw.groupBy("id_venta").agg(F.count(F.lit(1)).alias("copias")) if counts is None else
+              counts.where("columna = 'id_venta'").select(F.col("valor").alias("id_venta"), F.col("n").alias("copias")))
     out = copies.where("copias > 1").select("id_venta", "copias", F.lit("DUPLICADO_ID_VENTA").alias("tipo"))
     if existing is None:
         return out

@@ -107,15 +107,15 @@ def with_ntile(df: DataFrame, tiles: int, value: str, key: str, out: str, *,
 
 
 def exact_percentiles(values: DataFrame, group: str, value: str,
-                      probabilities: dict[str, float]) -> DataFrame:
-    """Linear-interpolated percentiles of a decimal ``value`` per ``group``.
+                      probabilities: dict[str, float], weight: str | None = None) -> DataFrame:
+    """Linear-interpolated percentiles of a decimal ``value`` per ``group``; a row counts ``weight`` times.
 
     One row per group with a column per entry of ``probabilities`` and ``n``.
     Works from value counts, so no task ever holds a whole column.
     """
     scale = int(dict(values.dtypes)[value].rstrip(")").split(",")[1])
     counts = (values.where(F.col(value).isNotNull()).withColumn("_v", _as_long(values, value))
-              .groupBy(group, "_v").agg(F.count(F.lit(1)).alias("_n")))
+              .groupBy(group, "_v").agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_n")))
     placed = running_before(counts, [F.col("_v").asc()], "_n", "_before", [group])
     # a row per group, and groups are the profiled columns: bounded by the schema
     totals = placed.groupBy(group).agg(F.max(F.col("_before") + F.col("_n")).alias("n"))
